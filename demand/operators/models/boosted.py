@@ -1,4 +1,100 @@
-"""placeholder"""
-MAX_ITER = 20
-def boosted_lags(*a, **k):
-    raise NotImplementedError
+"""M4: pooled gradient-boosted trees on lag features (labelled XGBoost).
+
+One ``pyspark.ml`` GBTRegressor is fitted on the lag rows of *all* series at
+once (each series divided by the mean of its training months), instead of
+one booster per series and step:
+
+* hold-out (walk-forward): for every distinct hold-out month o, fit on all
+  rows with t < o and predict the rows with t = o from their actual lags.
+  Items share calendar months, so this is one fit per distinct origin month
+  (usually n_test fits in all), not n_test fits per series;
+* future: fit on every row once, then predict h steps recursively, each
+  step feeding its prediction back as lag 1.
+
+The fits are independent, so they are submitted together as concurrent
+Spark jobs (threads on the driver only wait on the cluster); each fit is
+itself distributed over the lag rows.
+
+The origin months come from a ``distinct`` over the hold-out (a calendar
+list, bounded by the months in the data), so the loop over them is a loop
+over model fits, never over rows.
+"""
+
+from __future__ import annotations
+
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ...functions.constants import HORIZON, N_LAGS, N_TEST
+
+MODEL = "XGBoost"
+MAX_ITER = 10
+MAX_DEPTH = 3
+SEED = 42
+
+
+def _regressor(max_iter: int, max_depth: int, seed: int):
+    from pyspark.ml.regression import GBTRegressor
+    return GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
+                        seed=seed, stepSize=0.1)
+
+
+def _assemble(df: DataFrame, n_lags: int) -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+    return VectorAssembler(inputCols=[f"lag_{i}" for i in range(1, n_lags + 1)], outputCol="features").transform(df)
+
+
+def scaled_lags(split: DataFrame, n_lags: int = N_LAGS) -> DataFrame:
+    """Lag rows of every item, scaled by the item's training mean."""
+    wa = Window.partitionBy("item_id")
+    w = Window.partitionBy("item_id").orderBy("t")
+    s = split.select("item_id", "t", "y", "is_test",
+                     F.avg(F.when(~F.col("is_test"), F.col("y"))).over(wa).alias("scale"))
+    s = s.filter(F.col("scale").isNotNull() & (F.col("scale") != 0))
+    s = s.select("*", (F.col("y") / F.col("scale")).alias("label"))
+    lags = [F.lag("label", i).over(w).alias(f"lag_{i}") for i in range(1, n_lags + 1)]
+    return s.select("*", *lags).dropna(subset=[f"lag_{i}" for i in range(1, n_lags + 1)])
+
+
+def boosted_lags(split: DataFrame, n_test: int = N_TEST, horizon: int = HORIZON, max_iter: int = MAX_ITER,
+                 max_depth: int = MAX_DEPTH, seed: int = SEED, n_lags: int = N_LAGS,
+                 max_parallel_fits: int = 8) -> DataFrame:
+    """Long predictions (item_id, model, phase, t, ds, yhat)."""
+    from ..series import month_start_of_index
+    rows = _assemble(scaled_lags(split, n_lags), n_lags).select(
+        "item_id", "t", "is_test", "scale", "label", "features", *[f"lag_{i}" for i in range(1, n_lags + 1)])
+    rows = rows.persist()
+    reg = _regressor(max_iter, max_depth, seed)
+    outs = []
+    origins = sorted(r[0] for r in rows.filter("is_test").select("t").distinct().collect())
+    # the fits are independent: submit them as concurrent Spark jobs
+    fits = {o: rows.filter(F.col("t") < F.lit(o)) for o in origins}
+    fits[None] = rows
+    with ThreadPoolExecutor(max_workers=max(1, min(len(fits), max_parallel_fits))) as pool:
+        models = dict(zip(fits, pool.map(reg.fit, fits.values())))
+    for o in origins:
+        target = rows.filter((F.col("t") == F.lit(o)) & F.col("is_test"))
+        pred = models[o].transform(target).select("item_id", "t", (F.col("prediction") * F.col("scale")).alias("yhat"))
+        outs.append(pred.withColumn("phase", F.lit("test")))
+    # future: one fit on everything, recursive steps
+    model = models[None]
+    last = (rows.groupBy("item_id")
+            .agg(F.max_by(F.struct(*[F.col(f"lag_{i}") for i in range(1, n_lags + 1)], F.col("label"), F.col("t")),
+                          F.col("t")).alias("r"), F.first("scale").alias("scale")))
+    # state after the last month: lags shift by one, the last label becomes lag 1
+    state = last.select("item_id", "scale", F.col("r.t").alias("t"),
+                        F.col("r.label").alias("lag_1"),
+                        *[F.col(f"r.lag_{i}").alias(f"lag_{i + 1}") for i in range(1, n_lags)])
+    for h in range(1, horizon + 1):
+        nxt = model.transform(_assemble(state.withColumn("t", F.col("t") + 1), n_lags))
+        outs.append(nxt.select("item_id", "t", (F.col("prediction") * F.col("scale")).alias("yhat"))
+                    .withColumn("phase", F.lit("future")))
+        state = nxt.select("item_id", "scale", "t", F.col("prediction").alias("lag_1"),
+                           *[F.col(f"lag_{i}").alias(f"lag_{i + 1}") for i in range(1, n_lags)])
+    out = outs[0]
+    for o in outs[1:]:
+        out = out.unionByName(o)
+    return out.select("item_id", F.lit(MODEL).alias("model"), "phase", "t",
+                      month_start_of_index(F.col("t")).alias("ds"), "yhat")

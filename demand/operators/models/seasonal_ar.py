@@ -1,4 +1,116 @@
-"""placeholder"""
-MAX_ITER = 20
-def seasonal_ar(*a, **k):
-    raise NotImplementedError
+"""M2: seasonal autoregression fitted by batch least squares (labelled SARIMAX).
+
+Per series and phase ('test' fits the training months, 'future' the whole
+series):
+
+1. differencing (d, D) in {0,1}^2 with period 12: the pair whose differenced
+   series has the smallest sample variance (ties: fewer differences);
+2. candidates p in {0,1,2}, P in {0,1}: z_t ~ 1 + z_{t-1..t-p} (+ z_{t-12});
+   all candidates use the rows where every lag exists (common sample);
+3. least squares from Gram sums (G1), best candidate by AIC;
+4. recursive forecast on the differenced scale, undone in the same fold.
+
+Everything up to the Gram sums is window functions over one
+``partitionBy(item_id, phase)``; the forecast is an ``aggregate`` fold over
+``sequence(1, h)`` carrying the tail of the series.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ...functions.constants import HORIZON, N_TEST
+from .linalg import gram_aggs, gram_struct, solve_candidates
+
+MODEL = "SARIMAX"
+PERIOD = 12
+MIN_TRAIN = 30
+HISTORY = 2 * PERIOD + 2
+# feature order: intercept, lag 1, lag 2, lag 12; candidates in tie order
+CANDIDATES = [[0], [0, 1], [0, 3], [0, 1, 2], [0, 1, 3], [0, 1, 2, 3]]
+
+
+def fit_rows(split: DataFrame) -> DataFrame:
+    """Rows of both fits: 'test' = training months, 'future' = all months."""
+    ph = F.explode(F.when(F.col("is_test"), F.array(F.lit("future")))
+                   .otherwise(F.array(F.lit("test"), F.lit("future")))).alias("phase")
+    return split.select("item_id", "t", "y", ph)
+
+
+def differencing_choice(rows: DataFrame) -> DataFrame:
+    """Add d, D (chosen per item and phase) and the differenced value z."""
+    w = Window.partitionBy("item_id", "phase").orderBy("t")
+    wa = Window.partitionBy("item_id", "phase")
+    y = F.col("y")
+    y1, y12, y13 = F.lag(y, 1).over(w), F.lag(y, PERIOD).over(w), F.lag(y, PERIOD + 1).over(w)
+    r = rows.select("*", y1.alias("y1"), y12.alias("y12"), y13.alias("y13"))
+    z = {(0, 0): F.col("y"), (1, 0): F.col("y") - F.col("y1"), (0, 1): F.col("y") - F.col("y12"),
+         (1, 1): F.col("y") - F.col("y1") - F.col("y12") + F.col("y13")}
+    big = F.lit(float("inf"))
+    opts = [F.struct(F.coalesce(F.var_samp(e).over(wa), big).alias("v"), F.lit(i).alias("o"),
+                     F.lit(d).alias("d1"), F.lit(dd).alias("d12"))
+            for i, ((d, dd), e) in enumerate(z.items())]
+    r = r.select("*", F.array_min(F.array(*opts)).alias("ch"))
+    zc = (F.when((F.col("ch.d1") == 0) & (F.col("ch.d12") == 0), z[(0, 0)])
+          .when((F.col("ch.d1") == 1) & (F.col("ch.d12") == 0), z[(1, 0)])
+          .when((F.col("ch.d1") == 0) & (F.col("ch.d12") == 1), z[(0, 1)])
+          .otherwise(z[(1, 1)]))
+    return r.select("item_id", "phase", "t", "y", F.col("ch.d1").alias("d1"), F.col("ch.d12").alias("d12"),
+                    zc.alias("z"))
+
+
+def seasonal_ar_fit(split: DataFrame, min_train: int = MIN_TRAIN) -> DataFrame:
+    """Coefficients per (item_id, phase): d1, d12, beta[4], t_last, history."""
+    r = differencing_choice(fit_rows(split))
+    w = Window.partitionBy("item_id", "phase").orderBy("t")
+    z = F.col("z")
+    r = r.select("*", F.lag(z, 1).over(w).alias("z1"), F.lag(z, 2).over(w).alias("z2"),
+                 F.lag(z, PERIOD).over(w).alias("z12"))
+    common = z.isNotNull() & F.col("z1").isNotNull() & F.col("z2").isNotNull() & F.col("z12").isNotNull()
+    feats = [F.lit(1.0), F.col("z1"), F.col("z2"), F.col("z12")]
+    agg = (r.groupBy("item_id", "phase")
+           .agg(*gram_aggs(feats, z, common),
+                F.first("d1").alias("d1"), F.first("d12").alias("d12"), F.max("t").alias("t_last"),
+                F.count(F.lit(1)).alias("n_fit"),
+                F.transform(F.slice(F.array_sort(F.collect_list(F.struct("t", "y"))), -HISTORY, HISTORY),
+                            lambda s: s["y"]).alias("hist")))
+    agg = agg.filter(F.col("n_fit") >= F.lit(min_train))
+    gram = agg.select("item_id", "phase", gram_struct(4).alias("g"))
+    sol = solve_candidates(gram, ["item_id", "phase"], 4, CANDIDATES)
+    return sol.join(agg.select("item_id", "phase", "d1", "d12", "t_last", "hist"), ["item_id", "phase"])
+
+
+def _forecast(hist, beta, d, dd, steps: int):
+    """Recursive forecast: append ``steps`` values to the history array."""
+    def at(arr, j):
+        return F.coalesce(F.try_element_at(arr, F.lit(-j)), F.lit(0.0))
+
+    def zback(arr, j):
+        return (at(arr, j) - d * at(arr, j + 1) - dd * at(arr, j + PERIOD)
+                + d * dd * at(arr, j + PERIOD + 1))
+
+    def step(acc, _):
+        znext = (F.element_at(beta, 1) + F.element_at(beta, 2) * zback(acc, 1)
+                 + F.element_at(beta, 3) * zback(acc, 2) + F.element_at(beta, 4) * zback(acc, PERIOD))
+        ynext = znext + d * at(acc, 1) + dd * at(acc, PERIOD) - d * dd * at(acc, PERIOD + 1)
+        return F.concat(acc, F.array(ynext))
+
+    full = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), hist, step)
+    return F.slice(full, -steps, steps)
+
+
+def seasonal_ar(split: DataFrame, n_test: int = N_TEST, horizon: int = HORIZON,
+                min_train: int = MIN_TRAIN) -> DataFrame:
+    """Long predictions (item_id, model, phase, t, ds, yhat)."""
+    from ..series import month_start_of_index
+    fit = seasonal_ar_fit(split, min_train)
+    d, dd = F.col("d1").cast("double"), F.col("d12").cast("double")
+    test = fit.filter(F.col("phase") == "test").select(
+        "item_id", "phase", "t_last", F.posexplode(_forecast(F.col("hist"), F.col("beta"), d, dd, n_test)))
+    fut = fit.filter(F.col("phase") == "future").select(
+        "item_id", "phase", "t_last", F.posexplode(_forecast(F.col("hist"), F.col("beta"), d, dd, horizon)))
+    out = test.unionByName(fut)
+    t = F.col("t_last") + F.col("pos") + 1
+    return out.select("item_id", F.lit(MODEL).alias("model"), "phase", t.alias("t"),
+                      month_start_of_index(t).alias("ds"), F.col("col").alias("yhat"))

@@ -71,7 +71,7 @@ def build_series(cells: DataFrame, items: DataFrame, n_test: int = N_TEST, chann
 
 
 def score(split: DataFrame, models: str | list[str] = DEFAULT_MODELS, n_test: int = N_TEST,
-          horizon: int = HORIZON, **model_kw) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+          horizon: int = HORIZON, checkpoint: bool = True, **model_kw) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Baseline + models -> (clipped preds, model metrics, baseline metrics, caps)."""
     labels = M.model_subset(models)
     registry = _model_registry()
@@ -82,6 +82,9 @@ def score(split: DataFrame, models: str | list[str] = DEFAULT_MODELS, n_test: in
     raw_preds = base
     for p in model_preds:
         raw_preds = raw_preds.unionByName(p)
+    if checkpoint:
+        # every model runs once; metrics, selection and packing reuse the result
+        raw_preds = cut_lineage(raw_preds)
     caps = S.holdout_cap(usable)
     actuals = usable.filter("is_test").select("item_id", "t", "y")
     baseline_metrics = M.error_metrics(actuals, base)          # before clipping (quirk Q5)
@@ -103,7 +106,7 @@ def forecast_record(cells: DataFrame, worklist: DataFrame, done: DataFrame | Non
     items = items_from_worklist(worklist, done)
     keyed = S.item_keys(items, channel_scoped)
     raw, split = build_series(cells, items, n_test, channel_scoped, checkpoint)
-    preds, mm, bm, caps = score(split, models, n_test, horizon, **model_kw)
+    preds, mm, bm, caps = score(split, models, n_test, horizon, checkpoint, **model_kw)
     best = M.best_model(mm)
     last_tr = S.last_train_month(raw)
     sizes = split.groupBy("item_id").agg(F.max("n").alias("n"))
