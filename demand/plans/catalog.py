@@ -592,3 +592,270 @@ def queries():
 
 def oracle_sql():
     return dict(ORACLES)
+
+
+# ---------------------------------------------------------------------------
+# Model scoring, selection and the record (Holt-Winters has a SQL twin:
+# the same recurrence as a recursive CTE).
+
+def _dbl_values(name, vals):
+    return "(VALUES " + ", ".join(f"(CAST({v!r} AS DOUBLE))" for v in vals) + f") {name}({name})"
+
+
+def _hw_sql() -> str:
+    from ..operators.models import holt_winters as hw
+    l0 = "(" * 6 + "0.0" + "".join(f" + ys[{i}])" for i in range(1, 7)) + " / 6.0"
+    l1 = "(" * 6 + "0.0" + "".join(f" + ys[{i}])" for i in range(7, 13)) + " / 6.0"
+    s0 = "[" + ", ".join(f"ys[{i}] / l0" for i in range(1, 7)) + "]"
+    f = "(l + phi * b)"
+    y = "ys[i + 1]"
+    nl = f"(alpha * {y} / s[1] + (1.0 - alpha) * {f})"
+    return f""",
+hw_in AS (
+  SELECT item_id, list(y ORDER BY t) AS ys, COUNT(*) AS n, SUM(CASE WHEN is_test THEN 0 ELSE 1 END) AS n_train,
+         MAX(t) AS t_last, MIN(CASE WHEN NOT is_test THEN y END) AS min_train, MIN(y) AS min_all
+  FROM split GROUP BY item_id),
+hw_fit AS (
+  SELECT item_id, 'test' AS phase, ys, n_train AS len_fit, t_last - 6 AS t_end, 6 AS steps FROM hw_in
+  WHERE n_train >= 12 AND min_train > 0
+  UNION ALL
+  SELECT item_id, 'future', ys, n, t_last, 3 FROM hw_in WHERE n >= 12 AND min_all > 0),
+hw_grid AS (
+  SELECT * FROM {_dbl_values('alpha', hw.ALPHAS)}, {_dbl_values('beta', hw.BETAS)},
+                {_dbl_values('gamma', hw.GAMMAS)}, {_dbl_values('phi', hw.PHIS)}),
+hw_rec AS (
+  SELECT item_id, phase, ys, len_fit, t_end, steps, alpha, beta, gamma, phi, 6 AS i,
+         l0 AS l, (l1 - l0) / 6.0 AS b, {s0} AS s, CAST(0.0 AS DOUBLE) AS sse
+  FROM (SELECT *, {l0} AS l0, {l1} AS l1 FROM hw_fit) f, hw_grid
+  UNION ALL
+  SELECT item_id, phase, ys, len_fit, t_end, steps, alpha, beta, gamma, phi, i + 1,
+         {nl},
+         beta * ({nl} - l) + (1.0 - beta) * phi * b,
+         list_concat(s[2:6], [gamma * {y} / {f} + (1.0 - gamma) * s[1]]),
+         sse + ({y} - {f} * s[1]) * ({y} - {f} * s[1])
+  FROM hw_rec WHERE i < len_fit),
+hw_best AS (
+  SELECT item_id, phase, t_end, steps,
+         arg_min(struct_pack(l := l, b := b, s := s, phi := phi), CASE WHEN isnan(sse) THEN 'inf'::DOUBLE ELSE sse END) AS st
+  FROM hw_rec WHERE i = len_fit GROUP BY item_id, phase, t_end, steps),
+hw_pred AS (
+  SELECT item_id, 'HWExSmooth' AS model, phase, t_end + h AS t,
+         make_date(CAST(floor((t_end + h - 1) / 12) AS BIGINT), CAST(t_end + h - floor((t_end + h - 1) / 12) * 12 AS BIGINT), 1) AS ds,
+         (st.l + (st.phi * (1.0 - pow(st.phi, h)) / (1.0 - st.phi)) * st.b) * st.s[((h - 1) % 6) + 1] AS yhat
+  FROM (SELECT *, UNNEST(range(1, steps + 1)) AS h FROM hw_best)),
+all_pred AS (SELECT item_id, model, phase, t, ds, yhat FROM base_pred UNION ALL SELECT * FROM hw_pred),
+clipped AS (
+  SELECT p.item_id, p.model, p.phase, p.t, p.ds,
+         CASE WHEN p.model = 'Baseline' THEN greatest(0.0, least(p.yhat, c.cap))
+              WHEN p.yhat IS NULL OR isnan(p.yhat) THEN 1e-10
+              ELSE greatest(0.0, least(p.yhat, c.cap)) END AS yhat
+  FROM all_pred p JOIN caps c ON p.item_id = c.item_id),
+mm_raw AS (
+  SELECT p.item_id, p.model, AVG(abs(s.y - p.yhat)) AS mae,
+         AVG(abs((s.y - p.yhat + 1e-10) / (s.y + 1e-10))) * 100.0 AS mape,
+         AVG(atan(abs((s.y - p.yhat + 1e-10) / (s.y + 1e-10)))) AS maape
+  FROM clipped p JOIN split s ON p.item_id = s.item_id AND p.t = s.t
+  WHERE p.phase = 'test' AND p.model <> 'Baseline' GROUP BY p.item_id, p.model),
+fut_n AS (
+  SELECT item_id, model, COUNT(*) AS nf FROM clipped WHERE phase = 'future' AND yhat IS NOT NULL GROUP BY item_id, model),
+mok AS (
+  SELECT m.item_id, m.model, CAST(CASE WHEN m.mape IS NOT NULL AND COALESCE(f.nf, 0) >= 3 THEN 1 ELSE 0 END AS BIGINT) AS model_ok
+  FROM mm_raw m LEFT JOIN fut_n f ON m.item_id = f.item_id AND m.model = f.model),
+mm AS (
+  SELECT m.item_id, m.model, CASE WHEN k.model_ok = 1 THEN m.mae END AS mae,
+         CASE WHEN k.model_ok = 1 THEN m.mape END AS mape, CASE WHEN k.model_ok = 1 THEN m.maape END AS maape
+  FROM mm_raw m JOIN mok k ON m.item_id = k.item_id AND m.model = k.model),
+ranked AS (
+  SELECT *, CASE model WHEN 'SARIMAX' THEN 1 WHEN 'Prophet' THEN 2 WHEN 'XGBoost' THEN 3 WHEN 'HWExSmooth' THEN 4 ELSE 5 END AS rk
+  FROM mm),
+best_mape AS (
+  SELECT item_id, arg_min(struct_pack(model := model, mape := mape, mae := mae), struct_pack(a := mape, b := rk)) AS bm
+  FROM ranked WHERE mape IS NOT NULL AND NOT isnan(mape) GROUP BY item_id),
+best_maape AS (
+  SELECT item_id, arg_min(struct_pack(model := model, maape := maape), struct_pack(a := maape, b := rk)) AS bq
+  FROM ranked WHERE maape IS NOT NULL AND NOT isnan(maape) GROUP BY item_id),
+best AS (
+  SELECT COALESCE(a.item_id, q.item_id) AS item_id, a.bm.model AS mape_model, a.bm.mape AS mape_min, a.bm.mae AS mae_v,
+         q.bq.model AS maape_model, q.bq.maape AS maape_min
+  FROM best_mape a FULL JOIN best_maape q ON a.item_id = q.item_id),
+rec AS (
+  SELECT w.debtorcode, w.category, w.projno, lt.last_trainmy, b.mape_model, b.mape_min, b.mae_v, b.maape_model, b.maape_min,
+         c.test_mean, bl.mape AS baseline_mape, la.tmonth_amt, fc.forecast_amt, sz.n
+  FROM wl w
+  LEFT JOIN (SELECT item_id, MAX(month_year) AS last_trainmy FROM raw GROUP BY item_id) lt ON w.row_idx = lt.item_id
+  LEFT JOIN (SELECT item_id, MAX(n) AS n FROM split GROUP BY item_id) sz ON w.row_idx = sz.item_id
+  LEFT JOIN best b ON w.row_idx = b.item_id
+  LEFT JOIN caps c ON w.row_idx = c.item_id
+  LEFT JOIN base_metrics bl ON w.row_idx = bl.item_id
+  LEFT JOIN (SELECT item_id, arg_max(y, t) AS tmonth_amt FROM split WHERE is_test GROUP BY item_id) la ON w.row_idx = la.item_id
+  LEFT JOIN (SELECT c.item_id, arg_min(c.yhat, c.t) AS forecast_amt FROM clipped c JOIN best b2
+               ON c.item_id = b2.item_id AND c.model = b2.mape_model WHERE c.phase = 'future' GROUP BY c.item_id) fc
+    ON w.row_idx = fc.item_id),
+rec2 AS (
+  SELECT *, greatest(0.0, 100.0 - mape_min) AS rmape, greatest(0.0, 100.0 - baseline_mape) AS rbaseline FROM rec),
+record AS (
+  SELECT debtorcode, category, projno, last_trainmy, mape_model, round(mape_min, 4) AS mape_min, round(rmape, 4) AS rmape,
+         round(rbaseline, 4) AS rbaseline, maape_model, round(maape_min, 4) AS maape_min, round(test_mean, 4) AS test_mean,
+         CASE WHEN rmape > rbaseline THEN 'BETTER' WHEN rmape < rbaseline THEN 'WORST' ELSE 'EQUAL' END AS pred_bt_base,
+         round(CASE WHEN rmape > rbaseline THEN rmape - rbaseline WHEN rmape < rbaseline THEN rbaseline - rmape ELSE 0.0 END, 4)
+           AS pred_bt_base_p,
+         CASE WHEN forecast_amt >= tmonth_amt + tmonth_amt * 0.1 THEN 'UP'
+              WHEN forecast_amt <= tmonth_amt - tmonth_amt * 0.1 THEN 'DW' ELSE 'NC' END AS pred_trend,
+         round(mae_v, 4) AS mae_v,
+         round(abs((forecast_amt - tmonth_amt + 1e-10) / (tmonth_amt + 1e-10) * 100.0), 4) AS pred_trend_p,
+         round(tmonth_amt, 4) AS tmonth_amt, round(forecast_amt, 4) AS forecast_amt,
+         CASE WHEN n IS NULL THEN 'no_data' WHEN n <= 6 THEN 'too_short' WHEN mape_model IS NULL THEN 'no_model' ELSE 'ok' END
+           AS status
+  FROM rec2)"""
+
+
+HW = SER.replace("WITH ", "WITH RECURSIVE ", 1) + _hw_sql()
+
+
+def _scored(spark, sf):
+    from . import forecast_job
+    split = _split(spark, sf)
+    preds, mm, bm, caps = forecast_job.score(split, "hwexsmooth")
+    return split, preds, mm, bm, caps
+
+
+RECORD_COLUMNS = ["debtorcode", "category", "projno", "last_trainmy", "mape_model", "mape_min", "rmape", "rbaseline",
+                  "maape_model", "maape_min", "test_mean", "pred_bt_base", "pred_bt_base_p", "pred_trend", "mae_v",
+                  "pred_trend_p", "tmonth_amt", "forecast_amt", "status"]
+ROUNDED = {"mape_min", "rmape", "rbaseline", "maape_min", "test_mean", "pred_bt_base_p", "mae_v", "pred_trend_p",
+           "tmonth_amt", "forecast_amt"}
+
+
+def _record_view(rec):
+    return rec.select(*[_r(F.col(c)).alias(c) if c in ROUNDED else F.col(c) for c in RECORD_COLUMNS])
+
+
+def _record(spark, sf, models="hwexsmooth", with_json=False):
+    from . import forecast_job
+    return forecast_job.forecast_record(_cells(spark, sf), _worklist(spark, sf), models=models, with_json=with_json)
+
+
+def q_holt_winters_grid(spark, sf):
+    from ..operators.models import holt_winters
+    p = holt_winters.holt_winters_grid(_split(spark, sf))
+    return p.select("item_id", "model", "phase", F.col("t").cast("long").alias("t"), "ds", _r(F.col("yhat")).alias("yhat"))
+
+
+def q_model_subset(spark, sf):
+    _, preds, _, _, _ = _scored(spark, sf)
+    return preds.select("item_id", "model", "phase", F.col("t").cast("long").alias("t"), _r(F.col("yhat")).alias("yhat"))
+
+
+def q_model_ok(spark, sf):
+    split, preds, _, _, _ = _scored(spark, sf)
+    raw = M.error_metrics(split.filter("is_test").select("item_id", "t", "y"), preds.filter("model <> 'Baseline'"))
+    ok = M.model_ok(raw, preds, 3)
+    return ok.select("item_id", "model", F.col("model_ok").cast("long").alias("model_ok"))
+
+
+def q_model_scores_long(spark, sf):
+    _, _, mm, bm, _ = _scored(spark, sf)
+    return mm.unionByName(bm).select("item_id", "model", _r(F.col("mae")).alias("mae"), _r(F.col("mape")).alias("mape"),
+                                     _r(F.col("maape")).alias("maape"))
+
+
+def q_best_model(spark, sf):
+    _, _, mm, _, _ = _scored(spark, sf)
+    b = M.best_model(mm)
+    return b.select("item_id", "mape_model", _r(F.col("mape_min")).alias("mape_min"), _r(F.col("mae_v")).alias("mae_v"),
+                    "maape_model", _r(F.col("maape_min")).alias("maape_min"))
+
+
+def q_future_forecasts(spark, sf):
+    _, preds, _, _, _ = _scored(spark, sf)
+    f = preds.filter("phase = 'future'")
+    return f.select("item_id", "model", F.col("t").cast("long").alias("t"), "ds", _r(F.col("yhat")).alias("yhat"))
+
+
+def q_forecast_record(spark, sf):
+    return _record_view(_record(spark, sf))
+
+
+def q_json_pack(spark, sf):
+    rec = _record(spark, sf, with_json=True)
+    return rec.select("item_id", "metrics_df", "train_df", "validation_df", "forecast_df", "baseline_df")
+
+
+def q_append_results(spark, sf):
+    from ..session import scratch_path
+    from ..sources import forecast_store
+    rec = _record(spark, sf).cache()
+    path = scratch_path(spark, "append")
+    forecast_store.append_results(rec, path)
+    forecast_store.append_results(rec, path)
+    return _record_view(spark.read.parquet(path))
+
+
+def q_upsert_forecast(spark, sf):
+    from ..session import scratch_path
+    from ..sources import forecast_store
+    rec = _record(spark, sf).cache()
+    path = scratch_path(spark, "upsert")
+    forecast_store.upsert_forecast(spark, rec, path)
+    forecast_store.upsert_forecast(spark, rec.withColumn("last_update", F.col("last_update") + F.expr("INTERVAL 1 SECOND")),
+                                   path)
+    return _record_view(forecast_store.read_forecasts(spark, path))
+
+
+def _model_preds(fn):
+    def q(spark, sf):
+        p = fn(_split(spark, sf).filter(F.col("n") > F.lit(6)))
+        return p.select("item_id", "model", "phase", F.col("t").cast("long").alias("t"), "ds", "yhat")
+    return q
+
+
+def q_seasonal_ar(spark, sf):
+    from ..operators.models import seasonal_ar
+    return _model_preds(seasonal_ar.seasonal_ar)(spark, sf)
+
+
+def q_trend_holiday(spark, sf):
+    from ..operators.models import trend_holiday
+    return _model_preds(trend_holiday.trend_holiday)(spark, sf)
+
+
+def q_boosted_lags(spark, sf):
+    from ..operators.models import boosted
+    return _model_preds(boosted.boosted_lags)(spark, sf)
+
+
+def q_forecast_all_models(spark, sf):
+    """C5 flagship: every model, JSON documents included (rows-only check)."""
+    return _record(spark, sf, models="sarimax,prophet,xgboost,hwexsmooth", with_json=True).drop("last_update")
+
+
+QUERIES.update({
+    "holt_winters_grid": q_holt_winters_grid,
+    "model_subset": q_model_subset,
+    "model_ok": q_model_ok,
+    "model_scores_long": q_model_scores_long,
+    "best_model": q_best_model,
+    "future_forecasts": q_future_forecasts,
+    "forecast_record": q_forecast_record,
+    "json_pack": q_json_pack,
+    "append_results": q_append_results,
+    "upsert_forecast": q_upsert_forecast,
+    "seasonal_ar": q_seasonal_ar,
+    "trend_holiday": q_trend_holiday,
+    "boosted_lags": q_boosted_lags,
+    "forecast_all_models": q_forecast_all_models,
+})
+
+ORACLES.update({
+    "holt_winters_grid": HW + " SELECT item_id, model, phase, t, ds, round(yhat, 4) AS yhat FROM hw_pred",
+    "model_subset": HW + " SELECT item_id, model, phase, t, round(yhat, 4) AS yhat FROM clipped",
+    "model_ok": HW + " SELECT item_id, model, model_ok FROM mok",
+    "model_scores_long": HW + """ SELECT item_id, model, round(mae, 4) AS mae, round(mape, 4) AS mape, round(maape, 4) AS maape
+        FROM mm UNION ALL SELECT item_id, model, round(mae, 4), round(mape, 4), round(maape, 4) FROM base_metrics""",
+    "best_model": HW + """ SELECT item_id, mape_model, round(mape_min, 4) AS mape_min, round(mae_v, 4) AS mae_v, maape_model,
+        round(maape_min, 4) AS maape_min FROM best""",
+    "future_forecasts": HW + " SELECT item_id, model, t, ds, round(yhat, 4) AS yhat FROM clipped WHERE phase = 'future'",
+    "forecast_record": HW + " SELECT * FROM record",
+    "append_results": HW + " SELECT * FROM record UNION ALL SELECT * FROM record",
+    "upsert_forecast": HW + " SELECT * FROM record",
+})
