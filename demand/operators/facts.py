@@ -10,13 +10,16 @@ Plan shape (what Catalyst makes of it):
   size is under ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks the
   real size at runtime).
 * second channel = denormalised invoices with ``invtype = 'Normal'``.
-* activity = the same two branches over the recent window only (the date
-  predicate prunes row groups), reduced to distinct customers, then used as a
-  LEFT SEMI join: activity in either channel keeps the customer in both.
+* activity = customers with a valid line in the recent window (no upper
+  bound), used as a LEFT SEMI join: activity in either channel keeps the
+  customer in both. ``sales_fact`` (line level) computes it from the two
+  branches over the window only (the date predicate prunes row groups).
 * cells = GROUP BY month, customer, category, channel with partial
   (map-side) aggregation, so a hot customer or category never reaches one
   reducer as raw lines. Sums run in DECIMAL so they are exact and
-  independent of partitioning; the result is cast to DOUBLE.
+  independent of partitioning; the result is cast to DOUBLE. ``cells``
+  joins the lines once: all months are summed, checkpointed, and both the
+  activity set and the closed months are read from the (much smaller) cells.
 """
 
 from __future__ import annotations
@@ -112,6 +115,28 @@ def cutoff_filter(df: DataFrame, cutoff: str) -> DataFrame:
     return df.filter(F.col("month_year") <= F.lit(cutoff))
 
 
-def cells(wh: Warehouse, as_of=None, amount_scale: int = 2) -> DataFrame:
-    """Facts summed to cells (prepare job input)."""
-    return sum_by_cell(sales_fact(wh, as_of), amount_scale)
+def cells(wh: Warehouse, as_of=None, amount_scale: int = 2, lookback: int = ACTIVE_LOOKBACK_MONTHS,
+          checkpoint: bool = True) -> DataFrame:
+    """Facts summed to cells: the same result as ``sum_by_cell(sales_fact(...))``.
+
+    The line-level join runs once: every month (the open one included) is
+    summed to cells, the result is checkpointed, and both the activity test
+    and the closed-month cells are read from it. Activity "any valid line
+    on or after the window start" equals "any cell of a month on or after
+    the window's month", since the window starts on a month start; cells
+    are grouped by customer, so the semi join on customer is unchanged.
+    """
+    dec = f"decimal(18,{amount_scale})"
+    lines = union_channels(wh).select("debtorcode", "category", "projno", "amount",
+                                      dates.month_key(F.col("docdate")).alias("month_year"))
+    every = (lines.groupBy("month_year", "debtorcode", "category", "projno")
+             .agg(F.sum(F.col("amount").cast(dec)).cast("double").alias("y")))
+    if checkpoint:
+        from ..session import cut_lineage
+        every = cut_lineage(every)
+    closed_key = dates.month_key(closed_month_start(as_of))
+    recent_key = dates.month_key(recent_window_start(as_of, lookback))
+    active = every.filter(F.col("month_year") >= recent_key).select("debtorcode").distinct()
+    closed = every.filter(F.col("month_year") < closed_key)
+    return (closed.join(active, "debtorcode", "left_semi")
+            .select("debtorcode", "category", "projno", "y", "month_year"))

@@ -67,24 +67,43 @@ def json_metrics(metrics: DataFrame, key_col: str, models: list[str]) -> DataFra
     return per.select("item_id", F.to_json(doc).alias(key_col))
 
 
+def json_docs_by_time(long: DataFrame, col_order: list[str]) -> DataFrame:
+    """(item_id, doc, name, ds, value) -> item_id + one JSON column per doc.
+
+    All time-indexed documents go through one chain of aggregates:
+    per (item, doc, name) the time map, per (item, doc) the column map,
+    per item one map of documents, unpacked into columns.
+    """
+    rank = F.coalesce(F.array_position(F.array(*[F.lit(c) for c in col_order]), F.col("name")), F.lit(99))
+    inner = (long.groupBy("item_id", "doc", "name")
+             .agg(F.map_from_entries(F.transform(
+                 F.array_sort(F.collect_list(F.struct(F.col("ds"), epoch_ms_key(F.col("ds")).alias("k"),
+                                                      F.col("value")))),
+                 lambda s: F.struct(s["k"], s["value"]))).alias("m"))
+             .withColumn("_r", rank))
+    per_doc = (inner.groupBy("item_id", "doc")
+               .agg(F.to_json(F.map_from_entries(F.transform(
+                   F.array_sort(F.collect_list(F.struct("_r", "name", "m")),
+                                lambda a, b: F.signum(a["_r"] - b["_r"]).cast("int")),
+                   lambda s: F.struct(s["name"], s["m"])))).alias("json")))
+    docs = per_doc.groupBy("item_id").agg(F.map_from_entries(F.collect_list(F.struct("doc", "json"))).alias("d"))
+    return docs.select("item_id", *[F.col("d")[name].alias(name) for name in ("train_df", "validation_df", "forecast_df")])
+
+
 def json_pack(raw_series: DataFrame, split: DataFrame, preds: DataFrame, metrics: DataFrame,
               baseline_metrics: DataFrame, models: list[str]) -> DataFrame:
     """The five JSON documents of the record, one row per item."""
     from ..functions.dates import month_to_date
-    train = json_by_time(
-        raw_series.select("item_id", F.lit("y").alias("name"), month_to_date(F.col("month_year")).alias("ds"),
-                          F.col("y").alias("value")),
-        "train_df", ["y"])
     cols = ["y", BASELINE] + [m for m in MODEL_ORDER if m in models]
-    val_long = (split.filter("is_test").select("item_id", F.lit("y").alias("name"), "ds", F.col("y").alias("value"))
-                .unionByName(preds.filter(F.col("phase") == "test")
-                             .select("item_id", F.col("model").alias("name"), "ds", F.col("yhat").alias("value"))))
-    validation = json_by_time(val_long, "validation_df", cols)
-    forecast = json_by_time(
-        preds.filter(F.col("phase") == "future").select("item_id", F.col("model").alias("name"), "ds",
-                                                         F.col("yhat").alias("value")),
-        "forecast_df", cols[1:])
+    long = (raw_series.select("item_id", F.lit("train_df").alias("doc"), F.lit("y").alias("name"),
+                              month_to_date(F.col("month_year")).alias("ds"), F.col("y").alias("value"))
+            .unionByName(split.filter("is_test").select("item_id", F.lit("validation_df").alias("doc"),
+                                                        F.lit("y").alias("name"), "ds", F.col("y").alias("value")))
+            .unionByName(preds.select("item_id",
+                                      F.when(F.col("phase") == "test", F.lit("validation_df"))
+                                      .otherwise(F.lit("forecast_df")).alias("doc"),
+                                      F.col("model").alias("name"), "ds", F.col("yhat").alias("value"))))
+    by_time = json_docs_by_time(long, cols)
     metrics_doc = json_metrics(metrics, "metrics_df", MODEL_ORDER)
     baseline_doc = json_metrics(baseline_metrics, "baseline_df", [BASELINE])
-    return (train.join(validation, "item_id", "full").join(forecast, "item_id", "full")
-            .join(metrics_doc, "item_id", "full").join(baseline_doc, "item_id", "full"))
+    return by_time.join(metrics_doc, "item_id", "full").join(baseline_doc, "item_id", "full")

@@ -136,3 +136,18 @@ def forecast_record(cells: DataFrame, worklist: DataFrame, done: DataFrame | Non
     from ..schemas import FORECAST_RECORD
     rec = rec.withColumn("last_update", F.current_timestamp())
     return rec.select("item_id", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in FORECAST_RECORD.fields])
+
+
+def run(cells: DataFrame, worklist: DataFrame, store_path: str, models: str | list[str] = DEFAULT_MODELS,
+        n_test: int = N_TEST, horizon: int = HORIZON, channel_scoped: bool = False, **model_kw) -> int:
+    """Forecast every work-list item not yet stored, upsert the records.
+
+    Items whose (customer, category, month, channel) is already in the store
+    are skipped (J4), so a re-run after a failure only does the remainder;
+    the upsert writes the next store version. Returns that version.
+    """
+    from ..sources import forecast_store
+    spark = cells.sparkSession
+    done = forecast_store.stored_keys(spark, store_path)
+    rec = forecast_record(cells, worklist, done, models, n_test, horizon, channel_scoped, **model_kw)
+    return forecast_store.upsert_forecast(spark, rec.drop("item_id"), store_path)
