@@ -85,12 +85,13 @@ def trend_holiday(split: DataFrame, n_test: int = N_TEST, horizon: int = HORIZON
         return sum(F.element_at(F.col("beta"), i + 1) * f for i, f in enumerate(_features(tau_col)))
 
     # holiday effects from the residuals of the fit months
-    fitted = rows.join(coef, ["item_id", "phase"]).withColumn("T", trend_of(F.col("tau")))
+    fitted = rows.join(coef, ["item_id", "phase"]).withColumn("trend_fit", trend_of(F.col("tau")))
     fitted = fitted.withColumn("ds", month_start_of_index(F.col("t")))
     hol = (fitted.join(events, "ds")
            .groupBy("item_id", "phase", "event")
-           .agg((F.sum((F.col("ys") - F.col("T")) * F.col("T"))
-                 / (F.sum(F.col("T") * F.col("T")) + F.lit(1.0 / HOLIDAYS_PRIOR_SCALE ** 2))).alias("beta_h")))
+           .agg((F.sum((F.col("ys") - F.col("trend_fit")) * F.col("trend_fit"))
+                 / (F.sum(F.col("trend_fit") * F.col("trend_fit")) + F.lit(1.0 / HOLIDAYS_PRIOR_SCALE ** 2)))
+                .alias("beta_h")))
     # targets: the hold-out months (test fit) and the future months (full fit)
     meta = rows.groupBy("item_id", "phase").agg(F.first("t0").alias("t0"), F.first("t1").alias("t1"),
                                                 F.first("scale").alias("scale"))
