@@ -859,3 +859,21 @@ ORACLES.update({
     "append_results": HW + " SELECT * FROM record UNION ALL SELECT * FROM record",
     "upsert_forecast": HW + " SELECT * FROM record",
 })
+
+
+def q_worklist_stream_forecast(spark, sf):
+    """Both work-list halves as stream files -> forecast per micro-batch -> store."""
+    from ..session import scratch_path
+    from ..sources import forecast_store, worklist_io
+    from ..streaming.worklist_stream import start_forecast_stream
+    cells = _cells(spark, sf)
+    wl_dir = scratch_path(spark, "stream-worklist")
+    worklist_io.write_worklist_csv(W.split_sequential(_worklist(spark, sf)), wl_dir)
+    store = scratch_path(spark, "stream-store")
+    q = start_forecast_stream(spark, wl_dir, lambda: cells, store, models="hwexsmooth")
+    q.awaitTermination()
+    return _record_view(forecast_store.read_forecasts(spark, store))
+
+
+QUERIES["worklist_stream_forecast"] = q_worklist_stream_forecast
+ORACLES["worklist_stream_forecast"] = HW + " SELECT * FROM record"
