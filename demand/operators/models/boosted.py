@@ -96,5 +96,10 @@ def boosted_lags(split: DataFrame, n_test: int = N_TEST, horizon: int = HORIZON,
     out = outs[0]
     for o in outs[1:]:
         out = out.unionByName(o)
-    return out.select("item_id", F.lit(MODEL).alias("model"), "phase", "t",
-                      month_start_of_index(F.col("t")).alias("ds"), "yhat")
+    out = out.select("item_id", F.lit(MODEL).alias("model"), "phase", "t",
+                     month_start_of_index(F.col("t")).alias("ds"), "yhat")
+    # materialise the (small) predictions, then release the cached lag rows
+    from ...session import cut_lineage
+    out = cut_lineage(out)
+    rows.unpersist()
+    return out

@@ -108,17 +108,19 @@ def forecast_record(cells: DataFrame, worklist: DataFrame, done: DataFrame | Non
     raw, split = build_series(cells, items, n_test, channel_scoped, checkpoint)
     preds, mm, bm, caps = score(split, models, n_test, horizon, checkpoint, **model_kw)
     best = M.best_model(mm)
-    last_tr = S.last_train_month(raw)
-    sizes = split.groupBy("item_id").agg(F.max("n").alias("n"))
+    # one pass over each item's months: size, last month with data, hold-out mean, last actual
+    per_item = (split.groupBy("item_id")
+                .agg(F.max("n").alias("n"),
+                     F.max(F.when(~F.col("filled"), F.col("t"))).alias("_t_last_known"),
+                     F.avg(F.when(F.col("is_test"), F.col("y"))).alias("test_mean"),
+                     F.max_by("y", "t").alias("tmonth_amt")))
+    per_item = per_item.withColumn("last_trainmy", F.date_format(S.month_start_of_index(F.col("_t_last_known")),
+                                                                 "yyyy-MM"))
     fc = M.first_forecast_of(preds, best)
-    last = M.last_actual(split.filter("is_test"))
     rec = (keyed.select("item_id", "debtorcode", "category", "projno", "lvl")
-           .join(last_tr, "item_id", "left")
-           .join(sizes, "item_id", "left")
+           .join(per_item.drop("_t_last_known"), "item_id", "left")
            .join(best, "item_id", "left")
-           .join(caps.select("item_id", "test_mean"), "item_id", "left")
            .join(bm.select("item_id", F.col("mape").alias("baseline_mape")), "item_id", "left")
-           .join(last, "item_id", "left")
            .join(fc, "item_id", "left"))
     rec = M.labels(rec)
     status = (F.when(F.col("lvl").isNull(), F.lit("bad_item"))
