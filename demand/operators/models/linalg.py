@@ -74,15 +74,21 @@ def solve_candidates(gram: DataFrame, keys: list[str], k: int, candidates: list[
                 a = xtx[:, idx[:, None], idx[None, :]] + np.diag(pen[idx])[None, :, :]
                 b = xty[:, idx]
                 ok = np.isfinite(a).all(axis=(1, 2)) & np.isfinite(b).all(axis=1) & (n > len(idx))
+                # Jacobi scaling (unit diagonal): the condition test and the solve
+                # then do not depend on the units of the regressors
+                diag = np.einsum("ijj->ij", a)
+                ok &= (diag > 0).all(axis=1)
                 with np.errstate(all="ignore"):
+                    d = 1.0 / np.sqrt(np.where(diag > 0, diag, 1.0))
+                    a_s = a * d[:, :, None] * d[:, None, :]
                     cond = np.full(m, np.inf)
                     if ok.any():
-                        cond[ok] = np.linalg.cond(a[ok])
-                ok &= cond < 1e12
+                        cond[ok] = np.linalg.cond(a_s[ok])
+                ok &= cond < 1e10
                 if not ok.any():
                     continue
                 beta = np.zeros((m, len(idx)))
-                beta[ok] = np.linalg.solve(a[ok], b[ok][..., None])[..., 0]
+                beta[ok] = np.linalg.solve(a_s[ok], (b * d)[ok][..., None])[..., 0] * d[ok]
                 rss = yy - 2 * np.einsum("ij,ij->i", beta, b) + np.einsum("ij,ijk,ik->i", beta, xtx[:, idx[:, None], idx[None, :]], beta)
                 rss = np.maximum(rss, 1e-300)
                 with np.errstate(all="ignore"):

@@ -114,3 +114,18 @@ def seasonal_ar(split: DataFrame, n_test: int = N_TEST, horizon: int = HORIZON,
     t = F.col("t_last") + F.col("pos") + 1
     return out.select("item_id", F.lit(MODEL).alias("model"), "phase", t.alias("t"),
                       month_start_of_index(t).alias("ds"), F.col("col").alias("yhat"))
+
+
+def lag_regression(split: DataFrame, lag: int = 1) -> DataFrame:
+    """One-regressor case of M2 on each whole series: y_t = c + phi * y_{t-lag}.
+
+    Uses the model's common sample (rows where lag 12 exists) and the same
+    Gram-sum + batched-solve path; output item_id, intercept, slope, n_obs.
+    """
+    w = Window.partitionBy("item_id").orderBy("t")
+    r = split.select("item_id", "y", F.lag("y", lag).over(w).alias("x"), F.lag("y", PERIOD).over(w).alias("x12"))
+    common = F.col("x").isNotNull() & F.col("x12").isNotNull()
+    agg = r.groupBy("item_id").agg(*gram_aggs([F.lit(1.0), F.col("x")], F.col("y"), common))
+    sol = solve_candidates(agg.select("item_id", gram_struct(2).alias("g")), ["item_id"], 2, [[0, 1]])
+    return sol.select("item_id", F.element_at("beta", 1).alias("intercept"), F.element_at("beta", 2).alias("slope"),
+                      "n_obs")

@@ -103,3 +103,20 @@ def trend_holiday(split: DataFrame, n_test: int = N_TEST, horizon: int = HORIZON
     tau_t = (F.col("t") - F.col("t0")) / (F.col("t1") - F.col("t0")).cast("double")
     yhat = F.col("scale") * trend_of(tau_t) * (F.lit(1.0) + F.coalesce(F.col("beta_h"), F.lit(0.0)))
     return tgt.select("item_id", F.lit(MODEL).alias("model"), "phase", "t", "ds", yhat.alias("yhat"))
+
+
+def trend_line(split: DataFrame) -> DataFrame:
+    """One-regressor case of M3 on each whole series: scaled y = a + b * tau.
+
+    Same scaling (max |y|), time axis (tau in [0, 1]) and Gram-sum + solve
+    path as the model; output item_id, intercept, slope, n_obs.
+    """
+    wa = Window.partitionBy("item_id")
+    r = split.select("item_id", "t", "y", F.min("t").over(wa).alias("t0"), F.max("t").over(wa).alias("t1"),
+                     F.max(F.abs("y")).over(wa).alias("scale"))
+    r = r.filter((F.col("t1") > F.col("t0")) & (F.col("scale") > 0))
+    tau = (F.col("t") - F.col("t0")) / (F.col("t1") - F.col("t0")).cast("double")
+    agg = r.groupBy("item_id").agg(*gram_aggs([F.lit(1.0), tau], F.col("y") / F.col("scale")))
+    sol = solve_candidates(agg.select("item_id", gram_struct(2).alias("g")), ["item_id"], 2, [[0, 1]])
+    return sol.select("item_id", F.element_at("beta", 1).alias("intercept"), F.element_at("beta", 2).alias("slope"),
+                      "n_obs")

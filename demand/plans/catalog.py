@@ -877,3 +877,31 @@ def q_worklist_stream_forecast(spark, sf):
 
 QUERIES["worklist_stream_forecast"] = q_worklist_stream_forecast
 ORACLES["worklist_stream_forecast"] = HW + " SELECT * FROM record"
+
+
+def q_seasonal_ar_lag1(spark, sf):
+    from ..operators.models import seasonal_ar
+    r = seasonal_ar.lag_regression(_split(spark, sf))
+    return r.select("item_id", F.round("intercept", 1).alias("intercept"), F.round("slope", 6).alias("slope"), "n_obs")
+
+
+def q_trend_line(spark, sf):
+    from ..operators.models import trend_holiday
+    r = trend_holiday.trend_line(_split(spark, sf))
+    return r.select("item_id", F.round("intercept", 6).alias("intercept"), F.round("slope", 6).alias("slope"), "n_obs")
+
+
+QUERIES["seasonal_ar_lag1"] = q_seasonal_ar_lag1
+QUERIES["trend_line"] = q_trend_line
+ORACLES["seasonal_ar_lag1"] = SER + """ SELECT item_id, round(regr_intercept(y, x), 1) AS intercept,
+    round(regr_slope(y, x), 6) AS slope, CAST(COUNT(*) AS BIGINT) AS n_obs
+    FROM (SELECT item_id, y, LAG(y, 1) OVER w AS x, LAG(y, 12) OVER w AS x12
+          FROM split WINDOW w AS (PARTITION BY item_id ORDER BY t))
+    WHERE x IS NOT NULL AND x12 IS NOT NULL GROUP BY item_id HAVING COUNT(*) > 2"""
+ORACLES["trend_line"] = SER + """ SELECT item_id, round(regr_intercept(ys, tau), 6) AS intercept,
+    round(regr_slope(ys, tau), 6) AS slope, CAST(COUNT(*) AS BIGINT) AS n_obs
+    FROM (SELECT item_id, y / MAX(abs(y)) OVER (PARTITION BY item_id) AS ys,
+                 (t - MIN(t) OVER (PARTITION BY item_id))
+                   / CAST(MAX(t) OVER (PARTITION BY item_id) - MIN(t) OVER (PARTITION BY item_id) AS DOUBLE) AS tau
+          FROM split)
+    GROUP BY item_id"""
