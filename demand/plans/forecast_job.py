@@ -6,8 +6,10 @@ work list -(anti join stored keys)-> items -(hierarchy expand)-> monthly sums
 -> JSON documents -> one record per item.
 
 Shuffles: the per-level monthly sums (map-side combined), the item join,
-one repartition by item_id for the series windows; model folds, metrics
-and packing group by item_id on small per-item data.
+one shuffle by item_id for the series windows; model folds, metrics and
+packing group by item_id on small per-item data. The monthly sums, the
+split series and the predictions are checkpointed: each is read by several
+later steps and none of them is recomputed from the facts.
 """
 
 from __future__ import annotations
@@ -63,7 +65,9 @@ def build_series(cells: DataFrame, items: DataFrame, n_test: int = N_TEST, chann
     """Raw monthly sums and the gap-filled, split series of every item."""
     raw = S.hierarchy_expand(cells, items, channel_scoped)
     if checkpoint:
-        raw = cut_lineage(raw.repartition("item_id"))
+        # a checkpoint does not keep hash partitioning, so no repartition before it:
+        # the gap-fill window shuffles by item_id once either way
+        raw = cut_lineage(raw)
     split = S.tail_split(S.gap_fill(raw), n_test)
     if checkpoint:
         split = cut_lineage(split)
