@@ -14,7 +14,7 @@ later steps and none of them is recomputed from the facts.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,17 +39,6 @@ def _model_registry():
     }
 
 
-@dataclass
-class ForecastFrames:
-    items: DataFrame       # item_id + work-list columns + level
-    raw: DataFrame         # (item_id, month_year, y) monthly sums before gap fill
-    split: DataFrame       # gap-filled series with hold-out flag
-    preds: DataFrame       # clipped predictions, long
-    metrics: DataFrame     # model metrics, long
-    baseline_metrics: DataFrame
-    best: DataFrame
-
-
 def items_from_worklist(worklist: DataFrame, done: DataFrame | None = None) -> DataFrame:
     """J4 + P15: blank cells read as '', stored keys skipped, item_id assigned."""
     wl = worklist.na.fill("", ["debtorcode", "category", "projno", "month_year"])
@@ -82,13 +71,21 @@ def score(split: DataFrame, models: str | list[str] = DEFAULT_MODELS, n_test: in
     usable = split.filter(F.col("n") > F.lit(n_test))  # too short: no training month
     fut = S.future_months(usable, horizon)
     base = naive.baseline_naive(usable, fut)
-    model_preds = [registry[m](usable, n_test, horizon, **model_kw) for m in MODEL_ORDER if m in labels]
+    chosen = [m for m in MODEL_ORDER if m in labels]
+    if checkpoint and chosen:
+        # the models are independent jobs: run them concurrently, each one
+        # materialised once; metrics, selection and packing reuse the result
+        def run_model(m):
+            return cut_lineage(registry[m](usable, n_test, horizon, **model_kw))
+        with ThreadPoolExecutor(max_workers=len(chosen)) as pool:
+            model_preds = list(pool.map(run_model, chosen))
+    else:
+        model_preds = [registry[m](usable, n_test, horizon, **model_kw) for m in chosen]
+    # the union stays lazy: models are materialised, the baseline is a cheap
+    # aggregate over the checkpointed split
     raw_preds = base
     for p in model_preds:
         raw_preds = raw_preds.unionByName(p)
-    if checkpoint:
-        # every model runs once; metrics, selection and packing reuse the result
-        raw_preds = cut_lineage(raw_preds)
     caps = S.holdout_cap(usable)
     actuals = usable.filter("is_test").select("item_id", "t", "y")
     baseline_metrics = M.error_metrics(actuals, base)          # before clipping (quirk Q5)
