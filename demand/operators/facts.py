@@ -31,9 +31,6 @@ from ..functions import dates
 from ..functions.constants import ACTIVE_LOOKBACK_MONTHS, CHANNEL_DENORM, CHANNEL_JOINED, NORMAL_INVOICE
 from ..sources.warehouse import Warehouse
 
-FACT_COLUMNS = ["debtorcode", "docdate", "y", "category", "projno", "month_year"]
-
-
 def filter_valid_lines(lines: DataFrame) -> DataFrame:
     """Item present, positive amount, no project code."""
     return lines.filter(F.col("itemcode").isNotNull() & (F.col("amount") > 0) & F.col("projno").isNull())

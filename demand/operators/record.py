@@ -19,26 +19,6 @@ def epoch_ms_key(ds: Column) -> Column:
     return (F.unix_date(ds).cast("long") * F.lit(86400000)).cast("string")
 
 
-def json_by_time(long: DataFrame, key_col: str, col_order: list[str]) -> DataFrame:
-    """(item_id, name, ds, value) -> item_id, JSON {name: {epoch_ms: value}}.
-
-    Columns appear in ``col_order`` order, time keys ascending.
-    """
-    rank = F.coalesce(F.array_position(F.array(*[F.lit(c) for c in col_order]), F.col("name")), F.lit(99))
-    inner = (long.groupBy("item_id", "name")
-             .agg(F.map_from_entries(F.transform(
-                 F.array_sort(F.collect_list(F.struct(F.col("ds"), epoch_ms_key(F.col("ds")).alias("k"),
-                                                      F.col("value")))),
-                 lambda s: F.struct(s["k"], s["value"]))).alias("m"))
-             .withColumn("_r", rank))
-    outer = (inner.groupBy("item_id")
-             .agg(F.map_from_entries(F.transform(
-                 F.array_sort(F.collect_list(F.struct("_r", "name", "m")),
-                              lambda a, b: F.signum(a["_r"] - b["_r"]).cast("int")),
-                 lambda s: F.struct(s["name"], s["m"]))).alias("doc")))
-    return outer.select("item_id", F.to_json("doc").alias(key_col))
-
-
 def json_metrics(metrics: DataFrame, key_col: str, models: list[str]) -> DataFrame:
     """Metric frame as JSON: {"Models": {i: name}, "MAPE_Errors": {i: v}, ...}.
 

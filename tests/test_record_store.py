@@ -108,3 +108,29 @@ def test_plan_shapes(spark):
                                  "debtorcode string, category string, projno string, last_trainmy string")
     plan = _plan(S.hierarchy_expand(cells, S.skip_done(wl, done)))
     assert "LeftAnti" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_worklist_stream_forecasts_each_file(spark):
+    from demand.streaming.worklist_stream import start_forecast_stream
+    cells, cutoff = _cells(spark)
+    wl = _worklist(spark, cutoff).withColumn("part", F.when(F.col("row_idx") < 2, 1).otherwise(2))
+    wl_dir = scratch_path(spark, "stream-wl-test")
+    worklist_io.write_worklist_csv(wl, wl_dir)
+    store = scratch_path(spark, "stream-store-test")
+    ckpt = scratch_path(spark, "stream-ckpt-test")
+    q = start_forecast_stream(spark, wl_dir, lambda: cells, store, checkpoint_location=ckpt, models="hwexsmooth")
+    q.awaitTermination()
+    got = forecast_store.read_forecasts(spark, store)
+    assert got.count() == 5
+    assert {r.status for r in got.collect()} == {"ok", "too_short", "bad_item", "no_data"}
+    versions = forecast_store.latest_version(spark, store)
+    # restart on the same checkpoint: the files are known, no batch runs
+    q2 = start_forecast_stream(spark, wl_dir, lambda: cells, store, checkpoint_location=ckpt, models="hwexsmooth")
+    q2.awaitTermination()
+    assert forecast_store.latest_version(spark, store) == versions
+    # a fresh checkpoint replays the files: stored keys are skipped, content unchanged
+    q3 = start_forecast_stream(spark, wl_dir, lambda: cells, store, models="hwexsmooth")
+    q3.awaitTermination()
+    again = forecast_store.read_forecasts(spark, store)
+    assert again.count() == 5
+    assert sorted(r.mape_min or -1 for r in again.collect()) == sorted(r.mape_min or -1 for r in got.collect())
