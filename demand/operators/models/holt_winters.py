@@ -13,7 +13,8 @@ Equations (m = 6, phi = damping):
   s'  = gamma*y/f + (1-gamma)*s[t-m]
   forecast(h) = (l + (phi+...+phi^h)*b) * s[(h-1) mod m]
 Start: l = mean of the first 6 values, b = (mean of values 7..12 - l)/6,
-s_i = y_i / l for the first 6 values. The fit minimises the one-step SSE.
+s_i = y_i / l for the first 6 values. The fit minimises the one-step SSE
+over a coarse grid, then over a finer grid around the coarse winner.
 The hold-out forecast uses the best fit on the training months, the future
 forecast the best fit on the whole series. A series needs 12 positive values.
 """
@@ -35,7 +36,13 @@ ALPHAS = [0.1, 0.3, 0.5, 0.7, 0.9]
 BETAS = [0.01, 0.1, 0.3]
 GAMMAS = [0.05, 0.2, 0.5]
 PHIS = [0.8, 0.9, 0.98]
+# Second, finer search: every parameter of the coarse winner -step, 0, +step
+# (3^4 = 81 points), clipped to its bounds. Order: alpha, beta, gamma, phi.
+REFINE_STEPS = [0.1, 0.05, 0.1, 0.04]
+REFINE_LOW = [0.02, 0.005, 0.01, 0.7]
+REFINE_HIGH = [0.98, 0.95, 0.95, 0.995]
 # --- end of fixed values ----------------------------------------------------
+PARAMS = ["alpha", "beta", "gamma", "phi"]
 
 
 def param_grid(alphas=ALPHAS, betas=BETAS, gammas=GAMMAS, phis=PHIS) -> Column:
@@ -110,47 +117,56 @@ def holt_winters_grid(split: DataFrame, n_test: int = N_TEST, horizon: int = HOR
     """
     if engine == "arrow":
         return _holt_winters_arrow(split, n_test, horizon)
-    grid = grid if grid is not None else param_grid()
-    arr = series_arrays(split)
-    arr = arr.withColumn("y_train", F.slice("y_all", 1, F.col("n_train")))
-    ok_train = (F.col("n_train") >= 2 * SEASON) & (F.col("min_train") > 0)
-    ok_all = (F.col("n") >= 2 * SEASON) & (F.col("min_all") > 0)
-    pts = arr.filter(ok_train | ok_all).select(
-        "item_id", "n", "n_train", "t_last", ok_train.alias("ok_train"), ok_all.alias("ok_all"),
-        "y_train", "y_all", F.explode(grid).alias("g"))
-    fits = pts.select(
-        "item_id", "n", "n_train", "t_last", "ok_train", "ok_all", "g",
-        F.when(F.col("ok_train"), fit(F.col("y_train"), F.col("g"))).alias("ftr"),
-        F.when(F.col("ok_all"), fit(F.col("y_all"), F.col("g"))).alias("fall"))
-    best = (fits.groupBy("item_id")
-            .agg(F.first("n").alias("n"), F.first("n_train").alias("n_train"), F.first("t_last").alias("t_last"),
-                 F.min_by(F.struct(F.col("g").alias("g"), F.col("ftr").alias("st")), F.col("ftr.sse")).alias("btr"),
-                 F.min_by(F.struct(F.col("g").alias("g"), F.col("fall").alias("st")), F.col("fall.sse")).alias("ball")))
     from ..series import month_start_of_index
-    test = best.filter(F.col("btr.st").isNotNull()).select(
-        "item_id", F.lit("test").alias("phase"), "btr", "n", "n_train", "t_last",
-        F.explode(F.sequence(F.lit(1), F.lit(n_test))).alias("h"))
-    test = test.select("item_id", "phase", (F.col("t_last") - F.lit(n_test) + F.col("h")).alias("t"),
-                       forecast(F.col("btr.st"), F.col("btr.g"), F.col("h")).alias("yhat"))
-    fut = best.filter(F.col("ball.st").isNotNull()).select(
-        "item_id", F.lit("future").alias("phase"), "ball", "t_last",
-        F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
-    fut = fut.select("item_id", "phase", (F.col("t_last") + F.col("h")).alias("t"),
-                     forecast(F.col("ball.st"), F.col("ball.g"), F.col("h")).alias("yhat"))
-    out = test.unionByName(fut)
+    best = _search_sql(_fit_inputs(split, n_test, horizon), grid)
+    out = best.select("item_id", "phase", "t_end", "b", F.explode(F.sequence(F.lit(1), F.col("steps"))).alias("h"))
+    out = out.select("item_id", "phase", (F.col("t_end") + F.col("h")).alias("t"),
+                     forecast(F.col("b.st"), F.col("b.g"), F.col("h")).alias("yhat"))
     return out.select("item_id", F.lit(MODEL).alias("model"), "phase", "t",
                       month_start_of_index(F.col("t")).alias("ds"), "yhat")
 
 
-def best_params(split: DataFrame, grid: Column | None = None) -> DataFrame:
-    """Best grid point and SSE on the training months, per item (for inspection)."""
-    grid = grid if grid is not None else param_grid()
-    arr = series_arrays(split).withColumn("y_train", F.slice("y_all", 1, F.col("n_train")))
-    arr = arr.filter((F.col("n_train") >= 2 * SEASON) & (F.col("min_train") > 0))
-    fits = arr.select("item_id", F.explode(grid).alias("g"), "y_train").select(
-        "item_id", "g", fit(F.col("y_train"), F.col("g")).alias("st"))
-    best = fits.groupBy("item_id").agg(F.min_by(F.struct("g", "st"), F.col("st.sse")).alias("b"))
-    return best.select("item_id", "b.g.alpha", "b.g.beta", "b.g.gamma", "b.g.phi",
+def _fit_inputs(split: DataFrame, n_test: int, horizon: int) -> DataFrame:
+    """One row per (item, phase): the values to fit, last fitted month, steps."""
+    arr = series_arrays(split)
+    test = arr.filter((F.col("n_train") >= 2 * SEASON) & (F.col("min_train") > 0)).select(
+        "item_id", F.lit("test").alias("phase"), F.slice("y_all", 1, F.col("n_train")).alias("y"),
+        (F.col("t_last") - F.lit(n_test)).alias("t_end"), F.lit(n_test).alias("steps"))
+    fut = arr.filter((F.col("n") >= 2 * SEASON) & (F.col("min_all") > 0)).select(
+        "item_id", F.lit("future").alias("phase"), F.col("y_all").alias("y"), F.col("t_last").alias("t_end"),
+        F.lit(horizon).alias("steps"))
+    return test.unionByName(fut)
+
+
+def refine_grid(g: Column) -> Column:
+    """The 81 refinement points around grid point ``g`` (array of structs)."""
+    offs = [F.struct(*[F.lit(float(o) * st).alias(p) for o, st, p in zip(combo, REFINE_STEPS, PARAMS)])
+            for combo in itertools.product([-1, 0, 1], repeat=4)]
+
+    def point(o):
+        return F.struct(*[F.least(F.lit(hi), F.greatest(F.lit(lo), g[p] + o[p])).alias(p)
+                          for p, lo, hi in zip(PARAMS, REFINE_LOW, REFINE_HIGH)])
+    return F.transform(F.array(*offs), point)
+
+
+def _best_of(rows: DataFrame, grid: Column) -> DataFrame:
+    pts = rows.select("item_id", "phase", "y", F.explode(grid).alias("g"))
+    fits = pts.select("item_id", "phase", "g", fit(F.col("y"), F.col("g")).alias("st"))
+    return fits.groupBy("item_id", "phase").agg(F.min_by(F.struct("g", "st"), F.col("st.sse")).alias("b"))
+
+
+def _search_sql(rows: DataFrame, grid: Column | None = None) -> DataFrame:
+    """Coarse grid, then the refinement grid around each winner (SQL fold)."""
+    coarse = _best_of(rows, grid if grid is not None else param_grid())
+    again = rows.join(coarse.select("item_id", "phase", F.col("b.g").alias("g0")), ["item_id", "phase"])
+    fine = _best_of(again.withColumn("g2", refine_grid(F.col("g0"))), F.col("g2"))
+    return rows.select("item_id", "phase", "t_end", "steps").join(fine, ["item_id", "phase"])
+
+
+def best_params(split: DataFrame, n_test: int = N_TEST, horizon: int = HORIZON) -> DataFrame:
+    """Chosen parameters, SSE, level and trend per item and phase (inspection)."""
+    best = _search_sql(_fit_inputs(split, n_test, horizon))
+    return best.select("item_id", "phase", "b.g.alpha", "b.g.beta", "b.g.gamma", "b.g.phi",
                        F.col("b.st.sse").alias("sse"), F.col("b.st.l").alias("level"), F.col("b.st.b").alias("trend"))
 
 
@@ -164,17 +180,21 @@ def grid_points():
 def _fit_batch(Y, L, grid):
     """Fit every grid point on every row of Y (rows padded, lengths L).
 
+    ``grid`` is (G, 4) for a shared grid or (rows, G, 4) for one per row.
     Returns level, trend, seasonal ring (6 arrays) and SSE, each (rows, G).
     """
     import numpy as np
-    A, B, G, P = (grid[:, k][None, :] for k in range(4))
     rows = Y.shape[0]
+    if grid.ndim == 2:  # one grid for every row
+        grid = np.broadcast_to(grid, (rows,) + grid.shape)
+    A, B, G, P = (grid[:, :, k] for k in range(4))
+    width = grid.shape[1]
     l0 = Y[:, :SEASON].mean(axis=1)
     l1 = Y[:, SEASON:2 * SEASON].mean(axis=1)
-    lev = np.repeat(l0[:, None], grid.shape[0], axis=1)
-    tr = np.repeat(((l1 - l0) / 6.0)[:, None], grid.shape[0], axis=1)
-    ring = [np.repeat((Y[:, j] / l0)[:, None], grid.shape[0], axis=1) for j in range(SEASON)]
-    sse = np.zeros((rows, grid.shape[0]))
+    lev = np.repeat(l0[:, None], width, axis=1)
+    tr = np.repeat(((l1 - l0) / 6.0)[:, None], width, axis=1)
+    ring = [np.repeat((Y[:, j] / l0)[:, None], width, axis=1) for j in range(SEASON)]
+    sse = np.zeros((rows, width))
     with np.errstate(all="ignore"):
         for i in range(SEASON, int(L.max())):
             act = (i < L)[:, None]
@@ -192,20 +212,36 @@ def _fit_batch(Y, L, grid):
     return lev, tr, ring, sse
 
 
-def _forecast_batch(Y, L, grid, steps):
-    """Best grid point per row (min SSE) and its ``steps``-ahead forecasts."""
+def _best_batch(Y, L, grid):
+    """Best grid point per row: its parameters and fitted state."""
     import numpy as np
     lev, tr, ring, sse = _fit_batch(Y, L, grid)
     best = np.argmin(np.where(np.isnan(sse), np.inf, sse), axis=1)
     r = np.arange(Y.shape[0])
-    phi = grid[best, 3]
+    params = grid[best] if grid.ndim == 2 else grid[r, best]
+    return params, lev[r, best], tr[r, best], [ring[j][r, best] for j in range(SEASON)]
+
+
+def _refine_batch(params):
+    """(rows, 4) winners -> (rows, 81, 4) refinement grids, clipped."""
+    import numpy as np
+    offs = np.array(list(itertools.product([-1, 0, 1], repeat=4)), dtype=float) * np.array(REFINE_STEPS)
+    return np.clip(params[:, None, :] + offs[None, :, :], np.array(REFINE_LOW), np.array(REFINE_HIGH))
+
+
+def _forecast_batch(Y, L, grid, steps):
+    """Coarse search, refinement around the winner, ``steps``-ahead forecasts."""
+    import numpy as np
+    params, _, _, _ = _best_batch(Y, L, grid)
+    params, lev, tr, ring = _best_batch(Y, L, _refine_batch(params))
+    phi = params[:, 3]
     out = np.empty((Y.shape[0], steps))
     with np.errstate(all="ignore"):
         for h in range(1, steps + 1):
             damp = phi * (1.0 - phi ** h) / (1.0 - phi)
             slot = (L + h - 1) % SEASON
-            season = np.choose(slot, [ring[j][r, best] for j in range(SEASON)])
-            out[:, h - 1] = (lev[r, best] + damp * tr[r, best]) * season
+            season = np.choose(slot, ring)
+            out[:, h - 1] = (lev + damp * tr) * season
     return out
 
 

@@ -610,6 +610,19 @@ def _hw_sql() -> str:
     f = "(l + phi * b)"
     y = "ys[i + 1]"
     nl = f"(alpha * {y} / s[1] + (1.0 - alpha) * {f})"
+    step = f"""SELECT item_id, phase, ys, len_fit, t_end, steps, alpha, beta, gamma, phi, i + 1,
+         {nl},
+         beta * ({nl} - l) + (1.0 - beta) * phi * b,
+         list_concat(s[2:6], [gamma * {y} / {f} + (1.0 - gamma) * s[1]]),
+         sse + ({y} - {f} * s[1]) * ({y} - {f} * s[1])
+  FROM {{rec}} WHERE i < len_fit"""
+    step_rec, step_rec2 = step.format(rec="hw_rec"), step.format(rec="hw_rec2")
+
+    def clip(p, k):
+        return (f"least(CAST({hw.REFINE_HIGH[k]!r} AS DOUBLE), "
+                f"greatest(CAST({hw.REFINE_LOW[k]!r} AS DOUBLE), g0.{p} + d_{p}))")
+    clip_a, clip_b, clip_g, clip_p = (clip(p, k) for k, p in enumerate(hw.PARAMS))
+    offs = ", ".join(_dbl_values(f"d_{p}", [-st, 0.0, st]) for p, st in zip(hw.PARAMS, hw.REFINE_STEPS))
     return f""",
 hw_in AS (
   SELECT item_id, list(y ORDER BY t) AS ys, COUNT(*) AS n, SUM(CASE WHEN is_test THEN 0 ELSE 1 END) AS n_train,
@@ -628,16 +641,27 @@ hw_rec AS (
          l0 AS l, (l1 - l0) / 6.0 AS b, {s0} AS s, CAST(0.0 AS DOUBLE) AS sse
   FROM (SELECT *, {l0} AS l0, {l1} AS l1 FROM hw_fit) f, hw_grid
   UNION ALL
-  SELECT item_id, phase, ys, len_fit, t_end, steps, alpha, beta, gamma, phi, i + 1,
-         {nl},
-         beta * ({nl} - l) + (1.0 - beta) * phi * b,
-         list_concat(s[2:6], [gamma * {y} / {f} + (1.0 - gamma) * s[1]]),
-         sse + ({y} - {f} * s[1]) * ({y} - {f} * s[1])
-  FROM hw_rec WHERE i < len_fit),
+  {step_rec}),
+hw_best1 AS (
+  SELECT item_id, phase,
+         arg_min(struct_pack(alpha := alpha, beta := beta, gamma := gamma, phi := phi),
+                 CASE WHEN isnan(sse) THEN 'inf'::DOUBLE ELSE sse END) AS g0
+  FROM hw_rec WHERE i = len_fit GROUP BY item_id, phase),
+hw_grid2 AS (
+  SELECT item_id, phase,
+         {clip_a} AS alpha, {clip_b} AS beta, {clip_g} AS gamma, {clip_p} AS phi
+  FROM hw_best1, {offs}),
+hw_rec2 AS (
+  SELECT f.item_id, f.phase, ys, len_fit, t_end, steps, alpha, beta, gamma, phi, 6 AS i,
+         l0 AS l, (l1 - l0) / 6.0 AS b, {s0} AS s, CAST(0.0 AS DOUBLE) AS sse
+  FROM (SELECT *, {l0} AS l0, {l1} AS l1 FROM hw_fit) f
+  JOIN hw_grid2 g ON f.item_id = g.item_id AND f.phase = g.phase
+  UNION ALL
+  {step_rec2}),
 hw_best AS (
   SELECT item_id, phase, t_end, steps,
          arg_min(struct_pack(l := l, b := b, s := s, phi := phi), CASE WHEN isnan(sse) THEN 'inf'::DOUBLE ELSE sse END) AS st
-  FROM hw_rec WHERE i = len_fit GROUP BY item_id, phase, t_end, steps),
+  FROM hw_rec2 WHERE i = len_fit GROUP BY item_id, phase, t_end, steps),
 hw_pred AS (
   SELECT item_id, 'HWExSmooth' AS model, phase, t_end + h AS t,
          make_date(CAST(floor((t_end + h - 1) / 12) AS BIGINT), CAST(t_end + h - floor((t_end + h - 1) / 12) * 12 AS BIGINT), 1) AS ds,
