@@ -134,3 +134,23 @@ def test_worklist_stream_forecasts_each_file(spark):
     again = forecast_store.read_forecasts(spark, store)
     assert again.count() == 5
     assert sorted(r.mape_min or -1 for r in again.collect()) == sorted(r.mape_min or -1 for r in got.collect())
+
+
+def test_upsert_rewrites_only_touched_months(spark):
+    import glob
+    cells, cutoff = _cells(spark)
+    rec = forecast_job.forecast_record(cells, _worklist(spark, cutoff), models="hwexsmooth").drop("item_id").cache()
+    path = scratch_path(spark, "store-months")
+    jan = rec.withColumn("last_trainmy", F.lit("2021-01"))
+    feb = rec.withColumn("last_trainmy", F.lit("2021-02"))
+    forecast_store.upsert_forecast(spark, jan, path)
+    forecast_store.upsert_forecast(spark, feb, path)
+    forecast_store.upsert_forecast(spark, feb.withColumn("mape_min", F.lit(2.0))
+                                   .withColumn("last_update", F.col("last_update") + F.expr("INTERVAL 1 MINUTE")), path)
+    local = path.replace("file:", "")
+    months = sorted(p.split("last_trainmy=")[1].split("/")[0] for p in glob.glob(local + "/last_trainmy=*/version=*"))
+    assert months == ["2021-01", "2021-02", "2021-02"]  # January written once
+    got = forecast_store.read_forecasts(spark, path)
+    assert got.count() == 10
+    assert {r.mape_min for r in got.filter("last_trainmy = '2021-02'").collect()} == {2.0}
+    assert 2.0 not in {r.mape_min for r in got.filter("last_trainmy = '2021-01'").collect()}
