@@ -48,17 +48,18 @@ def _cells(spark, sf):
     return facts.cells(_wh(spark, sf), AS_OF)
 
 
-def _worklist(spark, sf, cutoff=CUTOFF):
-    return W.worklist(_cells(spark, sf), cutoff)
+def _worklist(spark, sf, cutoff=CUTOFF, cells=None):
+    return W.worklist(cells if cells is not None else _cells(spark, sf), cutoff)
 
 
-def _items(spark, sf, cutoff=CUTOFF):
-    wl = _worklist(spark, sf, cutoff)
+def _items(spark, sf, cutoff=CUTOFF, cells=None):
+    wl = _worklist(spark, sf, cutoff, cells)
     return wl.withColumn("item_id", F.col("row_idx"))
 
 
 def _raw(spark, sf, cutoff=CUTOFF):
-    return S.hierarchy_expand(_cells(spark, sf), _items(spark, sf, cutoff))
+    cells = _cells(spark, sf)  # one fact pass feeds both the work list and the series
+    return S.hierarchy_expand(cells, _items(spark, sf, cutoff, cells))
 
 
 def _split(spark, sf):
@@ -756,7 +757,8 @@ def _record_view(rec):
 
 def _record(spark, sf, models="hwexsmooth", with_json=False):
     from . import forecast_job
-    return forecast_job.forecast_record(_cells(spark, sf), _worklist(spark, sf), models=models, with_json=with_json)
+    cells = _cells(spark, sf)
+    return forecast_job.forecast_record(cells, _worklist(spark, sf, cells=cells), models=models, with_json=with_json)
 
 
 def q_holt_winters_grid(spark, sf):
@@ -892,7 +894,7 @@ def q_worklist_stream_forecast(spark, sf):
     from ..streaming.worklist_stream import start_forecast_stream
     cells = _cells(spark, sf)
     wl_dir = scratch_path(spark, "stream-worklist")
-    worklist_io.write_worklist_csv(W.split_sequential(_worklist(spark, sf)), wl_dir)
+    worklist_io.write_worklist_csv(W.split_sequential(_worklist(spark, sf, cells=cells)), wl_dir)
     store = scratch_path(spark, "stream-store")
     q = start_forecast_stream(spark, wl_dir, lambda: cells, store, models="hwexsmooth")
     q.awaitTermination()
