@@ -112,6 +112,15 @@ def cutoff_filter(df: DataFrame, cutoff: str) -> DataFrame:
     return df.filter(F.col("month_year") <= F.lit(cutoff))
 
 
+def all_month_cells(wh: Warehouse, amount_scale: int = 2) -> DataFrame:
+    """Both channels summed to cells for every month (one pass over the lines)."""
+    dec = f"decimal(18,{amount_scale})"
+    lines = union_channels(wh).select("debtorcode", "category", "projno", "amount",
+                                      dates.month_key(F.col("docdate")).alias("month_year"))
+    return (lines.groupBy("month_year", "debtorcode", "category", "projno")
+            .agg(F.sum(F.col("amount").cast(dec)).cast("double").alias("y")))
+
+
 def cells(wh: Warehouse, as_of=None, amount_scale: int = 2, lookback: int = ACTIVE_LOOKBACK_MONTHS,
           checkpoint: bool = True) -> DataFrame:
     """Facts summed to cells: the same result as ``sum_by_cell(sales_fact(...))``.
@@ -123,11 +132,7 @@ def cells(wh: Warehouse, as_of=None, amount_scale: int = 2, lookback: int = ACTI
     the window's month", since the window starts on a month start; cells
     are grouped by customer, so the semi join on customer is unchanged.
     """
-    dec = f"decimal(18,{amount_scale})"
-    lines = union_channels(wh).select("debtorcode", "category", "projno", "amount",
-                                      dates.month_key(F.col("docdate")).alias("month_year"))
-    every = (lines.groupBy("month_year", "debtorcode", "category", "projno")
-             .agg(F.sum(F.col("amount").cast(dec)).cast("double").alias("y")))
+    every = all_month_cells(wh, amount_scale)
     if checkpoint:
         from ..session import cut_lineage
         every = cut_lineage(every)

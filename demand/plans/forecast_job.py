@@ -90,12 +90,17 @@ def score(split: DataFrame, models: str | list[str] = DEFAULT_MODELS, n_test: in
     actuals = usable.filter("is_test").select("item_id", "t", "y")
     baseline_metrics = M.error_metrics(actuals, base)          # before clipping (quirk Q5)
     preds = M.clip_predictions(raw_preds, caps)
+    if checkpoint:
+        # read by metrics, model_ok, selection, the first forecast and the JSON documents
+        preds = cut_lineage(preds)
     model_metrics = M.error_metrics(actuals, preds.filter(F.col("model") != BASELINE))
     ok = M.model_ok(model_metrics, preds, horizon)
     model_metrics = model_metrics.join(ok, ["item_id", "model"]).withColumn(
         "mape", F.when(F.col("model_ok") == 1, F.col("mape"))).withColumn(
         "mae", F.when(F.col("model_ok") == 1, F.col("mae"))).withColumn(
         "maape", F.when(F.col("model_ok") == 1, F.col("maape"))).drop("model_ok")
+    if checkpoint:
+        model_metrics, baseline_metrics = cut_lineage(model_metrics), cut_lineage(baseline_metrics)
     return preds, model_metrics, baseline_metrics, caps
 
 

@@ -154,3 +154,19 @@ def test_upsert_rewrites_only_touched_months(spark):
     assert got.count() == 10
     assert {r.mape_min for r in got.filter("last_trainmy = '2021-02'").collect()} == {2.0}
     assert 2.0 not in {r.mape_min for r in got.filter("last_trainmy = '2021-01'").collect()}
+
+
+def test_hot_keys_are_combined_map_side(spark):
+    """Cells and per-level sums aggregate partially before any shuffle."""
+    from demand.operators import facts, series as S
+    from demand.sources.testdata import TESTDATA_AS_OF, warehouse_from_testdata
+    wh = warehouse_from_testdata(spark, "/root/testdata/sf0.001")
+    plan = _plan(facts.sum_by_cell(facts.sales_fact(wh, TESTDATA_AS_OF)))
+    assert "partial_sum" in plan
+    cells, cutoff = _cells(spark)
+    wl = _worklist(spark, cutoff).withColumn("item_id", F.col("row_idx"))
+    plan = _plan(S.level_month_sums(cells))
+    assert "partial_sum" in plan and "Generate" in plan
+    plan = _plan(S.hierarchy_expand(cells, wl))
+    # the per-level sums are aggregated before they meet the work list
+    assert plan.index("partial_sum") > plan.index("Join")
