@@ -6,10 +6,11 @@ into one task. Instead: range-partition and sort by the order keys, take
 inside the partition in the lower 33), count rows per partition, and add the
 running count of earlier partitions. The per-partition count table has one
 row per partition, so broadcasting it is bounded by the partition count, not
-by the data. The input is checkpointed first: the upstream plan runs once
-(not once for the range sampling and again for the rows), and the range
-partitioning of a fixed input is deterministic, so the counts and the rows
-agree even when a lost executor's tasks are re-run.
+by the data. The input is checkpointed first, so the upstream plan runs
+once (not once for the range sampling and again for the rows); the sorted
+rows with their ids are checkpointed too, so the per-partition counts and
+the rows come from the same materialised partitions, also when a lost
+executor's tasks are re-run.
 """
 
 from __future__ import annotations
@@ -33,6 +34,10 @@ def dense_row_index(df: DataFrame, order_cols: list, name: str = "row_idx", star
     ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
               else df.repartitionByRange(*order_cols))
     ordered = ranged.sortWithinPartitions(*order_cols).withColumn("_mid", F.monotonically_increasing_id())
+    # the ids are materialised once: the count branch and the row branch must
+    # see the same partitions (adaptive execution may coalesce two separate
+    # evaluations of the range shuffle differently)
+    ordered = cut_lineage(ordered)
     pos = ordered.select(
         "*",
         F.shiftright(F.col("_mid"), 33).alias("_pid"),

@@ -115,3 +115,12 @@ def test_dense_row_index_matches_sort(spark):
     from demand.operators.indexing import dense_row_index
     out = dense_row_index(df, ["k"], num_partitions=7).collect()
     assert sorted((r.row_idx, r.k) for r in out) == [(i, i) for i in range(1000)]
+
+
+def test_worklist_numbering_is_dense_on_real_tables(spark):
+    """Regression: counts and rows of the numbering must see the same partitions."""
+    from demand.sources.testdata import TESTDATA_AS_OF, TESTDATA_CUTOFF, warehouse_from_testdata
+    cells = facts.cells(warehouse_from_testdata(spark, "/root/testdata/sf0.01"), TESTDATA_AS_OF)
+    for _ in range(2):
+        ids = sorted(r.row_idx for r in W.worklist(cells, TESTDATA_CUTOFF).collect())
+        assert ids == list(range(206))
