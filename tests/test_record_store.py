@@ -170,3 +170,27 @@ def test_hot_keys_are_combined_map_side(spark):
     plan = _plan(S.hierarchy_expand(cells, wl))
     # the per-level sums are aggregated before they meet the work list
     assert plan.index("partial_sum") > plan.index("Join")
+
+
+def test_prepare_then_forecast_end_to_end(spark):
+    """Warehouse -> work-list CSV halves -> read back -> forecast -> store (sf0.001)."""
+    from demand.operators import facts
+    from demand.plans import prepare_job
+    from demand.sources.testdata import TESTDATA_AS_OF, warehouse_from_testdata
+    wh = warehouse_from_testdata(spark, "/root/testdata/sf0.001")
+    out = scratch_path(spark, "prepare-e2e")
+    wl = prepare_job.run(wh, out, as_of=TESTDATA_AS_OF)
+    assert wl.count() == 35 and {r.part for r in wl.collect()} == {1, 2}
+    back = worklist_io.read_worklist_csv(spark, out)
+    assert back.count() == 35 and back.filter("part = 1").count() == 17
+    store = scratch_path(spark, "prepare-e2e-store")
+    cells = facts.cells(wh, TESTDATA_AS_OF)
+    forecast_job.run(cells, back.filter("part = 1").drop("part"), store, models="hwexsmooth")
+    forecast_job.run(cells, back.drop("part"), store, models="hwexsmooth")  # second half only is new
+    got = forecast_store.read_forecasts(spark, store)
+    assert got.count() == 35
+    assert got.filter("status = 'ok'").count() == 35
+    # a forced month later than the last closed month is refused
+    import pytest
+    with pytest.raises(ValueError):
+        prepare_job.build_worklist(wh, TESTDATA_AS_OF, month="2001-08")
