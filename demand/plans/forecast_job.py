@@ -152,10 +152,13 @@ def run(cells: DataFrame, worklist: DataFrame, store_path: str, models: str | li
 
     Items whose (customer, category, month, channel) is already in the store
     are skipped (J4), so a re-run after a failure only does the remainder;
-    the upsert writes the next store version. Returns that version.
+    the upsert writes the next store version. Returns that version (the
+    current one when every item is already stored).
     """
     from ..sources import forecast_store
     spark = cells.sparkSession
     done = forecast_store.stored_keys(spark, store_path)
+    if items_from_worklist(worklist, done).isEmpty():  # everything is stored already
+        return forecast_store.latest_version(spark, store_path)
     rec = forecast_record(cells, worklist, done, models, n_test, horizon, channel_scoped, **model_kw)
     return forecast_store.upsert_forecast(spark, rec.drop("item_id"), store_path)
