@@ -197,7 +197,7 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "e
         salts = index.groupBy("tree", "leaf").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / block_rows)).cast("int").alias("salts"))
         dealt = (index.join(salts, ["tree", "leaf"])
                  .select("tree", "leaf", F.pmod(F.xxhash64("part"), F.col("salts")).cast("int").alias("salt"),
-                         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("int").alias("block"), "ids", "vectors"))
+                         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "ids", "vectors"))
 
         def rerank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if left.empty or right.empty:
