@@ -32,6 +32,29 @@ def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations")).withColumn("spans", chat.spans_text(F.col("spans")))
 
 
+def op1_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand.llm import packing
+    from demand.llm.tokenizing import tokenizer_path
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand.llm import decontaminate
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.digest(decontaminate.mark(docs, table(spark, sf_dir, "benchmark")))
+
+
+def op9_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand.llm import repair
+    from demand.llm.tokenizing import tokenizer_path
+    return repair.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2, base=50257)
+
+
+def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand.llm import hmm
+    return hmm.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
 OP4_SQL = f"""
 WITH r(host, path, verdict) AS ({_rules_sql()}),
 u AS (SELECT page_id, CASE WHEN url IS NOT NULL AND strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
@@ -64,12 +87,36 @@ SELECT conv_id, perspective, chunk, count(*) AS n_messages,
 FROM o GROUP BY conv_id, perspective, chunk
 """
 
+# Words end at every byte that is no digit, letter or part of a non-ASCII character; as characters, that is U+0080 and up.
+OP8_SQL = """
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, list_slice(w, i, i + least(len(w), 10) - 1) AS p
+       FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS p
+       FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d) CROSS JOIN sizes WHERE i + n - 1 <= len(w)),
+occ AS (SELECT dw.doc_id, dw.i, dw.n, bw.item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.p = bw.p),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM occ) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM occ) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
 QUERIES = {
+    "op1_swap_packing": op1_swap_packing,
     "op2_rp_forest": op2_rp_forest,
     "op4_url_sweep": op4_url_sweep,
     "op6_perspectives": op6_perspectives,
+    "op8_fm_index": op8_fm_index,
+    "op9_repair": op9_repair,
+    "op10_hmm": op10_hmm,
 }
-ORACLES = {"op4_url_sweep": OP4_SQL, "op6_perspectives": OP6_SQL}
+ORACLES = {"op4_url_sweep": OP4_SQL, "op6_perspectives": OP6_SQL, "op8_fm_index": OP8_SQL}
 
 
 def queries():
