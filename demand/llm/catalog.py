@@ -38,6 +38,11 @@ def op1_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op7_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand.llm import ngram_join
+    return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demand.llm import decontaminate
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -112,6 +117,7 @@ QUERIES = {
     "op2_rp_forest": op2_rp_forest,
     "op4_url_sweep": op4_url_sweep,
     "op6_perspectives": op6_perspectives,
+    "op7_partenum": op7_partenum,
     "op8_fm_index": op8_fm_index,
     "op9_repair": op9_repair,
     "op10_hmm": op10_hmm,
