@@ -27,6 +27,11 @@ def op4_url_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand.llm import suffix_dedup
+    return suffix_dedup.removed(table(spark, sf_dir, "documents"))
+
+
 def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demand.llm import chat
     return chat.rotate(table(spark, sf_dir, "conversations")).withColumn("spans", chat.spans_text(F.col("spans")))
@@ -116,6 +121,7 @@ QUERIES = {
     "op1_swap_packing": op1_swap_packing,
     "op2_rp_forest": op2_rp_forest,
     "op4_url_sweep": op4_url_sweep,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_perspectives": op6_perspectives,
     "op7_partenum": op7_partenum,
     "op8_fm_index": op8_fm_index,
