@@ -1,8 +1,8 @@
 """Approximate nearest neighbours: a forest of random-projection trees with one shared priority queue.
 
 *Fit*: each tree splits a bounded sample (``sample_rows`` rows, the smallest hashes of vec_id) at the median of
-the widest of ``directions`` random projections, down to leaves that hold about ``leaf_rows`` rows of the
-whole table. *Index*: every row is routed through every tree; rows of one (tree, leaf) and task are packed in one
+the widest of ``directions`` random projections, down to ``leaves`` equal
+leaves, as many at any size, so what a query's leaves return grows with the queries only. *Index*: every row is routed through every tree; rows of one (tree, leaf) and task are packed in one
 blob. *Search*: a query walks all trees with one heap ordered by the summed squared margins of the splits it
 left on the far side, and takes leaves until they hold ``inspect_share`` of all rows (rows met in two trees count
 twice). *Rerank*: leaf blocks and their queries meet by (tree, leaf); exact double-precision distances are
@@ -78,7 +78,7 @@ def _grow(sample: np.ndarray, leaf: int, directions: int, rng) -> dict:
             "right": np.array(right, int), "root": root, "leaves": leaves}
 
 
-def fit_forest(vectors: DataFrame, trees: int = 8, leaf_rows: int = 256, sample_rows: int = 32768,
+def fit_forest(vectors: DataFrame, trees: int = 8, leaves: int = 64, sample_rows: int = 32768,
                directions: int = 16, seed: int = 7) -> tuple[list[dict], int, int]:
     """(trees, dimension, number of usable rows); fitted on at most ``sample_rows`` rows."""
     total = vectors.count()
@@ -87,7 +87,7 @@ def fit_forest(vectors: DataFrame, trees: int = 8, leaf_rows: int = 256, sample_
         return [], 0, 0
     dim = int(pd.Series([len(v) for v in sample]).mode()[0])
     data = np.array([v for v in sample if len(v) == dim], dtype=np.float64)
-    leaf = max(4, int(leaf_rows * len(data) / total))
+    leaf = max(4, -(-len(data) // leaves))
     rng = np.random.default_rng(seed)
     return [_grow(data, leaf, directions, rng) for _ in range(trees)], dim, total
 
@@ -180,11 +180,11 @@ def nearest_in(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries
 
 
 def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, trees: int = 8,
-           leaf_rows: int = 256, sample_rows: int = 32768, inspect_share: float = 0.8, block_rows: int = 8192,
+           leaves: int = 64, sample_rows: int = 32768, inspect_share: float = 1.0, block_rows: int = 8192,
            query_block: int = 4096) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found rows of each row for which ``is_query(id column)`` holds."""
     vectors = usable(df, id_col, vector_col)
-    forest, dim, total = fit_forest(vectors, trees, leaf_rows, sample_rows)
+    forest, dim, total = fit_forest(vectors, trees, leaves, sample_rows)
     found = df.sparkSession.createDataFrame([], FOUND)
     if forest:
         index = written(index_rows(vectors, forest, dim), "ann-index")
