@@ -21,6 +21,17 @@ def op2_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
 
 
+def held_out_language(doc_id):
+    """True for the documents that language ID never learns from."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
+
+
+def op3_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand.llm import lang_crf
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out_language(F.col("doc_id")))
+    return lang_crf.identify(docs, ~F.col("held_out")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op4_url_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demand.llm import url_filter
     rules = spark.sql(f"SELECT * FROM {_rules_sql()} AS r(host, path, verdict)")
@@ -120,6 +131,7 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 QUERIES = {
     "op1_swap_packing": op1_swap_packing,
     "op2_rp_forest": op2_rp_forest,
+    "op3_crf_language": op3_crf_language,
     "op4_url_sweep": op4_url_sweep,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_perspectives": op6_perspectives,

@@ -286,7 +286,7 @@ def _verify(key, left, right):
 
 
 def join(docs: DataFrame, n2: int = 2, k2: int = 1, slot_classes: int = 1500) -> DataFrame:
-    """(doc_id, n_shingles, cls, component_id) of every document."""
+    """(doc_id, n_shingles, tkey, component, component_id) of every document; tkey is a hash of its text."""
     docs = texts(docs).withColumn("tkey", F.xxhash64("text"))
     buckets = bucket_count(text_bytes(docs))
     common, weight = frequent_shingles(docs)
@@ -328,4 +328,17 @@ def join(docs: DataFrame, n2: int = 2, k2: int = 1, slot_classes: int = 1500) ->
     smallest = placed.where("cls >= 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return (placed.where("cls >= 0").join(smallest, "component")
             .unionByName(placed.where("cls < 0").withColumn("component_id", F.col("doc_id")))
-            .select("doc_id", "n_shingles", "cls", "component_id"))
+            .select("doc_id", "n_shingles", "tkey", "component", "component_id"))
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one document of each component (the smallest non-null doc_id); those with empty sets all stay."""
+    found = join(docs, **options)
+    key = {"__null": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0))}
+    named = found.withColumns(key)
+    first = (named.where("n_shingles > 0").groupBy("component").agg(F.min(F.struct("__null", "__id", "tkey")).alias("x"))
+             .select("x.*").withColumnRenamed("tkey", "__tkey"))
+    rows = docs.withColumns(key).withColumn("__tkey", F.xxhash64(F.coalesce("text", F.lit(""))))
+    kept = rows.join(first, ["__null", "__id", "__tkey"], "left_semi").dropDuplicates(["__null", "__id", "__tkey"])
+    empty = rows.where(F.coalesce(~F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(True)))
+    return kept.unionByName(empty).select(*docs.columns)
