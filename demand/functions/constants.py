@@ -28,6 +28,8 @@ CAP_MULTIPLE = 5
 TREND_BAND = 0.1
 # Lags used by the boosted model.
 N_LAGS = 6
+# Digits after the point that sums of amounts keep.
+AMOUNT_SCALE = 6
 # Default work-list items, in output order.
 DEFAULT_ITEMS = [("All", "All", "All"), ("All", "All", "UL"), ("All", "All", "AC")]
 # --- end of fixed values ----------------------------------------------------

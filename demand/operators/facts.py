@@ -17,7 +17,9 @@ Plan shape (what Catalyst makes of it):
 * cells = GROUP BY month, customer, category, channel with partial
   (map-side) aggregation, so a hot customer or category never reaches one
   reducer as raw lines. Sums run in DECIMAL so they are exact and
-  independent of partitioning; the result is cast to DOUBLE. ``cells``
+  independent of partitioning: amounts keep the source's own decimal type (or, from
+  floating-point sources, ``AMOUNT_SCALE`` digits) until they are summed, and the sum is
+  cast to DOUBLE last. ``cells``
   joins the lines once: all months are summed, checkpointed, and both the
   activity set and the closed months are read from the (much smaller) cells.
 """
@@ -28,7 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..functions.constants import ACTIVE_LOOKBACK_MONTHS, CHANNEL_DENORM, CHANNEL_JOINED, NORMAL_INVOICE
+from ..functions.constants import (ACTIVE_LOOKBACK_MONTHS, AMOUNT_SCALE, CHANNEL_DENORM, CHANNEL_JOINED,
+                                   NORMAL_INVOICE)
 from ..sources.warehouse import Warehouse
 
 def filter_valid_lines(lines: DataFrame) -> DataFrame:
@@ -99,11 +102,19 @@ def sales_fact(wh: Warehouse, as_of=None, lookback: int = ACTIVE_LOOKBACK_MONTHS
         dates.month_key(F.col("docdate")).alias("month_year"))
 
 
-def sum_by_cell(facts: DataFrame, amount_scale: int = 2) -> DataFrame:
+def exact_sum(df: DataFrame, amount: str, amount_scale: int = AMOUNT_SCALE) -> Column:
+    """Sum first, cast last: in the column's own decimal type, else in ``amount_scale`` digits."""
+    from pyspark.sql.types import DecimalType
+    c = F.col(amount)
+    if not isinstance(df.schema[amount].dataType, DecimalType):
+        c = c.cast(f"decimal(28,{amount_scale})")
+    return F.sum(c)
+
+
+def sum_by_cell(facts: DataFrame, amount_scale: int = AMOUNT_SCALE) -> DataFrame:
     """A1/S3: one row per (customer, category, channel, month); exact decimal sum."""
-    dec = f"decimal(18,{amount_scale})"
     return (facts.groupBy("month_year", "debtorcode", "category", "projno")
-            .agg(F.sum(F.col("y").cast(dec)).cast("double").alias("y"))
+            .agg(exact_sum(facts, "y", amount_scale).cast("double").alias("y"))
             .select("debtorcode", "category", "projno", "y", "month_year"))
 
 
@@ -112,16 +123,15 @@ def cutoff_filter(df: DataFrame, cutoff: str) -> DataFrame:
     return df.filter(F.col("month_year") <= F.lit(cutoff))
 
 
-def all_month_cells(wh: Warehouse, amount_scale: int = 2) -> DataFrame:
+def all_month_cells(wh: Warehouse, amount_scale: int = AMOUNT_SCALE) -> DataFrame:
     """Both channels summed to cells for every month (one pass over the lines)."""
-    dec = f"decimal(18,{amount_scale})"
     lines = union_channels(wh).select("debtorcode", "category", "projno", "amount",
                                       dates.month_key(F.col("docdate")).alias("month_year"))
     return (lines.groupBy("month_year", "debtorcode", "category", "projno")
-            .agg(F.sum(F.col("amount").cast(dec)).cast("double").alias("y")))
+            .agg(exact_sum(lines, "amount", amount_scale).cast("double").alias("y")))
 
 
-def cells(wh: Warehouse, as_of=None, amount_scale: int = 2, lookback: int = ACTIVE_LOOKBACK_MONTHS,
+def cells(wh: Warehouse, as_of=None, amount_scale: int = AMOUNT_SCALE, lookback: int = ACTIVE_LOOKBACK_MONTHS,
           checkpoint: bool = True) -> DataFrame:
     """Facts summed to cells: the same result as ``sum_by_cell(sales_fact(...))``.
 

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 
 @dataclass(frozen=True)
@@ -28,22 +29,23 @@ class Warehouse:
     channel2: DataFrame
 
 
-# Source column -> canonical column, per table (the original warehouse names).
+# --- fixed values: source column -> canonical column, per table (the original warehouse names) ---
 HEADER_COLUMNS = {"DocKey": "dockey", "DocDate": "docdate", "DebtorCode": "debtorcode"}
 LINE_COLUMNS = {"DocKey": "dockey", "ItemCode": "itemcode", "TaxCurrencyTaxableAmt": "amount", "ProjNo": "projno"}
 ITEM_COLUMNS = {"ItemCode": "itemcode", "ItemType": "itemtype"}
 CHANNEL2_COLUMNS = {"debtorcode": "debtorcode", "docdate": "docdate", "amount": "amount",
                     "category": "category", "invtype": "invtype"}
+# --- end of fixed values ----------------------------------------------------
 
 
 def canonical(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Project and rename by name (P1); dates are cast to DATE, amounts to DOUBLE."""
+    """Project and rename by name (P1); dates are cast to DATE; amounts keep a decimal type, else DOUBLE."""
     cols = []
     for src, dst in mapping.items():
         c = F.col(src)
         if dst == "docdate":
             c = c.cast("date")
-        elif dst == "amount":
+        elif dst == "amount" and not isinstance(df.schema[src].dataType, DecimalType):
             c = c.cast("double")
         cols.append(c.alias(dst))
     return df.select(*cols)
@@ -61,11 +63,16 @@ def _load(spark: SparkSession, source: str, fmt: str, options: dict | None) -> D
 
 
 def scan_warehouse(spark: SparkSession, headers: str, lines: str, items: str, channel2: str,
-                   fmt: str = "table", options: dict | None = None) -> Warehouse:
-    """Scan the four tables (catalog names, paths, or JDBC table names)."""
-    return Warehouse(
-        headers=canonical(_load(spark, headers, fmt, options), HEADER_COLUMNS),
-        lines=canonical(_load(spark, lines, fmt, options), LINE_COLUMNS),
-        items=canonical(_load(spark, items, fmt, options), ITEM_COLUMNS),
-        channel2=canonical(_load(spark, channel2, fmt, options), CHANNEL2_COLUMNS),
-    )
+                   fmt: str = "table", options: dict | None = None,
+                   table_options: dict[str, dict] | None = None,
+                   columns: dict[str, dict[str, str]] | None = None) -> Warehouse:
+    """Scan the four tables (catalog names, paths, or JDBC table names).
+
+    ``table_options`` adds reader options per table ("headers", "lines", "items", "channel2"): for JDBC give the
+    fact tables ``partitionColumn``, ``lowerBound``, ``upperBound``, ``numPartitions`` and ``fetchsize``, or all their
+    rows arrive in one task. ``columns`` replaces a table's source -> canonical column map.
+    """
+    maps = {"headers": HEADER_COLUMNS, "lines": LINE_COLUMNS, "items": ITEM_COLUMNS, "channel2": CHANNEL2_COLUMNS} | (columns or {})
+    sources = {"headers": headers, "lines": lines, "items": items, "channel2": channel2}
+    return Warehouse(**{name: canonical(_load(spark, source, fmt, (options or {}) | (table_options or {}).get(name, {})), maps[name])
+                        for name, source in sources.items()})
