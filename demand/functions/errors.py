@@ -25,17 +25,17 @@ def ape(y: Column, yhat: Column) -> Column:
 
 
 def rescale_accuracy(mape: Column) -> Column:
-    """max(0, 100 - mape)."""
-    return F.greatest(F.lit(0.0), F.lit(100.0) - mape)
+    """max(0, 100 - mape); null without an error."""
+    return F.when(mape.isNotNull(), F.greatest(F.lit(0.0), F.lit(100.0) - mape))
 
 
 def trend_label(last_actual: Column, forecast: Column) -> Column:
-    """UP / DW / NC against a +/-10 % band; UP is tested first."""
+    """UP / DW / NC against a +/-10 % band; UP is tested first; null if either is missing."""
     up = last_actual + last_actual * F.lit(TREND_BAND)
     down = last_actual - last_actual * F.lit(TREND_BAND)
     return (F.when(forecast >= up, F.lit("UP"))
             .when(forecast <= down, F.lit("DW"))
-            .otherwise(F.lit("NC")))
+            .when(forecast.isNotNull() & last_actual.isNotNull(), F.lit("NC")))
 
 
 def trend_pct(last_actual: Column, forecast: Column) -> Column:
@@ -44,14 +44,12 @@ def trend_pct(last_actual: Column, forecast: Column) -> Column:
 
 
 def vs_baseline_label(rmodel: Column, rbase: Column) -> Column:
-    """BETTER / WORST / EQUAL of the rescaled model vs baseline accuracy."""
+    """BETTER / WORST / EQUAL of the rescaled model vs baseline accuracy; null if either is missing."""
     return (F.when(rmodel > rbase, F.lit("BETTER"))
             .when(rmodel < rbase, F.lit("WORST"))
-            .otherwise(F.lit("EQUAL")))
+            .when(rmodel == rbase, F.lit("EQUAL")))
 
 
 def vs_baseline_gap(rmodel: Column, rbase: Column) -> Column:
-    """Absolute gap between the two accuracies, 0.0 when equal."""
-    return (F.when(rmodel > rbase, rmodel - rbase)
-            .when(rmodel < rbase, rbase - rmodel)
-            .otherwise(F.lit(0.0)))
+    """Absolute gap between the two accuracies, 0.0 when equal; null if either is missing."""
+    return F.abs(rmodel - rbase)

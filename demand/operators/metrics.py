@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import errors
-from ..functions.constants import BASELINE, MODEL_OPTIONS, MODEL_ORDER
+from ..functions.constants import BASELINE, MODEL_OPTIONS, MODEL_ORDER, N_TEST
 
 
 def model_subset(models: str | list[str]) -> list[str]:
@@ -85,12 +85,13 @@ def last_actual(split: DataFrame) -> DataFrame:
     return split.groupBy("item_id").agg(F.max_by("y", "t").alias("tmonth_amt"))
 
 
-def model_ok(metrics: DataFrame, preds: DataFrame, horizon: int) -> DataFrame:
-    """M6: a model counts when its hold-out errors exist and it has a full future."""
-    fut = (preds.filter(F.col("phase") == "future").filter(F.col("yhat").isNotNull())
-           .groupBy("item_id", "model").agg(F.count(F.lit(1)).alias("_nf")))
-    j = metrics.join(fut, ["item_id", "model"], "left")
-    ok = F.col("mape").isNotNull() & (F.coalesce(F.col("_nf"), F.lit(0)) >= F.lit(horizon))
+def model_ok(metrics: DataFrame, preds: DataFrame, horizon: int, n_test: int = N_TEST) -> DataFrame:
+    """M6: a model counts when it predicts every hold-out month and has a full future."""
+    def rows_of(phase: str):
+        return F.count(F.when((F.col("phase") == phase) & F.col("yhat").isNotNull(), 1))
+    have = preds.groupBy("item_id", "model").agg(rows_of("test").alias("_nt"), rows_of("future").alias("_nf"))
+    j = metrics.join(have, ["item_id", "model"], "left")
+    ok = F.col("mape").isNotNull() & (F.col("_nt") >= F.lit(n_test)) & (F.col("_nf") >= F.lit(horizon))
     return j.select("item_id", "model", F.when(ok, F.lit(1)).otherwise(F.lit(0)).alias("model_ok"))
 
 

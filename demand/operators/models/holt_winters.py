@@ -92,6 +92,8 @@ def forecast(state: Column, g: Column, h: Column) -> Column:
     season = F.element_at(F.array(*[state[f"s{i}"] for i in range(SEASON)]), ((h - 1) % SEASON) + 1)
     return (state["l"] + damp * state["b"]) * season
 
+SERIES_PER_TASK = 256
+
 
 def series_arrays(split: DataFrame) -> DataFrame:
     """One row per item: ordered values, train length, first test / future month."""
@@ -163,13 +165,6 @@ def _search_sql(rows: DataFrame, grid: Column | None = None) -> DataFrame:
     return rows.select("item_id", "phase", "t_end", "steps").join(fine, ["item_id", "phase"])
 
 
-def best_params(split: DataFrame, n_test: int = N_TEST, horizon: int = HORIZON) -> DataFrame:
-    """Chosen parameters, SSE, level and trend per item and phase (inspection)."""
-    best = _search_sql(_fit_inputs(split, n_test, horizon))
-    return best.select("item_id", "phase", "b.g.alpha", "b.g.beta", "b.g.gamma", "b.g.phi",
-                       F.col("b.st.sse").alias("sse"), F.col("b.st.l").alias("level"), F.col("b.st.b").alias("trend"))
-
-
 # ---------------------------------------------------------------------------
 # Arrow engine: the same recurrence vectorised with numpy inside tasks.
 
@@ -281,12 +276,12 @@ def _kernel(n_test: int, horizon: int, chunk: int = 256):
 
 
 def _holt_winters_arrow(split: DataFrame, n_test: int, horizon: int) -> DataFrame:
-    from ..series import month_start_of_index
+    from ..series import month_start_of_index, spread
     arr = series_arrays(split)
     ok_train = (F.col("n_train") >= 2 * SEASON) & (F.col("min_train") > 0)
     ok_all = (F.col("n") >= 2 * SEASON) & (F.col("min_all") > 0)
     rows = arr.filter(ok_train | ok_all).select(
         "item_id", "n", "n_train", "t_last", ok_train.alias("ok_train"), ok_all.alias("ok_all"), "y_all")
-    out = rows.mapInPandas(_kernel(n_test, horizon), "item_id long, phase string, t long, yhat double")
+    out = spread(rows, SERIES_PER_TASK).mapInPandas(_kernel(n_test, horizon), "item_id long, phase string, t long, yhat double")
     return out.select("item_id", F.lit(MODEL).alias("model"), "phase", "t",
                       month_start_of_index(F.col("t")).alias("ds"), "yhat")

@@ -14,14 +14,14 @@ Per series and phase ('test' fits the training months, 'future' all months):
   ridge form sum(r*T) / (sum(T^2) + 1/20^2) over that event's months
   (r = scaled y - T): a grouped aggregate, no second solve.
 
-The holiday calendar is an input table (date, name), bounded by years x
-holidays, so it is broadcast. Only dates on a month start can touch
+The holiday calendar is an input table (date, name); by default it covers the
+years of the series and their horizon. It is left to the planner to broadcast. Only dates on a month start can touch
 monthly data; several holidays on one date form one event.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ...functions.constants import HORIZON, N_TEST
@@ -39,9 +39,10 @@ MONTH_START_HOLIDAYS = [(1, 1, "New Year's Day"), (5, 1, "Labour Day")]
 # --- end of fixed values ----------------------------------------------------
 
 
-def default_holidays(spark: SparkSession, first_year: int = 1990, last_year: int = 2035) -> DataFrame:
-    """The fixed-date holidays above for a range of years (a rule, not a list)."""
-    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year"))
+def default_holidays(split: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """The fixed-date holidays above for the years of the series and their horizon (a rule, not a list)."""
+    span = split.agg(F.min("t").alias("a"), (F.max("t") + F.lit(horizon)).alias("b")).filter("a is not null")
+    years = span.select(F.explode(F.expr("sequence(int((a - 1) div 12), int((b - 1) div 12))")).alias("year"))
     hol = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("d"), F.lit(n).alias("name"))
                               for m, d, n in MONTH_START_HOLIDAYS])).alias("h")
     return years.select("year", hol).select(F.make_date("year", F.col("h.m"), F.col("h.d")).alias("date"),
@@ -63,8 +64,7 @@ def trend_holiday(split: DataFrame, n_test: int = N_TEST, horizon: int = HORIZON
                   holidays: DataFrame | None = None, min_fit: int = 8) -> DataFrame:
     """Long predictions (item_id, model, phase, t, ds, yhat)."""
     from ..series import month_start_of_index
-    spark = split.sparkSession
-    events = F.broadcast(month_start_events(holidays if holidays is not None else default_holidays(spark)))
+    events = month_start_events(holidays if holidays is not None else default_holidays(split, horizon))
     rows = fit_rows(split)
     wa = Window.partitionBy("item_id", "phase")
     rows = rows.select("*", F.min("t").over(wa).alias("t0"), F.max("t").over(wa).alias("t1"),

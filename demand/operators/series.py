@@ -20,10 +20,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..functions.constants import ALL, CAP_MULTIPLE, HORIZON, N_TEST
+from ..functions.constants import ALL, AMOUNT_SCALE, CAP_MULTIPLE, HORIZON, N_TEST
 
 LEVEL_TOTAL, LEVEL_CHANNEL, LEVEL_CUSTOMER, LEVEL_CATEGORY, LEVEL_CUSTOMER_CATEGORY = 0, 1, 2, 3, 4
-SUM_DECIMAL = "decimal(20,2)"
 
 
 def item_level(d: Column, c: Column, p: Column) -> Column:
@@ -69,14 +68,15 @@ def cell_keys(cells: DataFrame, channel_scoped: bool = False) -> DataFrame:
     return exploded.filter(F.col("kd").isNotNull() & F.col("kc").isNotNull() & F.col("kp").isNotNull())
 
 
-def level_month_sums(cells: DataFrame, channel_scoped: bool = False) -> DataFrame:
+def level_month_sums(cells: DataFrame, channel_scoped: bool = False, amount_scale: int = AMOUNT_SCALE) -> DataFrame:
     """Monthly sums per level key (exact decimal sums, map-side combined)."""
     return (cell_keys(cells, channel_scoped)
             .groupBy("lvl", "kd", "kc", "kp", "month_year")
-            .agg(F.sum(F.col("y").cast(SUM_DECIMAL)).alias("y_dec")))
+            .agg(F.sum(F.col("y").cast(f"decimal(28,{amount_scale})")).alias("y_dec")))
 
 
-def hierarchy_expand(cells: DataFrame, items: DataFrame, channel_scoped: bool = False) -> DataFrame:
+def hierarchy_expand(cells: DataFrame, items: DataFrame, channel_scoped: bool = False,
+                     amount_scale: int = AMOUNT_SCALE) -> DataFrame:
     """P17 + J5 + A4: (item_id, month_year, y) for every work-list item.
 
     ``items`` needs item_id, debtorcode, category, projno, month_year (the
@@ -84,7 +84,7 @@ def hierarchy_expand(cells: DataFrame, items: DataFrame, channel_scoped: bool =
     """
     keyed = item_keys(items, channel_scoped).filter(F.col("lvl").isNotNull()).select(
         "item_id", "lvl", "kd", "kc", "kp", F.col("month_year").alias("cutoff"))
-    sums = level_month_sums(cells, channel_scoped)
+    sums = level_month_sums(cells, channel_scoped, amount_scale)
     joined = sums.join(keyed, ["lvl", "kd", "kc", "kp"]).filter(F.col("month_year") <= F.col("cutoff"))
     return joined.select("item_id", "month_year", F.col("y_dec").cast("double").alias("y"))
 
@@ -134,11 +134,6 @@ def month_start_of_index(t: Column) -> Column:
     return F.make_date(year, month, F.lit(1))
 
 
-def linear_interpolate(series: DataFrame) -> DataFrame:
-    """Alias of :func:`gap_fill` under the operator's own name."""
-    return gap_fill(series)
-
-
 def tail_split(filled: DataFrame, n_test: int = N_TEST) -> DataFrame:
     """The last ``n_test`` months of each item are the hold-out.
 
@@ -163,6 +158,12 @@ def holdout_cap(split: DataFrame, multiple: float = CAP_MULTIPLE) -> DataFrame:
             .withColumn("cap", F.col("test_mean") * F.lit(float(multiple))))
 
 
+def spread(rows: DataFrame, per_task: int) -> DataFrame:
+    """Series dealt to tasks by count: AQE merges partitions by bytes, and series are small but slow to fit."""
+    n = rows.count()
+    return rows.repartition(max(1, min(-(-n // per_task), 20_000)), "item_id") if n else rows
+
+
 def future_months(split: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """the ``horizon`` months after each item's last month."""
     last = split.groupBy("item_id").agg(F.max("t").alias("t_last"))

@@ -31,6 +31,7 @@ EARLY_CUTOFF = "2000-12"   # a forced, earlier work-list month
 CLOSED_START = "2001-08-01"
 RECENT_START = "2001-05-01"
 R = 4  # rounding of derived doubles
+FINE_AMOUNT = "CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2)) / 10"
 
 
 def _r(c):
@@ -121,12 +122,17 @@ def q_union_channels(spark, sf):
     return facts.union_channels(_wh(spark, sf))
 
 
+def _customer_wh(spark, sf):
+    """The warehouse with customers instead of nations as debtors: many of them are not active."""
+    return warehouse_from_testdata(spark, sf, debtor="o_custkey")
+
+
 def q_active_customers(spark, sf):
-    return facts.active_customers(_wh(spark, sf), AS_OF)
+    return facts.active_customers(_customer_wh(spark, sf), AS_OF)
 
 
 def q_semi_join_active(spark, sf):
-    wh = _wh(spark, sf)
+    wh = _customer_wh(spark, sf)
     return facts.union_channels(wh).join(facts.active_customers(wh, AS_OF), "debtorcode", "left_semi")
 
 
@@ -138,6 +144,11 @@ def q_sum_by_cell(spark, sf):
     return _cells(spark, sf)
 
 
+def q_cell_sums_fine(spark, sf):
+    """Cells of amounts with more than two decimals: summed first, cast last."""
+    return facts.cells(warehouse_from_testdata(spark, sf, amount=FINE_AMOUNT), AS_OF)
+
+
 def q_cutoff_filter(spark, sf):
     return facts.cutoff_filter(_cells(spark, sf), EARLY_CUTOFF)
 
@@ -174,7 +185,15 @@ def q_split_sequential(spark, sf):
 
 
 def q_split_random(spark, sf):
-    return W.split_random(_worklist(spark, sf), seed=7).withColumn("part", F.col("part").cast("long"))
+    """Sizes of the random halves, what both hold, what neither holds, and whether the order was kept."""
+    wl = _worklist(spark, sf)
+    parts = W.split_random(wl, seed=7)
+    both = wl.select("row_idx").join(parts.groupBy("row_idx").agg(F.collect_set("part").alias("p"), F.count("*").alias("n")), "row_idx", "left")
+    return both.agg(F.count("*").alias("n_rows"), F.count(F.when(F.array_contains("p", 1), 1)).alias("n_first"),
+                    F.count(F.when(F.array_contains("p", 2), 1)).alias("n_second"),
+                    F.count(F.when(F.col("n") > 1, 1)).alias("n_in_both"), F.count(F.when(F.col("n").isNull(), 1)).alias("n_missing"),
+                    (F.count(F.when(F.array_contains("p", 1) & (F.col("row_idx") >= F.floor(F.lit(wl.count()) / 2)), 1)) == 0)
+                    .alias("is_sequential"))
 
 
 def q_worklist_csv_roundtrip(spark, sf):
@@ -220,7 +239,7 @@ def q_gap_profile(spark, sf):
 
 
 def q_linear_interpolate(spark, sf):
-    g = S.linear_interpolate(_raw(spark, sf))
+    g = S.gap_fill(_raw(spark, sf))
     return g.select("item_id", F.col("t").cast("long").alias("t"), "ds", _r(F.col("y")).alias("y"), "filled")
 
 
@@ -304,9 +323,12 @@ def q_vs_baseline_label(spark, sf):
 
 
 def q_trend_label(spark, sf):
-    s, b = _baseline(spark, sf)
+    """The first Holt-Winters forecast against the last actual."""
+    from ..operators.models import holt_winters
+    s = _split(spark, sf)
+    b = holt_winters.holt_winters_grid(s)
     last = M.last_actual(s.filter("is_test"))
-    first = b.filter("phase = 'test'").groupBy("item_id").agg(F.min_by("yhat", "t").alias("fc"))
+    first = b.filter("phase = 'future'").groupBy("item_id").agg(F.min_by("yhat", "t").alias("fc"))
     j = last.join(first, "item_id")
     return j.select("item_id", E.trend_label(F.col("tmonth_amt"), F.col("fc")).alias("pred_trend"),
                     _r(E.trend_pct(F.col("tmonth_amt"), F.col("fc"))).alias("pred_trend_p"))
@@ -328,6 +350,7 @@ QUERIES = {
     "semi_join_active": q_semi_join_active,
     "sales_fact": q_sales_fact,
     "sum_by_cell": q_sum_by_cell,
+    "cell_sums_fine": q_cell_sums_fine,
     "cutoff_filter": q_cutoff_filter,
     "grain_profile_grouping_sets": q_grain_profile_grouping_sets,
     "qualify_series": q_qualify_series,
@@ -379,10 +402,13 @@ fact AS (
   SELECT debtorcode, docdate, CAST(amount AS DOUBLE) AS y, category, projno, strftime(docdate, '%Y-%m') AS month_year
   FROM chan WHERE docdate < DATE '{CLOSED_START}' AND debtorcode IN (SELECT debtorcode FROM active)),
 cells AS (
-  SELECT debtorcode, category, projno, CAST(SUM(CAST(y AS DECIMAL(18,2))) AS DOUBLE) AS y, month_year
+  SELECT debtorcode, category, projno, CAST(SUM(CAST(y AS DECIMAL(28,6))) AS DOUBLE) AS y, month_year
   FROM fact GROUP BY month_year, debtorcode, category, projno)"""
 
 
+CUSTOMER_CTE = BASE_CTE.replace("n.n_name AS debtorcode", "CAST(o.o_custkey AS VARCHAR) AS debtorcode")
+
+
 def _profile_cte(cutoff: str) -> str:
     return f""",
 prof AS (
@@ -437,7 +463,7 @@ cell_k AS (
   UNION ALL SELECT 4, debtorcode, category, '', month_year, y FROM cells
             WHERE debtorcode IS NOT NULL AND category IS NOT NULL),
 lvl_sum AS (
-  SELECT lvl, kd, kc, kp, month_year, SUM(CAST(y AS DECIMAL(20,2))) AS y_dec
+  SELECT lvl, kd, kc, kp, month_year, SUM(CAST(y AS DECIMAL(28,6))) AS y_dec
   FROM cell_k GROUP BY lvl, kd, kc, kp, month_year),
 raw AS (
   SELECT i.item_id, s.month_year, CAST(s.y_dec AS DOUBLE) AS y
@@ -517,10 +543,12 @@ ORACLES = {
              AS BIGINT) AS months_behind
         FROM (SELECT debtorcode, MAX(month_year) AS last_month FROM fact GROUP BY debtorcode)""",
     "union_channels": BASE_CTE + " SELECT * FROM chan",
-    "active_customers": BASE_CTE + " SELECT debtorcode FROM active",
-    "semi_join_active": BASE_CTE + " SELECT * FROM chan WHERE debtorcode IN (SELECT debtorcode FROM active)",
+    "active_customers": CUSTOMER_CTE + " SELECT debtorcode FROM active",
+    "semi_join_active": CUSTOMER_CTE + " SELECT * FROM chan WHERE debtorcode IN (SELECT debtorcode FROM active)",
     "sales_fact": BASE_CTE + " SELECT * FROM fact",
     "sum_by_cell": BASE_CTE + " SELECT * FROM cells",
+    "cell_sums_fine": BASE_CTE.replace("CAST(l_extendedprice AS DOUBLE) AS amount", f"CAST({FINE_AMOUNT} AS DOUBLE) AS amount")
+        + " SELECT * FROM cells",
     "cutoff_filter": BASE_CTE + f" SELECT * FROM cells WHERE month_year <= '{EARLY_CUTOFF}'",
     "grain_profile_grouping_sets": WL + " SELECT * FROM prof_k",
     "qualify_series": WL + " SELECT * FROM qual",
@@ -530,6 +558,9 @@ ORACLES = {
         ON w.row_idx = n.item_id""",
     "worklist": WL + " SELECT * FROM wl",
     "worklist_row_index": BASE_CTE + _profile_cte(EARLY_CUTOFF) + " SELECT * FROM wl",
+    "split_random": WL + """ SELECT COUNT(*) AS n_rows, CAST(floor(COUNT(*) * 0.5) AS BIGINT) AS n_first,
+        CAST(COUNT(*) - floor(COUNT(*) * 0.5) AS BIGINT) AS n_second, CAST(0 AS BIGINT) AS n_in_both,
+        CAST(0 AS BIGINT) AS n_missing, FALSE AS is_sequential FROM wl""",
     "split_sequential": WL + """ SELECT *, CAST(CASE WHEN row_idx < floor((SELECT COUNT(*) FROM wl) * 0.5) THEN 1 ELSE 2 END
         AS BIGINT) AS part FROM wl""",
     "worklist_csv_roundtrip": WL + """ SELECT *, CAST(CASE WHEN row_idx < floor((SELECT COUNT(*) FROM wl) * 0.5) THEN 1 ELSE 2 END
@@ -576,12 +607,12 @@ ORACLES = {
           AS pred_bt_base_p
         FROM (SELECT p.item_id, greatest(0.0, 100.0 - p.mape) AS rmape, greatest(0.0, 100.0 - b.mape) AS rbaseline
               FROM pers_metrics p JOIN base_metrics b ON p.item_id = b.item_id)""",
-    "trend_label": SER + """ SELECT item_id,
+    "trend_label": """ SELECT item_id,
         CASE WHEN fc >= last + last * 0.1 THEN 'UP' WHEN fc <= last - last * 0.1 THEN 'DW' ELSE 'NC' END AS pred_trend,
         round(abs((fc - last + 1e-10) / (last + 1e-10) * 100.0), 4) AS pred_trend_p
         FROM (SELECT l.item_id, l.last, f.fc FROM
                 (SELECT item_id, arg_max(y, t) AS last FROM split WHERE is_test GROUP BY item_id) l
-                JOIN (SELECT item_id, arg_min(yhat, t) AS fc FROM base_pred WHERE phase = 'test' GROUP BY item_id) f
+                JOIN (SELECT item_id, arg_min(yhat, t) AS fc FROM hw_pred WHERE phase = 'future' GROUP BY item_id) f
                 ON l.item_id = f.item_id)""",
 }
 
@@ -682,9 +713,11 @@ mm_raw AS (
   FROM clipped p JOIN split s ON p.item_id = s.item_id AND p.t = s.t
   WHERE p.phase = 'test' AND p.model <> 'Baseline' GROUP BY p.item_id, p.model),
 fut_n AS (
-  SELECT item_id, model, COUNT(*) AS nf FROM clipped WHERE phase = 'future' AND yhat IS NOT NULL GROUP BY item_id, model),
+  SELECT item_id, model, COUNT(*) FILTER (WHERE phase = 'future') AS nf, COUNT(*) FILTER (WHERE phase = 'test') AS nt
+  FROM clipped WHERE yhat IS NOT NULL GROUP BY item_id, model),
 mok AS (
-  SELECT m.item_id, m.model, CAST(CASE WHEN m.mape IS NOT NULL AND COALESCE(f.nf, 0) >= 3 THEN 1 ELSE 0 END AS BIGINT) AS model_ok
+  SELECT m.item_id, m.model,
+         CAST(CASE WHEN m.mape IS NOT NULL AND COALESCE(f.nf, 0) >= 3 AND COALESCE(f.nt, 0) >= 6 THEN 1 ELSE 0 END AS BIGINT) AS model_ok
   FROM mm_raw m LEFT JOIN fut_n f ON m.item_id = f.item_id AND m.model = f.model),
 mm AS (
   SELECT m.item_id, m.model, CASE WHEN k.model_ok = 1 THEN m.mae END AS mae,
@@ -705,8 +738,9 @@ best AS (
   FROM best_mape a FULL JOIN best_maape q ON a.item_id = q.item_id),
 rec AS (
   SELECT w.debtorcode, w.category, w.projno, lt.last_trainmy, b.mape_model, b.mape_min, b.mae_v, b.maape_model, b.maape_min,
-         c.test_mean, bl.mape AS baseline_mape, la.tmonth_amt, fc.forecast_amt, sz.n
+         c.test_mean, bl.mape AS baseline_mape, la.tmonth_amt, fc.forecast_amt, sz.n, lv.lvl
   FROM wl w
+  LEFT JOIN items lv ON w.row_idx = lv.item_id
   LEFT JOIN (SELECT item_id, MAX(month_year) AS last_trainmy FROM raw GROUP BY item_id) lt ON w.row_idx = lt.item_id
   LEFT JOIN (SELECT item_id, MAX(n) AS n FROM split GROUP BY item_id) sz ON w.row_idx = sz.item_id
   LEFT JOIN best b ON w.row_idx = b.item_id
@@ -717,30 +751,70 @@ rec AS (
                ON c.item_id = b2.item_id AND c.model = b2.mape_model WHERE c.phase = 'future' GROUP BY c.item_id) fc
     ON w.row_idx = fc.item_id),
 rec2 AS (
-  SELECT *, greatest(0.0, 100.0 - mape_min) AS rmape, greatest(0.0, 100.0 - baseline_mape) AS rbaseline FROM rec),
+  SELECT *, CASE WHEN mape_min IS NOT NULL THEN greatest(0.0, 100.0 - mape_min) END AS rmape,
+         CASE WHEN baseline_mape IS NOT NULL THEN greatest(0.0, 100.0 - baseline_mape) END AS rbaseline FROM rec),
 record AS (
   SELECT debtorcode, category, projno, last_trainmy, mape_model, round(mape_min, 4) AS mape_min, round(rmape, 4) AS rmape,
          round(rbaseline, 4) AS rbaseline, maape_model, round(maape_min, 4) AS maape_min, round(test_mean, 4) AS test_mean,
-         CASE WHEN rmape > rbaseline THEN 'BETTER' WHEN rmape < rbaseline THEN 'WORST' ELSE 'EQUAL' END AS pred_bt_base,
-         round(CASE WHEN rmape > rbaseline THEN rmape - rbaseline WHEN rmape < rbaseline THEN rbaseline - rmape ELSE 0.0 END, 4)
-           AS pred_bt_base_p,
+         CASE WHEN rmape > rbaseline THEN 'BETTER' WHEN rmape < rbaseline THEN 'WORST' WHEN rmape = rbaseline THEN 'EQUAL' END
+           AS pred_bt_base,
+         round(abs(rmape - rbaseline), 4) AS pred_bt_base_p,
          CASE WHEN forecast_amt >= tmonth_amt + tmonth_amt * 0.1 THEN 'UP'
-              WHEN forecast_amt <= tmonth_amt - tmonth_amt * 0.1 THEN 'DW' ELSE 'NC' END AS pred_trend,
+              WHEN forecast_amt <= tmonth_amt - tmonth_amt * 0.1 THEN 'DW'
+              WHEN forecast_amt IS NOT NULL AND tmonth_amt IS NOT NULL THEN 'NC' END AS pred_trend,
          round(mae_v, 4) AS mae_v,
          round(abs((forecast_amt - tmonth_amt + 1e-10) / (tmonth_amt + 1e-10) * 100.0), 4) AS pred_trend_p,
          round(tmonth_amt, 4) AS tmonth_amt, round(forecast_amt, 4) AS forecast_amt,
-         CASE WHEN n IS NULL THEN 'no_data' WHEN n <= 6 THEN 'too_short' WHEN mape_model IS NULL THEN 'no_model' ELSE 'ok' END
+         CASE WHEN lvl IS NULL THEN 'bad_item' WHEN n IS NULL THEN 'no_data' WHEN n <= 6 THEN 'too_short' WHEN mape_model IS NULL THEN 'no_model' ELSE 'ok' END
            AS status
   FROM rec2)"""
 
 
 HW = SER.replace("WITH ", "WITH RECURSIVE ", 1) + _hw_sql()
+ORACLES["trend_label"] = HW + ORACLES["trend_label"]
+# Predictors that SQL can say, under the labels of the models: scoring, selection and the record are checked on
+# candidates that compete (several winners) and tie (two labels with the same numbers).
+COMPETING = HW.replace("all_pred AS (", """comp_pred AS (
+  SELECT p.item_id, 'SARIMAX' AS model, CASE WHEN p.t + 12 <= l.t_last THEN 'test' ELSE 'future' END AS phase, p.t + 12 AS t,
+         make_date(CAST(floor((p.t + 11) / 12) AS BIGINT), CAST(p.t + 12 - floor((p.t + 11) / 12) * 12 AS BIGINT), 1) AS ds, p.y AS yhat
+  FROM split p JOIN (SELECT item_id, MAX(t) AS t_last FROM split GROUP BY item_id) l ON p.item_id = l.item_id
+  WHERE p.t + 12 > l.t_last - 6 AND p.t + 12 <= l.t_last + 3),
+drift_fit AS (
+  SELECT item_id, 'test' AS phase, 6 AS steps, arg_min(y, t) AS y0, arg_max(y, t) AS y1, MIN(t) AS t0, MAX(t) AS t1
+  FROM split WHERE NOT is_test GROUP BY item_id
+  UNION ALL
+  SELECT item_id, 'future', 3, arg_min(y, t), arg_max(y, t), MIN(t), MAX(t) FROM split GROUP BY item_id),
+drift_pred AS (
+  SELECT item_id, 'Prophet' AS model, phase, t1 + h AS t,
+         make_date(CAST(floor((t1 + h - 1) / 12) AS BIGINT), CAST(t1 + h - floor((t1 + h - 1) / 12) * 12 AS BIGINT), 1) AS ds,
+         y1 + h * ((y1 - y0) / CAST(t1 - t0 AS DOUBLE)) AS yhat
+  FROM (SELECT *, UNNEST(range(1, steps + 1)) AS h FROM drift_fit WHERE t1 > t0)),
+all_pred AS (
+  SELECT * FROM comp_pred UNION ALL SELECT item_id, 'XGBoost', phase, t, ds, yhat FROM comp_pred
+  UNION ALL SELECT * FROM drift_pred UNION ALL """, 1)
+# Work-list rows that end in every status: no level, no data, five months, ten months (Holt-Winters needs twelve).
+ODD_ITEMS = [(900001, "", "C9", "AC", CUTOFF), (900002, "NOBODY", "All", "AC", CUTOFF), (900003, "All", "All", "All", "1995-05"),
+             (900004, "All", "All", "All", "1995-10")]
+STATUSES = HW.replace("- 1 AS BIGINT) AS row_idx,\n         debtorcode, category, projno, month_year FROM wl_rows)",
+                      "- 1 AS BIGINT) AS row_idx,\n         debtorcode, category, projno, month_year FROM wl_rows\n  UNION ALL VALUES "
+                      + ", ".join(f"(CAST({i} AS BIGINT), '{d}', '{c}', '{p}', '{m}')" for i, d, c, p, m in ODD_ITEMS) + ")", 1)
+
+
+def _competing() -> dict:
+    """Predictors with SQL twins under the four labels; the third repeats the first, for ties."""
+    from ..operators.models import holt_winters
+
+    def labelled(fn, label):
+        return lambda split, n_test, horizon, **_: fn(split, n_test, horizon).withColumn("model", F.lit(label))
+
+    return {"SARIMAX": labelled(naive.seasonal_naive, "SARIMAX"), "Prophet": labelled(naive.drift, "Prophet"),
+            "XGBoost": labelled(naive.seasonal_naive, "XGBoost"), "HWExSmooth": labelled(holt_winters.holt_winters_grid, "HWExSmooth")}
 
 
 def _scored(spark, sf):
     from . import forecast_job
     split = _split(spark, sf)
-    preds, mm, bm, caps = forecast_job.score(split, "hwexsmooth")
+    preds, mm, bm, caps = forecast_job.score(split, registry=_competing())
     return split, preds, mm, bm, caps
 
 
@@ -755,10 +829,12 @@ def _record_view(rec):
     return rec.select(*[_r(F.col(c)).alias(c) if c in ROUNDED else F.col(c) for c in RECORD_COLUMNS])
 
 
-def _record(spark, sf, models="hwexsmooth", with_json=False):
+def _record(spark, sf, with_json=False, registry="competing"):
+    """All four labels: by the competing predictors, or (registry=None) by the models themselves."""
     from . import forecast_job
     cells = _cells(spark, sf)
-    return forecast_job.forecast_record(cells, _worklist(spark, sf, cells=cells), models=models, with_json=with_json)
+    return forecast_job.forecast_record(cells, _worklist(spark, sf, cells=cells), with_json=with_json,
+                                        registry=_competing() if registry else None)
 
 
 def q_holt_winters_grid(spark, sf):
@@ -803,8 +879,15 @@ def q_forecast_record(spark, sf):
 
 
 def q_json_pack(spark, sf):
+    """The five JSON documents of every record, parsed back into (document, column, key, value) rows."""
+    docs = ("metrics_df", "train_df", "validation_df", "forecast_df", "baseline_df")
     rec = _record(spark, sf, with_json=True)
-    return rec.select("item_id", "metrics_df", "train_df", "validation_df", "forecast_df", "baseline_df")
+    parsed = F.array(*[F.struct(F.lit(d).alias("doc"), F.from_json(d, "map<string,map<string,string>>").alias("m")) for d in docs])
+    rows = (rec.select("item_id", F.inline(parsed)).select("item_id", "doc", F.explode("m").alias("col", "values"))
+            .select("item_id", "doc", "col", F.explode("values").alias("key", "v")))
+    named = F.col("col") == "Models"
+    return rows.select("item_id", "doc", "col", "key", F.when(named, F.col("v")).alias("label"),
+                       F.when(~named, _r(F.col("v").cast("double"))).alias("value"))
 
 
 def q_append_results(spark, sf):
@@ -852,10 +935,39 @@ def q_boosted_lags(spark, sf):
 
 def q_forecast_all_models(spark, sf):
     """C5 flagship: every model, JSON documents included (rows-only check)."""
-    return _record(spark, sf, models="sarimax,prophet,xgboost,hwexsmooth", with_json=True).drop("last_update")
+    return _record(spark, sf, with_json=True, registry=None).drop("last_update")
+
+
+def q_record_statuses(spark, sf):
+    """Records of a work list with items that have no level, no data, too few months, or no model; nulls stay null."""
+    from . import forecast_job
+    cells = _cells(spark, sf)
+    odd = spark.createDataFrame(ODD_ITEMS, "row_idx long, debtorcode string, category string, projno string, month_year string")
+    wl = _worklist(spark, sf, cells=cells).unionByName(odd)
+    return _record_view(forecast_job.forecast_record(cells, wl, models="hwexsmooth", with_json=False))
+
+
+def q_scan_warehouse(spark, sf):
+    """The warehouse scan itself on parquet: per-table columns and options, decimals kept; rows and sums per table."""
+    from ..sources.warehouse import scan_warehouse
+    d = sf.rstrip("/")
+    wh = scan_warehouse(spark, f"{d}/orders.parquet", f"{d}/lineitem.parquet", f"{d}/part.parquet", f"{d}/orders.parquet", fmt="parquet",
+                        table_options={"lines": {"mergeSchema": "false"}},
+                        columns={"headers": {"o_orderkey": "dockey", "o_orderdate": "docdate", "o_custkey": "debtorcode"},
+                                 "lines": {"l_orderkey": "dockey", "l_partkey": "itemcode", "l_extendedprice": "amount", "l_returnflag": "projno"},
+                                 "items": {"p_partkey": "itemcode", "p_type": "itemtype"},
+                                 "channel2": {"o_custkey": "debtorcode", "o_orderdate": "docdate", "o_totalprice": "amount",
+                                              "o_orderpriority": "category", "o_orderstatus": "invtype"}})
+    lines = wh.lines.join(wh.headers, "dockey").join(wh.items, "itemcode")
+    return (lines.groupBy("itemtype", F.date_format("docdate", "yyyy-MM").alias("month_year"))
+            .agg(F.count("*").alias("n_lines"), facts.exact_sum(lines, "amount").cast("double").alias("y"))
+            .unionByName(wh.channel2.groupBy(F.col("category").alias("itemtype"), F.date_format("docdate", "yyyy-MM").alias("month_year"))
+                         .agg(F.count("*").alias("n_lines"), facts.exact_sum(wh.channel2, "amount").cast("double").alias("y"))))
 
 
 QUERIES.update({
+    "record_statuses": q_record_statuses,
+    "scan_warehouse": q_scan_warehouse,
     "holt_winters_grid": q_holt_winters_grid,
     "model_subset": q_model_subset,
     "model_ok": q_model_ok,
@@ -874,16 +986,38 @@ QUERIES.update({
 
 ORACLES.update({
     "holt_winters_grid": HW + " SELECT item_id, model, phase, t, ds, round(yhat, 4) AS yhat FROM hw_pred",
-    "model_subset": HW + " SELECT item_id, model, phase, t, round(yhat, 4) AS yhat FROM clipped",
-    "model_ok": HW + " SELECT item_id, model, model_ok FROM mok",
-    "model_scores_long": HW + """ SELECT item_id, model, round(mae, 4) AS mae, round(mape, 4) AS mape, round(maape, 4) AS maape
+    "model_subset": COMPETING + " SELECT item_id, model, phase, t, round(yhat, 4) AS yhat FROM clipped",
+    "model_ok": COMPETING + " SELECT item_id, model, model_ok FROM mok",
+    "model_scores_long": COMPETING + """ SELECT item_id, model, round(mae, 4) AS mae, round(mape, 4) AS mape, round(maape, 4) AS maape
         FROM mm UNION ALL SELECT item_id, model, round(mae, 4), round(mape, 4), round(maape, 4) FROM base_metrics""",
-    "best_model": HW + """ SELECT item_id, mape_model, round(mape_min, 4) AS mape_min, round(mae_v, 4) AS mae_v, maape_model,
+    "best_model": COMPETING + """ SELECT item_id, mape_model, round(mape_min, 4) AS mape_min, round(mae_v, 4) AS mae_v, maape_model,
         round(maape_min, 4) AS maape_min FROM best""",
-    "future_forecasts": HW + " SELECT item_id, model, t, ds, round(yhat, 4) AS yhat FROM clipped WHERE phase = 'future'",
-    "forecast_record": HW + " SELECT * FROM record",
-    "append_results": HW + " SELECT * FROM record UNION ALL SELECT * FROM record",
-    "upsert_forecast": HW + " SELECT * FROM record",
+    "future_forecasts": COMPETING + " SELECT item_id, model, t, ds, round(yhat, 4) AS yhat FROM clipped WHERE phase = 'future'",
+    "forecast_record": COMPETING + " SELECT * FROM record",
+    "append_results": COMPETING + " SELECT * FROM record UNION ALL SELECT * FROM record",
+    "upsert_forecast": COMPETING + " SELECT * FROM record",
+    "record_statuses": STATUSES + " SELECT * FROM record",
+    "scan_warehouse": """ SELECT p_type AS itemtype, strftime(CAST(o_orderdate AS DATE), '%Y-%m') AS month_year, COUNT(*) AS n_lines,
+        CAST(SUM(CAST(l_extendedprice AS DECIMAL(28,6))) AS DOUBLE) AS y
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2
+        UNION ALL
+        SELECT o_orderpriority, strftime(CAST(o_orderdate AS DATE), '%Y-%m'), COUNT(*), CAST(SUM(CAST(o_totalprice AS DECIMAL(28,6))) AS DOUBLE)
+        FROM orders GROUP BY 1, 2""",
+    "json_pack": COMPETING + """,
+names(i, model) AS (VALUES ('0', 'SARIMAX'), ('1', 'Prophet'), ('2', 'XGBoost'), ('3', 'HWExSmooth')),
+scored AS (
+  SELECT i.item_id, 'metrics_df' AS doc, n.i AS key, n.model, m.mape, m.mae, m.maape
+  FROM (SELECT DISTINCT item_id FROM mm) i CROSS JOIN names n LEFT JOIN mm m ON m.item_id = i.item_id AND m.model = n.model
+  UNION ALL SELECT item_id, 'baseline_df', '0', 'Baseline', mape, mae, maape FROM base_metrics),
+timed AS (
+  SELECT item_id, 'train_df' AS doc, 'y' AS col, CAST(month_year || '-01' AS DATE) AS ds, y AS v FROM raw
+  UNION ALL SELECT item_id, 'validation_df', 'y', ds, y FROM split WHERE is_test
+  UNION ALL SELECT item_id, CASE WHEN phase = 'test' THEN 'validation_df' ELSE 'forecast_df' END, model, ds, yhat FROM clipped)
+SELECT item_id, doc, 'Models' AS col, key, model AS label, CAST(NULL AS DOUBLE) AS value FROM scored
+UNION ALL SELECT item_id, doc, 'MAPE_Errors', key, NULL, round(mape, 4) FROM scored
+UNION ALL SELECT item_id, doc, 'MAE_Errors', key, NULL, round(mae, 4) FROM scored
+UNION ALL SELECT item_id, doc, 'MAAPE_Errors', key, NULL, round(maape, 4) FROM scored
+UNION ALL SELECT item_id, doc, col, CAST(date_diff('day', DATE '1970-01-01', ds) * 86400000 AS VARCHAR), NULL, round(v, 4) FROM timed""",
 })
 
 
@@ -896,19 +1030,19 @@ def q_worklist_stream_forecast(spark, sf):
     wl_dir = scratch_path(spark, "stream-worklist")
     worklist_io.write_worklist_csv(W.split_sequential(_worklist(spark, sf, cells=cells)), wl_dir)
     store = scratch_path(spark, "stream-store")
-    q = start_forecast_stream(spark, wl_dir, lambda: cells, store, models="hwexsmooth")
+    q = start_forecast_stream(spark, wl_dir, lambda: cells, store, registry=_competing())
     q.awaitTermination()
     return _record_view(forecast_store.read_forecasts(spark, store))
 
 
 QUERIES["worklist_stream_forecast"] = q_worklist_stream_forecast
-ORACLES["worklist_stream_forecast"] = HW + " SELECT * FROM record"
+ORACLES["worklist_stream_forecast"] = COMPETING + " SELECT * FROM record"
 
 
 def q_seasonal_ar_lag1(spark, sf):
     from ..operators.models import seasonal_ar
     r = seasonal_ar.lag_regression(_split(spark, sf))
-    return r.select("item_id", F.round("intercept", 1).alias("intercept"), F.round("slope", 6).alias("slope"), "n_obs")
+    return r.select("item_id", F.round("intercept", 4).alias("intercept"), F.round("slope", 6).alias("slope"), "n_obs")
 
 
 def q_trend_line(spark, sf):
@@ -919,7 +1053,7 @@ def q_trend_line(spark, sf):
 
 QUERIES["seasonal_ar_lag1"] = q_seasonal_ar_lag1
 QUERIES["trend_line"] = q_trend_line
-ORACLES["seasonal_ar_lag1"] = SER + """ SELECT item_id, round(regr_intercept(y, x), 1) AS intercept,
+ORACLES["seasonal_ar_lag1"] = SER + """ SELECT item_id, round(regr_intercept(y, x), 4) AS intercept,
     round(regr_slope(y, x), 6) AS slope, CAST(COUNT(*) AS BIGINT) AS n_obs
     FROM (SELECT item_id, y, LAG(y, 1) OVER w AS x, LAG(y, 12) OVER w AS x12
           FROM split WINDOW w AS (PARTITION BY item_id ORDER BY t))

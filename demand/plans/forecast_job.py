@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import BASELINE, DEFAULT_MODELS, HORIZON, MODEL_ORDER, N_TEST
@@ -34,7 +34,7 @@ def _model_registry():
         "Prophet": lambda split, n_test, horizon, **kw: trend_holiday.trend_holiday(
             split, n_test, horizon, holidays=kw.get("holidays")),
         "XGBoost": lambda split, n_test, horizon, **kw: boosted.boosted_lags(
-            split, n_test, horizon, max_iter=kw.get("gbt_iters", boosted.MAX_ITER)),
+            split, n_test, horizon, max_iter=kw.get("boost_rounds", boosted.MAX_ITER)),
         "HWExSmooth": lambda split, n_test, horizon, **kw: holt_winters.holt_winters_grid(split, n_test, horizon),
     }
 
@@ -64,10 +64,13 @@ def build_series(cells: DataFrame, items: DataFrame, n_test: int = N_TEST, chann
 
 
 def score(split: DataFrame, models: str | list[str] = DEFAULT_MODELS, n_test: int = N_TEST,
-          horizon: int = HORIZON, checkpoint: bool = True, **model_kw) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Baseline + models -> (clipped preds, model metrics, baseline metrics, caps)."""
+          horizon: int = HORIZON, checkpoint: bool = True, registry: dict | None = None,
+          **model_kw) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Baseline + models -> (clipped preds, model metrics, baseline metrics, caps).
+
+    ``registry`` (label -> function of split, n_test, horizon) replaces the models behind the labels."""
     labels = M.model_subset(models)
-    registry = _model_registry()
+    registry = registry or _model_registry()
     usable = split.filter(F.col("n") > F.lit(n_test))  # too short: no training month
     fut = S.future_months(usable, horizon)
     base = naive.baseline_naive(usable, fut)
@@ -94,7 +97,7 @@ def score(split: DataFrame, models: str | list[str] = DEFAULT_MODELS, n_test: in
         # read by metrics, model_ok, selection, the first forecast and the JSON documents
         preds = cut_lineage(preds)
     model_metrics = M.error_metrics(actuals, preds.filter(F.col("model") != BASELINE))
-    ok = M.model_ok(model_metrics, preds, horizon)
+    ok = M.model_ok(model_metrics, preds, horizon, n_test)
     model_metrics = model_metrics.join(ok, ["item_id", "model"]).withColumn(
         "mape", F.when(F.col("model_ok") == 1, F.col("mape"))).withColumn(
         "mae", F.when(F.col("model_ok") == 1, F.col("mae"))).withColumn(
@@ -108,10 +111,18 @@ def forecast_record(cells: DataFrame, worklist: DataFrame, done: DataFrame | Non
                     models: str | list[str] = DEFAULT_MODELS, n_test: int = N_TEST, horizon: int = HORIZON,
                     channel_scoped: bool = False, checkpoint: bool = True, with_json: bool = True,
                     **model_kw) -> DataFrame:
-    """One summary record per work-list item (schema FORECAST_RECORD)."""
+    """One summary record per work-list item (schema FORECAST_RECORD).
+
+    Items with the same level key and cutoff (one customer in two channels, unless ``channel_scoped``) have the
+    same series: it is built and fitted once, under the smallest item_id, and joined back to all of them."""
     items = items_from_worklist(worklist, done)
-    keyed = S.item_keys(items, channel_scoped)
-    raw, split = build_series(cells, items, n_test, channel_scoped, checkpoint)
+    same = Window.partitionBy("lvl", "kd", "kc", "kp", "month_year")
+    keyed = S.item_keys(items, channel_scoped).withColumnRenamed("item_id", "own_id")
+    keyed = keyed.withColumn("item_id", F.when(F.col("lvl").isNotNull(), F.min("own_id").over(same)).otherwise(F.col("own_id")))
+    if checkpoint:
+        keyed = cut_lineage(keyed)
+    once = keyed.filter(F.col("own_id") == F.col("item_id")).select("item_id", "debtorcode", "category", "projno", "month_year")
+    raw, split = build_series(cells, once, n_test, channel_scoped, checkpoint)
     preds, mm, bm, caps = score(split, models, n_test, horizon, checkpoint, **model_kw)
     best = M.best_model(mm)
     # one pass over each item's months: size, last month with data, hold-out mean, last actual
@@ -123,7 +134,7 @@ def forecast_record(cells: DataFrame, worklist: DataFrame, done: DataFrame | Non
     per_item = per_item.withColumn("last_trainmy", F.date_format(S.month_start_of_index(F.col("_t_last_known")),
                                                                  "yyyy-MM"))
     fc = M.first_forecast_of(preds, best)
-    rec = (keyed.select("item_id", "debtorcode", "category", "projno", "lvl")
+    rec = (keyed.select("own_id", "item_id", "debtorcode", "category", "projno", "lvl")
            .join(per_item.drop("_t_last_known"), "item_id", "left")
            .join(best, "item_id", "left")
            .join(bm.select("item_id", F.col("mape").alias("baseline_mape")), "item_id", "left")
@@ -143,7 +154,7 @@ def forecast_record(cells: DataFrame, worklist: DataFrame, done: DataFrame | Non
             rec = rec.withColumn(c, F.lit(None).cast("string"))
     from ..schemas import FORECAST_RECORD
     rec = rec.withColumn("last_update", F.current_timestamp())
-    return rec.select("item_id", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in FORECAST_RECORD.fields])
+    return rec.select(F.col("own_id").alias("item_id"), *[F.col(f.name).cast(f.dataType).alias(f.name) for f in FORECAST_RECORD.fields])
 
 
 def run(cells: DataFrame, worklist: DataFrame, store_path: str, models: str | list[str] = DEFAULT_MODELS,
@@ -152,7 +163,8 @@ def run(cells: DataFrame, worklist: DataFrame, store_path: str, models: str | li
 
     Items whose (customer, category, month, channel) is already in the store
     are skipped (J4), so a re-run after a failure only does the remainder;
-    the upsert writes the next store version. Returns that version (the
+    the upsert commits the next store version. Items stored without a forecast
+    (too short, no model) are tried again. Returns that version (the
     current one when every item is already stored).
     """
     from ..sources import forecast_store

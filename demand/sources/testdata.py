@@ -42,17 +42,19 @@ def _debtor_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(cust_nation, orders.o_custkey == cust_nation.c_custkey)
 
 
-def warehouse_from_testdata(spark: SparkSession, sf_dir: str) -> Warehouse:
+def warehouse_from_testdata(spark: SparkSession, sf_dir: str, debtor: str = "n_name", amount: str = "l_extendedprice") -> Warehouse:
+    """``debtor``: the customer code (the nation's name, or ``o_custkey``); ``amount``: SQL of a line's amount."""
     orders = _debtor_of_order(spark, sf_dir)
+    code = F.col(debtor).cast("string")
     headers = orders.select(
         F.col("o_orderkey").cast("long").alias("dockey"),
         F.col("o_orderdate").cast("date").alias("docdate"),
-        F.col("n_name").alias("debtorcode"),
+        code.alias("debtorcode"),
     )
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("long").alias("dockey"),
         F.col("l_partkey").cast("long").alias("itemcode"),
-        F.col("l_extendedprice").cast("double").alias("amount"),
+        F.expr(amount).cast("double").alias("amount"),
         F.when(F.col("l_returnflag") == "R", F.lit("RET")).alias("projno"),
     )
     items = table(spark, sf_dir, "part").select(
@@ -60,7 +62,7 @@ def warehouse_from_testdata(spark: SparkSession, sf_dir: str) -> Warehouse:
         F.col("p_type").alias("itemtype"),
     )
     channel2 = orders.select(
-        F.col("n_name").alias("debtorcode"),
+        code.alias("debtorcode"),
         F.col("o_orderdate").cast("date").alias("docdate"),
         F.col("o_totalprice").cast("double").alias("amount"),
         F.col("o_orderpriority").alias("category"),

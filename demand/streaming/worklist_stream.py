@@ -6,8 +6,9 @@ files) goes through the forecast job in ``foreachBatch``. Delivery is
 effectively exactly-once: the stream checkpoint records which files were
 processed, a replayed batch skips keys already in the store (J4), and the
 store write is a keyed upsert into a new version (S8), so a replay can never
-duplicate a record. Cells are re-read from the warehouse in every batch, so
-each file is forecast against the data current at that time.
+duplicate a record. A micro-batch takes all files that are pending, and
+``cells_fn`` is called once for it (not per file): pass a function that reads the
+warehouse to forecast against current data, or one that returns finished cells.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from ..session import scratch_path
 
 def worklist_stream(spark: SparkSession, worklist_dir: str) -> DataFrame:
     """Streaming DataFrame of work-list rows from CSV files as they arrive."""
-    return (spark.readStream.schema(WORKLIST).option("header", True).option("maxFilesPerTrigger", 1)
+    return (spark.readStream.schema(WORKLIST).option("header", True)
             .option("recursiveFileLookup", True).csv(worklist_dir)
             .na.fill("", ["debtorcode", "category", "projno", "month_year"]))
 

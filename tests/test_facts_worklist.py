@@ -124,3 +124,32 @@ def test_worklist_numbering_is_dense_on_real_tables(spark):
     for _ in range(2):
         ids = sorted(r.row_idx for r in W.worklist(cells, TESTDATA_CUTOFF).collect())
         assert ids == list(range(206))
+
+
+def test_small_amounts_are_summed_before_they_are_cast(spark):
+    from demand.operators import series as S
+    rows = [("D1", "2020-01-05", 0.004, "C1", "AC")] * 1000
+    facts_df = spark.createDataFrame([(d, a, c, p, "2020-01") for d, _, a, c, p in rows],
+                                     "debtorcode string, y double, category string, projno string, month_year string")
+    assert facts.sum_by_cell(facts_df).first().y == 4.0
+    # a decimal column keeps its own scale
+    fine = facts_df.withColumn("y", F.lit("0.00000004").cast("decimal(18,8)"))
+    assert abs(facts.sum_by_cell(fine).first().y - 0.00004) < 1e-15
+    cells = spark.createDataFrame([("D1", "C1", "AC", 0.0049, "2020-01")],
+                                  "debtorcode string, category string, projno string, y double, month_year string")
+    assert {float(r.y_dec) for r in S.level_month_sums(cells).collect()} == {0.0049}
+
+
+def test_amounts_keep_a_decimal_type(spark):
+    from demand.sources.warehouse import canonical
+    src = spark.createDataFrame([(1, "0.0049")], "k int, a string").withColumn("a", F.col("a").cast("decimal(18,4)"))
+    assert dict(canonical(src, {"k": "dockey", "a": "amount"}).dtypes)["amount"] == "decimal(18,4)"
+
+
+def test_partial_holdout_is_no_model(spark):
+    from demand.operators import metrics as M
+    preds = spark.createDataFrame([(1, "XGBoost", "test", t, 1.0) for t in range(4)] + [(1, "XGBoost", "future", t, 1.0) for t in range(6, 9)]
+                                  + [(2, "XGBoost", "test", t, 1.0) for t in range(6)] + [(2, "XGBoost", "future", t, 1.0) for t in range(6, 9)],
+                                  "item_id long, model string, phase string, t long, yhat double")
+    metrics = spark.createDataFrame([(1, "XGBoost", 1.0), (2, "XGBoost", 1.0)], "item_id long, model string, mape double")
+    assert {r.item_id: r.model_ok for r in M.model_ok(metrics, preds, 3).collect()} == {1: 0, 2: 1}

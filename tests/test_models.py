@@ -125,11 +125,31 @@ def test_trend_holiday_trend_and_holiday_effect(spark):
     assert _mape(expect, fut.yhat.values) < 3.0
 
 
-def test_boosted_rows_and_sanity(spark):
-    series = {i: _seasonal(48, level=100 + 10 * i, noise=0.02, seed=i) for i in range(6)}
+def test_boosted_beats_naive_on_seasonal_data(spark):
+    series = {i: _seasonal(60, level=100 + 10 * i, amp=0.3, noise=0.02, seed=i) for i in range(6)}
     split = _split(spark, series)
-    p = boosted.boosted_lags(split, max_iter=5).toPandas()
+    p = boosted.boosted_lags(split).toPandas()
     assert len(p[p.phase == "test"]) == 6 * 6 and len(p[p.phase == "future"]) == 6 * 3
     assert np.isfinite(p.yhat).all()
-    test = p[(p.phase == "test") & (p.item_id == 0)].sort_values("t")
-    assert _mape(series[0][-6:], test.yhat) < 30.0
+    for i, y in series.items():
+        test = p[(p.phase == "test") & (p.item_id == i)].sort_values("t")
+        assert _mape(y[-6:], test.yhat) < _mape(y[-6:], np.full(6, y[-7]))
+
+
+def test_boosted_learns_its_training_rows():
+    """With many rounds the booster reproduces distinct training rows; without any it is the mean."""
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(3, 20, 4)), rng.normal(size=(3, 20))
+    live = np.ones((3, 20), bool)
+    live[1, 12:] = False
+    got = boosted.boost(x, y, live, x[:, 5], np.array([True, False, True]), 2)
+    assert np.allclose(got[:, 0], y[:, 5], atol=1e-4)
+    assert np.isnan(got[1, 1]) and np.isfinite(got[[0, 2], 1]).all()
+    flat = boosted.boost(x, y, live, x[:, 5], np.ones(3, bool), 1, max_iter=0)
+    assert np.allclose(flat[:, 0], [y[0].mean(), y[1, :12].mean(), y[2].mean()])
+
+
+def test_boosted_short_and_zero_series(spark):
+    split = _split(spark, {1: [5.0] * 6, 2: [0.0] * 20, 3: [1.0, 2.0] * 10})
+    p = boosted.boosted_lags(split, max_iter=3).toPandas()
+    assert set(p.item_id) == {3}

@@ -58,6 +58,70 @@ def test_no_model_when_all_fail(spark):
                                "row_idx long, debtorcode string, category string, projno string, month_year string")
     r = forecast_job.forecast_record(cells, wl, models="hwexsmooth").first()
     assert r.status == "no_model" and r.mape_model is None and r.rbaseline is not None
+    # nothing is invented for a model that does not exist
+    assert (r.rmape, r.pred_bt_base, r.pred_bt_base_p, r.pred_trend, r.pred_trend_p, r.forecast_amt) == (None,) * 6
+
+
+def test_labels_are_null_without_a_forecast(spark):
+    cells, cutoff = _cells(spark)
+    rec = forecast_job.forecast_record(cells, _worklist(spark, cutoff), models="hwexsmooth", with_json=False).collect()
+    for r in rec:
+        made = (r.rmape, r.rbaseline, r.pred_bt_base, r.pred_trend)
+        assert all(x is not None for x in made) if r.status == "ok" else all(x is None for x in made), r
+
+
+def test_items_without_a_model_are_tried_again(spark):
+    ms = months(2015, 1, 30)
+    cells = cells_df(spark, [("D1", "C1", "AC", 0.0 if i == 3 else 10.0 + i, m) for i, m in enumerate(ms)])
+    wl = spark.createDataFrame([(0, "D1", "All", "AC", ms[-1])],
+                               "row_idx long, debtorcode string, category string, projno string, month_year string")
+    path = scratch_path(spark, "store-retry")
+    assert forecast_job.run(cells, wl, path, models="hwexsmooth") == 0
+    assert [r.status for r in forecast_store.read_forecasts(spark, path).collect()] == ["no_model"]
+    assert forecast_job.run(cells, wl, path, models="xgboost", boost_rounds=5) == 1
+    assert [r.status for r in forecast_store.read_forecasts(spark, path).collect()] == ["ok"]
+    assert forecast_job.run(cells, wl, path, models="hwexsmooth") == 1  # has a forecast now
+
+
+def test_same_series_is_fitted_once(spark):
+    """A customer's items in two channels share the series, and each gets its record."""
+    cells, cutoff = _cells(spark)
+    wl = spark.createDataFrame([(5, "D1", "All", "AC", cutoff), (6, "D1", "All", "UL", cutoff), (7, "D2", "All", "UL", cutoff)],
+                               "row_idx long, debtorcode string, category string, projno string, month_year string")
+    got = {r.item_id: r for r in forecast_job.forecast_record(cells, wl, models="hwexsmooth").collect()}
+    assert got[5].projno == "AC" and got[6].projno == "UL"
+    assert got[5].forecast_amt == got[6].forecast_amt != got[7].forecast_amt
+    assert got[5].forecast_df == got[6].forecast_df is not None
+
+
+def _records(spark, cutoff, cells, code, value):
+    rec = forecast_job.forecast_record(cells, _worklist(spark, cutoff).filter("row_idx = 1"), models="hwexsmooth", with_json=False)
+    return rec.drop("item_id").withColumn("debtorcode", F.lit(code)).withColumn("mape_min", F.lit(value)).cache()
+
+
+def test_two_writers_keep_all_keys(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    cells, cutoff = _cells(spark)
+    path = scratch_path(spark, "store-writers")
+    forecast_store.upsert_forecast(spark, _records(spark, cutoff, cells, "A", 1.0), path)
+    new = [_records(spark, cutoff, cells, c, 2.0) for c in "BCDE"]
+    with ThreadPoolExecutor(4) as pool:
+        versions = list(pool.map(lambda r: forecast_store.upsert_forecast(spark, r, path), new))
+    assert sorted(versions) == [1, 2, 3, 4]
+    assert sorted(r.debtorcode for r in forecast_store.read_forecasts(spark, path).collect()) == list("ABCDE")
+
+
+def test_a_write_without_commit_is_not_read(spark):
+    cells, cutoff = _cells(spark)
+    path = scratch_path(spark, "store-partial")
+    rec = _records(spark, cutoff, cells, "A", 1.0)
+    forecast_store.upsert_forecast(spark, rec, path)
+    rec.withColumn("mape_min", F.lit(9.0)).write.partitionBy("last_trainmy").parquet(f"{path}/data/run=died")
+    fs, path_of = forecast_store._fs(spark, path)
+    fs.create(path_of(f"{path}/log/v1/entry.json"), False).close()  # a commit that never became whole
+    assert [r.mape_min for r in forecast_store.read_forecasts(spark, path).collect()] == [1.0]
+    forecast_store.upsert_forecast(spark, rec.withColumn("mape_min", F.lit(3.0)), path)
+    assert [r.mape_min for r in forecast_store.read_forecasts(spark, path).collect()] == [3.0]
 
 
 def test_upsert_idempotent_and_run_skips_done(spark):
@@ -131,6 +195,7 @@ def test_worklist_stream_forecasts_each_file(spark):
     assert got.count() == 5
     assert {r.status for r in got.collect()} == {"ok", "too_short", "bad_item", "no_data"}
     versions = forecast_store.latest_version(spark, store)
+    assert versions == 0  # both files were pending: one micro-batch, one commit
     # restart on the same checkpoint: the files are known, no batch runs
     q2 = start_forecast_stream(spark, wl_dir, lambda: cells, store, checkpoint_location=ckpt, models="hwexsmooth")
     q2.awaitTermination()
@@ -155,7 +220,7 @@ def test_upsert_rewrites_only_touched_months(spark):
     forecast_store.upsert_forecast(spark, feb.withColumn("mape_min", F.lit(2.0))
                                    .withColumn("last_update", F.col("last_update") + F.expr("INTERVAL 1 MINUTE")), path)
     local = path.replace("file:", "")
-    months = sorted(p.split("last_trainmy=")[1].split("/")[0] for p in glob.glob(local + "/last_trainmy=*/version=*"))
+    months = sorted(p.split("last_trainmy=")[1].split("/")[0] for p in glob.glob(local + "/data/run=*/last_trainmy=*"))
     assert months == ["2021-01", "2021-02", "2021-02"]  # January written once
     got = forecast_store.read_forecasts(spark, path)
     assert got.count() == 10
