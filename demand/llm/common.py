@@ -131,9 +131,10 @@ def piece_hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def span_index(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Concatenated ranges start .. start+length-1."""
-    total = int(lengths.sum())
     ends = np.cumsum(lengths)
-    return np.arange(total) - np.repeat(ends - lengths, lengths) + np.repeat(starts, lengths)
+    out = np.repeat(starts - (ends - lengths), lengths)
+    out += np.arange(len(out))
+    return out
 
 
 def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -32,15 +32,17 @@ SHARD_SCHEMA = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_token
 SLOTS = 20
 
 
-def compress(ids: np.ndarray, base: int, rounds: int = 6, per_round: int = 4096, least: int = 8):
+def compress(ids: np.ndarray, base: int, rounds: int = 3, per_round: int = 8192, least: int = 8):
     """(rules as pairs of symbols, expansion length per rule, sequence); symbol base + i is rule i."""
     seq = ids.astype(np.uint32)
     rules, length = np.empty((0, 2), np.uint32), np.empty(0, np.int64)
     for _ in range(rounds):
         if len(seq) < 2:
             break
-        pair = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-        slot = (pair * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOTS)).astype(np.int64)
+        pair = seq[:-1].astype(np.uint64)
+        pair <<= np.uint64(32)
+        pair |= seq[1:]
+        slot = (pair * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOTS)).astype(np.int32)
         owner = np.zeros(1 << SLOTS, np.uint64)
         owner[slot] = pair  # one pair per slot; others wait
         mine = owner[slot] == pair
@@ -50,13 +52,15 @@ def compress(ids: np.ndarray, base: int, rounds: int = 6, per_round: int = 4096,
         if not len(chosen):
             break
         chosen = chosen[np.argsort(-count[chosen], kind="stable")]
-        number = np.full(1 << SLOTS, -1, np.int64)
-        number[chosen] = np.arange(len(chosen))
-        rule = np.where(mine, number[slot], -1)
-        hit = rule >= 0
-        place = np.arange(len(hit))
-        run_start = np.maximum.accumulate(np.where(hit & ~np.concatenate([[False], hit[:-1]]), place, 0))
-        take = hit & ((place - run_start) % 2 == 0)  # every other place of a run of overlapping pairs
+        number = np.full(1 << SLOTS, -1, np.int32)
+        number[chosen] = np.arange(len(chosen), dtype=np.int32)
+        rule = number[slot]
+        rule[~mine] = -1
+        at = np.flatnonzero(rule >= 0)  # every other place of a run of overlapping pairs is taken
+        head = np.concatenate([[True], np.diff(at) > 1]) if len(at) else np.empty(0, bool)
+        rank = np.arange(len(at)) - np.maximum.accumulate(np.where(head, np.arange(len(at)), 0))
+        take = np.zeros(len(rule), bool)
+        take[at[rank % 2 == 0]] = True
         used = np.bincount(rule[take], minlength=len(chosen))
         worth = used >= least // 2
         take &= worth[np.maximum(rule, 0)]

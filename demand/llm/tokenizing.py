@@ -3,23 +3,28 @@
 Both tokenizers used here split a text before any merge, and some places are always split: white space for the
 word tokenizer (it drops white space), a single space between two other characters for the byte tokenizer (it
 starts the next piece). Cutting there and encoding each distinct piece once gives the ids of the whole text. A text
-whose spaces are not all of that kind is encoded whole. ``tests/llm`` holds this against plain encoding.
+whose spaces are not all of that kind is encoded whole. Trailing punctuation after a letter or digit is a piece too. ``tests/llm`` holds this against plain
+encoding.
 """
 
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from demand.llm.common import flat, span_index
+from demand.llm.common import flat, span_index, string_array
 
-CACHE_PIECES = 500_000
+CACHE_PIECES = 400_000
 #: A space that is not alone between two other characters.
 ODD_SPACE = r"^ | $|[\s\p{Z}\x{1C}-\x{1F}\x{85}] | [\s\p{Z}\x{1C}-\x{1F}\x{85}]"
-_loaded: dict[str, tuple] = {}
+#: Punctuation that is split from a letter or digit before it.
+TAIL = ".,!?;:#$%&*|"
+ENDS_IN_LETTER = r"[A-Za-z0-9\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]$"
+_loaded: dict[str, "Coder"] = {}
 
 
 def tokenizer_path(name: str) -> str:
@@ -28,38 +33,72 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _load(path: str):
-    """The tokenizer and its cache of pieces; once per Python worker."""
-    if path not in _loaded:
+class Coder:
+    """A tokenizer with the ids of the pieces seen last: two generations, the older is dropped when the younger is full."""
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        _loaded[path] = (tokenizer, {})
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces in a row, ids per piece)."""
+        if len(self.young) > CACHE_PIECES:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        found = [young.get(p) or old.get(p) for p in pieces]
+        new = [i for i, x in enumerate(found) if x is None]
+        for i in range(0, len(new), 20_000):
+            part = new[i:i + 20_000]
+            coded = self.tokenizer.encode_batch_fast([pieces[j] for j in part], add_special_tokens=False)
+            lists = [e.ids for e in coded]
+            raw = np.fromiter(chain.from_iterable(lists), "<u4").tobytes()
+            at = 0
+            for j, x in zip(part, lists, strict=True):
+                found[j] = raw[at:at + 4 * len(x)]
+                at += 4 * len(x)
+        young.update((p, x) for p, x in zip(pieces, found, strict=True) if len(p) <= 32)
+        size = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        return np.frombuffer(b"".join(found), "<u4"), size
+
+
+def _coder(path: str) -> Coder:
+    """Once per Python worker."""
+    if path not in _loaded:
+        _loaded[path] = Coder(path)
     return _loaded[path]
 
 
-def _ids(path: str, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all pieces in a row, ids per piece)."""
-    tokenizer, cache = _load(path)
-    if len(cache) > CACHE_PIECES:
-        cache.clear()
-    found = [cache.get(p) for p in pieces]
-    new = [i for i, x in enumerate(found) if x is None]
-    for i in range(0, len(new), 20_000):
-        part = new[i:i + 20_000]
-        coded = tokenizer.encode_batch_fast([pieces[j] for j in part], add_special_tokens=False)
-        for j, e in zip(part, coded, strict=True):
-            found[j] = np.array(e.ids, "<u4").tobytes()
-            if len(pieces[j]) <= 32:
-                cache[pieces[j]] = found[j]
-    return np.frombuffer(b"".join(found), "<u4"), np.array([len(x) >> 2 for x in found], np.int64)
+def _strings(column) -> list[str]:
+    """Python strings of pieces without spaces."""
+    if len(column) < 2:
+        return column.to_pylist()
+    whole = pa.ListArray.from_arrays([0, len(column)], column)
+    return pc.binary_join(whole, pa.scalar(" ", pa.large_string()))[0].as_py().split(" ")
+
+
+def _split_tails(words):
+    """(stems, tails) of distinct words: trailing punctuation after a letter or digit is a piece of its own."""
+    stems = pc.utf8_rtrim(words, TAIL)
+    plain = pc.match_substring_regex(stems, ENDS_IN_LETTER)
+    stems = pc.if_else(plain, stems, words)
+    tails = pc.if_else(plain, words, "")
+    raw, at = flat(tails)
+    _, stem_at = flat(stems)
+    keep = np.where(np.diff(at) > 0, np.diff(stem_at), 0)  # bytes of the stem, cut from the front of the word
+    size = np.diff(at) - keep
+    cut = raw[span_index(at[:-1] + keep, size)]
+    return stems, string_array(cut, np.concatenate([[0], np.cumsum(size)]))
 
 
 def encode(column, path: str, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts in a row, ids per text) of a string column without nulls.
 
-    ``spaced``: spaces belong to the piece after them (byte tokenizer); else white space is dropped.
+    ``spaced``: spaces belong to the piece after them (byte tokenizer); else white space is dropped and
+    capitals are lowered (word tokenizer).
     """
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     n = len(column)
@@ -72,19 +111,35 @@ def encode(column, path: str, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
         split = pc.ascii_split_whitespace(column)
     values, bounds = split.flatten(), split.offsets.to_numpy()
     coded = values.dictionary_encode()
-    words = coded.dictionary.to_pylist()
     number = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    stems, tails = [x.dictionary_encode() for x in _split_tails(coded.dictionary)]
+    stem, tail = stems.indices.to_numpy(zero_copy_only=False).astype(np.int64), tails.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     count = np.diff(bounds)
     if spaced:  # the first piece of a text has no space before it
+        pieces = _strings(stems.dictionary)
         first = bounds[:-1][count > 0]
         lead, where = np.unique(number[first], return_inverse=True)
-        number[first] = len(words) + where
-        words = [" " + w for w in words] + [words[i] for i in lead.tolist()]
+        number[first] = len(stem) + where
+        pieces = [" " + w for w in pieces] + [pieces[i] for i in stem[lead].tolist()]
+        stem = np.concatenate([stem, len(stems.dictionary) + np.arange(len(lead))])
+        tail = np.concatenate([tail, tail[lead]])
+    else:
+        lowered = pc.ascii_lower(stems.dictionary).dictionary_encode()
+        pieces, stem = _strings(lowered.dictionary), lowered.indices.to_numpy(zero_copy_only=False).astype(np.int64)[stem]
     odd = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
     if len(odd):  # such a text is one piece of its own (its split gave one empty piece)
-        number[bounds[odd]] = len(words) + np.arange(len(odd))
-        words += column.take(pa.array(odd)).to_pylist()
-    ids, size = _ids(path, words)
+        number[bounds[odd]] = len(stem) + np.arange(len(odd))
+        stem = np.concatenate([stem, len(pieces) + np.arange(len(odd))])
+        nothing = len(tails.dictionary)
+        tail = np.concatenate([tail, np.full(len(odd), nothing)])
+        pieces += column.take(pa.array(odd)).to_pylist()
+        ends = [*_strings(tails.dictionary), ""]
+    else:
+        ends = _strings(tails.dictionary)
+    ids, size = _coder(path).ids(pieces + ends)
+    start = np.cumsum(size) - size
+    both = np.stack([stem, len(pieces) + tail], axis=1).ravel()  # stem and tail of each distinct word
+    ids, size = ids[span_index(start[both], size[both])], size[both].reshape(-1, 2).sum(axis=1)
     start = np.cumsum(size) - size
     out = ids[span_index(start[number], size[number])]
     total = np.concatenate([[0], np.cumsum(size[number])])
