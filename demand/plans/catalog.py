@@ -38,6 +38,11 @@ def _r(c):
     return F.round(c, R)
 
 
+def _r_off(c):
+    """Means and lines of short decimals can end in a 5 that two engines leave on either side: move off it."""
+    return F.round(c + F.lit(1e-6), R)
+
+
 # ---------------------------------------------------------------------------
 # Spark side
 
@@ -303,7 +308,7 @@ def _baseline_metrics(spark, sf):
 
 def q_error_metrics(spark, sf):
     m = _baseline_metrics(spark, sf)
-    return m.select("item_id", "model", _r(F.col("mae")).alias("mae"), _r(F.col("mape")).alias("mape"),
+    return m.select("item_id", "model", _r_off(F.col("mae")).alias("mae"), _r(F.col("mape")).alias("mape"),
                     _r(F.col("maape")).alias("maape"))
 
 
@@ -598,7 +603,7 @@ ORACLES = {
         round(CASE WHEN b.yhat * 1.5 IS NULL OR isnan(b.yhat * 1.5) THEN 1e-10
                    ELSE greatest(0.0, least(b.yhat * 1.5, c.cap)) END, 4) AS yhat
         FROM base_pred b JOIN caps c ON b.item_id = c.item_id""",
-    "error_metrics": SER + """ SELECT item_id, model, round(mae, 4) AS mae, round(mape, 4) AS mape,
+    "error_metrics": SER + """ SELECT item_id, model, round(mae + 1e-6, 4) AS mae, round(mape, 4) AS mape,
         round(maape, 4) AS maape FROM base_metrics""",
     "rescale_accuracy": SER + " SELECT item_id, round(greatest(0.0, 100.0 - mape), 4) AS rbaseline FROM base_metrics",
     "vs_baseline_label": SER + """ SELECT item_id,
@@ -762,9 +767,9 @@ record AS (
          CASE WHEN forecast_amt >= tmonth_amt + tmonth_amt * 0.1 THEN 'UP'
               WHEN forecast_amt <= tmonth_amt - tmonth_amt * 0.1 THEN 'DW'
               WHEN forecast_amt IS NOT NULL AND tmonth_amt IS NOT NULL THEN 'NC' END AS pred_trend,
-         round(mae_v, 4) AS mae_v,
+         round(mae_v + 1e-6, 4) AS mae_v,
          round(abs((forecast_amt - tmonth_amt + 1e-10) / (tmonth_amt + 1e-10) * 100.0), 4) AS pred_trend_p,
-         round(tmonth_amt, 4) AS tmonth_amt, round(forecast_amt, 4) AS forecast_amt,
+         round(tmonth_amt, 4) AS tmonth_amt, round(forecast_amt + 1e-6, 4) AS forecast_amt,
          CASE WHEN lvl IS NULL THEN 'bad_item' WHEN n IS NULL THEN 'no_data' WHEN n <= 6 THEN 'too_short' WHEN mape_model IS NULL THEN 'no_model' ELSE 'ok' END
            AS status
   FROM rec2)"""
@@ -826,7 +831,8 @@ ROUNDED = {"mape_min", "rmape", "rbaseline", "maape_min", "test_mean", "pred_bt_
 
 
 def _record_view(rec):
-    return rec.select(*[_r(F.col(c)).alias(c) if c in ROUNDED else F.col(c) for c in RECORD_COLUMNS])
+    return rec.select(*[_r_off(F.col(c)).alias(c) if c in ("mae_v", "forecast_amt") else _r(F.col(c)).alias(c) if c in ROUNDED else F.col(c)
+                        for c in RECORD_COLUMNS])
 
 
 def _record(spark, sf, with_json=False, registry="competing"):
@@ -845,7 +851,7 @@ def q_holt_winters_grid(spark, sf):
 
 def q_model_subset(spark, sf):
     _, preds, _, _, _ = _scored(spark, sf)
-    return preds.select("item_id", "model", "phase", F.col("t").cast("long").alias("t"), _r(F.col("yhat")).alias("yhat"))
+    return preds.select("item_id", "model", "phase", F.col("t").cast("long").alias("t"), _r_off(F.col("yhat")).alias("yhat"))
 
 
 def q_model_ok(spark, sf):
@@ -857,21 +863,21 @@ def q_model_ok(spark, sf):
 
 def q_model_scores_long(spark, sf):
     _, _, mm, bm, _ = _scored(spark, sf)
-    return mm.unionByName(bm).select("item_id", "model", _r(F.col("mae")).alias("mae"), _r(F.col("mape")).alias("mape"),
+    return mm.unionByName(bm).select("item_id", "model", _r_off(F.col("mae")).alias("mae"), _r(F.col("mape")).alias("mape"),
                                      _r(F.col("maape")).alias("maape"))
 
 
 def q_best_model(spark, sf):
     _, _, mm, _, _ = _scored(spark, sf)
     b = M.best_model(mm)
-    return b.select("item_id", "mape_model", _r(F.col("mape_min")).alias("mape_min"), _r(F.col("mae_v")).alias("mae_v"),
+    return b.select("item_id", "mape_model", _r(F.col("mape_min")).alias("mape_min"), _r_off(F.col("mae_v")).alias("mae_v"),
                     "maape_model", _r(F.col("maape_min")).alias("maape_min"))
 
 
 def q_future_forecasts(spark, sf):
     _, preds, _, _, _ = _scored(spark, sf)
     f = preds.filter("phase = 'future'")
-    return f.select("item_id", "model", F.col("t").cast("long").alias("t"), "ds", _r(F.col("yhat")).alias("yhat"))
+    return f.select("item_id", "model", F.col("t").cast("long").alias("t"), "ds", _r_off(F.col("yhat")).alias("yhat"))
 
 
 def q_forecast_record(spark, sf):
@@ -887,7 +893,7 @@ def q_json_pack(spark, sf):
             .select("item_id", "doc", "col", F.explode("values").alias("key", "v")))
     named = F.col("col") == "Models"
     return rows.select("item_id", "doc", "col", "key", F.when(named, F.col("v")).alias("label"),
-                       F.when(~named, _r(F.col("v").cast("double"))).alias("value"))
+                       F.when(~named, _r_off(F.col("v").cast("double"))).alias("value"))
 
 
 def q_append_results(spark, sf):
@@ -918,14 +924,23 @@ def _model_preds(fn):
     return q
 
 
+def _relative_preds(spark, sf, fn):
+    """Predictions relative to the largest value of their series: regressions are compared to five digits."""
+    split = _split(spark, sf)
+    p = fn(split.filter(F.col("n") > F.lit(6)))
+    top = split.groupBy("item_id").agg(F.max(F.abs("y")).alias("top"))
+    return p.join(top, "item_id").select("item_id", "model", "phase", F.col("t").cast("long").alias("t"), "ds",
+                                         F.round(F.col("yhat") / F.col("top"), 5).alias("yhat"))
+
+
 def q_seasonal_ar(spark, sf):
     from ..operators.models import seasonal_ar
-    return _model_preds(seasonal_ar.seasonal_ar)(spark, sf)
+    return _relative_preds(spark, sf, seasonal_ar.seasonal_ar)
 
 
 def q_trend_holiday(spark, sf):
     from ..operators.models import trend_holiday
-    return _model_preds(trend_holiday.trend_holiday)(spark, sf)
+    return _relative_preds(spark, sf, trend_holiday.trend_holiday)
 
 
 def q_boosted_lags(spark, sf):
@@ -986,13 +1001,13 @@ QUERIES.update({
 
 ORACLES.update({
     "holt_winters_grid": HW + " SELECT item_id, model, phase, t, ds, round(yhat, 4) AS yhat FROM hw_pred",
-    "model_subset": COMPETING + " SELECT item_id, model, phase, t, round(yhat, 4) AS yhat FROM clipped",
+    "model_subset": COMPETING + " SELECT item_id, model, phase, t, round(yhat + 1e-6, 4) AS yhat FROM clipped",
     "model_ok": COMPETING + " SELECT item_id, model, model_ok FROM mok",
-    "model_scores_long": COMPETING + """ SELECT item_id, model, round(mae, 4) AS mae, round(mape, 4) AS mape, round(maape, 4) AS maape
-        FROM mm UNION ALL SELECT item_id, model, round(mae, 4), round(mape, 4), round(maape, 4) FROM base_metrics""",
-    "best_model": COMPETING + """ SELECT item_id, mape_model, round(mape_min, 4) AS mape_min, round(mae_v, 4) AS mae_v, maape_model,
+    "model_scores_long": COMPETING + """ SELECT item_id, model, round(mae + 1e-6, 4) AS mae, round(mape, 4) AS mape, round(maape, 4) AS maape
+        FROM mm UNION ALL SELECT item_id, model, round(mae + 1e-6, 4), round(mape, 4), round(maape, 4) FROM base_metrics""",
+    "best_model": COMPETING + """ SELECT item_id, mape_model, round(mape_min, 4) AS mape_min, round(mae_v + 1e-6, 4) AS mae_v, maape_model,
         round(maape_min, 4) AS maape_min FROM best""",
-    "future_forecasts": COMPETING + " SELECT item_id, model, t, ds, round(yhat, 4) AS yhat FROM clipped WHERE phase = 'future'",
+    "future_forecasts": COMPETING + " SELECT item_id, model, t, ds, round(yhat + 1e-6, 4) AS yhat FROM clipped WHERE phase = 'future'",
     "forecast_record": COMPETING + " SELECT * FROM record",
     "append_results": COMPETING + " SELECT * FROM record UNION ALL SELECT * FROM record",
     "upsert_forecast": COMPETING + " SELECT * FROM record",
@@ -1014,10 +1029,10 @@ timed AS (
   UNION ALL SELECT item_id, 'validation_df', 'y', ds, y FROM split WHERE is_test
   UNION ALL SELECT item_id, CASE WHEN phase = 'test' THEN 'validation_df' ELSE 'forecast_df' END, model, ds, yhat FROM clipped)
 SELECT item_id, doc, 'Models' AS col, key, model AS label, CAST(NULL AS DOUBLE) AS value FROM scored
-UNION ALL SELECT item_id, doc, 'MAPE_Errors', key, NULL, round(mape, 4) FROM scored
-UNION ALL SELECT item_id, doc, 'MAE_Errors', key, NULL, round(mae, 4) FROM scored
-UNION ALL SELECT item_id, doc, 'MAAPE_Errors', key, NULL, round(maape, 4) FROM scored
-UNION ALL SELECT item_id, doc, col, CAST(date_diff('day', DATE '1970-01-01', ds) * 86400000 AS VARCHAR), NULL, round(v, 4) FROM timed""",
+UNION ALL SELECT item_id, doc, 'MAPE_Errors', key, NULL, round(mape + 1e-6, 4) FROM scored
+UNION ALL SELECT item_id, doc, 'MAE_Errors', key, NULL, round(mae + 1e-6, 4) FROM scored
+UNION ALL SELECT item_id, doc, 'MAAPE_Errors', key, NULL, round(maape + 1e-6, 4) FROM scored
+UNION ALL SELECT item_id, doc, col, CAST(date_diff('day', DATE '1970-01-01', ds) * 86400000 AS VARCHAR), NULL, round(v + 1e-6, 4) FROM timed""",
 })
 
 
@@ -1065,3 +1080,129 @@ ORACLES["trend_line"] = SER + """ SELECT item_id, round(regr_intercept(ys, tau),
                    / CAST(MAX(t) OVER (PARTITION BY item_id) - MIN(t) OVER (PARTITION BY item_id) AS DOUBLE) AS tau
           FROM split)
     GROUP BY item_id"""
+
+
+# ---------------------------------------------------------------------------
+# Regression models in SQL: Gram sums, Gaussian elimination written out per step, recursive forecasts.
+
+def _eliminate(name: str, source: str, keys: str, k: int) -> str:
+    """CTEs that solve the k x k system a0_0..a{k-1}_{k-1}, b0..b{k-1} of each row of ``source``: x0..x{k-1} in ``name``."""
+    out, prev = [], source
+    for p in range(k - 1):
+        rest = ", ".join([f"a{i}_{j} - a{i}_{p} / a{p}_{p} * a{p}_{j} AS a{i}_{j}" for i in range(p + 1, k) for j in range(p + 1, k)]
+                         + [f"b{i} - a{i}_{p} / a{p}_{p} * b{p} AS b{i}" for i in range(p + 1, k)])
+        keep = ", ".join([f"a{i}_{j}" for i in range(p + 1) for j in range(i, k)] + [f"b{i}" for i in range(p + 1)])
+        out.append(f"{name}_{p} AS (SELECT {keys}, {keep}, {rest} FROM {prev})")
+        prev = f"{name}_{p}"
+    for i in range(k - 1, -1, -1):
+        known = "".join(f" - a{i}_{j} * x{j}" for j in range(i + 1, k))
+        out.append(f"{name}_x{i} AS (SELECT *, (b{i}{known}) / a{i}_{i} AS x{i} FROM {prev})")
+        prev = f"{name}_x{i}"
+    return ",\n".join(out) + f",\n{name} AS (SELECT * FROM {prev})"
+
+
+def _trend_sql() -> str:
+    from ..operators.models import trend_holiday as m
+    f = ["1.0", "tau", *[f"greatest(0.0, tau - {c!r})" for c in m.CHANGEPOINTS]]
+    k = len(f)
+    ridge = [0.0, 0.0] + [1.0 / m.CHANGEPOINT_PRIOR_SCALE ** 2] * len(m.CHANGEPOINTS)
+    grams = ", ".join([f"SUM(({f[i]}) * ({f[j]})){f' + {ridge[i]!r}' if i == j and ridge[i] else ''} AS a{i}_{j}" for i in range(k) for j in range(k)]
+                      + [f"SUM(({f[i]}) * ys) AS b{i}" for i in range(k)])
+    trend = " + ".join(f"x{i} * ({f[i]})" for i in range(k))
+    days = " OR ".join(f"(month(ds) = {mo} AND {d} = 1)" for mo, d, _ in m.MONTH_START_HOLIDAYS)
+    event = f"CASE WHEN {days} THEN month(ds) END"
+    return f""",
+th_rows AS (
+  SELECT item_id, phase, t, y, MIN(t) OVER w AS t0, MAX(t) OVER w AS t1, MAX(abs(y)) OVER w AS scale, COUNT(*) OVER w AS n_fit
+  FROM (SELECT item_id, 'test' AS phase, t, y FROM split WHERE NOT is_test AND n > 6
+        UNION ALL SELECT item_id, 'future', t, y FROM split WHERE n > 6)
+  WINDOW w AS (PARTITION BY item_id, phase)),
+th AS (
+  SELECT item_id, phase, t, t0, t1, scale, (t - t0) / CAST(t1 - t0 AS DOUBLE) AS tau, y / scale AS ys FROM th_rows WHERE n_fit >= 8 AND scale > 0),
+th_gram AS (SELECT item_id, phase, {grams} FROM th GROUP BY item_id, phase),
+{_eliminate("th_sol", "th_gram", "item_id, phase", k)},
+th_fit AS (
+  SELECT h.item_id, h.phase, ys, {trend} AS fit, make_date(CAST(floor((t - 1) / 12) AS BIGINT), CAST(t - floor((t - 1) / 12) * 12 AS BIGINT), 1) AS ds
+  FROM th h JOIN th_sol s ON h.item_id = s.item_id AND h.phase = s.phase),
+th_hol AS (
+  SELECT item_id, phase, {event} AS event, SUM((ys - fit) * fit) / (SUM(fit * fit) + {1.0 / m.HOLIDAYS_PRIOR_SCALE ** 2!r}) AS effect
+  FROM th_fit WHERE {event} IS NOT NULL GROUP BY item_id, phase, event),
+th_meta AS (SELECT DISTINCT item_id, phase, t0, t1, scale FROM th),
+th_tgt AS (
+  SELECT *, (t - t0) / CAST(t1 - t0 AS DOUBLE) AS tau,
+         make_date(CAST(floor((t - 1) / 12) AS BIGINT), CAST(t - floor((t - 1) / 12) * 12 AS BIGINT), 1) AS ds
+  FROM (SELECT *, t1 + UNNEST(range(1, CASE WHEN phase = 'test' THEN 7 ELSE 4 END)) AS t FROM th_meta)),
+th_pred AS (
+  SELECT g.item_id, 'Prophet' AS model, g.phase, g.t, g.ds, g.scale * ({trend}) * (1.0 + coalesce(h.effect, 0.0)) AS yhat
+  FROM th_tgt g JOIN th_sol s ON g.item_id = s.item_id AND g.phase = s.phase
+  LEFT JOIN th_hol h ON h.item_id = g.item_id AND h.phase = g.phase AND h.event = {event.replace('ds', 'g.ds')})"""
+
+
+def _relative_sql(preds: str) -> str:
+    return f""" SELECT p.item_id, p.model, p.phase, p.t, p.ds, round(p.yhat / m.top, 5) AS yhat
+        FROM {preds} p JOIN (SELECT item_id, MAX(abs(y)) AS top FROM split GROUP BY item_id) m ON p.item_id = m.item_id"""
+
+
+ORACLES["trend_holiday"] = SER + _trend_sql() + _relative_sql("th_pred")
+
+
+def _seasonal_sql() -> str:
+    from ..operators.models import seasonal_ar as m
+    z = {(0, 0): "y", (1, 0): "y - y1", (0, 1): "y - y12", (1, 1): "y - y1 - y12 + y13"}
+    variances = ", ".join(f"coalesce(var_samp({e}) OVER v, 'inf'::DOUBLE) AS v{i}" for i, e in enumerate(z.values()))
+    # the first of the smallest variances, in the order of z
+    chosen = "CASE " + " ".join(f"WHEN {' AND '.join(f'v{i} <= v{j}' for j in range(4) if j != i)} THEN {i}" for i in range(4)) + " END"
+    znow = "CASE o " + " ".join(f"WHEN {i} THEN {e}" for i, e in enumerate(z.values())) + " END"
+    f = ["1.0", "z1", "z2", "z12"]
+    grams = ", ".join([f"SUM({f[i]} * {f[j]}) AS g{i}_{j}" for i in range(4) for j in range(i, 4)] + [f"SUM({f[i]} * z) AS h{i}" for i in range(4)])
+    sets, union = [], []
+    for c, cols in enumerate(m.CANDIDATES):
+        k = len(cols)
+        g = lambda i, j: f"g{min(i, j)}_{max(i, j)}"
+        scaled = ", ".join([f"{g(cols[i], cols[j])} / sqrt({g(cols[i], cols[i])} * {g(cols[j], cols[j])}) AS a{i}_{j}" for i in range(k) for j in range(k)]
+                           + [f"h{cols[i]} / sqrt({g(cols[i], cols[i])}) AS b{i}" for i in range(k)])
+        sets.append(f"sa_in{c} AS (SELECT item_id, phase, {scaled} FROM sa_gram WHERE n_obs > {k})")
+        sets.append(_eliminate(f"sa_sol{c}", f"sa_in{c}", "item_id, phase", k))
+        beta = [f"s.x{cols.index(i)} / sqrt({g(i, i)})" if i in cols else "0.0" for i in range(4)]
+        sets.append(f"sa_b{c} AS (SELECT r.*, {', '.join(f'{b} AS w{i}' for i, b in enumerate(beta))} FROM sa_gram r "
+                    f"JOIN sa_sol{c} s ON r.item_id = s.item_id AND r.phase = s.phase)")
+        quad = " + ".join(f"w{i} * w{j} * {g(i, j)}" for i in cols for j in cols)
+        rss = f"greatest(yy - 2 * ({' + '.join(f'w{i} * h{i}' for i in cols)}) + ({quad}), 1e-300)"
+        union.append(f"SELECT item_id, phase, {c} AS c, n_obs * ln({rss} / n_obs) + {2 * k} AS aic, w0, w1, w2, w3 FROM sa_b{c}")
+    at = lambda j: f"coalesce(hist[len(hist) - {j - 1}], 0.0)"
+    back = lambda j: f"({at(j)} - d1 * {at(j + 1)} - d12 * {at(j + 12)} + d1 * d12 * {at(j + 13)})"
+    ahead = (f"w0 + w1 * {back(1)} + w2 * {back(2)} + w3 * {back(12)} + d1 * {at(1)} + d12 * {at(12)} - d1 * d12 * {at(13)}")
+    return f""",
+sa_rows AS (
+  SELECT item_id, 'test' AS phase, t, y FROM split WHERE NOT is_test AND n > 6 UNION ALL SELECT item_id, 'future', t, y FROM split WHERE n > 6),
+sa_lag AS (
+  SELECT *, LAG(y, 1) OVER w AS y1, LAG(y, 12) OVER w AS y12, LAG(y, 13) OVER w AS y13 FROM sa_rows WINDOW w AS (PARTITION BY item_id, phase ORDER BY t)),
+sa_var AS (SELECT *, {variances} FROM sa_lag WINDOW v AS (PARTITION BY item_id, phase)),
+sa_z AS (SELECT item_id, phase, t, y, o, {znow} AS z FROM (SELECT *, {chosen} AS o FROM sa_var)),
+sa_zl AS (
+  SELECT *, LAG(z, 1) OVER w AS z1, LAG(z, 2) OVER w AS z2, LAG(z, 12) OVER w AS z12 FROM sa_z WINDOW w AS (PARTITION BY item_id, phase ORDER BY t)),
+sa_meta AS (
+  SELECT item_id, phase, MAX(o) AS o, MAX(t) AS t_last, COUNT(*) AS n_fit, list(y ORDER BY t) AS ys FROM sa_zl GROUP BY item_id, phase
+  HAVING COUNT(*) >= {m.MIN_TRAIN}),
+sa_gram AS (
+  SELECT item_id, phase, COUNT(*) AS n_obs, SUM(z * z) AS yy, {grams} FROM sa_zl
+  WHERE z IS NOT NULL AND z1 IS NOT NULL AND z2 IS NOT NULL AND z12 IS NOT NULL GROUP BY item_id, phase),
+{", ".join(sets)},
+sa_best AS (
+  SELECT item_id, phase, arg_min(struct_pack(w0 := w0, w1 := w1, w2 := w2, w3 := w3), struct_pack(a := aic, b := c)) AS w
+  FROM ({" UNION ALL ".join(union)}) WHERE NOT isnan(aic) GROUP BY item_id, phase),
+sa_rec AS (
+  SELECT b.item_id, b.phase, e.t_last, 0 AS h, e.ys[-{m.HISTORY}:] AS hist, b.w.w0 AS w0, b.w.w1 AS w1, b.w.w2 AS w2, b.w.w3 AS w3,
+         CAST(CASE WHEN e.o IN (1, 3) THEN 1 ELSE 0 END AS DOUBLE) AS d1, CAST(CASE WHEN e.o IN (2, 3) THEN 1 ELSE 0 END AS DOUBLE) AS d12
+  FROM sa_best b JOIN sa_meta e ON b.item_id = e.item_id AND b.phase = e.phase
+  UNION ALL
+  SELECT item_id, phase, t_last, h + 1, list_append(hist, {ahead}), w0, w1, w2, w3, d1, d12 FROM sa_rec
+  WHERE h < CASE WHEN phase = 'test' THEN 6 ELSE 3 END),
+sa_pred AS (
+  SELECT item_id, 'SARIMAX' AS model, phase, t_last + h AS t,
+         make_date(CAST(floor((t_last + h - 1) / 12) AS BIGINT), CAST(t_last + h - floor((t_last + h - 1) / 12) * 12 AS BIGINT), 1) AS ds,
+         hist[len(hist)] AS yhat
+  FROM sa_rec WHERE h > 0)"""
+
+
+ORACLES["seasonal_ar"] = SER.replace("WITH ", "WITH RECURSIVE ", 1) + _seasonal_sql() + _relative_sql("sa_pred")

@@ -17,7 +17,7 @@ from demand.session import cut_lineage  # noqa: E402
 from oracle_compare import compare, duck  # noqa: E402
 
 SF = os.environ.get("DEMAND_ORACLE_SF", "/root/testdata/sf0.001")
-NO_SQL = {"seasonal_ar", "trend_holiday", "boosted_lags", "forecast_all_models"}
+NO_SQL = {"boosted_lags", "forecast_all_models"}
 
 
 @pytest.fixture(scope="module")
