@@ -59,7 +59,7 @@ def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.1"
     from demand.session import local_session
     from demand.operators import facts, series as S, worklist as W
-    from demand.operators.models import holt_winters, seasonal_ar
+    from demand.operators.models import boosted, holt_winters, seasonal_ar, trend_holiday
     from demand.plans import forecast_job
     from demand.sources.testdata import TESTDATA_AS_OF, TESTDATA_CUTOFF, warehouse_from_testdata
     spark = local_session(8)
@@ -78,8 +78,10 @@ def main(argv):
          S.tail_split(S.gap_fill(S.hierarchy_expand(cells, items)))),
         ("Holt-Winters grid search (Arrow kernel)", holt_winters.holt_winters_grid(split)),
         ("Seasonal AR: windows, Gram sums, batched solve, recursive forecast", seasonal_ar.seasonal_ar(split)),
-        ("Summary record with JSON documents (baseline + Holt-Winters)",
-         forecast_job.forecast_record(cells, wl, models="hwexsmooth")),
+        ("Trend and holiday regression: Gram sums, batched solve, holiday effects", trend_holiday.trend_holiday(split)),
+        ("Boosted lags (Arrow kernel, series dealt to tasks by their number)", boosted.boosted_lags(split)),
+        ("Summary record with JSON documents (all four models, materialised before)",
+         forecast_job.forecast_record(cells, wl, boost_rounds=20)),
     ]
     out = ["# PLANS", "",
            f"Physical plans of the main jobs on `{sf_dir}` (generated by `tools/plans.py`, initial adaptive plans;",
