@@ -28,12 +28,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+    return written_at(df, name, partition_by)[0]
+
+
+def written_at(df: DataFrame, name: str, partition_by: str | None = None) -> tuple[DataFrame, str]:
+    """``written``, and the path."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     out = df.write.partitionBy(partition_by) if partition_by else df.write
     schema = df.schema
     out.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that no later step reads (every later step reads a written result of it)."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def small_side(df: DataFrame, most_rows: int = 200_000) -> DataFrame:
+    """``df`` (a few numbers a row) marked for broadcast if it has at most ``most_rows`` rows, counted."""
+    return F.broadcast(df) if df.count() <= most_rows else df
 
 
 def texts(docs: DataFrame, *more: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -83,9 +99,18 @@ def string_array(data, offsets: np.ndarray) -> pa.Array:
                                  [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(data)])
 
 
-def pack(values, dtype=None) -> bytes:
+def pack(values, dtype=None, level: int = 1) -> bytes:
     raw = values if isinstance(values, bytes) else np.ascontiguousarray(values, dtype).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    return zstandard.ZstdCompressor(level=level).compress(raw)
+
+
+def pack_planes(values) -> bytes:
+    """32-bit numbers, their low bytes first, then the next ones: small gaps compress better apart."""
+    return pack(np.ascontiguousarray(np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def unpack_planes(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(unpack(blob, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 def unpack(blob: bytes, dtype=None):
