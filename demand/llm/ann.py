@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demand.llm.common import written
+from demand.llm.common import hashed_sample, written
 
 INDEX = "tree int, leaf int, n long, part long, ids binary, vectors binary"
 PROBES = "tree int, leaf int, salt int, block int, query_id long, vector binary"
@@ -82,7 +82,7 @@ def fit_forest(vectors: DataFrame, trees: int = 8, leaves: int = 64, sample_rows
                directions: int = 16, seed: int = 7) -> tuple[list[dict], int, int]:
     """(trees, dimension, number of usable rows); fitted on at most ``sample_rows`` rows."""
     total = vectors.count()
-    sample = (vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("vector").toPandas()["vector"])
+    sample = hashed_sample(vectors, sample_rows, "vec_id").select("vector").toPandas()["vector"]
     if not len(sample):
         return [], 0, 0
     dim = int(pd.Series([len(v) for v in sample]).mode()[0])

@@ -47,6 +47,16 @@ def discard(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def hashed_sample(df: DataFrame, n: int, *columns: str) -> DataFrame:
+    """At most ``n`` rows of ``df``, those with the smallest hashes of ``columns``, with the hash as ``h``.
+
+    Only hashes are ranked over all rows; whole rows move once it is known which are chosen."""
+    h = F.xxhash64(*columns)
+    last = df.select(h.alias("h")).orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    chosen = df.where(h <= F.lit(last)) if last is not None else df.limit(0)
+    return chosen.withColumn("h", h).orderBy("h").limit(n)
+
+
 def small_side(df: DataFrame, most_rows: int = 200_000) -> DataFrame:
     """``df`` (a few numbers a row) marked for broadcast if it has at most ``most_rows`` rows, counted."""
     return F.broadcast(df) if df.count() <= most_rows else df

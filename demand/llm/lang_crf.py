@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from demand.llm.common import BASE, chunks, flat, mix, piece_hashes
+from demand.llm.common import BASE, chunks, flat, hashed_sample, mix, piece_hashes
 from demand.llm.hmm import by_time, tokens
 
 SLOTS = 1 << 16
@@ -131,9 +131,8 @@ def marginals(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def training_sample(docs: DataFrame, label: str, sample_docs: int, span_words: int):
     """(label, words) of a bounded sample, by hash of the row."""
-    ranked = (docs.where(F.col("text").isNotNull() & F.col(label).isNotNull())
-              .select("text", F.col(label).cast("string").alias("label"), F.xxhash64(*docs.columns).alias("h"))
-              .orderBy("h", "label").limit(sample_docs))
+    labelled = docs.where(F.col("text").isNotNull() & F.col(label).isNotNull())
+    ranked = hashed_sample(labelled, sample_docs, *docs.columns).select("text", F.col(label).cast("string").alias("label"), "h")
 
     def spans(batches):
         for batch in batches:
