@@ -2,14 +2,14 @@
 
 Documents are ordered by doc_id (nulls first; equal ids by text) over range partitions; a *shard* is a bounded chunk
 of one partition. In a shard, Re-Pair counts all adjacent id pairs, replaces the most frequent ones by new
-nonterminals (left to right, without overlaps), and does so again on the shorter sequence, ``rounds`` times or until
+nonterminals (left to right, without overlaps), and does so again on the shorter sequence until
 no pair occurs ``least`` times. A shard row holds the rules, the expansion length of each, the sequence and
 the documents' lengths; ids from ``a`` to ``b`` decode from the symbols that cover them, found by the running sum
 of expansion lengths. Shards are written by Spark's Parquet writer to the shared folder.
 
-Many pairs are replaced per round (at most ``per_round``), counted in a table of hashed pairs in which a pair that shares
-its slot with another waits for a later round: the grammar may differ from one-pair-at-a-time Re-Pair, the
-decoded ids never do.
+Many pairs are replaced per round (at most ``per_round``, the most frequent), counted exactly: a table of hashed pairs only
+leaves out places whose slot has fewer than ``least`` pairs. Pairs that overlap take every other place, so the grammar may
+differ from one-pair-at-a-time Re-Pair; the decoded ids never do.
 
 Defined results: a null text is empty and has just the end id; repeated rows are kept. Other columns are dropped.
 """
@@ -23,62 +23,72 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demand.llm.common import bucket_count, chunks, pack, text_bytes, texts, unpack, written
+from demand.llm.common import bucket_count, chunks, pack, span_index, text_bytes, texts, unpack, written
 from demand.llm.tokenizing import encode, with_end
 
 SHARDS = "part int, shard int, n_tokens long, n_docs long, base long, rules binary, expansion binary, sequence binary, docs binary"
 SHARD_SCHEMA = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_tokens", pa.int64()), ("n_docs", pa.int64()), ("base", pa.int64()),
                           *[(x, pa.binary()) for x in ("rules", "expansion", "sequence", "docs")]])
 SLOTS = 20
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def compress(ids: np.ndarray, base: int, rounds: int = 3, per_round: int = 8192, least: int = 8):
+def compress(ids: np.ndarray, base: int, rounds: int | None = None, per_round: int = 8192, least: int = 8):
     """(rules as pairs of symbols, expansion length per rule, sequence); symbol base + i is rule i."""
     seq = ids.astype(np.uint32)
     rules, length = np.empty((0, 2), np.uint32), np.empty(0, np.int64)
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
+    done, most = 0, per_round
+    while len(seq) > 1 and (rounds is None or done < rounds):
         pair = seq[:-1].astype(np.uint64)
         pair <<= np.uint64(32)
         pair |= seq[1:]
-        slot = (pair * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOTS)).astype(np.int32)
-        owner = np.zeros(1 << SLOTS, np.uint64)
-        owner[slot] = pair  # one pair per slot; others wait
-        mine = owner[slot] == pair
-        count = np.bincount(slot[mine], minlength=1 << SLOTS)
-        chosen = np.argpartition(count, -per_round)[-per_round:] if per_round < len(count) else np.arange(len(count))
-        chosen = chosen[count[chosen] >= least]
-        if not len(chosen):
+        slot = (pair * MULTIPLIER >> np.uint64(64 - SLOTS)).astype(np.int64)
+        done += 1
+        often = np.bincount(slot, minlength=1 << SLOTS) >= least  # no frequent pair is outside these slots
+        place = np.flatnonzero(often[slot])
+        near = np.sort(pair[place])
+        head = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]])) if len(near) else np.empty(0, np.int64)
+        count = np.diff(np.append(head, len(near)))
+        name, count = near[head][count >= least], count[count >= least]
+        if not len(name):
             break
-        chosen = chosen[np.argsort(-count[chosen], kind="stable")]
-        number = np.full(1 << SLOTS, -1, np.int32)
-        number[chosen] = np.arange(len(chosen), dtype=np.int32)
-        rule = number[slot]
-        rule[~mine] = -1
-        at = np.flatnonzero(rule >= 0)  # every other place of a run of overlapping pairs is taken
-        head = np.concatenate([[True], np.diff(at) > 1]) if len(at) else np.empty(0, bool)
+        best = np.sort(np.argsort(-count, kind="stable")[:most])
+        name = name[best]
+        often[:] = False
+        often[(name * MULTIPLIER >> np.uint64(64 - SLOTS)).astype(np.int64)] = True
+        place = place[often[slot[place]]]
+        rule = np.minimum(np.searchsorted(name, pair[place]), len(name) - 1)
+        mine = name[rule] == pair[place]
+        at, rule = place[mine], rule[mine]  # every other place of a run of overlapping pairs is taken
+        head = np.concatenate([[True], np.diff(at) > 1])
         rank = np.arange(len(at)) - np.maximum.accumulate(np.where(head, np.arange(len(at)), 0))
-        take = np.zeros(len(rule), bool)
-        take[at[rank % 2 == 0]] = True
-        used = np.bincount(rule[take], minlength=len(chosen))
-        worth = used >= least // 2
-        take &= worth[np.maximum(rule, 0)]
-        renumber = np.cumsum(worth) - 1
-        new = owner[chosen[worth]]
+        at, rule = at[rank % 2 == 0], rule[rank % 2 == 0]
+        worth = np.bincount(rule, minlength=len(name)) >= max(least // 2, 1)
+        if not worth.any():  # pairs took each other's places: fewer of them, at last the most frequent alone
+            most = max(1, min(most, len(name)) // 8)
+            continue
+        most = per_round
+        at, rule = at[worth[rule]], rule[worth[rule]]
+        new = name[worth]
         left, right = (new >> np.uint64(32)).astype(np.uint32), (new & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         size = lambda s: np.where(s < base, 1, np.append(length, 0)[np.maximum(s.astype(np.int64) - base, -1)])
-        seq[:-1][take] = (base + len(rules) + renumber[rule[take]]).astype(np.uint32)
-        gone = np.concatenate([[False], take])
+        seq[at] = (base + len(rules) + (np.cumsum(worth) - 1)[rule]).astype(np.uint32)
+        kept = np.ones(len(seq), bool)
+        kept[at + 1] = False
         length = np.concatenate([length, size(left) + size(right)])
         rules = np.concatenate([rules, np.stack([left, right], axis=1)])
-        seq = seq[~gone]
+        seq = seq[kept]
     return rules, length, seq
 
 
-def expand(seq: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids of a sequence of symbols."""
+def expand(seq: np.ndarray, rules: np.ndarray, base: int, length: np.ndarray | None = None) -> np.ndarray:
+    """The ids of a sequence of symbols; with the rules' expansion lengths each rule is expanded once."""
     seq = seq.astype(np.uint32)
+    if length is not None:
+        known = np.concatenate([np.arange(base, dtype=np.uint32), expand(np.arange(base, base + len(rules)), rules, base)])
+        stop = base + np.cumsum(length)
+        first, size = np.concatenate([np.arange(base), stop - length]), np.concatenate([np.ones(base, np.int64), length])
+        return known[span_index(first[seq], size[seq])]
     while (deep := seq >= base).any():
         out = np.repeat(seq, 1 + deep)
         at = (np.cumsum(1 + deep) - 1)[deep]
@@ -133,7 +143,8 @@ def decoded(shards: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 docs = unpack(row["docs"], "<i8").reshape(-1, 3)
-                ids = expand(unpack(row["sequence"], "<u4"), unpack(row["rules"], "<u4").reshape(-1, 2), row["base"]).astype("<u4")
+                rules, length = unpack(row["rules"], "<u4").reshape(-1, 2), unpack(row["expansion"], "<i8")
+                ids = expand(unpack(row["sequence"], "<u4"), rules, row["base"], length).astype("<u4")
                 if len(ids) != row["n_tokens"]:
                     raise ValueError("a shard decodes to another length")
                 raw, stop = memoryview(ids.tobytes()), np.cumsum(docs[:, 2])

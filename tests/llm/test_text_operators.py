@@ -58,6 +58,24 @@ def test_repair_compresses():
     assert len(seq) + 2 * len(rules) < len(ids) / 10
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=300), st.integers(1, 50), st.integers(2, 6))
+def test_repair_goes_on_until_no_pair_is_frequent(values, per_round, least):
+    rules, length, seq = repair.compress(np.array(values, np.uint32), 4, per_round=per_round, least=least)
+    pairs = zip(seq[:-1].tolist(), seq[1:].tolist(), strict=True)
+    assert max(Counter(pairs).values(), default=0) < least
+    assert repair.expand(seq, rules, 4, length).tolist() == values
+
+
+def test_repair_covers_long_repeats():
+    rng = np.random.default_rng(4)
+    passage = rng.integers(0, 40000, 500)
+    ids = np.concatenate([x for _ in range(20) for x in (passage, rng.integers(0, 40000, 3000))]).astype(np.uint32)
+    rules, length, seq = repair.compress(ids, 40000)
+    assert length.max() >= 400 and len(seq) < 20 * 3000 + 20 * 20
+    assert (repair.expand(seq, rules, 40000, length) == ids).all()
+
+
 def test_round_trip(documents, corpus, no_documents):
     got = repair.round_trip(documents, BYTE_BPE, 2, 50257)
     ids = [x + [2] for x in plain_ids(BYTE_BPE, [t for _, t in corpus])]
