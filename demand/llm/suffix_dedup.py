@@ -13,6 +13,9 @@ place before their anchor are equal if no neighbour between them in the first or
 anchor, nor in the second less than the bytes before it: both are running counts, and equal pairs of counts mark
 repeated windows.
 
+*Hot grams.* A gram with more than ``HOT`` places (a passage in many documents, whose edges differ in each) is not sorted in
+one bucket: its windows, distinct per chunk, are dealt by 128-bit digests of their bytes, and repeated digests mark them.
+
 Answers go back per chunk as window ranges; a chunk's stored texts are cut there. Texts are stored once
 in the shared folder; grams travel as 8 bytes, contexts only for repeated grams.
 
@@ -27,6 +30,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -34,6 +38,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from demand.llm.common import BASE, bucket_count, chunks, flat, mix, pack, powers, runs, span_index, text_bytes, unpack, written
 
 LENGTH, GRAM = 200, 32
+#: Places of a gram from which its windows are compared one by one, dealt by their digests.
+HOT = 4096
 CHUNK_BYTES = 4 << 20
 PARTS = "kind int, bucket int, chunk long, a binary, b binary, c binary, d binary"
 PART_SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), *[(x, pa.binary()) for x in "abcd"]])
@@ -253,9 +259,9 @@ def _store(buckets: int, length: int, gram: int, carry: list[str]):
                 "kind": 0, "bucket": 0, "chunk": chunk, "a": pack(raw), "b": pack(np.stack([p, p - f, last - f]), np.int32),
                 "c": pack(place[number], np.int32), "d": pack(names[order])}], PART_SCHEMA)
             cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            names, many = names[order], (count[order] > 1)
+            names, many = names[order], count[order]
             rows = [{"kind": 1, "bucket": b, "chunk": chunk, "a": pack(names[cut[b]:cut[b + 1]]),
-                     "b": pack(many[cut[b]:cut[b + 1]], np.uint8), "c": b"", "d": b""} for b in np.flatnonzero(np.diff(cut)).tolist()]
+                     "b": pack(many[cut[b]:cut[b + 1]], np.int32), "c": b"", "d": b""} for b in np.flatnonzero(np.diff(cut)).tolist()]
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, PART_SCHEMA)
             chunk += 1
@@ -263,15 +269,52 @@ def _store(buckets: int, length: int, gram: int, carry: list[str]):
     return run
 
 
-def _repeated_grams(key, table):
-    """One bucket: for each chunk a flag per gram, whether it occurs twice anywhere."""
-    names = [unpack(x, np.uint64) for x in table.column("a").to_pylist()]
-    many = np.concatenate([unpack(x, np.uint8) for x in table.column("b").to_pylist()])
-    _, number = np.unique(np.concatenate(names), return_inverse=True)
-    flags = (np.bincount(number, weights=1 + many) > 1)[number]
-    cut = np.cumsum([len(x) for x in names])[:-1]
-    return pa.Table.from_pylist([{"kind": 2, "bucket": key[0].as_py(), "chunk": c, "a": pack(np.packbits(x)), "b": b"", "c": b"", "d": b""}
-                                 for c, x in zip(table.column("chunk").to_pylist(), np.split(flags, cut), strict=True)], PART_SCHEMA)
+def _repeated_grams(hot: int):
+    """One bucket: for each chunk a flag per gram, whether it occurs twice anywhere, and one whether more than ``hot`` times."""
+
+    def run(key, table):
+        names = [unpack(x, np.uint64) for x in table.column("a").to_pylist()]
+        many = np.concatenate([unpack(x, np.int32) for x in table.column("b").to_pylist()])
+        _, number = np.unique(np.concatenate(names), return_inverse=True)
+        total = np.bincount(number, weights=many)[number]
+        cut = np.cumsum([len(x) for x in names])[:-1]
+        return pa.Table.from_pylist([{"kind": 2, "bucket": key[0].as_py(), "chunk": c, "a": pack(np.packbits(x > 1)),
+                                      "b": pack(np.packbits(x > hot)), "c": b"", "d": b""}
+                                     for c, x in zip(table.column("chunk").to_pylist(), np.split(total, cut), strict=True)], PART_SCHEMA)
+
+    return run
+
+
+def _distinct(digests: np.ndarray):
+    """(distinct rows of an n x 2 array, number of each row)."""
+    order = np.lexsort((digests[:, 1], digests[:, 0]))
+    ordered = digests[order]
+    new = np.concatenate([[True], (ordered[1:] != ordered[:-1]).any(axis=1)]) if len(order) else np.empty(0, bool)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ordered[new], number
+
+
+def _window_digests(raw: bytes, first: np.ndarray, span: np.ndarray, buckets: int, length: int):
+    """Distinct 128-bit digests of all windows of some contexts in bucket order, the number of each window, cuts per bucket."""
+    out = bytearray()
+    for f, s in zip(first.tolist(), span.tolist(), strict=True):
+        for w in range(f, f + s + 1):
+            out += hashlib.blake2b(raw[w:w + length], digest_size=16).digest()
+    names, number = _distinct(np.frombuffer(out, "<u8").reshape(-1, 2))
+    bucket = (names[:, 0] % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return names[order], place[number], np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def _window_runs(who: np.ndarray, window: np.ndarray) -> np.ndarray:
+    """(context, first window, last window) of runs of consecutive windows, ordered by context and window."""
+    new = np.concatenate([[True], (np.diff(who) != 0) | (np.diff(window) != 1)]) if len(who) else np.empty(0, bool)
+    head = np.flatnonzero(new)
+    tail = np.append(head[1:], len(who)) - 1 if len(head) else head
+    return np.stack([who[head], window[head], window[tail]], axis=1)
 
 
 def _opened(store, what):
@@ -287,10 +330,11 @@ def _representatives(store, answers, buckets: int, length: int):
     The same call on the same rows gives the same numbers, so ranges come back by number."""
     table, (first, lead, span), number, names = _opened(store, None)
     data, offsets = flat(table.column("text"))
-    flags = np.zeros(len(names), bool)
+    flags, hot = np.zeros(len(names), bool), np.zeros(len(names), bool)
     cut = np.searchsorted((names % np.uint64(buckets)).astype(np.int64), np.arange(buckets + 1))
-    for b, raw in answers:
-        flags[cut[b]:cut[b + 1]] = np.unpackbits(unpack(raw, np.uint8), count=cut[b + 1] - cut[b])
+    for b, twice, often in answers:
+        flags[cut[b]:cut[b + 1]] = np.unpackbits(unpack(twice, np.uint8), count=cut[b + 1] - cut[b])
+        hot[cut[b]:cut[b + 1]] = np.unpackbits(unpack(often, np.uint8), count=cut[b + 1] - cut[b])
     rows = np.flatnonzero(flags[number])
     rows = rows[np.argsort(number[rows], kind="stable")]
     first, lead, span, number = first[rows], lead[rows], span[rows], number[rows]
@@ -299,39 +343,63 @@ def _representatives(store, answers, buckets: int, length: int):
     for i, (f, l, s, n) in enumerate(zip(first.tolist(), lead.tolist(), span.tolist(), number.tolist(), strict=True)):
         rep[i] = known.setdefault((n, l, raw[f:f + s + length]), len(known))
     one = np.unique(rep, return_index=True)[1]
-    return table, data, offsets, first, span, rep, one, lead, names[number[one]], np.bincount(rep, minlength=len(one))
+    return table, data, offsets, first, span, rep, one, lead, names[number[one]], np.bincount(rep, minlength=len(one)), hot[number[one]]
 
 
 def _contexts(buckets: int, length: int):
     def run(key, mine, answers):
-        flags = list(zip(answers.column("bucket").to_pylist(), answers.column("a").to_pylist(), strict=True))
+        flags = list(zip(*[answers.column(x).to_pylist() for x in "bucket a b".split()], strict=True))
         rows = []
         for store in mine.to_pylist():
-            _, data, _, first, span, _, one, lead, names, count = _representatives(store, flags, buckets, length)
-            bucket = (names % np.uint64(buckets)).astype(np.int64)  # ascending, as grams are in bucket order
+            _, data, _, first, span, _, one, lead, names, count, hot = _representatives(store, flags, buckets, length)
+            few = np.flatnonzero(~hot)
+            bucket = (names[few] % np.uint64(buckets)).astype(np.int64)  # ascending, as grams are in bucket order
             cut = np.searchsorted(bucket, np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(cut)).tolist():
-                part = one[cut[b]:cut[b + 1]]
+                own = few[cut[b]:cut[b + 1]]
+                part = one[own]
                 size = span[part] + length
                 rows.append({"kind": 3, "bucket": b, "chunk": store["chunk"], "a": pack(data[span_index(first[part], size)]),
-                             "b": pack(names[cut[b]:cut[b + 1]]), "c": pack(np.stack([size, lead[part], count[cut[b]:cut[b + 1]] > 1]), np.int32),
-                             "d": pack(np.array([cut[b]]), np.int64)})
+                             "b": pack(names[own]), "c": pack(np.stack([size, lead[part], count[own] > 1]), np.int32),
+                             "d": pack(own, np.int64)})
+            if hot.any():
+                part = one[hot]
+                digests, number, cut = _window_digests(data.tobytes(), first[part], span[part], buckets, length)
+                many = np.bincount(number, weights=np.repeat(count[hot], span[part] + 1)) > 1
+                rows += [{"kind": 5, "bucket": b, "chunk": store["chunk"], "a": pack(digests[cut[b]:cut[b + 1]], "<u8"),
+                          "b": pack(many[cut[b]:cut[b + 1]], np.uint8), "c": b"", "d": b""} for b in np.flatnonzero(np.diff(cut)).tolist()]
         return pa.Table.from_pylist(rows, PART_SCHEMA)
 
     return run
 
 
+def _repeated_digests(key, table) -> list[dict]:
+    """One bucket: for each chunk a flag per digest, whether its window occurs twice anywhere."""
+    names = [unpack(x, "<u8").reshape(-1, 2) for x in table.column("a").to_pylist()]
+    many = np.concatenate([unpack(x, np.uint8) for x in table.column("b").to_pylist()])
+    number = _distinct(np.concatenate(names))[1]
+    flags = (np.bincount(number, weights=1 + many) > 1)[number]
+    cut = np.cumsum([len(x) for x in names])[:-1]
+    return [{"kind": 6, "bucket": key[0].as_py(), "chunk": c, "a": pack(np.packbits(x)), "b": b"", "c": b"", "d": b""}
+            for c, x in zip(table.column("chunk").to_pylist(), np.split(flags, cut), strict=True)]
+
+
 def _resolve(length: int):
-    """One bucket: ranges of repeated windows per chunk, as (context number, first window, last window)."""
+    """One bucket: ranges of repeated windows per chunk, as (context number, first window, last window); flags of digests."""
 
     def run(key, table):
+        hot = table.filter(pc.equal(table.column("kind"), 5))
+        table = table.filter(pc.equal(table.column("kind"), 3))
+        rows = _repeated_digests(key, hot) if hot.num_rows else []
+        if not table.num_rows:
+            return pa.Table.from_pylist(rows, PART_SCHEMA)
         chunk, base, names, parts, blobs = [], [], [], [], []
         for c, a, b, m, d in zip(*[table.column(x).to_pylist() for x in ("chunk", "a", "b", "c", "d")], strict=True):
             blobs.append(unpack(a, np.uint8))
             names.append(unpack(b, np.uint64))
             parts.append(unpack(m, np.int32).astype(np.int64).reshape(3, -1))
             chunk.append(np.full(len(names[-1]), c))
-            base.append(unpack(d, np.int64)[0] + np.arange(len(names[-1])))
+            base.append(unpack(d, np.int64))
         blob, names, chunk, base = np.concatenate(blobs), np.concatenate(names), np.concatenate(chunk), np.concatenate(base)
         size, lead, many = np.concatenate(parts, axis=1)
         start, raw = np.cumsum(size) - size, blob.tobytes()
@@ -348,26 +416,22 @@ def _resolve(length: int):
         hard = order[((members > 1) & single)[group]]
         spans = [np.stack([np.flatnonzero(twice), np.zeros(twice.sum(), np.int64), (size - length)[one][twice]], axis=1)]
         if len(hard):
-            rows = one[hard]
-            z = size[rows]
-            ctx = Contexts(blob[span_index(start[rows], z)], np.cumsum(z) - z, z)
-            _, group = np.unique(names[rows], return_inverse=True)
-            found = repeated_windows(ctx, group, lead[rows], length)
+            own = one[hard]
+            z = size[own]
+            ctx = Contexts(blob[span_index(start[own], z)], np.cumsum(z) - z, z)
+            _, group = np.unique(names[own], return_inverse=True)
+            found = repeated_windows(ctx, group, lead[own], length)
             found = found[~twice[hard[found[:, 0]]]]
-            window = lead[rows][found[:, 0]] - found[:, 1]
+            window = lead[own][found[:, 0]] - found[:, 1]
             order = np.lexsort((window, found[:, 0]))
-            who, window = found[order, 0], window[order]
-            new = np.concatenate([[True], (np.diff(who) != 0) | (np.diff(window) != 1)]) if len(who) else np.empty(0, bool)
-            head = np.flatnonzero(new)
-            tail = np.append(head[1:], len(who)) - 1 if len(head) else head
-            spans.append(np.stack([hard[who[head]], window[head], window[tail]], axis=1))
+            same = _window_runs(found[order, 0], window[order])
+            spans.append(np.concatenate([hard[same[:, :1]], same[:, 1:]], axis=1))
         spans = np.concatenate(spans)
         # every chunk's context of a class gets the class's ranges
         spans = spans[np.argsort(spans[:, 0], kind="stable")]
         lo, hi = np.searchsorted(spans[:, 0], cls), np.searchsorted(spans[:, 0], cls, side="right")
         pick, owner = span_index(lo, hi - lo), np.repeat(np.arange(len(cls)), hi - lo)
         out = np.stack([base[owner], spans[pick, 1], spans[pick, 2]], axis=1)
-        rows = []
         for c in np.unique(chunk[owner]).tolist():
             rows.append({"kind": 4, "bucket": key[0].as_py(), "chunk": c, "a": pack(out[chunk[owner] == c], np.int64), "b": b"", "c": b"", "d": b""})
         return pa.Table.from_pylist(rows, PART_SCHEMA)
@@ -375,9 +439,17 @@ def _resolve(length: int):
     return run
 
 
-def _cover(store, answers, ranges, buckets: int, length: int):
+def _cover(store, answers, ranges, windows, buckets: int, length: int):
     """(table, bytes, offsets, removed flag per byte) of a chunk."""
-    table, data, offsets, first, span, rep, one, *_ = _representatives(store, answers, buckets, length)
+    table, data, offsets, first, span, rep, one, *_, hot = _representatives(store, answers, buckets, length)
+    if hot.any():
+        part = one[hot]
+        digests, number, cut = _window_digests(data.tobytes(), first[part], span[part], buckets, length)
+        flags = np.zeros(len(digests), bool)
+        for b, raw in windows:
+            flags[cut[b]:cut[b + 1]] = np.unpackbits(unpack(raw, np.uint8), count=cut[b + 1] - cut[b])
+        hit, n = flags[number], span[part] + 1
+        ranges = [*ranges, _window_runs(np.repeat(np.flatnonzero(hot), n)[hit], span_index(np.zeros(len(n), np.int64), n)[hit])]
     edge = np.zeros(len(data) + 1, np.int32)
     if ranges:
         out = np.concatenate(ranges)
@@ -418,33 +490,34 @@ def _cut(table, data, offsets, gone):
     return table.set_column(table.schema.get_field_index("text"), "text", pa.array(out, pa.string()))
 
 
-def _run(docs: DataFrame, finish, schema, length: int, gram: int) -> DataFrame:
+def _run(docs: DataFrame, finish, schema, length: int, gram: int, hot: int) -> DataFrame:
     """Store, find repeated grams, resolve their contexts, and finish every chunk with its removed bytes."""
     docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
     carry = docs.columns
     buckets = bucket_count(text_bytes(docs))
     parts = written(docs.mapInArrow(_store(buckets, length, gram, carry), PARTS), "suffix-parts", "kind")
     store = parts.where("kind = 0").select("chunk", "a", "b", "c", "d")
-    flags = written(parts.where("kind = 1").select("bucket", "chunk", "a", "b").groupBy("bucket").applyInArrow(_repeated_grams, PARTS), "suffix-grams")
-    asked = flags.select("chunk", "bucket", "a")
+    flags = written(parts.where("kind = 1").select("bucket", "chunk", "a", "b").groupBy("bucket").applyInArrow(_repeated_grams(hot), PARTS), "suffix-grams")
+    asked = flags.select("chunk", "bucket", "a", "b")
     contexts = written(store.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(_contexts(buckets, length), PARTS), "suffix-contexts")
-    ranges = written(contexts.select("bucket", "chunk", "a", "b", "c", "d").groupBy("bucket").applyInArrow(_resolve(length), PARTS), "suffix-ranges")
-    both = flags.unionByName(ranges).select(F.col("chunk").alias("of"), "kind", "bucket", "a")
+    ranges = written(contexts.select("kind", "bucket", "chunk", "a", "b", "c", "d").groupBy("bucket").applyInArrow(_resolve(length), PARTS), "suffix-ranges")
+    both = flags.unionByName(ranges).select(F.col("chunk").alias("of"), "kind", "bucket", "a", "b")
 
     def run(key, mine, answers):
-        rows = list(zip(*[answers.column(x).to_pylist() for x in ("kind", "bucket", "a")], strict=True))
-        bits, found = [(b, a) for k, b, a in rows if k == 2], [unpack(a, np.int64).reshape(-1, 3) for k, _, a in rows if k == 4]
-        return pa.concat_tables([finish(*_cover(x, bits, found, buckets, length)) for x in mine.to_pylist()])
+        rows = list(zip(*[answers.column(x).to_pylist() for x in ("kind", "bucket", "a", "b")], strict=True))
+        bits, found = [(b, a, o) for k, b, a, o in rows if k == 2], [unpack(a, np.int64).reshape(-1, 3) for k, _, a, _ in rows if k == 4]
+        windows = [(b, a) for k, b, a, _ in rows if k == 6]
+        return pa.concat_tables([finish(*_cover(x, bits, found, windows, buckets, length)) for x in mine.to_pylist()])
 
     return store.groupBy("chunk").cogroup(both.groupBy("of")).applyInArrow(run, schema)
 
 
-def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
-    return _run(docs.select("doc_id", "text"), _digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", length, gram)
+    return _run(docs.select("doc_id", "text"), _digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", length, gram, hot)
 
 
-def dedup_texts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def dedup_texts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """``docs`` with the repeated strings cut from ``text`` (null texts empty); all columns stay."""
     schema = StructType([StructField("text", StringType()) if f.name == "text" else f for f in docs.schema.fields])
-    return _run(docs, _cut, schema, length, gram)
+    return _run(docs, _cut, schema, length, gram, hot)

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -14,6 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from demand.llm import components, decontaminate, hmm, lang_crf, ngram_join, packing, repair, suffix_dedup, tokenizing
+from demand.llm.common import unpack
 
 WORD_BPE, BYTE_BPE = tokenizing.tokenizer_path("word_bpe_49k.json"), tokenizing.tokenizer_path("byte_bpe_50k.json")
 
@@ -224,6 +226,30 @@ def test_suffix_dedup(documents, corpus, length, gram):
     assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(want, key=str)
 
 
+def test_hot_grams_are_dealt_by_window(spark, monkeypatch):
+    """A passage in every document: no bucket sorts the contexts of its gram, and the bytes removed stay the same."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = text(90)
+    rows = [(i, text(rng.randint(0, 60)) + passage + text(rng.randint(0, 60))) for i in range(120)] + [(200, passage + passage), (201, None), (202, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    want = rows_of(suffix_dedup.removed(df, 40, 12, hot=1 << 30), *columns)
+    parts = {}
+
+    def watched(frame, name, *more):
+        parts[name] = written(frame, name, *more)
+        return parts[name]
+
+    written = suffix_dedup.written
+    monkeypatch.setattr(suffix_dedup, "written", watched)
+    for hot in (1, 50):
+        assert rows_of(suffix_dedup.removed(df, 40, 12, hot=hot), *columns) == want
+        sorted_ = [np.frombuffer(unpack(r["b"]), np.uint64) for r in parts["suffix-contexts"].where("kind = 3").collect()]
+        assert max(Counter(np.concatenate([*sorted_, np.empty(0, np.uint64)]).tolist()).values(), default=0) <= hot
+        assert parts["suffix-contexts"].where("kind = 5").count() > 0
+
+
 def test_dedup_texts(documents, corpus, no_documents):
     got = suffix_dedup.dedup_texts(documents)
     assert got.columns == documents.columns and got.count() == len(corpus)
