@@ -15,7 +15,8 @@ near-uniform directions (neighbours hardly nearer than strangers) need a large o
 
 Defined results: vectors that are null, empty, of another length than most of the sample, zero, or with null or
 non-finite components take no part; null ids neither; an id that occurs on several rows counts once, with its
-nearest vector. Ties go to the smaller id. Fewer than k other rows: all of them.
+nearest vector. Ties go to the smaller id. With at most 4k ids all leaves of one tree are searched, so fewer than k
+other ids are all found.
 """
 
 from __future__ import annotations
@@ -163,18 +164,25 @@ def probe_leaves(queries: DataFrame, forest: list[dict], dim: int, counts: list[
 
 
 def nearest_in(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> pd.DataFrame:
-    """The k nearest rows of one block to each query, exactly; a query's own id is left out."""
+    """The k nearest ids of one block to each query, exactly, each by its nearest row; a query's own id is left out."""
     out = []
+    names, number = np.unique(ids, return_inverse=True)
+    head = None
+    if len(names) < len(ids):
+        order = np.argsort(number, kind="stable")
+        data, head = data[order], np.flatnonzero(np.diff(number[order], prepend=-1))
+        ids = names
     for qid, q in zip(query_ids, queries, strict=True):
         score = np.sqrt(((data - q) ** 2).sum(axis=1))
+        if head is not None:
+            score = np.minimum.reduceat(score, head)
         score[ids == qid] = np.inf
         if len(score) > 4 * k:
             few = np.flatnonzero(score <= np.partition(score, k)[k])
         else:
             few = np.arange(len(score))
         few = few[np.isfinite(score[few])]
-        best = few[np.lexsort((ids[few], score[few]))]
-        own = best[np.sort(np.unique(ids[best], return_index=True)[1])][:k]
+        own = few[np.lexsort((ids[few], score[few]))][:k]
         out.append(pd.DataFrame({"query_id": np.full(len(own), qid), "vec_id": ids[own], "score": score[own]}))
     return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
@@ -187,13 +195,16 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "e
     forest, dim, total = fit_forest(vectors, trees, leaves, sample_rows)
     found = df.sparkSession.createDataFrame([], FOUND)
     if forest:
+        budget = max(inspect_share * total, 4 * k)
+        if vectors.where(F.size("vector") == dim).select("vec_id").distinct().limit(4 * k + 1).count() <= 4 * k:
+            forest, budget = forest[:1], float("inf")  # few ids: all rows
         index = written(index_rows(vectors, forest, dim), "ann-index")
         counts = [np.zeros(t["leaves"], np.int64) for t in forest]  # at most trees x sample_rows / 4 numbers
         for r in index.groupBy("tree", "leaf").agg(F.sum("n").alias("n")).toLocalIterator():
             counts[r["tree"]][r["leaf"]] = r["n"]
         queries = vectors.where(is_query(F.col("vec_id")))
         blocks = max(1, -(-queries.count() // query_block))
-        probes = probe_leaves(queries, forest, dim, counts, max(inspect_share * total, 4 * k), block_rows, blocks)
+        probes = probe_leaves(queries, forest, dim, counts, budget, block_rows, blocks)
         salts = index.groupBy("tree", "leaf").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / block_rows)).cast("int").alias("salts"))
         dealt = (index.join(salts, ["tree", "leaf"])
                  .select("tree", "leaf", F.pmod(F.xxhash64("part"), F.col("salts")).cast("int").alias("salt"),

@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -130,3 +131,23 @@ def test_forest_search_small(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [1.0, 1.0]), (200, [1.0, 0.5])], schema)
     got = [tuple(r) for r in ann.search(few, lambda i: i % 100 == 0).orderBy("query_id", "rank").collect()]
     assert [(q, n, i) for q, n, i, _ in got] == [(0, 1, 200), (0, 2, 1), (200, 1, 0), (200, 2, 1)]
+
+
+def test_repeated_ids_do_not_crowd_out_others(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(60, 4)).tolist()) for _ in range(12)]
+    ids, data = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    shuffled = rng.permutation(len(ids))
+    near = ann.nearest_in(ids[shuffled], data[shuffled], np.array([0, 7]), np.array([rows[0][1], rows[84][1]]), 10)
+    for q, best in exact(rows, {0, 7}, 10).items():
+        mine = near[near["query_id"] == q]
+        assert list(zip(mine["score"].round(9), mine["vec_id"], strict=True)) == [(round(d, 9), i) for d, i in best]
+
+
+@pytest.mark.parametrize("copies", [1, 30])
+def test_few_ids_are_all_found(spark, copies):
+    rng = np.random.default_rng(9)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(11, 8)).tolist()) for _ in range(copies)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = Counter(r["query_id"] for r in ann.search(df, lambda i: i >= 0).collect())
+    assert got == {i: 10 for i in range(11)}
