@@ -1,7 +1,8 @@
 """Language ID with a linear-chain conditional random field over words.
 
 Each word of a text is labelled with a language: its features are affixes (1 to 4 bytes at either end), byte n-grams
-(2 and 3) of its first and last 12 bytes, and a lexicon (the share of each language among a word's occurrences in the
+(2 and 3) of its first and last 12 bytes (longer words, and texts without spaces, are cut between characters into
+words of at most 24 bytes, so every byte is read), and a lexicon (the share of each language among a word's occurrences in the
 lexicon half of the training sample), scores between neighbouring labels are learned transitions, and the
 forward-backward recursion over the whole text gives every word's label probabilities. A text's language is the
 one with the largest sum of probabilities over its words with letters; the score is its share.
@@ -15,7 +16,8 @@ stretches and joined to code-switched chains, on which the conditional log-likel
 chunk, and the recursions advance all texts of the chunk together.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; without training rows every other text
-is ``und`` too; repeated rows are predicted each; null labels are not learned from. Words are cut at white space.
+is ``und`` too; repeated rows are predicted each; null labels are not learned from. Words are cut at white space
+and, if long, into parts.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from demand.llm.common import BASE, chunks, flat, hashed_sample, mix, piece_hashes
+from demand.llm.common import BASE, chunks, flat, hashed_sample, mix, piece_hashes, span_index, string_array
 from demand.llm.hmm import by_time, tokens
 
 SLOTS = 1 << 16
@@ -139,6 +141,8 @@ def training_sample(docs: DataFrame, label: str, sample_docs: int, span_words: i
             out = []
             for text, h in zip(batch.column("text").to_pylist(), batch.column("h").to_pylist(), strict=True):
                 w = text.split()
+                if any(len(x) > SIDE // 2 and len(x.encode()) > 2 * SIDE for x in w):
+                    w = cut_long(pa.array(w, pa.string()))[0].to_pylist()
                 at = h % max(1, len(w) - span_words + 1)
                 out.append(" ".join(w[at:at + span_words]))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column("label"), batch.column("h")], names=["text", "label", "h"])
@@ -157,7 +161,7 @@ def train(docs: DataFrame, label: str = "lang", sample_docs: int = 3000, span_wo
     rng = np.random.default_rng(seed)
     k = len(labels)
     y_doc = np.array([labels.index(x) for x in labels_of])
-    words, number, count = tokens(pa.array(spans, pa.string()))
+    words, number, count = parts(pa.array(spans, pa.string()))
     y, doc = np.repeat(y_doc, count), np.repeat(np.arange(len(count)), count)
     for_lexicon = (doc % 2 == 0)
 
@@ -228,6 +232,30 @@ def train(docs: DataFrame, label: str = "lang", sample_docs: int = 3000, span_wo
     return Tagger(labels, theta["w"], tagger.lex_hash, tagger.lex_share, theta["l"], theta["m"], theta["s"])
 
 
+def cut_long(words) -> tuple[pa.Array, np.ndarray]:
+    """Words of more than 2 SIDE bytes cut between characters into parts of at most that; parts of each word."""
+    data, at = flat(words)
+    size = np.diff(at)
+    n = np.where(size > 2 * SIDE, -(-size // (2 * SIDE - 3)), 1)
+    owner = np.repeat(np.arange(len(n)), n)
+    start = at[owner] + span_index(np.zeros(len(n), np.int64), n) * size[owner] // n[owner]
+    for _ in range(3):
+        start -= (start > at[owner]) & (data[np.minimum(start, len(data) - 1)] & 0xC0 == 0x80)
+    return string_array(data, np.append(start, len(data))), n
+
+
+def parts(column):
+    """``tokens`` of texts with long words cut: every byte of a word is in the first or last SIDE bytes of a part."""
+    words, number, count = tokens(column)
+    if not len(words) or np.diff(flat(words)[1]).max() <= 2 * SIDE:
+        return words, number, count
+    cut, n = cut_long(words)
+    coded = cut.dictionary_encode()
+    text = np.repeat(np.arange(len(count)), count)
+    number_of = coded.indices.to_numpy()[span_index((np.cumsum(n) - n)[number], n[number])]
+    return coded.dictionary, number_of, np.bincount(text, weights=n[number], minlength=len(count)).astype(np.int64)
+
+
 def _has_letter(words) -> np.ndarray:
     return pc.match_substring_regex(words, r"\p{L}").to_numpy(zero_copy_only=False) if len(words) else np.empty(0, bool)
 
@@ -237,7 +265,7 @@ def _has_letter(words) -> np.ndarray:
 def predict_texts(tagger: Tagger | None, column):
     """(language, score) of each text of a column without nulls."""
     n = len(column)
-    words, number, count = tokens(column)
+    words, number, count = parts(column)
     letters = _has_letter(words)
     doc = np.repeat(np.arange(n), count)
     spoken = np.bincount(doc[letters[number]], minlength=n) if len(number) else np.zeros(n, np.int64)

@@ -477,3 +477,18 @@ def test_code_switched_words_are_labelled_apart(spark):
     text = " ".join(rows[0][1].split()[:8] * 3 + rows[1][1].split()[:4] * 2)
     lang, score = lang_crf.predict_texts(tagger, pa.array([text]))
     assert lang == ["en"] and 0.5 < score[0] < 0.95
+
+
+def test_every_byte_of_long_words_is_read(spark):
+    rng = random.Random(3)
+    chars = {"ja": "あいうえおかきくけこ", "zh": "的一是不了人我在有他"}
+    text = lambda lang, n: "".join(rng.choice(chars[lang]) for _ in range(n))
+    long = ["é" * 40, "a" * 25, "short", text("ja", 33), "x" * 24]
+    cut, n = lang_crf.cut_long(pa.array(long))
+    assert n.tolist() == [4, 2, 1, 5, 1] and "".join(cut.to_pylist()) == "".join(long)
+    assert max(len(x.encode()) for x in cut.to_pylist()) <= 2 * lang_crf.SIDE
+    rows = [(i, text(lang, 60), lang) for i in range(60) for lang in chars]
+    tagger = lang_crf.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    inside = text("ja", 4) + text("zh", 300) + text("ja", 4)  # both ends in another language
+    (lang,), (score,) = lang_crf.predict_texts(tagger, pa.array([inside]))
+    assert lang == "zh" and 0.8 < score < 1
