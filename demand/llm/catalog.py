@@ -76,6 +76,11 @@ def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
+def op13_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand.llm import licenses
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 OP4_SQL = f"""
 WITH r(host, path, verdict) AS ({_rules_sql()}),
 u AS (SELECT page_id, CASE WHEN url IS NOT NULL AND strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
@@ -128,6 +133,40 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
+
+
+def _licenses_sql() -> str:
+    """Starts by the rarest words of each wording, words compared by relative position, key phrases verified."""
+    from demand.llm import licenses
+    rows = [f"({t}, '{label}', {len(ws)}, {len(key)}, {phrase}, {i}, '{x}', {i in key})"
+            for t, (label, ws, key, phrase) in enumerate(licenses._entries(licenses.PHRASES, licenses.TEMPLATES)) for i, x in enumerate(ws)]
+    return f"""
+WITH t(t, label, n, n_key, phrase, i, x, is_key) AS (VALUES {", ".join(rows)}),
+d AS (SELECT row_number() OVER () AS rid, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+o AS MATERIALIZED (SELECT * FROM (SELECT rid, unnest(w) AS x, unnest(range(len(w))) AS p FROM d) WHERE x IN (SELECT x FROM t)),
+f AS (SELECT x, count(DISTINCT rid) AS df FROM o GROUP BY x),
+r AS (SELECT t, x FROM (SELECT t, x, phrase, row_number() OVER (PARTITION BY t ORDER BY df, x) AS k
+                        FROM (SELECT DISTINCT t.t, t.x, t.phrase, coalesce(f.df, 0) AS df FROM t LEFT JOIN f USING (x)))
+      WHERE k <= CASE WHEN phrase THEN 1 ELSE 4 END),
+tr AS (SELECT t.*, r.x IS NOT NULL AS rare FROM t LEFT JOIN r USING (t, x)),
+need AS (SELECT t, least(2, count(*)) AS n_rare FROM tr WHERE rare GROUP BY t),
+s AS (SELECT DISTINCT o.rid, tr.t, o.p - tr.i AS start FROM o JOIN tr ON o.x = tr.x AND tr.rare),
+m AS (SELECT s.rid, s.t, s.start, any_value(tr.label) AS label, any_value(tr.phrase) AS phrase, count(*) / any_value(tr.n) AS share
+      FROM s JOIN tr USING (t) JOIN o ON o.rid = s.rid AND o.x = tr.x AND o.p = s.start + tr.i JOIN need USING (t)
+      GROUP BY s.rid, s.t, s.start
+      HAVING count(*) FILTER (tr.is_key) = any_value(tr.n_key) AND count(*) FILTER (tr.rare) >= any_value(need.n_rare)
+         AND count(*) / any_value(tr.n) >= CASE WHEN any_value(tr.phrase) THEN 1 ELSE 0.8 END),
+g AS (SELECT rid, count(*) FILTER (phrase) AS n_base, min(start) FILTER (phrase) AS first_word, max(start) FILTER (phrase) AS last_word,
+             string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+             max(share) AS score FROM m GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN g USING (rid)
+"""
+
+
 QUERIES = {
     "op1_swap_packing": op1_swap_packing,
     "op2_rp_forest": op2_rp_forest,
@@ -139,8 +178,10 @@ QUERIES = {
     "op8_fm_index": op8_fm_index,
     "op9_repair": op9_repair,
     "op10_hmm": op10_hmm,
+    "op13_license_index": op13_license_index,
 }
-ORACLES = {"op4_url_sweep": OP4_SQL, "op6_perspectives": OP6_SQL, "op8_fm_index": OP8_SQL}
+ORACLES = {"op4_url_sweep": OP4_SQL, "op6_perspectives": OP6_SQL, "op8_fm_index": OP8_SQL,
+           "op13_license_index": _licenses_sql()}
 
 
 def queries():

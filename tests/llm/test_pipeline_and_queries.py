@@ -34,7 +34,7 @@ def test_sql_twins(spark, views, name):
 def test_every_operator_is_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
 
 
 def test_stages(spark, views):
