@@ -76,6 +76,11 @@ def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
+def op12_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand.llm import ranked_search
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demand.llm import licenses
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
@@ -135,6 +140,26 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 
 
 
+OP12_SQL = """
+WITH q AS (SELECT item_id, term, count(*) AS r
+           FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                           '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+                 FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY item_id, term),
+d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+s AS (SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d),
+f AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY rid, term),
+t AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM f GROUP BY term), s),
+v AS (SELECT rid, doc_id, 75 + (25 * len(w) * n_docs) // n_terms AS m FROM d, s WHERE len(w) > 0),
+x AS (SELECT q.item_id, v.rid, any_value(v.doc_id) AS doc_id, CAST(sum(q.r * t.w * ((1000000000 * f.tf) // (1000 * f.tf + 12 * v.m))) AS BIGINT) AS score
+      FROM q JOIN f USING (term) JOIN t USING (term) JOIN v USING (rid) GROUP BY q.item_id, v.rid)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM x WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
 def _licenses_sql() -> str:
     """Starts by the rarest words of each wording, words compared by relative position, key phrases verified."""
     from demand.llm import licenses
@@ -178,10 +203,11 @@ QUERIES = {
     "op8_fm_index": op8_fm_index,
     "op9_repair": op9_repair,
     "op10_hmm": op10_hmm,
+    "op12_mask_search": op12_mask_search,
     "op13_license_index": op13_license_index,
 }
 ORACLES = {"op4_url_sweep": OP4_SQL, "op6_perspectives": OP6_SQL, "op8_fm_index": OP8_SQL,
-           "op13_license_index": _licenses_sql()}
+           "op12_mask_search": OP12_SQL, "op13_license_index": _licenses_sql()}
 
 
 def queries():
