@@ -76,6 +76,11 @@ def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
+def op11_phrase_quicksort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand.llm import collocations
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def op12_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demand.llm import ranked_search
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -140,6 +145,33 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 
 
 
+OP11_SQL = """
+WITH p AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents)),
+g AS (SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 5) AS r(k) WHERE len(w) >= k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 30),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+cut AS (SELECT c.lang, c.phrase, c.k, c.a, j, fl.f AS l, fr.f AS r, CAST((CAST(2000000 AS HUGEINT) * c.a) // (fl.f + fr.f) AS BIGINT) AS score
+        FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+        JOIN f fl ON fl.lang = c.lang AND fl.phrase = array_to_string(list_slice(c.w, 1, j), ' ')
+        JOIN f fr ON fr.lang = c.lang AND fr.phrase = array_to_string(list_slice(c.w, j + 1, c.k), ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+longer AS (SELECT lang, phrase, max(f) AS f FROM (
+             SELECT lang, a AS f, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase
+             FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c WHERE k >= 3)))
+           GROUP BY lang, phrase)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best LEFT JOIN longer USING (lang, phrase) JOIN n USING (lang)
+WHERE longer.f IS NULL OR CAST(longer.f AS HUGEINT) * 100 < CAST(a AS HUGEINT) * 80
+QUALIFY rank <= 2000
+"""
+
+
 OP12_SQL = """
 WITH q AS (SELECT item_id, term, count(*) AS r
            FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -203,11 +235,12 @@ QUERIES = {
     "op8_fm_index": op8_fm_index,
     "op9_repair": op9_repair,
     "op10_hmm": op10_hmm,
+    "op11_phrase_quicksort": op11_phrase_quicksort,
     "op12_mask_search": op12_mask_search,
     "op13_license_index": op13_license_index,
 }
 ORACLES = {"op4_url_sweep": OP4_SQL, "op6_perspectives": OP6_SQL, "op8_fm_index": OP8_SQL,
-           "op12_mask_search": OP12_SQL, "op13_license_index": _licenses_sql()}
+           "op11_phrase_quicksort": OP11_SQL, "op12_mask_search": OP12_SQL, "op13_license_index": _licenses_sql()}
 
 
 def queries():
