@@ -8,6 +8,10 @@ the size of the input (``bucket_count``).
 
 from __future__ import annotations
 
+import ctypes
+from functools import wraps
+from inspect import signature
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -68,6 +72,36 @@ def texts(docs: DataFrame, *more: str, id_col: str = "doc_id", text_col: str = "
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"), *more)
 
 
+def _give_back() -> None:
+    """Free memory of this worker goes back to the system: Arrow's pool, and what malloc keeps of freed arrays."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library has its own way
+        pass
+
+
+def lean(run):
+    """A task function over batches that leaves no free memory behind: a worker serves tasks of many stages."""
+    @wraps(run)
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+    return task
+
+
+def lean_group(run):
+    """The same for a function of one group (of one to three arguments, which Spark counts)."""
+    def call(*args):
+        try:
+            return run(*args)
+        finally:
+            _give_back()
+    return [lambda a: call(a), lambda a, b: call(a, b), lambda a, b, c: call(a, b, c)][len(signature(run).parameters) - 1]
+
+
 def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
     """Bytes of all texts: one aggregate, used only to choose a number of buckets."""
     return docs.agg(F.sum(F.octet_length(text_col)).alias("b")).first()["b"] or 0

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from demand.llm.common import chunks, flat, runs, span_index, string_array
+from demand.llm.common import chunks, flat, lean, runs, span_index, string_array
 
 #: Small letters, digits and bytes of non-ASCII characters as they are, capitals lowered, the rest a space.
 WORD_BYTES = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -274,7 +274,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_phrases:
             for chunk in chunks(batches):
                 yield _rows(chunk, block.value, vocabulary, NEW)
 
-        return docs.mapInArrow(run, schema)
+        return docs.mapInArrow(lean(run), schema)
 
     if passes == 1:
         return one_pass(found.collect())
@@ -337,4 +337,4 @@ def without_spans(marked: DataFrame) -> DataFrame:
                 out.append(text)
             yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(out, pa.string()))
 
-    return marked.mapInArrow(run, marked.schema)
+    return marked.mapInArrow(lean(run), marked.schema)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from demand.llm.common import BASE, chunks, flat, hashed_sample, mix, piece_hashes, span_index, string_array
+from demand.llm.common import BASE, chunks, flat, hashed_sample, lean, mix, piece_hashes, span_index, string_array
 from demand.llm.hmm import by_time, tokens
 
 SLOTS = 1 << 16
@@ -301,7 +301,7 @@ def predict(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*own.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                                  names=[*own.schema.names, "lang_pred", "score"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def identify(docs: DataFrame, learn_from: Column, label: str = "lang", **options) -> DataFrame:

@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demand.llm.common import (BASE, LOWER_ARRAY, bucket_count, chunks, discard, flat, mix, pack, pack_planes, piece_hashes,
+from demand.llm.common import (BASE, LOWER_ARRAY, bucket_count, chunks, discard, flat, lean, lean_group, mix, pack, pack_planes, piece_hashes,
                                powers, small_side, span_index, string_array, text_bytes, texts, unpack, unpack_planes,
                                written, written_at)
 from demand.llm.components import components
@@ -369,7 +369,7 @@ def _large(rows: DataFrame, block_classes: int) -> DataFrame:
     heads = (rows.where("cls = head").dropDuplicates(["component"])
              .select(F.col("component").alias("of"), *theirs, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("at")))
     first = written(rows.select("component", "slot", *FIELDS).groupBy("component", "slot")
-                    .cogroup(heads.groupBy("of", "at")).applyInArrow(_with_head, "a long, b long"), "jaccard-heads")
+                    .cogroup(heads.groupBy("of", "at")).applyInArrow(lean_group(_with_head), "a long, b long"), "jaccard-heads")
     rest = first.where("a = b").select(F.col("a").alias("cls")).distinct().withColumn("rest", F.lit(True))
     rows = rows.join(small_side(rest), "cls", "left").withColumn("rest", F.coalesce("rest", F.lit(False)))
     parts = (rows.where("rest").groupBy("component").agg(F.ceil(F.count("*") / block_classes).cast("int").alias("parts")))
@@ -379,7 +379,7 @@ def _large(rows: DataFrame, block_classes: int) -> DataFrame:
     every = (rows.join(small_side(parts), "component").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select("component", "part", "slot", *FIELDS, (~F.col("rest")).alias("linked")))
     more = (every.groupBy("component", "part", "slot").cogroup(asked.groupBy("of", "with", "at"))
-            .applyInArrow(_with_rest, "a long, b long"))
+            .applyInArrow(lean_group(_with_rest), "a long, b long"))
     return first.where("a != b").unionByName(more)
 
 
@@ -387,11 +387,11 @@ def join(docs: DataFrame, n2: int = 2, k2: int = 1, block_classes: int = 3000) -
     """(doc_id, n_shingles, tkey, component, component_id) of every document; tkey is a hash of its text."""
     docs = texts(docs).withColumn("tkey", F.xxhash64("text"))
     buckets = bucket_count(text_bytes(docs))
-    parts, path = written_at(docs.mapInArrow(_store(buckets), PARTS), "jaccard-parts", "kind")
-    shared = parts.where("kind = 2").select("bucket", "chunk", "a", "b").groupBy("bucket").applyInArrow(_key_levels, PARTS)
+    parts, path = written_at(docs.mapInArrow(lean(_store(buckets)), PARTS), "jaccard-parts", "kind")
+    shared = parts.where("kind = 2").select("bucket", "chunk", "a", "b").groupBy("bucket").applyInArrow(lean_group(_key_levels), PARTS)
     signed = written(parts.where("kind = 1").select("chunk", "a", "b").groupBy("chunk")
                      .cogroup(shared.select(F.col("chunk").alias("of"), "bucket", "a").groupBy("of"))
-                     .applyInArrow(_signed(buckets, n2, k2), PARTS), "jaccard-signed", "kind")
+                     .applyInArrow(lean_group(_signed(buckets, n2, k2)), PARTS), "jaccard-signed", "kind")
     for kind in (1, 2):
         discard(docs.sparkSession, f"{path}/kind={kind}")
 
@@ -402,16 +402,16 @@ def join(docs: DataFrame, n2: int = 2, k2: int = 1, block_classes: int = 3000) -
                 yield pa.RecordBatch.from_arrays([pa.array(t[:, 0], mask=t[:, 1] == 1), pa.array(t[:, 2]), pa.array(t[:, 3]), pa.array(t[:, 4])],
                                                  names=["doc_id", "n_shingles", "cls", "tkey"])
 
-    members = parts.where("kind = 0").select("a").mapInArrow(rows, "doc_id long, n_shingles long, cls long, tkey long")
+    members = parts.where("kind = 0").select("a").mapInArrow(lean(rows), "doc_id long, n_shingles long, cls long, tkey long")
     lists = written(signed.where("kind = 4").select("bucket", "a", "b").groupBy("bucket")
-                    .applyInArrow(_lists, "list long, members array<long>")
+                    .applyInArrow(lean_group(_lists), "list long, members array<long>")
                     .groupBy("list").agg(F.first("members").alias("members")), "jaccard-lists")
     near = written(components(lists.select(F.col("members")[0].alias("a"), F.explode("members").alias("b"))), "jaccard-near")
     size = near.groupBy("component").agg(F.count("*").alias("classes"))
     sets = (signed.where("kind = 5").select(F.col("chunk").alias("cls"), F.col("bucket").alias("own"), F.col("a").cast("string").alias("text"))
             .join(small_side(near.join(size, "component").withColumnRenamed("node", "cls")), "cls"))
     small = (sets.where(F.col("classes") <= block_classes).select("component", "cls", "own", "text")
-             .groupBy("component").applyInArrow(_component, "a long, b long"))
+             .groupBy("component").applyInArrow(lean_group(_component), "a long, b long"))
     large = written(sets.where(F.col("classes") > block_classes).select("component", "cls", "own", "text"), "jaccard-large")
     links = written(small.unionByName(_large(large, block_classes)), "jaccard-links")
     linked = components(links).select(F.col("node").alias("cls"), "component")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demand.llm.common import chunks, texts, written
+from demand.llm.common import chunks, lean, lean_group, texts, written
 from demand.llm.tokenizing import encode, with_end
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -50,7 +50,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
                 [batch.column("doc_id").take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return texts(docs).mapInArrow(run, PIECES)
+    return texts(docs).mapInArrow(lean(run), PIECES)
 
 
 # ---- one group ---------------------------------------------------------------------------------------------------
@@ -135,20 +135,32 @@ class Search:
         return True
 
     def run(self, max_passes: int, neighbours: int) -> list[list[int]]:
+        """Empty the least filled bins into fuller ones, the fullest first. Past ``neighbours`` of them a victim goes on only
+        until one gained; without a gain it has met a bin of every larger fill, and waits until a bin changes."""
+        changes, failed = 0, {}
         for _ in range(max_passes):
             open_ = sorted((k for k, f in self.fill.items() if f < self.capacity), key=lambda k: self.fill[k])
             changed = False
             for victim in open_:
-                if not self.bins[victim]:
+                if not self.bins[victim] or failed.get(victim) == changes:
                     continue
                 fuller = sorted((k for k in open_ if k != victim and self.bins[k] and self.fill[k] < self.capacity),
-                                key=lambda k: -self.fill[k])[:neighbours]
-                for k in fuller:
+                                key=lambda k: -self.fill[k])
+                gained, met = False, set()
+                for n, k in enumerate(fuller):
+                    if n >= neighbours and gained:
+                        break
                     if self.fill[k] >= self.fill[victim]:
+                        if n >= neighbours and self.fill[k] in met:
+                            continue
+                        met.add(self.fill[k])
                         while self.bins[victim] and self.fill[k] < self.capacity and self._gain(victim, k):
-                            changed = True
+                            gained = changed = True
+                            changes += 1
                     if not self.bins[victim]:
                         break
+                if not gained:
+                    failed[victim] = changes
             if not changed:
                 break
         return [b for b in self.bins.values() if b]
@@ -180,7 +192,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 4096, grou
         size = left.agg(F.count("*").alias("n"), F.sum("length").alias("t")).first()
         groups = max(1, -(-(size["t"] or 0) // (capacity * group_bins)), -(-size["n"] // group_pieces))
         dealt = left.withColumn("grp", F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(groups)).cast("int"))
-        packed = written(dealt.groupBy("grp").applyInPandas(pack_group, PACKED), f"packing-{level}")
+        packed = written(dealt.groupBy("grp").applyInPandas(lean_group(pack_group), PACKED), f"packing-{level}")
         last = groups == 1 or before is not None and 2 * size["n"] > before
         full = F.lit(True) if last else F.col("fill") >= int(capacity * keep_fill)
         done.append(packed.where(full).withColumn("level", F.lit(level)))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from demand.llm.common import BASE, bucket_count, chunks, flat, mix, pack, powers, runs, span_index, text_bytes, unpack, written
+from demand.llm.common import BASE, bucket_count, chunks, flat, lean, lean_group, mix, pack, powers, runs, span_index, text_bytes, unpack, written
 
 LENGTH, GRAM = 200, 32
 #: Places of a gram from which its windows are compared one by one, dealt by their digests.
@@ -495,12 +495,12 @@ def _run(docs: DataFrame, finish, schema, length: int, gram: int, hot: int) -> D
     docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
     carry = docs.columns
     buckets = bucket_count(text_bytes(docs))
-    parts = written(docs.mapInArrow(_store(buckets, length, gram, carry), PARTS), "suffix-parts", "kind")
+    parts = written(docs.mapInArrow(lean(_store(buckets, length, gram, carry)), PARTS), "suffix-parts", "kind")
     store = parts.where("kind = 0").select("chunk", "a", "b", "c", "d")
-    flags = written(parts.where("kind = 1").select("bucket", "chunk", "a", "b").groupBy("bucket").applyInArrow(_repeated_grams(hot), PARTS), "suffix-grams")
+    flags = written(parts.where("kind = 1").select("bucket", "chunk", "a", "b").groupBy("bucket").applyInArrow(lean_group(_repeated_grams(hot)), PARTS), "suffix-grams")
     asked = flags.select("chunk", "bucket", "a", "b")
-    contexts = written(store.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(_contexts(buckets, length), PARTS), "suffix-contexts")
-    ranges = written(contexts.select("kind", "bucket", "chunk", "a", "b", "c", "d").groupBy("bucket").applyInArrow(_resolve(length), PARTS), "suffix-ranges")
+    contexts = written(store.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(lean_group(_contexts(buckets, length)), PARTS), "suffix-contexts")
+    ranges = written(contexts.select("kind", "bucket", "chunk", "a", "b", "c", "d").groupBy("bucket").applyInArrow(lean_group(_resolve(length)), PARTS), "suffix-ranges")
     both = flags.unionByName(ranges).select(F.col("chunk").alias("of"), "kind", "bucket", "a", "b")
 
     def run(key, mine, answers):
@@ -509,7 +509,7 @@ def _run(docs: DataFrame, finish, schema, length: int, gram: int, hot: int) -> D
         windows = [(b, a) for k, b, a, _ in rows if k == 6]
         return pa.concat_tables([finish(*_cover(x, bits, found, windows, buckets, length)) for x in mine.to_pylist()])
 
-    return store.groupBy("chunk").cogroup(both.groupBy("of")).applyInArrow(run, schema)
+    return store.groupBy("chunk").cogroup(both.groupBy("of")).applyInArrow(lean_group(run), schema)
 
 
 def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:

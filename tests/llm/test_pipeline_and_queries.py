@@ -106,3 +106,26 @@ def test_odd_rows_pass(spark, tmp_path):
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
     bench.write.parquet(f"{tmp_path}/none/benchmark.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_own_columns_and_long_texts_come_through(spark, tmp_path):
+    """Columns named like those of the operators keep their values; a very long text passes."""
+    bench = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    own = {"lang_pred": "mine", "score": 7.5, "n_words": 3, "n_hit": 4, "hit_items": "own", "hit_spans": "too", "component": 9, "tkey": 8}
+    rows = [(i, f"some plain words number {i} and then some more of them", "en", "s", 1, *own.values()) for i in range(20)]
+    rows += [(50 + i, f"autres mots français numéro {i} et puis encore quelques autres", "fr", "s", 1, *own.values()) for i in range(20)]
+    rows += [(90, " ".join(f"plain words number {i} of them" for i in range(60_000)), "en", "s", 1, *own.values()),
+             (91, "some words then alpha beta gamma and then some more", "en", "s", 1, *own.values())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, lang_pred string, score double, "
+                                       "n_words int, n_hit int, hit_items string, hit_spans string, component int, tkey int").cache()
+    columns, frame = docs.columns, docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, str(tmp_path)).cache()
+        assert frame.columns == columns and frame.dtypes == docs.dtypes
+        kept = frame.collect()
+        assert kept and all(r[c] == x for r in kept for c, x in own.items())
+    assert {r["doc_id"]: r["text"] for r in kept}[91] == "some words then  and then some more"
+    assert len({r["doc_id"]: r["text"] for r in kept}[90]) > 500_000
+    packed = corpus_pipeline.STAGES[-1][1](spark, frame, str(tmp_path)).where("doc_id = 90").collect()
+    assert len(packed) > 40 and sorted(r["piece"] for r in packed) == list(range(len(packed)))
