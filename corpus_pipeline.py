@@ -6,7 +6,8 @@ columns of ``documents``; n_chars follows a text that was cut.
 
 Rejected: documents without a word of a known language or with less than half of their words in one language;
 all but the smallest doc_id of near duplicates (5-word shingles, Jaccard 0.75); documents that have nothing left once
-repeated 200-byte strings, or benchmark passages, are cut out. Others stay, with what is left of their texts.
+repeated 200-byte strings, or benchmark passages, are cut out. Others stay, with what is left of their texts. Further columns
+of ``documents`` come through unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,10 +29,17 @@ def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
             .withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*columns))
 
 
+def _aside(docs: DataFrame, names) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its own columns of the given names under other ones, and how to name them back."""
+    back = {f"__own_{c}": c for c in docs.columns if c.lower() in names}
+    return docs.withColumnsRenamed({c: own for own, c in back.items()}), back
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = lang_crf.identify(docs, ~held_out_language(F.col("doc_id")))
+    rows, back = _aside(docs, ("lang_pred", "score"))
+    found = lang_crf.identify(rows, ~held_out_language(F.col("doc_id")))
     kept = found.where((F.col("lang_pred") != lang_crf.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).drop("lang_pred", "score").withColumnsRenamed(back).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +51,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marked = decontaminate.mark(docs, table(spark, sf_dir, "benchmark"))
-    return _with_text(decontaminate.without_spans(marked), docs.columns)
+    rows, back = _aside(docs, decontaminate.NEW)
+    marked = decontaminate.mark(rows, table(spark, sf_dir, "benchmark"))
+    return _with_text(decontaminate.without_spans(marked).drop(*decontaminate.NEW).withColumnsRenamed(back), docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
