@@ -252,12 +252,16 @@ def _rows(batch, block: Phrases, vocabulary, fields):
     return pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *fields])
 
 
+#: Bytes of text in one index.
+SHARD_BYTES = 6 << 20
 NEW = ("n_words", "n_hit", "hit_items", "hit_spans")
 SPANS = ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))
 
 
-def mark(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_phrases: int = 1_000_000) -> DataFrame:
-    """``docs`` (null texts empty) with n_words, n_hit, hit_items (sorted strings) and hit_spans (merged byte ranges)."""
+def mark(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_phrases: int = 1_000_000, cut: bool = False) -> DataFrame:
+    """``docs`` (null texts empty) with n_words, n_hit, hit_items (sorted strings) and hit_spans (merged byte ranges).
+
+    ``cut``: the hit spans are cut from the texts as well, by the same tasks if one pass does."""
     docs = docs.drop(*NEW).withColumn("text", F.coalesce("text", F.lit("")))
     schema = StructType([*docs.schema.fields, StructField(NEW[0], LongType()), StructField(NEW[1], LongType()),
                          StructField(NEW[2], ArrayType(StringType())), StructField(NEW[3], SPANS)])
@@ -271,8 +275,9 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_phrases:
 
         def run(batches):
             vocabulary = pa.array(block.value.vocabulary, pa.large_string())
-            for chunk in chunks(batches):
-                yield _rows(chunk, block.value, vocabulary, NEW)
+            for chunk in chunks(batches, SHARD_BYTES):
+                rows = _rows(chunk, block.value, vocabulary, NEW)
+                yield _without_spans(rows) if cut and passes == 1 else rows
 
         return docs.mapInArrow(lean(run), schema)
 
@@ -280,7 +285,8 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_phrases:
         return one_pass(found.collect())
     slot = F.pmod(F.xxhash64("phrase"), F.lit(passes))
     parts = [one_pass(found.where(slot == i).collect()) for i in range(passes)]
-    return _merge(parts, docs.columns, passes)
+    merged = _merge(parts, docs.columns, passes)
+    return without_spans(merged) if cut else merged
 
 
 def _merge(parts: list[DataFrame], columns: list[str], passes: int) -> DataFrame:
@@ -321,20 +327,19 @@ def digest(marked: DataFrame) -> DataFrame:
                          F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def _without_spans(batch):
+    out = []
+    for text, spans in zip(batch.column("text").to_pylist(), batch.column("hit_spans").to_pylist(), strict=True):
+        if spans:
+            raw, at, kept = text.encode(), 0, []
+            for x in spans:
+                kept.append(raw[at:x["start"]])
+                at = x["end"]
+            text = b"".join([*kept, raw[at:]]).decode()
+        out.append(text)
+    return batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(out, pa.string()))
+
+
 def without_spans(marked: DataFrame) -> DataFrame:
     """``mark``'s documents with the hit spans cut from their texts."""
-
-    def run(batches):
-        for batch in batches:
-            out = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("hit_spans").to_pylist(), strict=True):
-                if spans:
-                    raw, at, kept = text.encode(), 0, []
-                    for x in spans:
-                        kept.append(raw[at:x["start"]])
-                        at = x["end"]
-                    text = b"".join([*kept, raw[at:]]).decode()
-                out.append(text)
-            yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(out, pa.string()))
-
-    return marked.mapInArrow(lean(run), marked.schema)
+    return marked.mapInArrow(lean(lambda batches: map(_without_spans, batches)), marked.schema)

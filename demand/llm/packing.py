@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demand.llm.common import chunks, lean, lean_group, texts, written
-from demand.llm.tokenizing import encode, with_end
+from demand.llm.tokenizing import encode, forget, with_end
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, uid long, grp int, bin int, offset long, fill long"
@@ -49,6 +49,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        forget()
 
     return texts(docs).mapInArrow(lean(run), PIECES)
 

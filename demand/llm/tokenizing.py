@@ -65,6 +65,12 @@ class Coder:
         return np.frombuffer(b"".join(found), "<u4"), size
 
 
+def forget() -> None:
+    """Drop the remembered pieces: for a task that ends, as its worker goes on with other work."""
+    for coder in _loaded.values():
+        coder.young, coder.old = {}, {}
+
+
 def _coder(path: str) -> Coder:
     """Once per Python worker."""
     if path not in _loaded:
