@@ -52,8 +52,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, back = _aside(docs, decontaminate.NEW)
-    marked = decontaminate.mark(rows, table(spark, sf_dir, "benchmark"))
-    return _with_text(decontaminate.without_spans(marked).drop(*decontaminate.NEW).withColumnsRenamed(back), docs.columns)
+    marked = decontaminate.mark(rows, table(spark, sf_dir, "benchmark"), cut=True)
+    return _with_text(marked.drop(*decontaminate.NEW).withColumnsRenamed(back), docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
