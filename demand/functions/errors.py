@@ -24,6 +24,16 @@ def ape(y: Column, yhat: Column) -> Column:
     return F.abs((y - yhat + F.lit(EPSILON)) / (y + F.lit(EPSILON)))
 
 
+def mean_in_order(value: Column, order: Column) -> Column:
+    """Mean of the non-null values of a group, added up in the order of ``order``.
+
+    ``avg`` adds in whatever order rows and partial sums arrive, so equal groups may differ in the last digit and ties
+    between them fall either way; this sum is the same for any partitioning. Groups are as long as the hold-out."""
+    rows = F.collect_list(F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v"))))
+    values = F.transform(F.array_sort(rows), lambda r: r["v"])
+    return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values))
+
+
 def rescale_accuracy(mape: Column) -> Column:
     """max(0, 100 - mape); null without an error."""
     return F.when(mape.isNotNull(), F.greatest(F.lit(0.0), F.lit(100.0) - mape))

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from ..functions import errors
 from ..functions.constants import BASELINE, MODEL_OPTIONS, MODEL_ORDER, N_TEST
 
+#: Errors of two models that agree in so many decimal places are equal.
+TIE_DIGITS = 9
+
 
 def model_subset(models: str | list[str]) -> list[str]:
     """Model labels selected by an option string 'sarimax,prophet,...'."""
@@ -39,29 +42,29 @@ def clip_predictions(preds: DataFrame, caps: DataFrame) -> DataFrame:
 
 
 def error_metrics(actuals: DataFrame, preds: DataFrame) -> DataFrame:
-    """MAE, MAPE, MAAPE per (item_id, model) over the hold-out.
+    """MAE, MAPE, MAAPE per (item_id, model) over the hold-out, added up by month.
 
     ``actuals`` (item_id, t, y) of hold-out months; ``preds`` test-phase rows.
     """
     j = preds.filter(F.col("phase") == "test").join(actuals.select("item_id", "t", "y"), ["item_id", "t"])
     a = errors.ape(F.col("y"), F.col("yhat"))
     return (j.groupBy("item_id", "model")
-            .agg(F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("mae"),
-                 (F.avg(a) * F.lit(100.0)).alias("mape"),
-                 F.avg(F.atan(a)).alias("maape")))
+            .agg(errors.mean_in_order(F.abs(F.col("y") - F.col("yhat")), F.col("t")).alias("mae"),
+                 (errors.mean_in_order(a, F.col("t")) * F.lit(100.0)).alias("mape"),
+                 errors.mean_in_order(F.atan(a), F.col("t")).alias("maape")))
 
 
 def best_model(metrics: DataFrame) -> DataFrame:
-    """MAPE-best and MAAPE-best model per item (ties by model order).
+    """MAPE-best and MAAPE-best model per item; errors equal to TIE_DIGITS places tie, by model order.
 
     Baseline rows and null errors are ignored. Output: item_id, mape_model,
     mape_min, mae_v (MAE of the MAPE-best model), maape_model, maape_min.
     """
     m = metrics.filter((F.col("model") != BASELINE)).withColumn("_rank", model_rank())
     by_mape = (m.filter(F.col("mape").isNotNull() & ~F.isnan("mape")).groupBy("item_id")
-               .agg(F.min_by(F.struct("model", "mape", "mae"), F.struct("mape", "_rank")).alias("b")))
+               .agg(F.min_by(F.struct("model", "mape", "mae"), F.struct(F.round("mape", TIE_DIGITS), "_rank")).alias("b")))
     by_maape = (m.filter(F.col("maape").isNotNull() & ~F.isnan("maape")).groupBy("item_id")
-                .agg(F.min_by(F.struct("model", "maape"), F.struct("maape", "_rank")).alias("c")))
+                .agg(F.min_by(F.struct("model", "maape"), F.struct(F.round("maape", TIE_DIGITS), "_rank")).alias("c")))
     return by_mape.join(by_maape, "item_id", "full").select(
         "item_id",
         F.col("b.model").alias("mape_model"), F.col("b.mape").alias("mape_min"), F.col("b.mae").alias("mae_v"),

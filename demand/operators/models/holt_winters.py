@@ -13,8 +13,12 @@ Equations (m = 6, phi = damping):
   s'  = gamma*y/f + (1-gamma)*s[t-m]
   forecast(h) = (l + (phi+...+phi^h)*b) * s[(h-1) mod m]
 Start: l = mean of the first 6 values, b = (mean of values 7..12 - l)/6,
-s_i = y_i / l for the first 6 values. The fit minimises the one-step SSE
-over a coarse grid, then over a finer grid around the coarse winner.
+s_i = y_i / l for the first 6 values.
+Box-Cox: the recurrence runs on y**lam (a Box-Cox transform up to shift and scale; unlike its
+usual form it keeps small values positive, as the multiplicative season needs), forecasts are
+transformed back (below 0: 0) and the errors are taken on the original scale.
+The fit minimises the one-step SSE over a coarse grid at lam = 1, then over the lambdas at the
+coarse winner, then over a finer grid around it at the chosen lambda.
 The hold-out forecast uses the best fit on the training months, the future
 forecast the best fit on the whole series. A series needs 12 positive values.
 """
@@ -41,14 +45,16 @@ PHIS = [0.8, 0.9, 0.98]
 REFINE_STEPS = [0.1, 0.05, 0.1, 0.04]
 REFINE_LOW = [0.02, 0.005, 0.01, 0.7]
 REFINE_HIGH = [0.98, 0.95, 0.95, 0.995]
+# Box-Cox lambdas, 1 first: it leaves the series as it is and wins ties.
+LAMBDAS = [1.0, 0.75, 0.5, 0.25]
 # --- end of fixed values ----------------------------------------------------
 PARAMS = ["alpha", "beta", "gamma", "phi"]
 
 
 def param_grid(alphas=ALPHAS, betas=BETAS, gammas=GAMMAS, phis=PHIS) -> Column:
-    """The grid as a literal array of structs (size fixed by the parameters)."""
+    """The grid as a literal array of structs (size fixed by the parameters), at lambda 1."""
     pts = [F.struct(F.lit(float(a)).alias("alpha"), F.lit(float(b)).alias("beta"),
-                    F.lit(float(g)).alias("gamma"), F.lit(float(p)).alias("phi"))
+                    F.lit(float(g)).alias("gamma"), F.lit(float(p)).alias("phi"), F.lit(1.0).alias("lam"))
            for a, b, g, p in itertools.product(alphas, betas, gammas, phis)]
     return F.array(*pts)
 
@@ -65,24 +71,34 @@ def _init_state(y: Column) -> Column:
 def _step(g: Column):
     a, bt, gm, ph = g["alpha"], g["beta"], g["gamma"], g["phi"]
 
-    def merge(st: Column, y: Column) -> Column:
+    def merge(st: Column, pair: Column) -> Column:
+        y, actual = pair["z"], pair["y"]
         f = st["l"] + ph * st["b"]
-        yhat = f * st["s0"]
+        yhat = _back(f * st["s0"], g["lam"])
         lev = a * y / st["s0"] + (F.lit(1.0) - a) * f
         trend = bt * (lev - st["l"]) + (F.lit(1.0) - bt) * ph * st["b"]
         snew = gm * y / f + (F.lit(1.0) - gm) * st["s0"]
         fields = [lev.alias("l"), trend.alias("b")]
         fields += [st[f"s{i + 1}"].alias(f"s{i}") for i in range(SEASON - 1)]
-        fields += [snew.alias(f"s{SEASON - 1}"), (st["sse"] + (y - yhat) * (y - yhat)).alias("sse")]
+        fields += [snew.alias(f"s{SEASON - 1}"), (st["sse"] + (actual - yhat) * (actual - yhat)).alias("sse")]
         return F.struct(*fields)
 
     return merge
 
 
+def _forth(y: Column, lam: Column) -> Column:
+    return F.when(lam == 1.0, y).otherwise(F.pow(y, lam))
+
+
+def _back(z: Column, lam: Column) -> Column:
+    return F.when(lam == 1.0, z).otherwise(F.pow(F.greatest(z, F.lit(0.0)), F.lit(1.0) / lam))
+
+
 def fit(y: Column, g: Column) -> Column:
     """Fold the recurrence over ``y`` (array<double>) for grid point ``g``."""
-    rest = F.slice(y, SEASON + 1, F.greatest(F.size(y) - SEASON, F.lit(1)))
-    return F.aggregate(rest, _init_state(y), _step(g))
+    pairs = F.transform(y, lambda v: F.struct(_forth(v, g["lam"]).alias("z"), v.alias("y")))
+    rest = F.slice(pairs, SEASON + 1, F.greatest(F.size(y) - SEASON, F.lit(1)))
+    return F.aggregate(rest, _init_state(F.transform(y, lambda v: _forth(v, g["lam"]))), _step(g))
 
 
 def forecast(state: Column, g: Column, h: Column) -> Column:
@@ -90,7 +106,8 @@ def forecast(state: Column, g: Column, h: Column) -> Column:
     ph = g["phi"]
     damp = ph * (F.lit(1.0) - F.pow(ph, h)) / (F.lit(1.0) - ph)
     season = F.element_at(F.array(*[state[f"s{i}"] for i in range(SEASON)]), ((h - 1) % SEASON) + 1)
-    return (state["l"] + damp * state["b"]) * season
+    return _back((state["l"] + damp * state["b"]) * season, g["lam"])
+
 
 SERIES_PER_TASK = 256
 
@@ -147,10 +164,15 @@ def refine_grid(g: Column) -> Column:
 
     def point(o):
         return F.struct(*[F.least(F.lit(hi), F.greatest(F.lit(lo), g[p] + o[p])).alias(p)
-                          for p, lo, hi in zip(PARAMS, REFINE_LOW, REFINE_HIGH)])
+                          for p, lo, hi in zip(PARAMS, REFINE_LOW, REFINE_HIGH)], g["lam"].alias("lam"))
     return F.transform(F.array(*offs), point)
 
 
+def lambda_grid(g: Column) -> Column:
+    """Grid point ``g`` at every lambda."""
+    return F.array(*[F.struct(*[g[p].alias(p) for p in PARAMS], F.lit(lam).alias("lam")) for lam in LAMBDAS])
+
+
 def _best_of(rows: DataFrame, grid: Column) -> DataFrame:
     pts = rows.select("item_id", "phase", "y", F.explode(grid).alias("g"))
     fits = pts.select("item_id", "phase", "g", fit(F.col("y"), F.col("g")).alias("st"))
@@ -158,10 +180,11 @@ def _best_of(rows: DataFrame, grid: Column) -> DataFrame:
 
 
 def _search_sql(rows: DataFrame, grid: Column | None = None) -> DataFrame:
-    """Coarse grid, then the refinement grid around each winner (SQL fold)."""
-    coarse = _best_of(rows, grid if grid is not None else param_grid())
-    again = rows.join(coarse.select("item_id", "phase", F.col("b.g").alias("g0")), ["item_id", "phase"])
-    fine = _best_of(again.withColumn("g2", refine_grid(F.col("g0"))), F.col("g2"))
+    """Coarse grid, lambdas, then the refinement grid around each winner (SQL fold)."""
+    fine = _best_of(rows, grid if grid is not None else param_grid())
+    for around in (lambda_grid, refine_grid):
+        again = rows.join(fine.select("item_id", "phase", F.col("b.g").alias("g0")), ["item_id", "phase"])
+        fine = _best_of(again.withColumn("g2", around(F.col("g0"))), F.col("g2"))
     return rows.select("item_id", "phase", "t_end", "steps").join(fine, ["item_id", "phase"])
 
 
@@ -169,38 +192,52 @@ def _search_sql(rows: DataFrame, grid: Column | None = None) -> DataFrame:
 # Arrow engine: the same recurrence vectorised with numpy inside tasks.
 
 def grid_points():
-    return [tuple(map(float, p)) for p in itertools.product(ALPHAS, BETAS, GAMMAS, PHIS)]
+    return [(*map(float, p), 1.0) for p in itertools.product(ALPHAS, BETAS, GAMMAS, PHIS)]
+
+
+def _back_batch(z, lam):
+    import numpy as np
+    if (lam == 1.0).all():
+        return z
+    return np.where(lam == 1.0, z, np.power(np.maximum(z, 0.0), 1.0 / lam))
 
 
 def _fit_batch(Y, L, grid):
     """Fit every grid point on every row of Y (rows padded, lengths L).
 
-    ``grid`` is (G, 4) for a shared grid or (rows, G, 4) for one per row.
+    ``grid`` is (G, 5) for a shared grid or (rows, G, 5) for one per row; lambda is the last.
     Returns level, trend, seasonal ring (6 arrays) and SSE, each (rows, G).
     """
     import numpy as np
     rows = Y.shape[0]
     if grid.ndim == 2:  # one grid for every row
         grid = np.broadcast_to(grid, (rows,) + grid.shape)
-    A, B, G, P = (grid[:, :, k] for k in range(4))
+    A, B, G, P, lam = (grid[:, :, k] for k in range(5))
     width = grid.shape[1]
-    l0 = Y[:, :SEASON].mean(axis=1)
-    l1 = Y[:, SEASON:2 * SEASON].mean(axis=1)
-    lev = np.repeat(l0[:, None], width, axis=1)
-    tr = np.repeat(((l1 - l0) / 6.0)[:, None], width, axis=1)
-    ring = [np.repeat((Y[:, j] / l0)[:, None], width, axis=1) for j in range(SEASON)]
-    sse = np.zeros((rows, width))
+    plain = (lam == 1.0).all()
+    if (lam == lam[:, :1]).all():  # one lambda per row: one transform of its values
+        lam = lam[:, :1]
+
+    def forth(y):  # (rows, n) -> (rows, lambdas, n)
+        power = lam[:, :, None]
+        return y[:, None, :] if plain else np.where(power == 1.0, y[:, None, :], np.power(y[:, None, :], power))
     with np.errstate(all="ignore"):
+        Z = forth(Y)
+        l0, l1 = Z[:, :, :SEASON].mean(axis=2), Z[:, :, SEASON:2 * SEASON].mean(axis=2)
+        lev = np.array(np.broadcast_to(l0, (rows, width)))
+        tr = np.array(np.broadcast_to((l1 - l0) / 6.0, (rows, width)))
+        ring = [np.array(np.broadcast_to(Z[:, :, j] / l0, (rows, width))) for j in range(SEASON)]
+        sse = np.zeros((rows, width))
         for i in range(SEASON, int(L.max())):
             act = (i < L)[:, None]
-            y = Y[:, i][:, None]
+            z, actual = Z[:, :, i], Y[:, i][:, None]
             s0 = ring[i % SEASON]
             f = lev + P * tr
-            yhat = f * s0
-            nl = A * y / s0 + (1.0 - A) * f
+            yhat = _back_batch(f * s0, lam)
+            nl = A * z / s0 + (1.0 - A) * f
             nt = B * (nl - lev) + (1.0 - B) * P * tr
-            ns = G * y / f + (1.0 - G) * s0
-            sse = np.where(act, sse + (y - yhat) * (y - yhat), sse)
+            ns = G * z / f + (1.0 - G) * s0
+            sse = np.where(act, sse + (actual - yhat) * (actual - yhat), sse)
             lev = np.where(act, nl, lev)
             tr = np.where(act, nt, tr)
             ring[i % SEASON] = np.where(act, ns, s0)
@@ -218,16 +255,26 @@ def _best_batch(Y, L, grid):
 
 
 def _refine_batch(params):
-    """(rows, 4) winners -> (rows, 81, 4) refinement grids, clipped."""
+    """(rows, 5) winners -> (rows, 81, 5) refinement grids, clipped, at their lambda."""
     import numpy as np
     offs = np.array(list(itertools.product([-1, 0, 1], repeat=4)), dtype=float) * np.array(REFINE_STEPS)
-    return np.clip(params[:, None, :] + offs[None, :, :], np.array(REFINE_LOW), np.array(REFINE_HIGH))
+    points = np.clip(params[:, None, :4] + offs[None, :, :], np.array(REFINE_LOW), np.array(REFINE_HIGH))
+    return np.concatenate([points, np.broadcast_to(params[:, None, 4:], (*points.shape[:2], 1))], axis=2)
+
+
+def _lambda_batch(params):
+    """(rows, 5) winners -> (rows, lambdas, 5)."""
+    import numpy as np
+    out = np.repeat(params[:, None, :], len(LAMBDAS), axis=1)
+    out[:, :, 4] = LAMBDAS
+    return out
 
 
 def _forecast_batch(Y, L, grid, steps):
-    """Coarse search, refinement around the winner, ``steps``-ahead forecasts."""
+    """Coarse search, lambdas, refinement around the winner, ``steps``-ahead forecasts."""
     import numpy as np
     params, _, _, _ = _best_batch(Y, L, grid)
+    params, _, _, _ = _best_batch(Y, L, _lambda_batch(params))
     params, lev, tr, ring = _best_batch(Y, L, _refine_batch(params))
     phi = params[:, 3]
     out = np.empty((Y.shape[0], steps))
@@ -236,7 +283,7 @@ def _forecast_batch(Y, L, grid, steps):
             damp = phi * (1.0 - phi ** h) / (1.0 - phi)
             slot = (L + h - 1) % SEASON
             season = np.choose(slot, ring)
-            out[:, h - 1] = (lev + damp * tr) * season
+            out[:, h - 1] = _back_batch((lev + damp * tr) * season, params[:, 4])
     return out
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..functions.constants import ALL, AMOUNT_SCALE, CAP_MULTIPLE, HORIZON, N_TEST
+from ..functions.errors import mean_in_order
 
 LEVEL_TOTAL, LEVEL_CHANNEL, LEVEL_CUSTOMER, LEVEL_CATEGORY, LEVEL_CUSTOMER_CATEGORY = 0, 1, 2, 3, 4
 
@@ -154,7 +155,7 @@ def tail_split(filled: DataFrame, n_test: int = N_TEST) -> DataFrame:
 def holdout_cap(split: DataFrame, multiple: float = CAP_MULTIPLE) -> DataFrame:
     """Hold-out mean per item and the clip cap (mean * 5)."""
     return (split.filter("is_test").groupBy("item_id")
-            .agg(F.avg("y").alias("test_mean"))
+            .agg(mean_in_order(F.col("y"), F.col("t")).alias("test_mean"))
             .withColumn("cap", F.col("test_mean") * F.lit(float(multiple))))
 
 

@@ -493,7 +493,7 @@ split AS (
          t - MIN(t) OVER (PARTITION BY item_id) AS pos,
          t > MAX(t) OVER (PARTITION BY item_id) - 6 AS is_test
   FROM filled),
-caps AS (SELECT item_id, AVG(y) AS test_mean, AVG(y) * 5.0 AS cap FROM split WHERE is_test GROUP BY item_id),
+caps AS (SELECT item_id, AVG(y ORDER BY t) AS test_mean, AVG(y ORDER BY t) * 5.0 AS cap FROM split WHERE is_test GROUP BY item_id),
 fut AS (
   SELECT item_id, step, t_last + step AS t,
          make_date(CAST(floor((t_last + step - 1) / 12) AS BIGINT),
@@ -510,13 +510,13 @@ pers_pred AS (
   SELECT item_id, t, yhat FROM (
     SELECT item_id, t, is_test, LAG(y, 1) OVER (PARTITION BY item_id ORDER BY t) AS yhat FROM split) WHERE is_test),
 base_metrics AS (
-  SELECT b.item_id, b.model, AVG(abs(s.y - b.yhat)) AS mae,
-         AVG(abs((s.y - b.yhat + 1e-10) / (s.y + 1e-10))) * 100.0 AS mape,
-         AVG(atan(abs((s.y - b.yhat + 1e-10) / (s.y + 1e-10)))) AS maape
+  SELECT b.item_id, b.model, AVG(abs(s.y - b.yhat) ORDER BY s.t) AS mae,
+         AVG(abs((s.y - b.yhat + 1e-10) / (s.y + 1e-10)) ORDER BY s.t) * 100.0 AS mape,
+         AVG(atan(abs((s.y - b.yhat + 1e-10) / (s.y + 1e-10))) ORDER BY s.t) AS maape
   FROM base_pred b JOIN split s ON b.item_id = s.item_id AND b.t = s.t
   WHERE b.phase = 'test' GROUP BY b.item_id, b.model),
 pers_metrics AS (
-  SELECT b.item_id, AVG(abs((s.y - b.yhat + 1e-10) / (s.y + 1e-10))) * 100.0 AS mape
+  SELECT b.item_id, AVG(abs((s.y - b.yhat + 1e-10) / (s.y + 1e-10)) ORDER BY s.t) * 100.0 AS mape
   FROM pers_pred b JOIN split s ON b.item_id = s.item_id AND b.t = s.t GROUP BY b.item_id)"""
 
 
@@ -641,19 +641,39 @@ def _dbl_values(name, vals):
 
 def _hw_sql() -> str:
     from ..operators.models import holt_winters as hw
-    l0 = "(" * 6 + "0.0" + "".join(f" + ys[{i}])" for i in range(1, 7)) + " / 6.0"
-    l1 = "(" * 6 + "0.0" + "".join(f" + ys[{i}])" for i in range(7, 13)) + " / 6.0"
-    s0 = "[" + ", ".join(f"ys[{i}] / l0" for i in range(1, 7)) + "]"
+    l0 = "(" * 6 + "0.0" + "".join(f" + zs[{i}])" for i in range(1, 7)) + " / 6.0"
+    l1 = "(" * 6 + "0.0" + "".join(f" + zs[{i}])" for i in range(7, 13)) + " / 6.0"
+    s0 = "[" + ", ".join(f"zs[{i}] / l0" for i in range(1, 7)) + "]"
     f = "(l + phi * b)"
-    y = "ys[i + 1]"
-    nl = f"(alpha * {y} / s[1] + (1.0 - alpha) * {f})"
-    step = f"""SELECT item_id, phase, ys, len_fit, t_end, steps, alpha, beta, gamma, phi, i + 1,
+    z, y = "zs[i + 1]", "ys[i + 1]"
+    nl = f"(alpha * {z} / s[1] + (1.0 - alpha) * {f})"
+
+    def back(x, lam="lam"):
+        return f"(CASE WHEN {lam} = 1 THEN {x} ELSE pow(greatest({x}, 0.0), 1.0 / {lam}) END)"
+    point = "alpha, beta, gamma, phi, lam"
+
+    def search(rec, points):
+        """Recurrence of every series at every point of ``points`` (item_id, phase, point)."""
+        return f"""{rec} AS (
+  SELECT item_id, phase, ys, zs, len_fit, t_end, steps, {point}, 6 AS i,
+         l0 AS l, (l1 - l0) / 6.0 AS b, {s0} AS s, CAST(0.0 AS DOUBLE) AS sse
+  FROM (SELECT *, {l0} AS l0, {l1} AS l1 FROM (
+          SELECT f.*, {point}, [CASE WHEN lam = 1 THEN v ELSE pow(v, lam) END for v in ys] AS zs
+          FROM hw_fit f JOIN {points} g ON f.item_id = g.item_id AND f.phase = g.phase))
+  UNION ALL
+  SELECT item_id, phase, ys, zs, len_fit, t_end, steps, {point}, i + 1,
          {nl},
          beta * ({nl} - l) + (1.0 - beta) * phi * b,
-         list_concat(s[2:6], [gamma * {y} / {f} + (1.0 - gamma) * s[1]]),
-         sse + ({y} - {f} * s[1]) * ({y} - {f} * s[1])
-  FROM {{rec}} WHERE i < len_fit"""
-    step_rec, step_rec2 = step.format(rec="hw_rec"), step.format(rec="hw_rec2")
+         list_concat(s[2:6], [gamma * {z} / {f} + (1.0 - gamma) * s[1]]),
+         sse + ({y} - {back(f + " * s[1]")}) * ({y} - {back(f + " * s[1]")})
+  FROM {rec} WHERE i < len_fit)"""
+
+    def winner(name, rec):
+        return f"""{name} AS (
+  SELECT item_id, phase,
+         arg_min(struct_pack(alpha := alpha, beta := beta, gamma := gamma, phi := phi, lam := lam),
+                 struct_pack(e := CASE WHEN isnan(sse) THEN 'inf'::DOUBLE ELSE sse END, k := -lam)) AS g0
+  FROM {rec} WHERE i = len_fit GROUP BY item_id, phase)"""
 
     def clip(p, k):
         return (f"least(CAST({hw.REFINE_HIGH[k]!r} AS DOUBLE), "
@@ -671,38 +691,29 @@ hw_fit AS (
   UNION ALL
   SELECT item_id, 'future', ys, n, t_last, 3 FROM hw_in WHERE n >= 12 AND min_all > 0),
 hw_grid AS (
-  SELECT * FROM {_dbl_values('alpha', hw.ALPHAS)}, {_dbl_values('beta', hw.BETAS)},
-                {_dbl_values('gamma', hw.GAMMAS)}, {_dbl_values('phi', hw.PHIS)}),
-hw_rec AS (
-  SELECT item_id, phase, ys, len_fit, t_end, steps, alpha, beta, gamma, phi, 6 AS i,
-         l0 AS l, (l1 - l0) / 6.0 AS b, {s0} AS s, CAST(0.0 AS DOUBLE) AS sse
-  FROM (SELECT *, {l0} AS l0, {l1} AS l1 FROM hw_fit) f, hw_grid
-  UNION ALL
-  {step_rec}),
-hw_best1 AS (
-  SELECT item_id, phase,
-         arg_min(struct_pack(alpha := alpha, beta := beta, gamma := gamma, phi := phi),
-                 CASE WHEN isnan(sse) THEN 'inf'::DOUBLE ELSE sse END) AS g0
-  FROM hw_rec WHERE i = len_fit GROUP BY item_id, phase),
+  SELECT item_id, phase, alpha, beta, gamma, phi, CAST(1 AS DOUBLE) AS lam
+  FROM hw_fit, {_dbl_values('alpha', hw.ALPHAS)}, {_dbl_values('beta', hw.BETAS)},
+       {_dbl_values('gamma', hw.GAMMAS)}, {_dbl_values('phi', hw.PHIS)}),
+{search("hw_rec", "hw_grid")},
+{winner("hw_best1", "hw_rec")},
+hw_grid1 AS (
+  SELECT item_id, phase, g0.alpha AS alpha, g0.beta AS beta, g0.gamma AS gamma, g0.phi AS phi, lam
+  FROM hw_best1, {_dbl_values('lam', hw.LAMBDAS)}),
+{search("hw_rec1", "hw_grid1")},
+{winner("hw_best2", "hw_rec1")},
 hw_grid2 AS (
   SELECT item_id, phase,
-         {clip_a} AS alpha, {clip_b} AS beta, {clip_g} AS gamma, {clip_p} AS phi
-  FROM hw_best1, {offs}),
-hw_rec2 AS (
-  SELECT f.item_id, f.phase, ys, len_fit, t_end, steps, alpha, beta, gamma, phi, 6 AS i,
-         l0 AS l, (l1 - l0) / 6.0 AS b, {s0} AS s, CAST(0.0 AS DOUBLE) AS sse
-  FROM (SELECT *, {l0} AS l0, {l1} AS l1 FROM hw_fit) f
-  JOIN hw_grid2 g ON f.item_id = g.item_id AND f.phase = g.phase
-  UNION ALL
-  {step_rec2}),
+         {clip_a} AS alpha, {clip_b} AS beta, {clip_g} AS gamma, {clip_p} AS phi, g0.lam AS lam
+  FROM hw_best2, {offs}),
+{search("hw_rec2", "hw_grid2")},
 hw_best AS (
   SELECT item_id, phase, t_end, steps,
-         arg_min(struct_pack(l := l, b := b, s := s, phi := phi), CASE WHEN isnan(sse) THEN 'inf'::DOUBLE ELSE sse END) AS st
+         arg_min(struct_pack(l := l, b := b, s := s, phi := phi, lam := lam), CASE WHEN isnan(sse) THEN 'inf'::DOUBLE ELSE sse END) AS st
   FROM hw_rec2 WHERE i = len_fit GROUP BY item_id, phase, t_end, steps),
 hw_pred AS (
   SELECT item_id, 'HWExSmooth' AS model, phase, t_end + h AS t,
          make_date(CAST(floor((t_end + h - 1) / 12) AS BIGINT), CAST(t_end + h - floor((t_end + h - 1) / 12) * 12 AS BIGINT), 1) AS ds,
-         (st.l + (st.phi * (1.0 - pow(st.phi, h)) / (1.0 - st.phi)) * st.b) * st.s[((h - 1) % 6) + 1] AS yhat
+         {back("((st.l + (st.phi * (1.0 - pow(st.phi, h)) / (1.0 - st.phi)) * st.b) * st.s[((h - 1) % 6) + 1])", "st.lam")} AS yhat
   FROM (SELECT *, UNNEST(range(1, steps + 1)) AS h FROM hw_best)),
 all_pred AS (SELECT item_id, model, phase, t, ds, yhat FROM base_pred UNION ALL SELECT * FROM hw_pred),
 clipped AS (
@@ -712,9 +723,9 @@ clipped AS (
               ELSE greatest(0.0, least(p.yhat, c.cap)) END AS yhat
   FROM all_pred p JOIN caps c ON p.item_id = c.item_id),
 mm_raw AS (
-  SELECT p.item_id, p.model, AVG(abs(s.y - p.yhat)) AS mae,
-         AVG(abs((s.y - p.yhat + 1e-10) / (s.y + 1e-10))) * 100.0 AS mape,
-         AVG(atan(abs((s.y - p.yhat + 1e-10) / (s.y + 1e-10)))) AS maape
+  SELECT p.item_id, p.model, AVG(abs(s.y - p.yhat) ORDER BY s.t) AS mae,
+         AVG(abs((s.y - p.yhat + 1e-10) / (s.y + 1e-10)) ORDER BY s.t) * 100.0 AS mape,
+         AVG(atan(abs((s.y - p.yhat + 1e-10) / (s.y + 1e-10))) ORDER BY s.t) AS maape
   FROM clipped p JOIN split s ON p.item_id = s.item_id AND p.t = s.t
   WHERE p.phase = 'test' AND p.model <> 'Baseline' GROUP BY p.item_id, p.model),
 fut_n AS (
@@ -732,10 +743,10 @@ ranked AS (
   SELECT *, CASE model WHEN 'SARIMAX' THEN 1 WHEN 'Prophet' THEN 2 WHEN 'XGBoost' THEN 3 WHEN 'HWExSmooth' THEN 4 ELSE 5 END AS rk
   FROM mm),
 best_mape AS (
-  SELECT item_id, arg_min(struct_pack(model := model, mape := mape, mae := mae), struct_pack(a := mape, b := rk)) AS bm
+  SELECT item_id, arg_min(struct_pack(model := model, mape := mape, mae := mae), struct_pack(a := round(mape, 9), b := rk)) AS bm
   FROM ranked WHERE mape IS NOT NULL AND NOT isnan(mape) GROUP BY item_id),
 best_maape AS (
-  SELECT item_id, arg_min(struct_pack(model := model, maape := maape), struct_pack(a := maape, b := rk)) AS bq
+  SELECT item_id, arg_min(struct_pack(model := model, maape := maape), struct_pack(a := round(maape, 9), b := rk)) AS bq
   FROM ranked WHERE maape IS NOT NULL AND NOT isnan(maape) GROUP BY item_id),
 best AS (
   SELECT COALESCE(a.item_id, q.item_id) AS item_id, a.bm.model AS mape_model, a.bm.mape AS mape_min, a.bm.mae AS mae_v,

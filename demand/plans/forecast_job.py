@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import BASELINE, DEFAULT_MODELS, HORIZON, MODEL_ORDER, N_TEST
+from ..functions.errors import mean_in_order
 from ..operators import metrics as M
 from ..operators import record as R
 from ..operators import series as S
@@ -129,7 +130,7 @@ def forecast_record(cells: DataFrame, worklist: DataFrame, done: DataFrame | Non
     per_item = (split.groupBy("item_id")
                 .agg(F.max("n").alias("n"),
                      F.max(F.when(~F.col("filled"), F.col("t"))).alias("_t_last_known"),
-                     F.avg(F.when(F.col("is_test"), F.col("y"))).alias("test_mean"),
+                     mean_in_order(F.when(F.col("is_test"), F.col("y")), F.col("t")).alias("test_mean"),
                      F.max_by("y", "t").alias("tmonth_amt")))
     per_item = per_item.withColumn("last_trainmy", F.date_format(S.month_start_of_index(F.col("_t_last_known")),
                                                                  "yyyy-MM"))

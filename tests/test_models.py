@@ -48,6 +48,45 @@ def test_holt_winters_engines_agree(spark):
     np.testing.assert_allclose(a.yhat.values, b.yhat.values, rtol=1e-12)
 
 
+def test_box_cox_lambda_differs_between_series(spark):
+    """A series whose swings grow with a power of its level takes another lambda than one of level swings; both engines agree."""
+    t = np.arange(48)
+    season = np.sin(2 * np.pi * t / 6)
+    series = {1: _seasonal(48, noise=0.02, seed=4), 2: (2 + 0.2 * t + 0.5 * season) ** 4, 3: np.full(30, 7.0), 4: (0.05 * (1 + 0.3 * season)) * 1.02 ** t}
+    split = _split(spark, series)
+    rows = holt_winters._fit_inputs(split, 6, 3)
+    chosen = {(r.item_id, r.phase): r.b.g.lam for r in holt_winters._search_sql(rows).collect()}
+    assert chosen[3, "future"] == 1.0 and len(set(chosen.values())) > 1
+    Y = np.full((4, 48), np.nan)
+    for k, ys in series.items():
+        Y[k - 1, :len(ys)] = ys
+    L, grid = np.array([len(series[k]) for k in (1, 2, 3, 4)]), np.array(holt_winters.grid_points())
+    params = holt_winters._best_batch(Y, L, grid)[0]
+    params = holt_winters._best_batch(Y, L, holt_winters._lambda_batch(params))[0]
+    assert [chosen[k, "future"] for k in (1, 2, 4)] == params[[0, 1, 3], 4].tolist()
+    a = holt_winters.holt_winters_grid(split, engine="arrow").toPandas().sort_values(["item_id", "phase", "t"])
+    b = holt_winters.holt_winters_grid(split, engine="sql").toPandas().sort_values(["item_id", "phase", "t"])
+    np.testing.assert_allclose(a.yhat.values, b.yhat.values, rtol=1e-9)
+    assert (a.yhat > 0).all()
+
+
+def test_box_cox_errors_are_on_the_original_scale():
+    """The kernel's error at a lambda, against the recurrence step by step."""
+    y = (3 + 0.1 * np.arange(30) + np.sin(np.arange(30) * np.pi / 3)) ** 2
+    a, b, g, p, lam = point = (0.3, 0.1, 0.2, 0.9, 0.5)
+    *_, sse = holt_winters._fit_batch(y[None], np.array([30]), np.array([point]))
+    z = y ** lam
+    level, trend = z[:6].mean(), (z[6:12].mean() - z[:6].mean()) / 6
+    ring, want = list(z[:6] / level), 0.0
+    for i in range(6, 30):
+        f, s = level + p * trend, ring[i % 6]
+        want += (y[i] - max(f * s, 0) ** (1 / lam)) ** 2
+        new = a * z[i] / s + (1 - a) * f
+        trend, level = b * (new - level) + (1 - b) * p * trend, new
+        ring[i % 6] = g * z[i] / f + (1 - g) * s
+    assert sse[0, 0] == pytest.approx(want, rel=1e-12)
+
+
 def _ar_series(n, c=20.0, a1=0.5, a12=0.3, seed=0):
     rng = np.random.default_rng(seed)
     y = np.zeros(n + 50)

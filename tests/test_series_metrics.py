@@ -99,3 +99,39 @@ def test_skip_done(spark):
     items = _items(spark, [(0, "A", "All", "AC", "2020-12"), (1, "B", "All", "AC", "2020-12")])
     done = spark.createDataFrame([("A", "All", "AC", "2020-12")], "debtorcode string, category string, projno string, last_trainmy string")
     assert [r.item_id for r in S.skip_done(items, done).collect()] == [1]
+
+
+def test_scores_and_choice_do_not_depend_on_partitions(spark):
+    """Errors, best models and ties are the same bits for any number of partitions, with adaptive execution or without."""
+    import random
+
+    from demand.operators import metrics as M
+    rng = random.Random(3)
+    actual = [(i, t, rng.choice([0.1, 0.3, 1e6, 7.7]) * rng.random()) for i in range(40) for t in range(6)]
+    made = [(i, m, "test", t, None, rng.choice([1.1, 1e-9, 3e5]) * rng.random()) for i in range(40) for m in ("SARIMAX", "Prophet") for t in range(6)]
+    made += [(i, "XGBoost", p, t, d, y) for i, m, p, t, d, y in made if m == "SARIMAX"]  # ties with the first label
+    seen = set()
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        for n, parts in enumerate([1, 7, 200] * 3 + [3]):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            spark.conf.set("spark.sql.adaptive.enabled", str(n % 2 == 0).lower())
+            rng.shuffle(made)
+            a = spark.createDataFrame(actual, "item_id long, t int, y double").repartition(parts)
+            p = spark.createDataFrame(made, "item_id long, model string, phase string, t int, ds date, yhat double").repartition(min(parts, 40))
+            m = M.error_metrics(a, p)
+            best = M.best_model(m)
+            seen.add(tuple(sorted(map(repr, m.collect() + best.collect()))))
+            assert all(r.mape_model != "XGBoost" and r.maape_model != "XGBoost" for r in best.collect())
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert len(seen) == 1
+
+
+def test_mean_in_order_skips_nulls(spark):
+    from demand.functions.errors import mean_in_order
+    rows = [(1, 2, 3.0), (1, 1, None), (1, 3, 5.0), (2, 1, None)]
+    df = spark.createDataFrame(rows, "k int, t int, y double")
+    got = {r.k: r.m for r in df.groupBy("k").agg(mean_in_order(F.col("y"), F.col("t")).alias("m")).collect()}
+    assert got == {1: 4.0, 2: None}
