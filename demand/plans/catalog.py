@@ -31,6 +31,7 @@ EARLY_CUTOFF = "2000-12"   # a forced, earlier work-list month
 CLOSED_START = "2001-08-01"
 RECENT_START = "2001-05-01"
 R = 4  # rounding of derived doubles
+POOLED_ROUNDS, POOLED_DEPTH = 2, 2
 FINE_AMOUNT = "CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2)) / 10"
 
 
@@ -959,6 +960,12 @@ def q_boosted_lags(spark, sf):
     return _model_preds(boosted.boosted_lags)(spark, sf)
 
 
+def q_boosted_pooled(spark, sf):
+    """The pooled booster at the size of its SQL twin: two rounds of depth-2 trees."""
+    from ..operators.models import pooled
+    return _relative_preds(spark, sf, lambda split: pooled.pooled_lags(split, rounds=POOLED_ROUNDS, depth=POOLED_DEPTH))
+
+
 def q_forecast_all_models(spark, sf):
     """C5 flagship: every model, JSON documents included (rows-only check)."""
     return _record(spark, sf, with_json=True, registry=None).drop("last_update")
@@ -1007,6 +1014,7 @@ QUERIES.update({
     "seasonal_ar": q_seasonal_ar,
     "trend_holiday": q_trend_holiday,
     "boosted_lags": q_boosted_lags,
+    "boosted_pooled": q_boosted_pooled,
     "forecast_all_models": q_forecast_all_models,
 })
 
@@ -1217,3 +1225,71 @@ sa_pred AS (
 
 
 ORACLES["seasonal_ar"] = SER.replace("WITH ", "WITH RECURSIVE ", 1) + _seasonal_sql() + _relative_sql("sa_pred")
+
+
+def _pooled_sql(rounds: int, depth: int) -> str:
+    """The pooled booster: exact residual sums per (origin, node, lag, bin), cuts by gain, leaves by shrunken means."""
+    from ..operators.models import pooled as m
+    bin_of = f"least({m.CELLS - 1}, greatest(0, {{v}} // {m.CELL}))"
+    out = [f"""pb_v AS MATERIALIZED (
+  SELECT s.item_id, s.t, s.pos, s.is_test, m.scale, CAST(floor(s.y / m.scale * {m.UNIT}.0 + 0.5) AS BIGINT) AS v
+  FROM split s JOIN (SELECT item_id, AVG(y ORDER BY t) AS scale FROM split WHERE NOT is_test GROUP BY item_id) m ON s.item_id = m.item_id
+  WHERE s.n > 6 AND m.scale > 0),
+pb_count AS (SELECT {bin_of.format(v="v")} AS cell, COUNT(*) AS c FROM pb_v WHERE NOT is_test GROUP BY 1),
+pb_bin AS MATERIALIZED (
+  SELECT r.cell, CAST(least({m.BINS - 1}, (SUM(coalesce(c, 0)) OVER (ORDER BY r.cell) - coalesce(c, 0)) * {m.BINS}
+                                       // (SELECT SUM(c) FROM pb_count)) AS BIGINT) AS bin
+  FROM range(0, {m.CELLS}) r(cell) LEFT JOIN pb_count k ON k.cell = r.cell),
+pb_x AS MATERIALIZED (
+  SELECT item_id, t, v, is_test, scale, bs FROM (
+    SELECT v.*, [{", ".join(f"LAG(bin, {k}) OVER w" for k in range(1, 7))}] AS bs
+    FROM pb_v v JOIN pb_bin b ON b.cell = {bin_of.format(v="v.v")} WINDOW w AS (PARTITION BY item_id ORDER BY t)) WHERE pos >= 6),
+pb_base AS MATERIALIZED (
+  SELECT o, CAST(floor(SUM(v) / COUNT(*) + 0.5) AS BIGINT) AS f
+  FROM (SELECT DISTINCT t AS o FROM pb_x WHERE is_test UNION ALL SELECT {m.FUTURE}) JOIN pb_x ON t < o GROUP BY o),
+pb_s0 AS MATERIALIZED (SELECT x.*, o, f FROM pb_x x, pb_base)"""]
+    for r in range(rounds):
+        rows = f"(SELECT *, 0 AS node FROM pb_s{r})"
+        for k in range(depth):
+            name = f"pb_{r}_{k}"
+            out.append(f"""{name}c AS (
+  SELECT *, SUM(g) OVER w AS gl, SUM(n) OVER w AS nl, SUM(g) OVER a AS gt, SUM(n) OVER a AS nt
+  FROM (SELECT o, node, lag, bin, SUM(v - f) AS g, COUNT(*) AS n
+        FROM (SELECT o, node, v, f, UNNEST(range(1, 7)) AS lag, UNNEST(bs) AS bin FROM {rows} WHERE t < o) GROUP BY o, node, lag, bin)
+  WINDOW w AS (PARTITION BY o, node, lag ORDER BY bin), a AS (PARTITION BY o, node, lag)),
+{name}b AS MATERIALIZED (
+  SELECT o, node, arg_min(struct_pack(lag := lag, bin := bin), struct_pack(a := -gain, l := lag, b := bin)) AS cut
+  FROM (SELECT *, CAST(gl AS DOUBLE) * CAST(gl AS DOUBLE) / (nl + {m.LAMBDA}) + CAST(gt - gl AS DOUBLE) * CAST(gt - gl AS DOUBLE) / (nt - nl + {m.LAMBDA}) AS gain,
+               CAST(gt AS DOUBLE) * CAST(gt AS DOUBLE) / (nt + {m.LAMBDA}) AS whole FROM {name}c)
+  WHERE nl < nt AND gain > whole GROUP BY o, node),
+{name}n AS MATERIALIZED (
+  SELECT n.* REPLACE (2 * n.node + CASE WHEN n.bs[b.cut.lag] > b.cut.bin THEN 1 ELSE 0 END AS node)
+  FROM {rows} n LEFT JOIN {name}b b ON n.o = b.o AND n.node = b.node)""")
+            rows = f"{name}n"
+        out.append(f"""pb_{r}v AS MATERIALIZED (
+  SELECT o, node, CAST(floor({m.RATE} * CAST(SUM(v - f) AS DOUBLE) / (COUNT(*) + {m.LAMBDA}) + 0.5) AS BIGINT) AS add FROM {rows} WHERE t < o GROUP BY o, node),
+pb_s{r + 1} AS MATERIALIZED (
+  SELECT n.* EXCLUDE (node) REPLACE (n.f + coalesce(l.add, 0) AS f) FROM {rows} n LEFT JOIN pb_{r}v l ON n.o = l.o AND n.node = l.node)""")
+    last = ", ".join(f"arg_max(bin, t, 6)[{k}]" for k in range(1, 7))
+    out.append(f"""pb_a0 AS (
+  SELECT item_id, MAX(t) AS t, scale, 0 AS v, [{last}] AS bs
+  FROM pb_v v JOIN pb_bin b ON b.cell = {bin_of.format(v="v.v")} GROUP BY item_id, scale)""")
+    for h in range(3):
+        rows = f"(SELECT a.item_id, a.t, a.scale, a.bs, p.f FROM pb_a{h} a, pb_base p WHERE p.o = {m.FUTURE})"
+        for r in range(rounds):
+            node = f"(SELECT *, 0 AS node FROM {rows})"
+            for k in range(depth):
+                node = (f"(SELECT n.* REPLACE (2 * n.node + CASE WHEN n.bs[b.cut.lag] > b.cut.bin THEN 1 ELSE 0 END AS node) FROM {node} n "
+                        f"LEFT JOIN (SELECT * FROM pb_{r}_{k}b WHERE o = {m.FUTURE}) b ON n.node = b.node)")
+            rows = (f"(SELECT n.* EXCLUDE (node) REPLACE (n.f + coalesce(l.add, 0) AS f) FROM {node} n "
+                    f"LEFT JOIN (SELECT * FROM pb_{r}v WHERE o = {m.FUTURE}) l ON n.node = l.node)")
+        out.append(f"""pb_a{h + 1} AS MATERIALIZED (
+  SELECT item_id, t + 1 AS t, scale, f AS v, list_prepend(bin, bs[1:5]) AS bs FROM {rows} x JOIN pb_bin b ON b.cell = {bin_of.format(v="x.f")})""")
+    out.append(f"""pb_pred AS (
+  SELECT item_id, 'XGBoost' AS model, phase, t, make_date(CAST(floor((t - 1) / 12) AS BIGINT), CAST(t - floor((t - 1) / 12) * 12 AS BIGINT), 1) AS ds, yhat
+  FROM (SELECT item_id, 'test' AS phase, t, f / {m.UNIT}.0 * scale AS yhat FROM pb_s{rounds} WHERE is_test AND t = o
+        UNION ALL {" UNION ALL ".join(f"SELECT item_id, 'future', t, v / {m.UNIT}.0 * scale FROM pb_a{h}" for h in (1, 2, 3))}))""")
+    return ",\n" + ",\n".join(out)
+
+
+ORACLES["boosted_pooled"] = SER + _pooled_sql(POOLED_ROUNDS, POOLED_DEPTH) + _relative_sql("pb_pred")
