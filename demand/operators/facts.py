@@ -13,7 +13,8 @@ Plan shape (what Catalyst makes of it):
 * activity = customers with a valid line in the recent window (no upper
   bound), used as a LEFT SEMI join: activity in either channel keeps the
   customer in both. ``sales_fact`` (line level) computes it from the two
-  branches over the window only (the date predicate prunes row groups).
+  branches over the window only (the date predicate prunes row groups); lines
+  of customers with a large share of all invoices meet it under salted keys.
 * cells = GROUP BY month, customer, category, channel with partial
   (map-side) aggregation, so a hot customer or category never reaches one
   reducer as raw lines. Sums run in DECIMAL so they are exact and
@@ -34,6 +35,10 @@ from ..functions.constants import (ACTIVE_LOOKBACK_MONTHS, AMOUNT_SCALE, CHANNEL
                                    NORMAL_INVOICE)
 from ..sources.warehouse import Warehouse
 
+#: A customer with more than this part of all invoices is hot: its lines are salted in the line-level semi-join.
+HOT_PARTS = 200
+
+
 def filter_valid_lines(lines: DataFrame) -> DataFrame:
     """Item present, positive amount, no project code."""
     return lines.filter(F.col("itemcode").isNotNull() & (F.col("amount") > 0) & F.col("projno").isNull())
@@ -91,12 +96,35 @@ def active_customers(wh: Warehouse, as_of=None, lookback: int = ACTIVE_LOOKBACK_
     return recent.distinct()
 
 
+def hot_customers(wh: Warehouse) -> list[str]:
+    """Customers with over 1/``HOT_PARTS`` of all invoices: at most ``HOT_PARTS`` of them, whatever the data.
+
+    Counted on the invoice headers of both channels (map-side combined), not on the lines."""
+    invoices = wh.headers.select("debtorcode").unionByName(filter_normal_invoices(wh.channel2).select("debtorcode"))
+    total = invoices.count()
+    counts = invoices.groupBy("debtorcode").count().filter(F.col("debtorcode").isNotNull() & (F.col("count") * HOT_PARTS > total))
+    return sorted(r["debtorcode"] for r in counts.collect())
+
+
+def keep_active(lines: DataFrame, active: DataFrame, hot: list[str], salts: int = 32) -> DataFrame:
+    """J3 at line level: LEFT SEMI on the customer, with the lines of ``hot`` customers dealt to ``salts`` keys.
+
+    ``active`` grows by at most ``salts`` rows per hot customer; every other customer keeps one key."""
+    if not hot:
+        return lines.join(active, "debtorcode", "left_semi")
+    is_hot = F.col("debtorcode").isin(hot)
+    salted = lines.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64("docdate", "amount", "category", "projno"), F.lit(salts)))
+                              .otherwise(F.lit(0)).cast("int"))
+    keys = active.select("debtorcode", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))).alias("_salt"))
+    return salted.join(keys, ["debtorcode", "_salt"], "left_semi").drop("_salt")
+
+
 def sales_fact(wh: Warehouse, as_of=None, lookback: int = ACTIVE_LOOKBACK_MONTHS) -> DataFrame:
     """Line-level fact of closed months for active customers."""
     closed = F.col("docdate") < closed_month_start(as_of)
     facts = union_channels(wh, closed)
     active = active_customers(wh, as_of, lookback)
-    facts = facts.join(active, "debtorcode", "left_semi")
+    facts = keep_active(facts, active, hot_customers(wh))
     return facts.select(
         "debtorcode", "docdate", F.col("amount").cast("double").alias("y"), "category", "projno",
         dates.month_key(F.col("docdate")).alias("month_year"))

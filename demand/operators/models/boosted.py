@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ...functions.constants import HORIZON, N_LAGS, N_TEST
 from .holt_winters import series_arrays
+from .isolate import KERNEL_SCHEMA, isolated
 
 MODEL = "XGBoost"
 # --- fixed values -----------------------------------------------------------
@@ -127,32 +128,35 @@ def _kernel(n_test: int, horizon: int, max_iter: int, max_depth: int, n_lags: in
             yield lags, values[rows], rows < t, lags[t - n_lags], t
         yield lags, values[rows], rows < n, values[-1:-n_lags - 1:-1], None
 
+    def fitted(part):
+        jobs = []
+        for r in part.itertuples():
+            v = np.asarray(r.y_all, dtype=float)
+            scale = v[:r.n_train].mean() if r.n_train else 0.0
+            if len(v) > n_lags and scale != 0 and np.isfinite(scale):
+                jobs += [(r, scale, *f) for f in fits_of(v / scale, r.n_train)]
+        if not jobs:
+            return
+        width = max(len(j[3]) for j in jobs)
+        x = np.zeros((len(jobs), width, n_lags))
+        y, live = np.zeros((len(jobs), width)), np.zeros((len(jobs), width), bool)
+        for k, (_, _, lags, target, flag, _, _) in enumerate(jobs):
+            x[k, :len(target)], y[k, :len(target)], live[k, :len(target)] = lags, target, flag
+        rolled = np.array([j[6] is None for j in jobs])
+        got = boost(x, y, live, np.array([j[5] for j in jobs]), rolled, horizon, max_iter, max_depth)
+        out = []
+        for (r, scale, _, _, _, _, t), p in zip(jobs, got):
+            first = r.t_last - r.n + 1
+            if t is not None:
+                out.append((r.item_id, "test", first + t, p[0] * scale))
+            else:
+                out += [(r.item_id, "future", r.t_last + 1 + h, p[h] * scale) for h in range(horizon)]
+        yield pd.DataFrame(out, columns=["item_id", "phase", "t", "yhat"])
+
     def run(batches):
         for pdf in batches:
             for lo in range(0, len(pdf), chunk):
-                jobs = []
-                for r in pdf.iloc[lo:lo + chunk].itertuples():
-                    v = np.asarray(r.y_all, dtype=float)
-                    scale = v[:r.n_train].mean() if r.n_train else 0.0
-                    if len(v) > n_lags and scale != 0 and np.isfinite(scale):
-                        jobs += [(r, scale, *f) for f in fits_of(v / scale, r.n_train)]
-                if not jobs:
-                    continue
-                width = max(len(j[3]) for j in jobs)
-                x = np.zeros((len(jobs), width, n_lags))
-                y, live = np.zeros((len(jobs), width)), np.zeros((len(jobs), width), bool)
-                for k, (_, _, lags, target, flag, _, _) in enumerate(jobs):
-                    x[k, :len(target)], y[k, :len(target)], live[k, :len(target)] = lags, target, flag
-                rolled = np.array([j[6] is None for j in jobs])
-                got = boost(x, y, live, np.array([j[5] for j in jobs]), rolled, horizon, max_iter, max_depth)
-                out = []
-                for (r, scale, _, _, _, _, t), p in zip(jobs, got):
-                    first = r.t_last - r.n + 1
-                    if t is not None:
-                        out.append((r.item_id, "test", first + t, p[0] * scale))
-                    else:
-                        out += [(r.item_id, "future", r.t_last + 1 + h, p[h] * scale) for h in range(horizon)]
-                yield pd.DataFrame(out, columns=["item_id", "phase", "t", "yhat"])
+                yield from isolated(fitted, pdf.iloc[lo:lo + chunk])
     return run
 
 
@@ -162,6 +166,6 @@ def boosted_lags(split: DataFrame, n_test: int = N_TEST, horizon: int = HORIZON,
     from ..series import month_start_of_index, spread
     rows = series_arrays(split).select("item_id", "n", "n_train", "t_last", "y_all")
     out = spread(rows, SERIES_PER_TASK).mapInPandas(_kernel(n_test, horizon, max_iter, max_depth, n_lags),
-                                                    "item_id long, phase string, t long, yhat double")
+                                                    KERNEL_SCHEMA)
     return out.select("item_id", F.lit(MODEL).alias("model"), "phase", "t",
-                      month_start_of_index(F.col("t")).alias("ds"), "yhat")
+                      month_start_of_index(F.col("t")).alias("ds"), "yhat", "error")

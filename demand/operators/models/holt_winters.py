@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.constants import HORIZON, N_TEST
+from .isolate import KERNEL_SCHEMA, isolated
 
 SEASON = 6
 MODEL = "HWExSmooth"
@@ -292,33 +293,35 @@ def _kernel(n_test: int, horizon: int, chunk: int = 256):
     import pandas as pd
     grid = np.array(grid_points())
 
+    def fitted(part):
+        ys = [np.asarray(v, dtype=float) for v in part["y_all"]]
+        width = max(len(v) for v in ys)
+        Y = np.full((len(ys), width), np.nan)
+        for k, v in enumerate(ys):
+            Y[k, :len(v)] = v
+        n = part["n"].to_numpy()
+        n_train = part["n_train"].to_numpy()
+        t_last = part["t_last"].to_numpy()
+        frames = []
+        for ok_col, L, steps, phase, t0 in (("ok_train", n_train, n_test, "test", t_last - n_test),
+                                            ("ok_all", n, horizon, "future", t_last)):
+            ok = part[ok_col].to_numpy().astype(bool)
+            if not ok.any():
+                continue
+            fc = _forecast_batch(Y[ok], L[ok], grid, steps)
+            hs = np.arange(1, steps + 1)
+            frames.append(pd.DataFrame({
+                "item_id": np.repeat(part["item_id"].to_numpy()[ok], steps),
+                "phase": phase,
+                "t": (np.repeat(t0[ok], steps) + np.tile(hs, ok.sum())).astype("int64"),
+                "yhat": fc.reshape(-1)}))
+        if frames:
+            yield pd.concat(frames, ignore_index=True)
+
     def run(batches):
         for pdf in batches:
             for lo in range(0, len(pdf), chunk):
-                part = pdf.iloc[lo:lo + chunk]
-                ys = [np.asarray(v, dtype=float) for v in part["y_all"]]
-                width = max(len(v) for v in ys)
-                Y = np.full((len(ys), width), np.nan)
-                for k, v in enumerate(ys):
-                    Y[k, :len(v)] = v
-                n = part["n"].to_numpy()
-                n_train = part["n_train"].to_numpy()
-                t_last = part["t_last"].to_numpy()
-                frames = []
-                for ok_col, L, steps, phase, t0 in (("ok_train", n_train, n_test, "test", t_last - n_test),
-                                                    ("ok_all", n, horizon, "future", t_last)):
-                    ok = part[ok_col].to_numpy().astype(bool)
-                    if not ok.any():
-                        continue
-                    fc = _forecast_batch(Y[ok], L[ok], grid, steps)
-                    hs = np.arange(1, steps + 1)
-                    frames.append(pd.DataFrame({
-                        "item_id": np.repeat(part["item_id"].to_numpy()[ok], steps),
-                        "phase": phase,
-                        "t": (np.repeat(t0[ok], steps) + np.tile(hs, ok.sum())).astype("int64"),
-                        "yhat": fc.reshape(-1)}))
-                if frames:
-                    yield pd.concat(frames, ignore_index=True)
+                yield from isolated(fitted, pdf.iloc[lo:lo + chunk])
     return run
 
 
@@ -329,6 +332,6 @@ def _holt_winters_arrow(split: DataFrame, n_test: int, horizon: int) -> DataFram
     ok_all = (F.col("n") >= 2 * SEASON) & (F.col("min_all") > 0)
     rows = arr.filter(ok_train | ok_all).select(
         "item_id", "n", "n_train", "t_last", ok_train.alias("ok_train"), ok_all.alias("ok_all"), "y_all")
-    out = spread(rows, SERIES_PER_TASK).mapInPandas(_kernel(n_test, horizon), "item_id long, phase string, t long, yhat double")
+    out = spread(rows, SERIES_PER_TASK).mapInPandas(_kernel(n_test, horizon), KERNEL_SCHEMA)
     return out.select("item_id", F.lit(MODEL).alias("model"), "phase", "t",
-                      month_start_of_index(F.col("t")).alias("ds"), "yhat")
+                      month_start_of_index(F.col("t")).alias("ds"), "yhat", "error")

@@ -49,7 +49,7 @@ def solve_candidates(gram: DataFrame, keys: list[str], k: int, candidates: list[
     ``candidates`` are feature subsets ordered by preference on ties (fewer
     terms first). ``ridge`` adds a diagonal penalty (per feature). Output:
     keys, cand (index), beta array<double> (k, zeros outside the subset),
-    rss, n_obs. Rows with no solvable candidate are dropped.
+    rss, n_obs. Rows with no solvable candidate, or whose solver raises, are dropped.
     """
     import numpy as np
     import pandas as pd
@@ -57,57 +57,68 @@ def solve_candidates(gram: DataFrame, keys: list[str], k: int, candidates: list[
     pen = np.zeros(k) if ridge is None else np.asarray(ridge, dtype=float)
     cands = [np.asarray(c, dtype=int) for c in candidates]
 
+    def solved(pdf):
+        if pdf.empty:
+            return
+        try:
+            yield from solved_together(pdf)
+        except np.linalg.LinAlgError:  # one system of the batch: the others are solved alone, this one gets no row
+            if len(pdf) > 1:
+                for k in range(len(pdf)):
+                    yield from solved(pdf.iloc[k:k + 1])
+
     def run(batches):
         for pdf in batches:
-            if pdf.empty:
+            yield from solved(pdf)
+
+    def solved_together(pdf):
+        m = len(pdf)
+        xtx = np.stack([np.asarray(v, dtype=float) for v in pdf["xtx"]]).reshape(m, k, k)
+        xty = np.stack([np.asarray(v, dtype=float) for v in pdf["xty"]])
+        yy = pdf["yy"].to_numpy(dtype=float)
+        n = pdf["n_obs"].to_numpy(dtype=float)
+        best_aic = np.full(m, np.inf)
+        best_c = np.full(m, -1)
+        best_beta = np.zeros((m, k))
+        best_rss = np.full(m, np.nan)
+        for ci, idx in enumerate(cands):
+            a = xtx[:, idx[:, None], idx[None, :]] + np.diag(pen[idx])[None, :, :]
+            b = xty[:, idx]
+            ok = np.isfinite(a).all(axis=(1, 2)) & np.isfinite(b).all(axis=1) & (n > len(idx))
+            # Jacobi scaling (unit diagonal): the condition test and the solve
+            # then do not depend on the units of the regressors
+            diag = np.einsum("ijj->ij", a)
+            ok &= (diag > 0).all(axis=1)
+            with np.errstate(all="ignore"):
+                d = 1.0 / np.sqrt(np.where(diag > 0, diag, 1.0))
+                a_s = a * d[:, :, None] * d[:, None, :]
+                cond = np.full(m, np.inf)
+                if ok.any():
+                    cond[ok] = np.linalg.cond(a_s[ok])
+            ok &= cond < 1e10
+            if not ok.any():
                 continue
-            m = len(pdf)
-            xtx = np.stack([np.asarray(v, dtype=float) for v in pdf["xtx"]]).reshape(m, k, k)
-            xty = np.stack([np.asarray(v, dtype=float) for v in pdf["xty"]])
-            yy = pdf["yy"].to_numpy(dtype=float)
-            n = pdf["n_obs"].to_numpy(dtype=float)
-            best_aic = np.full(m, np.inf)
-            best_c = np.full(m, -1)
-            best_beta = np.zeros((m, k))
-            best_rss = np.full(m, np.nan)
-            for ci, idx in enumerate(cands):
-                a = xtx[:, idx[:, None], idx[None, :]] + np.diag(pen[idx])[None, :, :]
-                b = xty[:, idx]
-                ok = np.isfinite(a).all(axis=(1, 2)) & np.isfinite(b).all(axis=1) & (n > len(idx))
-                # Jacobi scaling (unit diagonal): the condition test and the solve
-                # then do not depend on the units of the regressors
-                diag = np.einsum("ijj->ij", a)
-                ok &= (diag > 0).all(axis=1)
-                with np.errstate(all="ignore"):
-                    d = 1.0 / np.sqrt(np.where(diag > 0, diag, 1.0))
-                    a_s = a * d[:, :, None] * d[:, None, :]
-                    cond = np.full(m, np.inf)
-                    if ok.any():
-                        cond[ok] = np.linalg.cond(a_s[ok])
-                ok &= cond < 1e10
-                if not ok.any():
-                    continue
-                beta = np.zeros((m, len(idx)))
-                beta[ok] = np.linalg.solve(a_s[ok], (b * d)[ok][..., None])[..., 0] * d[ok]
-                rss = yy - 2 * np.einsum("ij,ij->i", beta, b) + np.einsum("ij,ijk,ik->i", beta, xtx[:, idx[:, None], idx[None, :]], beta)
-                rss = np.maximum(rss, 1e-300)
-                with np.errstate(all="ignore"):
-                    aic = n * np.log(rss / n) + 2 * len(idx)
-                better = ok & (aic < best_aic)
-                best_aic = np.where(better, aic, best_aic)
-                best_c = np.where(better, ci, best_c)
-                best_rss = np.where(better, rss, best_rss)
-                full = np.zeros((m, k))
-                full[:, idx] = beta
-                best_beta = np.where(better[:, None], full, best_beta)
-            keep = best_c >= 0
-            if keep.any():
-                out = pdf.loc[keep, keys].reset_index(drop=True)
-                out["cand"] = best_c[keep].astype("int64")
-                out["beta"] = list(best_beta[keep])
-                out["rss"] = best_rss[keep]
-                out["n_obs"] = n[keep].astype("int64")
-                yield out
+            beta = np.zeros((m, len(idx)))
+            beta[ok] = np.linalg.solve(a_s[ok], (b * d)[ok][..., None])[..., 0] * d[ok]
+            rss = yy - 2 * np.einsum("ij,ij->i", beta, b) + np.einsum("ij,ijk,ik->i", beta, xtx[:, idx[:, None], idx[None, :]], beta)
+            rss = np.maximum(rss, 1e-300)
+            with np.errstate(all="ignore"):
+                aic = n * np.log(rss / n) + 2 * len(idx)
+            better = ok & (aic < best_aic)
+            best_aic = np.where(better, aic, best_aic)
+            best_c = np.where(better, ci, best_c)
+            best_rss = np.where(better, rss, best_rss)
+            full = np.zeros((m, k))
+            full[:, idx] = beta
+            best_beta = np.where(better[:, None], full, best_beta)
+        keep = best_c >= 0
+        if keep.any():
+            out = pdf.loc[keep, keys].reset_index(drop=True)
+            out["cand"] = best_c[keep].astype("int64")
+            out["beta"] = list(best_beta[keep])
+            out["rss"] = best_rss[keep]
+            out["n_obs"] = n[keep].astype("int64")
+            yield out
 
     flat = gram.select(*keys, "g.xtx", "g.xty", "g.yy", "g.n_obs")
     key_types = ", ".join(f"{c} {flat.schema[c].dataType.simpleString()}" for c in keys)

@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import BASELINE, MODEL_ORDER
+from ..functions.errors import mean_in_order
+from .metrics import TIE_DIGITS, model_rank
+from .models.isolate import FAILED
+from .series import month_start_of_index
 
 
 def epoch_ms_key(ds: Column) -> Column:
@@ -70,6 +74,41 @@ def json_docs_by_time(long: DataFrame, col_order: list[str]) -> DataFrame:
     return docs.select("item_id", *[F.col("d")[name].alias(name) for name in ("train_df", "validation_df", "forecast_df")])
 
 
+def item_summary(split: DataFrame, preds: DataFrame, model_metrics: DataFrame, baseline_metrics: DataFrame) -> DataFrame:
+    """Everything the record says of an item, in one grouped pass over the union of its months, errors and forecasts.
+
+    One row per item_id: n, last_trainmy, test_mean, tmonth_amt (A5, A7, W7), the best models as in
+    :func:`..metrics.best_model`, baseline_mape, forecast_amt (first future value of the MAPE-best model) and
+    errors (models that failed, sorted)."""
+    kind = lambda df, name: df.withColumn("kind", F.lit(name))
+    rows = kind(split.select("item_id", "t", "y", "n", "filled", "is_test"), "month")
+    for name, part in (("model", model_metrics.select("item_id", "model", "mape", "mae", "maape")),
+                       ("baseline", baseline_metrics.select("item_id", "mape")),
+                       ("forecast", preds.filter(F.col("phase") == "future").select("item_id", "model", "t", "yhat")),
+                       (FAILED, preds.filter(F.col("phase") == FAILED).select(
+                           "item_id", F.concat_ws(": ", "model", *(["error"] if "error" in preds.columns else [])).alias("error")))):
+        rows = rows.unionByName(kind(part, name), allowMissingColumns=True)
+    month, forecast = F.col("kind") == "month", F.col("kind") == "forecast"
+
+    def best(measure: str, *more: str) -> Column:
+        runs = (F.col("kind") == "model") & F.col("model").isin(MODEL_ORDER) & F.col(measure).isNotNull() & ~F.isnan(measure)
+        return F.min_by(F.struct("model", measure, *more), F.when(runs, F.struct(F.round(measure, TIE_DIGITS), model_rank())))
+
+    out = rows.groupBy("item_id").agg(
+        F.max("n").alias("n"), F.max(F.when(month & ~F.col("filled"), F.col("t"))).alias("last_t"),
+        mean_in_order(F.when(month & F.col("is_test"), F.col("y")), F.col("t")).alias("test_mean"),
+        F.max_by("y", F.when(month, F.col("t"))).alias("tmonth_amt"),
+        best("mape", "mae").alias("b"), best("maape").alias("c"),
+        F.max(F.when(F.col("kind") == "baseline", F.col("mape"))).alias("baseline_mape"),
+        *[F.min_by("yhat", F.when(forecast & (F.col("model") == m), F.col("t"))).alias(f"first_{m}") for m in MODEL_ORDER],
+        F.array_sort(F.collect_set("error")).alias("errors"))
+    first = F.coalesce(*[F.when(F.col("b.model") == m, F.col(f"first_{m}")) for m in MODEL_ORDER])
+    return out.select(
+        "item_id", "n", F.date_format(month_start_of_index(F.col("last_t")), "yyyy-MM").alias("last_trainmy"), "test_mean", "tmonth_amt",
+        F.col("b.model").alias("mape_model"), F.col("b.mape").alias("mape_min"), F.col("b.mae").alias("mae_v"),
+        F.col("c.model").alias("maape_model"), F.col("c.maape").alias("maape_min"), "baseline_mape", first.alias("forecast_amt"), "errors")
+
+
 def json_pack(raw_series: DataFrame, split: DataFrame, preds: DataFrame, metrics: DataFrame,
               baseline_metrics: DataFrame, models: list[str]) -> DataFrame:
     """The five JSON documents of the record, one row per item."""
@@ -79,7 +118,7 @@ def json_pack(raw_series: DataFrame, split: DataFrame, preds: DataFrame, metrics
                               month_to_date(F.col("month_year")).alias("ds"), F.col("y").alias("value"))
             .unionByName(split.filter("is_test").select("item_id", F.lit("validation_df").alias("doc"),
                                                         F.lit("y").alias("name"), "ds", F.col("y").alias("value")))
-            .unionByName(preds.select("item_id",
+            .unionByName(preds.filter(F.col("phase") != FAILED).select("item_id",
                                       F.when(F.col("phase") == "test", F.lit("validation_df"))
                                       .otherwise(F.lit("forecast_df")).alias("doc"),
                                       F.col("model").alias("name"), "ds", F.col("yhat").alias("value"))))

@@ -31,6 +31,7 @@ EARLY_CUTOFF = "2000-12"   # a forced, earlier work-list month
 CLOSED_START = "2001-08-01"
 RECENT_START = "2001-05-01"
 R = 4  # rounding of derived doubles
+FORCED_MONTHS = [None, "", EARLY_CUTOFF, CUTOFF, "2001-09"]
 POOLED_ROUNDS, POOLED_DEPTH = 2, 2
 FINE_AMOUNT = "CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2)) / 10"
 
@@ -960,6 +961,36 @@ def q_boosted_lags(spark, sf):
     return _model_preds(boosted.boosted_lags)(spark, sf)
 
 
+def q_cutoff_guard(spark, sf):
+    """The month each forced month is replaced by, refused months, and the cells up to it."""
+    cells = _cells(spark, sf)
+    last = cells.agg(F.max("month_year")).first()[0]
+    used = []
+    for forced in FORCED_MONTHS:
+        try:
+            used.append((forced, W.validate_cutoff(forced, last), False))
+        except ValueError:
+            used.append((forced, None, True))
+    asked = spark.createDataFrame(used, "forced string, used string, refused boolean")
+    upto = [facts.cutoff_filter(cells, u).agg(F.count("*").alias("n_cells"), F.sum(F.col("y").cast("decimal(28,6)")).cast("double").alias("y"))
+            .select(F.lit(f).alias("forced"), "n_cells", "y") for f, u, bad in used if not bad]
+    found = upto[0]
+    for part in upto[1:]:
+        found = found.unionByName(part)
+    return asked.join(found, asked.forced.eqNullSafe(found.forced), "left").select(asked.forced, "used", "refused", "n_cells", "y")
+
+
+def q_record_three_models(spark, sf):
+    """C5 with the models themselves: seasonal AR, trend and Holt-Winters compete for every item's record."""
+    from . import forecast_job
+    cells = _cells(spark, sf)
+    rec = forecast_job.forecast_record(cells, _worklist(spark, sf, cells=cells), models="sarimax,prophet,hwexsmooth", with_json=False)
+    return rec.select("debtorcode", "category", "projno", "last_trainmy", "mape_model", F.round("mape_min", 2).alias("mape_min"), "maape_model",
+                      F.round("maape_min", 4).alias("maape_min"), F.round("rbaseline", 2).alias("rbaseline"), "pred_bt_base", "pred_trend",
+                      F.round(F.col("mae_v") / F.col("test_mean"), 4).alias("mae_share"),
+                      F.round(F.col("forecast_amt") / F.col("test_mean"), 4).alias("forecast_share"), "status")
+
+
 def q_boosted_pooled(spark, sf):
     """The pooled booster at the size of its SQL twin: two rounds of depth-2 trees."""
     from ..operators.models import pooled
@@ -1015,6 +1046,8 @@ QUERIES.update({
     "trend_holiday": q_trend_holiday,
     "boosted_lags": q_boosted_lags,
     "boosted_pooled": q_boosted_pooled,
+    "cutoff_guard": q_cutoff_guard,
+    "record_three_models": q_record_three_models,
     "forecast_all_models": q_forecast_all_models,
 })
 
@@ -1293,3 +1326,19 @@ pb_s{r + 1} AS MATERIALIZED (
 
 
 ORACLES["boosted_pooled"] = SER + _pooled_sql(POOLED_ROUNDS, POOLED_DEPTH) + _relative_sql("pb_pred")
+ORACLES["cutoff_guard"] = BASE_CTE + """, last AS (SELECT MAX(month_year) AS m FROM cells),
+forced(forced) AS (VALUES """ + ", ".join("(CAST(NULL AS VARCHAR))" if f is None else f"('{f}')" for f in FORCED_MONTHS) + """),
+guarded AS (SELECT forced, CASE WHEN coalesce(forced, '') = '' THEN m WHEN forced <= m THEN forced END AS used FROM forced, last)
+SELECT g.forced, g.used, g.used IS NULL AS refused, CASE WHEN g.used IS NOT NULL THEN COUNT(c.month_year) END AS n_cells,
+       CAST(SUM(CAST(c.y AS DECIMAL(28,6))) AS DOUBLE) AS y
+FROM guarded g LEFT JOIN cells c ON c.month_year <= g.used GROUP BY g.forced, g.used"""
+THREE_MODELS = HW.replace("all_pred AS (", (_trend_sql() + _seasonal_sql()).lstrip(",\n") + """,
+all_pred AS (SELECT * FROM sa_pred UNION ALL SELECT * FROM th_pred UNION ALL """, 1)
+ORACLES["record_three_models"] = THREE_MODELS + """ SELECT debtorcode, category, projno, last_trainmy, mape_model, round(mape_min, 2) AS mape_min,
+       maape_model, round(maape_min, 4) AS maape_min, round(rbaseline, 2) AS rbaseline,
+       CASE WHEN rmape > rbaseline THEN 'BETTER' WHEN rmape < rbaseline THEN 'WORST' WHEN rmape = rbaseline THEN 'EQUAL' END AS pred_bt_base,
+       CASE WHEN forecast_amt >= tmonth_amt + tmonth_amt * 0.1 THEN 'UP' WHEN forecast_amt <= tmonth_amt - tmonth_amt * 0.1 THEN 'DW'
+            WHEN forecast_amt IS NOT NULL AND tmonth_amt IS NOT NULL THEN 'NC' END AS pred_trend,
+       round(mae_v / test_mean, 4) AS mae_share, round(forecast_amt / test_mean, 4) AS forecast_share,
+       CASE WHEN lvl IS NULL THEN 'bad_item' WHEN n IS NULL THEN 'no_data' WHEN n <= 6 THEN 'too_short' WHEN mape_model IS NULL THEN 'no_model' ELSE 'ok' END
+         AS status FROM rec2"""

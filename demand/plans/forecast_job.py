@@ -7,7 +7,7 @@ work list -(anti join stored keys)-> items -(hierarchy expand)-> monthly sums
 
 Shuffles: the per-level monthly sums (map-side combined), the item join,
 one shuffle by item_id for the series windows; model folds, metrics and
-packing group by item_id on small per-item data. The monthly sums, the
+packing group by item_id on small per-item data, the record in one pass. The monthly sums, the
 split series and the predictions are checkpointed: each is read by several
 later steps and none of them is recomputed from the facts.
 """
@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import BASELINE, DEFAULT_MODELS, HORIZON, MODEL_ORDER, N_TEST
-from ..functions.errors import mean_in_order
 from ..operators import metrics as M
 from ..operators import record as R
 from ..operators import series as S
@@ -29,13 +28,18 @@ from ..session import cut_lineage
 
 
 def _model_registry():
-    from ..operators.models import boosted, holt_winters, seasonal_ar, trend_holiday
+    from ..operators.models import boosted, holt_winters, pooled, seasonal_ar, trend_holiday
+
+    def boost(split, n_test, horizon, boosting="series", boost_rounds=None, **kw):
+        if boosting == "pooled":
+            return pooled.pooled_lags(split, n_test, horizon, rounds=boost_rounds or pooled.ROUNDS)
+        return boosted.boosted_lags(split, n_test, horizon, max_iter=boost_rounds or boosted.MAX_ITER)
+
     return {
         "SARIMAX": lambda split, n_test, horizon, **kw: seasonal_ar.seasonal_ar(split, n_test, horizon),
         "Prophet": lambda split, n_test, horizon, **kw: trend_holiday.trend_holiday(
             split, n_test, horizon, holidays=kw.get("holidays")),
-        "XGBoost": lambda split, n_test, horizon, **kw: boosted.boosted_lags(
-            split, n_test, horizon, max_iter=kw.get("boost_rounds", boosted.MAX_ITER)),
+        "XGBoost": boost,
         "HWExSmooth": lambda split, n_test, horizon, **kw: holt_winters.holt_winters_grid(split, n_test, horizon),
     }
 
@@ -69,7 +73,9 @@ def score(split: DataFrame, models: str | list[str] = DEFAULT_MODELS, n_test: in
           **model_kw) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Baseline + models -> (clipped preds, model metrics, baseline metrics, caps).
 
-    ``registry`` (label -> function of split, n_test, horizon) replaces the models behind the labels."""
+    ``registry`` (label -> function of split, n_test, horizon) replaces the models behind the labels;
+    ``boosting="pooled"`` takes one booster per origin over all series instead of one per series and origin.
+    A series on which a model raised has a row of phase ``failed`` with the error in ``preds``."""
     labels = M.model_subset(models)
     registry = registry or _model_registry()
     usable = split.filter(F.col("n") > F.lit(n_test))  # too short: no training month
@@ -89,7 +95,7 @@ def score(split: DataFrame, models: str | list[str] = DEFAULT_MODELS, n_test: in
     # aggregate over the checkpointed split
     raw_preds = base
     for p in model_preds:
-        raw_preds = raw_preds.unionByName(p)
+        raw_preds = raw_preds.unionByName(p, allowMissingColumns=True)  # kernels tell which series raised
     caps = S.holdout_cap(usable)
     actuals = usable.filter("is_test").select("item_id", "t", "y")
     baseline_metrics = M.error_metrics(actuals, base)          # before clipping (quirk Q5)
@@ -125,25 +131,13 @@ def forecast_record(cells: DataFrame, worklist: DataFrame, done: DataFrame | Non
     once = keyed.filter(F.col("own_id") == F.col("item_id")).select("item_id", "debtorcode", "category", "projno", "month_year")
     raw, split = build_series(cells, once, n_test, channel_scoped, checkpoint)
     preds, mm, bm, caps = score(split, models, n_test, horizon, checkpoint, **model_kw)
-    best = M.best_model(mm)
-    # one pass over each item's months: size, last month with data, hold-out mean, last actual
-    per_item = (split.groupBy("item_id")
-                .agg(F.max("n").alias("n"),
-                     F.max(F.when(~F.col("filled"), F.col("t"))).alias("_t_last_known"),
-                     mean_in_order(F.when(F.col("is_test"), F.col("y")), F.col("t")).alias("test_mean"),
-                     F.max_by("y", "t").alias("tmonth_amt")))
-    per_item = per_item.withColumn("last_trainmy", F.date_format(S.month_start_of_index(F.col("_t_last_known")),
-                                                                 "yyyy-MM"))
-    fc = M.first_forecast_of(preds, best)
-    rec = (keyed.select("own_id", "item_id", "debtorcode", "category", "projno", "lvl")
-           .join(per_item.drop("_t_last_known"), "item_id", "left")
-           .join(best, "item_id", "left")
-           .join(bm.select("item_id", F.col("mape").alias("baseline_mape")), "item_id", "left")
-           .join(fc, "item_id", "left"))
+    per_item = R.item_summary(split, preds, mm, bm)
+    rec = keyed.select("own_id", "item_id", "debtorcode", "category", "projno", "lvl").join(per_item, "item_id", "left")
     rec = M.labels(rec)
     status = (F.when(F.col("lvl").isNull(), F.lit("bad_item"))
               .when(F.col("n").isNull(), F.lit("no_data"))
               .when(F.col("n") <= F.lit(n_test), F.lit("too_short"))
+              .when(F.col("mape_model").isNull() & (F.size("errors") > 0), F.lit("model_error"))
               .when(F.col("mape_model").isNull(), F.lit("no_model"))
               .otherwise(F.lit("ok")))
     rec = rec.withColumn("status", status)
