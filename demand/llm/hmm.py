@@ -1,16 +1,17 @@
 """Language-model scoring with a hidden Markov model trained on the whole corpus by Baum-Welch.
 
-Tokens are the words ``[^\\x20\\x09-\\x0D]+`` of the text (A-Z lower-cased) and one end token. Each state emits every
-word of the training corpus by its own learned weight, mixed with the corpus: P(word | state) = (1 - MIX) * E(word, state)
-/ E(state) + MIX * (c + 1) / (N + V + 1), with expected counts E and corpus counts c (one place is left for unknown
-words, so each state's probabilities add up to 1). Starts, moves and all E are learned by ``iterations`` Baum-Welch
-passes over all training documents; a token counts for E only by the share that the first term has in it, which is
-exact EM for a fixed MIX. A text's score is the exact log10 likelihood by the scaled forward recursion.
-
-Shape: one pass turns bounded chunks of documents into *stores* (word numbers per chunk, written once to the
-shared folder) and into (word, training count) lists per bucket of words. Per Baum-Welch pass each chunk gets the weights
-of its own words, sends back their expected counts, and buckets add those up over all chunks. What the model
-holds grows with the vocabulary and never leaves the buckets: the driver sees states x states sums only.
+Tokens are the words ``[^\\x20\\x09-\\x0D]+`` of the text (A-Z lower-cased) and one end token. Training has two steps.
+``iterations`` Baum-Welch passes over all training documents find the states with tied emissions: words hashed to
+``classes`` classes share them. A last pass unties them: the expected counts of every single word in every state are
+added up over the corpus and become that word's own weights, P(word | state) = (1 - MIX) * W(word, state) / W(state)
++ MIX * (c + 1) / (N + V + 1), with corpus counts c and W = c times the word's state shares, kept in 1/255; one place is
+left for unknown words, so each state's probabilities add up to 1. A text's score is the exact log10 likelihood of that
+model by the scaled forward recursion.
+
+Shape: one pass turns bounded chunks of documents into *stores* (word numbers and classes per chunk, written once to the
+shared folder) and into (word, training count) lists per bucket of words. Passes read the stores in place; only the last
+one sends words' shares to the buckets, which add them up over all chunks and answer each chunk with its words' counts and
+shares. What the model holds grows with the vocabulary and never leaves the buckets; the driver sees states x classes sums.
 
 Defined results: a null text has only the end token; repeated rows are scored (and counted) each; null ids are
 never held out; without training documents all counts are 0 and every token has probability 1. Other columns are dropped.
@@ -24,13 +25,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demand.llm.common import (LOWER_ARRAY, bucket_count, chunks, discard, flat, lean, lean_group, mix, pack, piece_hashes, span_index,
-                               string_array, text_bytes, texts, unpack, written, written_at)
+from demand.llm.common import (LOWER_ARRAY, bucket_count, chunks, flat, lean, lean_group, pack, piece_hashes, span_index,
+                               string_array, text_bytes, texts, unpack, written)
 
 MIX = 0.2
+CLASSES = 4096
+LEVELS = 255  # a word's state shares are kept in whole parts of this
 CHUNK_BYTES = 6 << 20
-#: Bytes of text per bucket of words; a bucket holds the word lists of all chunks for its words.
-BUCKET_BYTES = 32 << 20
 PARTS = "kind int, bucket int, chunk long, a binary, b binary, c binary, d binary"
 PART_SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()), *[(x, pa.binary()) for x in "abcd"]])
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -48,7 +49,7 @@ def tokens(column):
     return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), count
 
 
-def _parts(buckets: int):
+def _parts(buckets: int, classes: int):
     """Chunks of documents -> one store row (kind 0) and one row of words per bucket (kind 1)."""
 
     def run(batches):
@@ -63,17 +64,19 @@ def _parts(buckets: int):
             place = np.empty(len(order), np.int64)
             place[order] = np.arange(len(order))
             number = place[number]
-            words, bucket = words.take(pa.array(order)), bucket[order]
+            words, hashed, bucket = words.take(pa.array(order)), hashed[order], bucket[order]
+            own = ((hashed >> np.uint64(20)) % np.uint64(classes)).astype(np.uint16)
             seen = np.bincount(number[np.repeat(train, count)], minlength=len(words))
             cut = np.searchsorted(bucket, np.arange(buckets + 1))
             ids = batch.column("doc_id").fill_null(-1).to_numpy()
             null = batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_pylist([{
-                "kind": 0, "bucket": 0, "chunk": chunk, "a": pack(number, np.uint32), "b": pack(np.diff(cut), np.uint32),
-                "c": pack(np.stack([ids, count, train.astype(np.int64) + 2 * null], axis=1), np.int64), "d": b""}], PART_SCHEMA)
+                "kind": 0, "bucket": 0, "chunk": chunk, "a": pack(number, np.uint32), "b": pack(own),
+                "c": pack(np.stack([ids, count, train.astype(np.int64) + 2 * null], axis=1), np.int64), "d": pack(np.diff(cut), np.uint32)}], PART_SCHEMA)
             rows = []
             for b in np.flatnonzero(np.diff(cut)).tolist():
-                text, at = flat(words.slice(cut[b], cut[b + 1] - cut[b]))
+                part = words.slice(cut[b], cut[b + 1] - cut[b])
+                text, at = flat(part)
                 rows.append({"kind": 1, "bucket": b, "chunk": chunk, "a": pack(text.tobytes()), "b": pack(np.diff(at), np.uint32),
                              "c": pack(seen[cut[b]:cut[b + 1]], np.uint32), "d": b""})
             if rows:
@@ -83,84 +86,75 @@ def _parts(buckets: int):
     return lean(run)
 
 
-def first_weights(words, count: np.ndarray, states: int) -> np.ndarray:
-    """(words, states): the counts, tilted by a fixed random factor per word and state so that states can part."""
-    hashed = piece_hashes(*flat(words)) if len(words) else np.empty(0, np.uint64)
-    tilt = np.stack([mix(hashed + np.uint64(k + 1)) >> np.uint64(11) for k in range(states)], axis=1) / 2.0 ** 53
-    return count[:, None] * (0.5 + tilt)
-
-
-def _rows(kind: int, bucket: int, chunk_ids, parts, seconds=None):
-    return [{"kind": kind, "bucket": bucket, "chunk": c, "a": pack(x), "b": b"" if seconds is None else pack(y), "c": b"", "d": b""}
-            for c, x, y in zip(chunk_ids, parts, parts if seconds is None else seconds, strict=True)]
-
-
 def _count(states: int):
-    """One bucket: counts and first weights of its words over all chunks, answered per chunk (kind 2); the words' places in the
-    bucket per chunk (kind 4); sums (kind 3)."""
+    """One bucket: counts and state shares of its words over all chunks; an answer per chunk (kind 2) and sums (kind 3).
 
-    def run(key, table):
+    The group of bucket -1 has no words but the chunks' expected states of the end token."""
+
+    def run(key, lists, shares):
         bucket = key[0].as_py()
-        words, sizes, seen = [], [], []
-        for a, b, c in zip(*[table.column(x).to_pylist() for x in "abc"], strict=True):
-            n = unpack(b, np.uint32)
-            words.append(string_array(unpack(a), np.concatenate([[0], np.cumsum(n.astype(np.int64))])))
-            sizes.append(len(n))
-            seen.append(unpack(c, np.uint32))
-        coded = pa.chunked_array(words).combine_chunks().dictionary_encode()
-        number = coded.indices.to_numpy(zero_copy_only=False)
-        total = np.bincount(number, weights=np.concatenate(seen), minlength=len(coded.dictionary)).astype(np.int64)
-        weight = first_weights(coded.dictionary, total, states).astype("<f4")
-        cut = np.cumsum(sizes)[:-1]
-        ids = table.column("chunk").to_pylist()
-        sums = np.array([total.sum(), (total > 0).sum(), *weight.sum(axis=0, dtype=np.float64)], np.float64)
-        return pa.Table.from_pylist(
-            [{"kind": 3, "bucket": bucket, "chunk": -1, "a": pack(sums), "b": b"", "c": b"", "d": b""}]
-            + _rows(2, bucket, ids, np.split(weight[number], cut), np.split(total[number], cut))
-            + _rows(4, bucket, ids, np.split(number.astype(np.uint32), cut)), PART_SCHEMA)
+        rows = []
+        if bucket < 0:
+            total = sum((unpack(a, np.float64) for a in shares.column("a").to_pylist()), np.zeros(states))
+            rows = [(3, -1, pack(total), b"")]
+        elif lists.num_rows:
+            of = dict(zip(shares.column("chunk").to_pylist(), shares.column("a").to_pylist(), strict=True))
+            words, sizes, seen, share = [], [], [], []
+            for chunk, a, b, c in zip(*[lists.column(x).to_pylist() for x in ("chunk", "a", "b", "c")], strict=True):
+                n = unpack(b, np.uint32)
+                words.append(string_array(unpack(a), np.concatenate([[0], np.cumsum(n.astype(np.int64))])))
+                sizes.append(len(n))
+                seen.append(unpack(c, np.uint32).astype(np.int64))
+                share.append(whole_shares(unpack(of[chunk], np.uint8).reshape(-1, states - 1)))
+            coded = pa.chunked_array(words).combine_chunks().dictionary_encode()
+            number, seen, share = coded.indices.to_numpy(zero_copy_only=False), np.concatenate(seen), np.concatenate(share)
+            size = len(coded.dictionary)
+            total = np.bincount(number, weights=seen, minlength=size).astype(np.int64)
+            weight = np.stack([np.bincount(number, weights=seen * share[:, k], minlength=size) for k in range(states)], axis=1)
+            share = levels(weight / np.maximum(weight.sum(axis=1, keepdims=True), 1))
+            sums = np.concatenate([[total.sum(), (total > 0).sum()], (total[:, None] * whole_shares(share)).sum(axis=0)])
+            cut = np.cumsum(sizes)[:-1]
+            rows = [(3, -1, pack(sums, np.int64), b"")] + [
+                (2, chunk, pack(a, np.int64), pack(b, np.uint8)) for chunk, a, b in
+                zip(lists.column("chunk").to_pylist(), np.split(total[number], cut), np.split(share[number], cut), strict=True)]
+        return pa.Table.from_pylist([{"kind": k, "bucket": bucket, "chunk": c, "a": a, "b": b, "c": b"", "d": b""} for k, c, a, b in rows], PART_SCHEMA)
 
     return lean_group(run)
 
 
-def _add(states: int):
-    """One bucket: expected counts of its words, added up over all chunks and answered per chunk."""
+def levels(share: np.ndarray) -> np.ndarray:
+    """Shares of all states but the first, in whole parts of LEVELS."""
+    return np.rint(share[:, 1:] * LEVELS).astype(np.uint8)
 
-    def run(key, places, sums):
-        bucket = key[0].as_py()
-        place = {c: unpack(a, np.uint32) for c, a in zip(places.column("chunk").to_pylist(), places.column("a").to_pylist(), strict=True)}
-        total = np.zeros((1 + max((int(p.max()) for p in place.values()), default=-1), states))
-        for c, a in sorted(zip(sums.column("chunk").to_pylist(), sums.column("a").to_pylist(), strict=True)):
-            total[place[c]] += unpack(a, "<f4").reshape(-1, states)  # a word is there once per chunk
-        total = total.astype("<f4")
-        return pa.Table.from_pylist(_rows(2, bucket, list(place), [total[p] for p in place.values()]), PART_SCHEMA)
 
-    return lean_group(run)
+def whole_shares(part: np.ndarray) -> np.ndarray:
+    """(words, states) parts: the first state has what the others leave of LEVELS."""
+    part = part.astype(np.int64)
+    return np.concatenate([np.maximum(0, LEVELS - part.sum(axis=1, keepdims=True)), part], axis=1)
 
 
-class Chain:
-    """start (K), move (K x K), size (K: sum of all weights of a state) and end (K: weights of the end token)."""
+class Model:
+    """start (K), move (K x K) and emit (K x classes + 1) of the chain; the last class is the end token."""
 
-    def __init__(self, size: np.ndarray, end: np.ndarray):
-        states = len(size)
+    def __init__(self, states: int, classes: int, seed: int = 11):
+        rng = np.random.default_rng(seed)
         self.start = np.full(states, 1 / states)
         self.move = np.full((states, states), 0.1 / max(1, states - 1))
         np.fill_diagonal(self.move, 0.9 if states > 1 else 1.0)
-        self.size, self.end = size, end
+        emit = np.exp(rng.normal(size=(states, classes + 1)))
+        emit[:, -1] = emit.mean()
+        self.emit = emit / emit.sum(axis=1, keepdims=True)
 
-    def learned(self, start, move, size, end, prior: float = 1.0) -> Chain:
-        """The next chain from expected counts; the prior keeps starts and moves above 0."""
-        out = Chain(size, end)
+    def learned(self, start, move, emit, prior: float = 1.0):
+        """The next model from expected counts; the prior keeps every probability above 0."""
+        out = Model.__new__(Model)
         out.start = (start + prior) / (start + prior).sum()
         out.move = (move + prior) / (move + prior).sum(axis=1, keepdims=True)
+        unigram = emit.sum(axis=0) + 1e-3
+        emit = emit + prior * len(unigram) * 0.01 * unigram / unigram.sum()
+        out.emit = emit / emit.sum(axis=1, keepdims=True)
         return out
 
-    def emit(self, weight: np.ndarray, unigram: np.ndarray):
-        """(P(word | state), the share of the learned weight in it) per row; a state without weights emits by the corpus alone."""
-        have = self.size > 0
-        own = np.where(have, (1 - MIX) / np.where(have, self.size, 1.0), 0.0) * weight
-        whole = own + np.where(have, MIX, 1.0) * unigram[:, None]
-        return whole, own / whole
-
 
 def by_time(count: np.ndarray):
     """Places of tokens in time order (step 0 of all texts, longest first, then step 1, ...): (place, active per step)."""
@@ -172,14 +166,14 @@ def by_time(count: np.ndarray):
     return order, first[span_index(np.zeros(len(active), np.int64), active)] + step, active
 
 
-def forward(chain: Chain, emitted: np.ndarray, active: np.ndarray):
+def forward(model: Model, emitted: np.ndarray, active: np.ndarray):
     """Scaled forward recursion over time-ordered emissions: (alpha rows, scale per token)."""
     n = int(active.sum())
-    alpha = np.empty((n, len(chain.start)))
+    alpha = np.empty((n, len(model.start)))
     scale = np.empty(n)
     at, last = 0, None
     for m in active.tolist():
-        a = emitted[at:at + m] * (chain.start if last is None else last[:m] @ chain.move)
+        a = emitted[at:at + m] * (model.start if last is None else last[:m] @ model.move)
         s = a.sum(axis=1)
         a /= s[:, None]
         alpha[at:at + m], scale[at:at + m] = a, s
@@ -187,13 +181,14 @@ def forward(chain: Chain, emitted: np.ndarray, active: np.ndarray):
     return alpha, scale
 
 
-def expected(chain: Chain, emitted: np.ndarray, active: np.ndarray):
-    """Expected starts and moves, and the state probabilities of each time-ordered token."""
-    alpha, scale = forward(chain, emitted, active)
-    k = len(chain.start)
-    move = np.zeros((k, k))
+def expected(model: Model, classes: np.ndarray, active: np.ndarray):
+    """Expected counts of starts, moves and emissions of time-ordered class numbers, and each token's state probabilities."""
+    emitted = model.emit.T[classes]
+    alpha, scale = forward(model, emitted, active)
+    k = len(model.start)
+    move, emit = np.zeros((k, k)), np.zeros(model.emit.shape)
     gamma = np.empty_like(alpha)
-    end = len(emitted)
+    end = len(classes)
     beta = None  # scaled backward value of the step after, for the texts active there
     for t in range(len(active) - 1, -1, -1):
         m = int(active[t])
@@ -203,116 +198,138 @@ def expected(chain: Chain, emitted: np.ndarray, active: np.ndarray):
             n = len(beta)
             ahead = emitted[end:end + n] * beta / scale[end:end + n, None]
             move += alpha[at:at + n].T @ ahead
-            now[:n] = ahead @ chain.move.T
+            now[:n] = ahead @ model.move.T
         gamma[at:end] = alpha[at:end] * now
         beta, end = now, at
-    return gamma[:int(active[0])].sum(axis=0) if len(active) else np.zeros(k), move * chain.move, gamma
+    for i in range(k):
+        emit[i] = np.bincount(classes, weights=gamma[:, i], minlength=emit.shape[1])
+    return gamma[:int(active[0])].sum(axis=0) if len(active) else np.zeros(k), move * model.move, emit, gamma
 
 
-def _sequences(a: bytes, c: bytes):
-    """(document table, token number incl. -1 for ends, tokens per text) of a store."""
-    number, docs = unpack(a, np.uint32).astype(np.int64), unpack(c, np.int64).reshape(-1, 3)
+def _sequences(a: bytes, b: bytes, c: bytes, end_class: int):
+    """(document table, token number incl. -1 for ends, class per token, tokens per text) of a store."""
+    number, own, docs = unpack(a, np.uint32).astype(np.int64), unpack(b, np.uint16).astype(np.int64), unpack(c, np.int64).reshape(-1, 3)
     size = docs[:, 1] + 1
     full = np.full(int(size.sum()), -1, np.int64)
     full[span_index(np.cumsum(size) - size, docs[:, 1])] = number
-    return docs, full, size
+    cls = np.append(own, end_class)[full]
+    return docs, full, cls, size
 
 
-def _by_word(answers, column: str, dtype, width: int) -> np.ndarray:
-    """The answers of all buckets to a chunk, in its word order."""
-    rows = sorted(zip(answers.column("bucket").to_pylist(), answers.column(column).to_pylist(), strict=True))
-    return np.concatenate([np.empty((0, width), dtype), *[unpack(x, dtype).reshape(-1, width) for _, x in rows]])
+def _expect(model: Model, end_class: int):
+    def run(batches):
+        k, c = model.emit.shape
+        start, move, emit, some = np.zeros(k), np.zeros((k, k)), np.zeros((k, c)), False
+        for batch in batches:
+            for a, b, d in zip(*[batch.column(x).to_pylist() for x in "abc"], strict=True):
+                docs, _, cls, size = _sequences(a, b, d, end_class)
+                train = docs[:, 2] % 2 == 1
+                cls, size = cls[np.repeat(train, size)], size[train]
+                if not len(size):
+                    continue
+                _, place, active = by_time(size)
+                s, m, e, _ = expected(model, cls[place], active)
+                start, move, emit, some = start + s, move + m, emit + e, True
+        if some:  # one row per state and kind of count
+            rows = [start] + list(move) + list(emit)
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int32()), pa.array(rows, pa.list_(pa.float64()))], names=["row", "sums"])
 
+    return lean(run)
 
-def _expect(chain: Chain, total: int, kinds: int, ends: int):
-    """A chunk and the weights of its words -> their expected counts per bucket (kind 5), sums for the driver (kind 6)."""
-    states = len(chain.start)
 
-    def run(key, store, answers):
-        out = []
-        weight = np.concatenate([_by_word(answers, "a", "<f4", states).astype(float), chain.end[None]])
-        count = np.append(_by_word(answers, "b", np.int64, 1)[:, 0], ends)
-        emit, share = chain.emit(weight, (count + 1.0) / (total + kinds + 1))
-        for c, a, b, d in zip(*[store.column(x).to_pylist() for x in ("chunk", "a", "b", "c")], strict=True):
-            docs, number, size = _sequences(a, d)
-            train = docs[:, 2] % 2 == 1
-            number, size = number[np.repeat(train, size)], size[train]
-            if not len(size):
-                number = np.empty(0, np.int64)
-            _, place, active = by_time(size)
-            number = number[place]
-            start, move, gamma = expected(chain, emit[number], active)
-            found = np.stack([np.bincount(number % len(weight), weights=gamma[:, i], minlength=len(weight)) for i in range(states)], axis=1) * share
-            out.append({"kind": 6, "bucket": 0, "chunk": c, "a": pack(np.concatenate([start, move.ravel(), found.sum(axis=0), found[-1]])),
-                        "b": b"", "c": b"", "d": b""})
-            cut = np.concatenate([[0], np.cumsum(unpack(b, np.uint32).astype(np.int64))])
-            for k in np.flatnonzero(np.diff(cut)).tolist():
-                out += _rows(5, k, [c], [found[cut[k]:cut[k + 1]].astype("<f4")])
-        return pa.Table.from_pylist(out, PART_SCHEMA)
-
-    return run
-
-
-def _score(chain: Chain, total: int, kinds: int, ends: int):
-    states = len(chain.start)
-    log_total = float(np.log10(total + kinds + 1))
+def _untie(model: Model, end_class: int):
+    """Chunks -> per bucket the state shares of their words, and (bucket -1) the expected states of the end token."""
+    states = len(model.start)
 
-    def run(key, store, answers):
-        out = []
-        weight = np.concatenate([_by_word(answers, "a", "<f4", states).astype(float), chain.end[None]])
-        count = np.append(_by_word(answers, "b", np.int64, 1)[:, 0], ends)
-        emit, _ = chain.emit(weight, (count + 1.0) / (total + kinds + 1))
-        for a, c in zip(*[store.column(x).to_pylist() for x in "ac"], strict=True):
-            rows, number, size = _sequences(a, c)
-            first = np.cumsum(size) - size
-            base = np.add.reduceat(np.log10(count + 1.0)[number], first) - size * log_total
-            _, at, active = by_time(size)
-            _, scale = forward(chain, emit[number[at]], active)
-            logs = np.empty(len(number))
-            logs[at] = np.log10(scale)
-            flag = rows[:, 2]
-            out.append(pa.table({
-                "doc_id": pa.array(rows[:, 0], pa.int64(), mask=flag >= 2), "held_out": flag % 2 == 0, "n_tokens": size,
-                "n_known": np.add.reduceat((count[number] > 0).astype(np.int64), first), "train_tokens": np.full(len(size), total),
-                "base_score": base, "score": np.add.reduceat(logs, first)}))
-        return pa.concat_tables(out)
+    def run(batches):
+        for batch in batches:
+            for chunk, a, b, c, d in zip(*[batch.column(x).to_pylist() for x in ("chunk", "a", "b", "c", "d")], strict=True):
+                docs, number, cls, size = _sequences(a, b, c, end_class)
+                words = len(unpack(b, np.uint16))
+                train = docs[:, 2] % 2 == 1
+                keep = np.repeat(train, size)
+                number, cls, size = number[keep], cls[keep], size[train]
+                found = np.zeros((words + 1, states))
+                if len(size):
+                    _, place, active = by_time(size)
+                    number, gamma = number[place] % (words + 1), expected(model, cls[place], active)[3]  # the end is after all words
+                    found = np.stack([np.bincount(number, weights=gamma[:, k], minlength=words + 1) for k in range(states)], axis=1)
+                part = levels(found[:-1] / np.maximum(found[:-1].sum(axis=1, keepdims=True), 1e-9))
+                cut = np.concatenate([[0], np.cumsum(unpack(d, np.uint32).astype(np.int64))])
+                rows = [(-1, pack(found[-1]))] + [(k, pack(part[cut[k]:cut[k + 1]], np.uint8)) for k in np.flatnonzero(np.diff(cut)).tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([chunk] * len(rows), pa.int64()),
+                                                  pa.array([x for _, x in rows], pa.binary())], names=["bucket", "chunk", "a"])
 
-    return run
+    return lean(run)
 
 
-def _with_words(store: DataFrame, weights: DataFrame, counts: DataFrame, run, schema: str) -> DataFrame:
-    """``run(key, store, answers)`` per chunk: answers hold its words' weights (a) and counts (b) per bucket."""
-    answers = weights if weights is counts else weights.drop("b").join(counts.select("chunk", "bucket", "b"), ["chunk", "bucket"])
-    return store.groupBy("chunk").cogroup(answers.select("chunk", "bucket", "a", "b").groupBy("chunk")).applyInArrow(lean_group(run), schema)
+def emissions(weight: np.ndarray, size: np.ndarray, unigram: np.ndarray) -> np.ndarray:
+    """P(word | state) per word: its weight among the state's, mixed with the corpus; a state without weights has the corpus alone."""
+    have = size > 0
+    return np.where(have, (1 - MIX) / np.where(have, size, 1.0), 0.0) * weight + np.where(have, MIX, 1.0) * unigram[:, None]
 
 
-def score(docs: DataFrame, held_out: Column, states: int = 4, iterations: int = 4) -> DataFrame:
+def train(store: DataFrame, states: int, classes: int, iterations: int) -> Model:
+    """Baum-Welch over all stores; per iteration each task returns 1 + 2 x states rows of sums."""
+    model = Model(states, classes)
+    for _ in range(iterations):
+        sums = (store.select("a", "b", "c").mapInArrow(_expect(model, classes), "row int, sums array<double>")
+                .select("row", F.posexplode("sums").alias("i", "x")).groupBy("row", "i").agg(F.sum("x").alias("x")).toPandas())
+        if sums.empty:
+            return model
+        counts = [np.zeros(states), np.zeros((states, states)), np.zeros((states, classes + 1))]
+        row, i, x = sums["row"].to_numpy(), sums["i"].to_numpy(), sums["x"].to_numpy()
+        counts[0][i[row == 0]] = x[row == 0]
+        mid, last = (row > 0) & (row <= states), row > states
+        counts[1][row[mid] - 1, i[mid]] = x[mid]
+        counts[2][row[last] - 1 - states, i[last]] = x[last]
+        model = model.learned(*counts)
+    return model
+
+
+def score(docs: DataFrame, held_out: Column, states: int = 4, classes: int = CLASSES, iterations: int = 4) -> DataFrame:
     """One row per document: held_out, n_tokens, n_known, train_tokens, base_score (unigram) and score (the chain)."""
-    spark = docs.sparkSession
     docs = texts(docs.withColumn("train", ~F.coalesce(held_out, F.lit(False))), "train")
-    buckets = bucket_count(text_bytes(docs), BUCKET_BYTES)
-    parts = written(docs.mapInArrow(_parts(buckets), PARTS), "hmm-parts", "kind")
-    store = parts.where("kind = 0").select("chunk", "a", "b", "c")
-    counted = written(parts.where("kind = 1").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_count(states), PARTS), "hmm-counts", "kind")
-    counts, places = counted.where("kind = 2"), counted.where("kind = 4").select("bucket", "chunk", "a")
-
+    buckets = bucket_count(text_bytes(docs))
+    parts = written(docs.mapInArrow(_parts(buckets, classes), PARTS), "hmm-parts", "kind")
+    store = parts.where("kind = 0").select("chunk", "a", "b", "c", "d")
+    model = train(store, states, classes, iterations)
+    shares = store.mapInArrow(_untie(model, classes), "bucket int, chunk long, a binary")
+    lists = parts.where("kind = 1").select("bucket", "chunk", "a", "b", "c")
+    counted = written(lists.groupBy("bucket").cogroup(shares.groupBy("bucket")).applyInArrow(_count(states), PARTS), "hmm-counts", "kind")
+
+    total, kinds, size, end = 0, 0, np.zeros(states), np.zeros(states)
+    for r in counted.where("kind = 3").select("bucket", "a").toLocalIterator():  # 2 + states numbers a bucket
+        if r["bucket"] < 0:
+            end = unpack(r["a"], np.float64)
+        else:
+            sums = unpack(r["a"], np.int64)
+            total, kinds, size = total + int(sums[0]), kinds + int(sums[1]), size + sums[2:] / LEVELS
     ends = docs.where("train").count()
-    sums = np.zeros(2 + states)
-    for r in counted.where("kind = 3").select("a").toLocalIterator():  # 2 + states numbers a bucket
-        sums += unpack(r["a"], np.float64)
-    total, kinds = int(sums[0]) + ends, int(sums[1]) + (ends > 0)
-    end = np.full(states, float(ends))
-    chain, weights, old = Chain(sums[2:] + end, end), counts, None
-    for _ in range(iterations if ends else 0):
-        found, path = written_at(_with_words(store, weights, counts, _expect(chain, total, kinds, ends), PARTS), "hmm-expected", "kind")
-        got = np.zeros(states * (states + 3))
-        for r in found.where("kind = 6").select("a").toLocalIterator():  # states x (states + 3) numbers a chunk
-            got += unpack(r["a"], np.float64)
-        start, move, size, end = np.split(got, np.cumsum([states, states * states, states]))
-        chain = chain.learned(start, move.reshape(states, states), size, end)
-        weights, now = written_at(places.groupBy("bucket").cogroup(found.where("kind = 5").select("bucket", "chunk", "a").groupBy("bucket"))
-                                  .applyInArrow(_add(states), PARTS), "hmm-weights")
-        for gone in filter(None, (path, old)):  # both have been read into the new weights
-            discard(spark, gone)
-        old = now
-    return _with_words(store, weights, counts, _score(chain, total, kinds, ends), SCORED)
+    total, kinds, size = total + ends, kinds + (ends > 0), size + end
+    log_total = float(np.log10(total + kinds + 1))
+
+    def finish(key, mine, answers):
+        out = []
+        by_bucket = sorted(zip(*[answers.column(x).to_pylist() for x in ("bucket", "a", "b")], strict=True))
+        count = np.concatenate([np.empty(0, np.int64), *[unpack(x, np.int64) for _, x, _ in by_bucket], [ends]])
+        part = np.concatenate([np.empty((0, states - 1), np.uint8), *[unpack(x, np.uint8).reshape(-1, states - 1) for _, _, x in by_bucket]])
+        weight = np.concatenate([count[:-1, None] * whole_shares(part) / LEVELS, end[None]])
+        emit = emissions(weight, size, (count + 1.0) / (total + kinds + 1))
+        log_c = np.log10(count + 1.0)
+        for a, b, c in zip(*[mine.column(x).to_pylist() for x in "abc"], strict=True):
+            rows, number, _, length = _sequences(a, b, c, classes)
+            first = np.cumsum(length) - length
+            _, at, active = by_time(length)
+            _, scale = forward(model, emit[number[at]], active)
+            chain = np.empty(len(number))
+            chain[at] = np.log10(scale)
+            flag = rows[:, 2]
+            out.append(pa.table({
+                "doc_id": pa.array(rows[:, 0], pa.int64(), mask=flag >= 2), "held_out": flag % 2 == 0, "n_tokens": length,
+                "n_known": np.add.reduceat((count[number] > 0).astype(np.int64), first), "train_tokens": np.full(len(length), total),
+                "base_score": np.add.reduceat(log_c[number], first) - length * log_total, "score": np.add.reduceat(chain, first)}))
+        return pa.concat_tables(out)
+
+    answers = counted.where("kind = 2").select("chunk", "bucket", "a", "b")
+    return store.select("chunk", "a", "b", "c").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(lean_group(finish), SCORED)
