@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demand.llm.common import hashed_sample, written
+from demand.llm.common import hashed_sample, mix, written
 
 INDEX = "tree int, leaf int, n long, part long, ids binary, vectors binary"
 PROBES = "tree int, leaf int, salt int, block int, query_id long, vector binary"
@@ -130,6 +130,11 @@ def index_rows(vectors: DataFrame, forest: list[dict], dim: int) -> DataFrame:
     return vectors.where(F.size("vector") == dim).mapInArrow(run, INDEX)
 
 
+def query_blocks(ids: np.ndarray, blocks: int) -> np.ndarray:
+    """Block of each query by a hash of its id: ids with a common factor spread as well."""
+    return (mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(blocks)).astype(np.int64)
+
+
 def probe_leaves(queries: DataFrame, forest: list[dict], dim: int, counts: list[np.ndarray], budget: float,
                  block_rows: int, blocks: int) -> DataFrame:
     """The leaves that each query inspects, by one heap over all trees; a row per leaf and salt of the leaf."""
@@ -138,11 +143,12 @@ def probe_leaves(queries: DataFrame, forest: list[dict], dim: int, counts: list[
     def run(batches):
         for batch in batches:
             ids, data = batch.column("vec_id").to_numpy(), _matrix(batch.column("vector"), dim)
+            block_of = query_blocks(ids, blocks)
             margins = [tree["normals"] @ data.T - tree["cuts"][:, None] for tree in forest]
             out = []
             for q, (qid, vector) in enumerate(zip(ids.tolist(), data, strict=True)):
                 heap = [(0.0, t, tree["root"]) for t, tree in enumerate(forest)]
-                seen, raw, block = 0, vector.astype("<f8").tobytes(), qid % blocks
+                seen, raw, block = 0, vector.astype("<f8").tobytes(), int(block_of[q])
                 while heap and seen < budget:
                     far, t, node = heapq.heappop(heap)
                     tree = forest[t]

@@ -151,3 +151,9 @@ def test_few_ids_are_all_found(spark, copies):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = Counter(r["query_id"] for r in ann.search(df, lambda i: i >= 0).collect())
     assert got == {i: 10 for i in range(11)}
+
+
+@pytest.mark.parametrize(("queries", "blocks"), [(5_000, 2), (20_000, 5), (100_000, 25)])
+def test_query_blocks_are_even_for_ids_with_a_common_factor(queries, blocks):
+    size = np.bincount(ann.query_blocks(np.arange(queries) * 100, blocks), minlength=blocks)
+    assert size.min() > 0.9 * queries / blocks and size.max() < 1.1 * queries / blocks
