@@ -41,20 +41,45 @@ def gram_struct(k: int) -> Column:
                     F.col("yy").cast("double").alias("yy"), F.col("n_obs").cast("long").alias("n_obs"))
 
 
+def solve_scaled(a, b, ok):
+    """Solutions of the stacked systems a x = b for which ``ok`` holds, and which of them were well enough conditioned."""
+    import numpy as np
+
+    # Jacobi scaling (unit diagonal): the condition test and the solve
+    # then do not depend on the units of the regressors
+    diag = np.einsum("ijj->ij", a)
+    ok = ok & np.isfinite(a).all(axis=(1, 2)) & np.isfinite(b).all(axis=1) & (diag > 0).all(axis=1)
+    x = np.zeros(b.shape)
+    with np.errstate(all="ignore"):
+        d = 1.0 / np.sqrt(np.where(diag > 0, diag, 1.0))
+        a_s = a * d[:, :, None] * d[:, None, :]
+        cond = np.full(len(a), np.inf)
+        if ok.any():
+            cond[ok] = np.linalg.cond(a_s[ok])
+    ok = ok & (cond < 1e10)
+    if ok.any():
+        x[ok] = np.linalg.solve(a_s[ok], (b * d)[ok][..., None])[..., 0] * d[ok]
+    return x, ok
+
+
 def solve_candidates(gram: DataFrame, keys: list[str], k: int, candidates: list[list[int]],
-                     ridge: list[float] | None = None) -> DataFrame:
+                     ridge: list[float] | None = None, derive=None) -> DataFrame:
     """Best candidate per row by AIC = n*ln(RSS/n) + 2*|candidate|.
 
     ``gram`` has the key columns and a ``g`` struct from :func:`gram_struct`.
     ``candidates`` are feature subsets ordered by preference on ties (fewer
-    terms first). ``ridge`` adds a diagonal penalty (per feature). Output:
-    keys, cand (index), beta array<double> (k, zeros outside the subset),
-    rss, n_obs. Rows with no solvable candidate, or whose solver raises, are dropped.
+    terms first). ``ridge`` adds a diagonal penalty (per feature). ``derive(xtx, n)``
+    may return a (rows, k, features) array whose columns say how each feature
+    of the candidates is made of the k Gram columns; without it they are the
+    same. Output: keys, cand (index), beta array<double> (per feature, zeros
+    outside the subset), raw array<double> (the same per Gram column), rss,
+    n_obs. Rows with no solvable candidate, or whose solver raises, are dropped.
     """
     import numpy as np
     import pandas as pd
 
-    pen = np.zeros(k) if ridge is None else np.asarray(ridge, dtype=float)
+    features = k if derive is None else 1 + max(max(c) for c in candidates)
+    pen = np.zeros(features) if ridge is None else np.asarray(ridge, dtype=float)
     cands = [np.asarray(c, dtype=int) for c in candidates]
 
     def solved(pdf):
@@ -77,29 +102,19 @@ def solve_candidates(gram: DataFrame, keys: list[str], k: int, candidates: list[
         xty = np.stack([np.asarray(v, dtype=float) for v in pdf["xty"]])
         yy = pdf["yy"].to_numpy(dtype=float)
         n = pdf["n_obs"].to_numpy(dtype=float)
+        made = np.broadcast_to(np.eye(k), (m, k, k)) if derive is None else derive(xtx, n)
+        if derive is not None:
+            xtx, xty = np.einsum("mia,mij,mjb->mab", made, xtx, made), np.einsum("mia,mi->ma", made, xty)
         best_aic = np.full(m, np.inf)
         best_c = np.full(m, -1)
-        best_beta = np.zeros((m, k))
+        best_beta = np.zeros((m, features))
         best_rss = np.full(m, np.nan)
         for ci, idx in enumerate(cands):
             a = xtx[:, idx[:, None], idx[None, :]] + np.diag(pen[idx])[None, :, :]
             b = xty[:, idx]
-            ok = np.isfinite(a).all(axis=(1, 2)) & np.isfinite(b).all(axis=1) & (n > len(idx))
-            # Jacobi scaling (unit diagonal): the condition test and the solve
-            # then do not depend on the units of the regressors
-            diag = np.einsum("ijj->ij", a)
-            ok &= (diag > 0).all(axis=1)
-            with np.errstate(all="ignore"):
-                d = 1.0 / np.sqrt(np.where(diag > 0, diag, 1.0))
-                a_s = a * d[:, :, None] * d[:, None, :]
-                cond = np.full(m, np.inf)
-                if ok.any():
-                    cond[ok] = np.linalg.cond(a_s[ok])
-            ok &= cond < 1e10
+            beta, ok = solve_scaled(a, b, n > len(idx))
             if not ok.any():
                 continue
-            beta = np.zeros((m, len(idx)))
-            beta[ok] = np.linalg.solve(a_s[ok], (b * d)[ok][..., None])[..., 0] * d[ok]
             rss = yy - 2 * np.einsum("ij,ij->i", beta, b) + np.einsum("ij,ijk,ik->i", beta, xtx[:, idx[:, None], idx[None, :]], beta)
             rss = np.maximum(rss, 1e-300)
             with np.errstate(all="ignore"):
@@ -108,7 +123,7 @@ def solve_candidates(gram: DataFrame, keys: list[str], k: int, candidates: list[
             best_aic = np.where(better, aic, best_aic)
             best_c = np.where(better, ci, best_c)
             best_rss = np.where(better, rss, best_rss)
-            full = np.zeros((m, k))
+            full = np.zeros((m, features))
             full[:, idx] = beta
             best_beta = np.where(better[:, None], full, best_beta)
         keep = best_c >= 0
@@ -116,11 +131,12 @@ def solve_candidates(gram: DataFrame, keys: list[str], k: int, candidates: list[
             out = pdf.loc[keep, keys].reset_index(drop=True)
             out["cand"] = best_c[keep].astype("int64")
             out["beta"] = list(best_beta[keep])
+            out["raw"] = list(np.einsum("mka,ma->mk", made, best_beta)[keep])
             out["rss"] = best_rss[keep]
             out["n_obs"] = n[keep].astype("int64")
             yield out
 
     flat = gram.select(*keys, "g.xtx", "g.xty", "g.yy", "g.n_obs")
     key_types = ", ".join(f"{c} {flat.schema[c].dataType.simpleString()}" for c in keys)
-    schema = f"{key_types}, cand long, beta array<double>, rss double, n_obs long"
+    schema = f"{key_types}, cand long, beta array<double>, raw array<double>, rss double, n_obs long"
     return flat.mapInPandas(run, schema)

@@ -1205,25 +1205,35 @@ def _seasonal_sql() -> str:
     # the first of the smallest variances, in the order of z
     chosen = "CASE " + " ".join(f"WHEN {' AND '.join(f'v{i} <= v{j}' for j in range(4) if j != i)} THEN {i}" for i in range(4)) + " END"
     znow = "CASE o " + " ".join(f"WHEN {i} THEN {e}" for i, e in enumerate(z.values())) + " END"
-    f = ["1.0", "z1", "z2", "z12"]
-    grams = ", ".join([f"SUM({f[i]} * {f[j]}) AS g{i}_{j}" for i in range(4) for j in range(i, 4)] + [f"SUM({f[i]} * z) AS h{i}" for i in range(4)])
+    # the long autoregression of the month before (units scaled away), its residual e1 row by row, then the Gram sums with it
+    g_long = ["1.0", "z2", "z3", "z4", "z13"]
+    n_long = len(g_long)
+    long_sums = ", ".join([f"SUM({g_long[i]} * {g_long[j]}) AS g{i}_{j}" for i in range(n_long) for j in range(i, n_long)]
+                          + [f"SUM({g_long[i]} * z1) AS h{i}" for i in range(n_long)])
+    long_in = ", ".join([f"g{min(i, j)}_{max(i, j)} / sqrt(g{i}_{i} * g{j}_{j}) AS a{i}_{j}" for i in range(n_long) for j in range(n_long)]
+                        + [f"h{i} / sqrt(g{i}_{i}) AS b{i}" for i in range(n_long)])
+    long_beta = ", ".join(f"s.x{i} / sqrt(g.g{i}_{i}) AS l{i}" for i in range(n_long))
+    some = " AND ".join(f"g{i}_{i} > 0" for i in range(n_long))
+    f = ["1.0", "z1", "z2", "z12", "e1"]
+    grams = ", ".join([f"SUM({f[i]} * {f[j]}) AS g{i}_{j}" for i in range(5) for j in range(i, 5)] + [f"SUM({f[i]} * z) AS h{i}" for i in range(5)])
     sets, union = [], []
     for c, cols in enumerate(m.CANDIDATES):
         k = len(cols)
         g = lambda i, j: f"g{min(i, j)}_{max(i, j)}"
         scaled = ", ".join([f"{g(cols[i], cols[j])} / sqrt({g(cols[i], cols[i])} * {g(cols[j], cols[j])}) AS a{i}_{j}" for i in range(k) for j in range(k)]
                            + [f"h{cols[i]} / sqrt({g(cols[i], cols[i])}) AS b{i}" for i in range(k)])
-        sets.append(f"sa_in{c} AS (SELECT item_id, phase, {scaled} FROM sa_gram WHERE n_obs > {k})")
+        sets.append(f"sa_in{c} AS (SELECT item_id, phase, {scaled} FROM sa_gram WHERE n_obs > {k}{f' AND g4_4 > {m.LEAST_RESIDUAL!r} * g1_1' if 4 in cols else ''})")
         sets.append(_eliminate(f"sa_sol{c}", f"sa_in{c}", "item_id, phase", k))
-        beta = [f"s.x{cols.index(i)} / sqrt({g(i, i)})" if i in cols else "0.0" for i in range(4)]
+        beta = [f"s.x{cols.index(i)} / sqrt({g(i, i)})" if i in cols else "0.0" for i in range(5)]
         sets.append(f"sa_b{c} AS (SELECT r.*, {', '.join(f'{b} AS w{i}' for i, b in enumerate(beta))} FROM sa_gram r "
                     f"JOIN sa_sol{c} s ON r.item_id = s.item_id AND r.phase = s.phase)")
         quad = " + ".join(f"w{i} * w{j} * {g(i, j)}" for i in cols for j in cols)
         rss = f"greatest(yy - 2 * ({' + '.join(f'w{i} * h{i}' for i in cols)}) + ({quad}), 1e-300)"
-        union.append(f"SELECT item_id, phase, {c} AS c, n_obs * ln({rss} / n_obs) + {2 * k} AS aic, w0, w1, w2, w3 FROM sa_b{c}")
+        union.append(f"SELECT item_id, phase, {c} AS c, n_obs * ln({rss} / n_obs) + {2 * k} AS aic, w0, w1, w2, w3, w4 FROM sa_b{c}")
     at = lambda j: f"coalesce(hist[len(hist) - {j - 1}], 0.0)"
     back = lambda j: f"({at(j)} - d1 * {at(j + 1)} - d12 * {at(j + 12)} + d1 * d12 * {at(j + 13)})"
-    ahead = (f"w0 + w1 * {back(1)} + w2 * {back(2)} + w3 * {back(12)} + d1 * {at(1)} + d12 * {at(12)} - d1 * d12 * {at(13)}")
+    last = f"({back(1)} - (l0 + l1 * {back(2)} + l2 * {back(3)} + l3 * {back(4)} + l4 * {back(13)}))"
+    ahead = (f"CASE WHEN h = 0 AND w4 <> 0 THEN w4 * {last} ELSE 0.0 END + w0 + w1 * {back(1)} + w2 * {back(2)} + w3 * {back(12)} + d1 * {at(1)} + d12 * {at(12)} - d1 * d12 * {at(13)}")
     return f""",
 sa_rows AS (
   SELECT item_id, 'test' AS phase, t, y FROM split WHERE NOT is_test AND n > 6 UNION ALL SELECT item_id, 'future', t, y FROM split WHERE n > 6),
@@ -1232,23 +1242,36 @@ sa_lag AS (
 sa_var AS (SELECT *, {variances} FROM sa_lag WINDOW v AS (PARTITION BY item_id, phase)),
 sa_z AS (SELECT item_id, phase, t, y, o, {znow} AS z FROM (SELECT *, {chosen} AS o FROM sa_var)),
 sa_zl AS (
-  SELECT *, LAG(z, 1) OVER w AS z1, LAG(z, 2) OVER w AS z2, LAG(z, 12) OVER w AS z12 FROM sa_z WINDOW w AS (PARTITION BY item_id, phase ORDER BY t)),
+  SELECT *, LAG(z, 1) OVER w AS z1, LAG(z, 2) OVER w AS z2, LAG(z, 12) OVER w AS z12,
+         LAG(z, 3) OVER w AS z3, LAG(z, 4) OVER w AS z4, LAG(z, 13) OVER w AS z13 FROM sa_z WINDOW w AS (PARTITION BY item_id, phase ORDER BY t)),
 sa_meta AS (
   SELECT item_id, phase, MAX(o) AS o, MAX(t) AS t_last, COUNT(*) AS n_fit, list(y ORDER BY t) AS ys FROM sa_zl GROUP BY item_id, phase
   HAVING COUNT(*) >= {m.MIN_TRAIN}),
-sa_gram AS (
-  SELECT item_id, phase, COUNT(*) AS n_obs, SUM(z * z) AS yy, {grams} FROM sa_zl
-  WHERE z IS NOT NULL AND z1 IS NOT NULL AND z2 IS NOT NULL AND z12 IS NOT NULL GROUP BY item_id, phase),
+sa_common AS (
+  SELECT * FROM sa_zl WHERE z IS NOT NULL AND z1 IS NOT NULL AND z2 IS NOT NULL AND z12 IS NOT NULL AND z3 IS NOT NULL AND z4 IS NOT NULL
+  AND z13 IS NOT NULL),
+sa_lgram AS (SELECT item_id, phase, COUNT(*) AS n_obs, {long_sums} FROM sa_common GROUP BY item_id, phase),
+sa_lin AS (SELECT item_id, phase, {long_in} FROM sa_lgram WHERE n_obs >= {m.MIN_LONG} AND {some}),
+{_eliminate("sa_lsol", "sa_lin", "item_id, phase", n_long)},
+sa_long AS (
+  SELECT * FROM (SELECT g.item_id, g.phase, {long_beta} FROM sa_lgram g JOIN sa_lsol s ON g.item_id = s.item_id AND g.phase = s.phase)
+  WHERE isfinite(l0 + l1 + l2 + l3 + l4)),
+sa_e AS (
+  SELECT c.*, coalesce(c.z1 - (l0 + l1 * c.z2 + l2 * c.z3 + l3 * c.z4 + l4 * c.z13), 0.0) AS e1
+  FROM sa_common c LEFT JOIN sa_long l ON c.item_id = l.item_id AND c.phase = l.phase),
+sa_gram AS (SELECT item_id, phase, COUNT(*) AS n_obs, SUM(z * z) AS yy, {grams} FROM sa_e GROUP BY item_id, phase),
 {", ".join(sets)},
 sa_best AS (
-  SELECT item_id, phase, arg_min(struct_pack(w0 := w0, w1 := w1, w2 := w2, w3 := w3), struct_pack(a := aic, b := c)) AS w
+  SELECT item_id, phase, arg_min(struct_pack(w0 := w0, w1 := w1, w2 := w2, w3 := w3, w4 := w4), struct_pack(a := aic, b := c)) AS w
   FROM ({" UNION ALL ".join(union)}) WHERE NOT isnan(aic) GROUP BY item_id, phase),
 sa_rec AS (
   SELECT b.item_id, b.phase, e.t_last, 0 AS h, e.ys[-{m.HISTORY}:] AS hist, b.w.w0 AS w0, b.w.w1 AS w1, b.w.w2 AS w2, b.w.w3 AS w3,
+         b.w.w4 AS w4, coalesce(l.l0, 0.0) AS l0, coalesce(l.l1, 0.0) AS l1, coalesce(l.l2, 0.0) AS l2, coalesce(l.l3, 0.0) AS l3, coalesce(l.l4, 0.0) AS l4,
          CAST(CASE WHEN e.o IN (1, 3) THEN 1 ELSE 0 END AS DOUBLE) AS d1, CAST(CASE WHEN e.o IN (2, 3) THEN 1 ELSE 0 END AS DOUBLE) AS d12
   FROM sa_best b JOIN sa_meta e ON b.item_id = e.item_id AND b.phase = e.phase
+  LEFT JOIN sa_long l ON l.item_id = b.item_id AND l.phase = b.phase
   UNION ALL
-  SELECT item_id, phase, t_last, h + 1, list_append(hist, {ahead}), w0, w1, w2, w3, d1, d12 FROM sa_rec
+  SELECT item_id, phase, t_last, h + 1, list_append(hist, {ahead}), w0, w1, w2, w3, w4, l0, l1, l2, l3, l4, d1, d12 FROM sa_rec
   WHERE h < CASE WHEN phase = 'test' THEN 6 ELSE 3 END),
 sa_pred AS (
   SELECT item_id, 'SARIMAX' AS model, phase, t_last + h AS t,
