@@ -5,8 +5,8 @@ the widest of ``directions`` random projections, down to ``leaves`` equal
 leaves, as many at any size, so what a query's leaves return grows with the queries only. *Index*: every row is routed through every tree; rows of one (tree, leaf) and task are packed in one
 blob. *Search*: a query walks all trees with one heap ordered by the summed squared margins of the splits it
 left on the far side, and takes leaves until they hold ``inspect_share`` of all rows (rows met in two trees count
-twice). *Rerank*: leaf blocks and their queries meet by (tree, leaf); exact double-precision distances are
-computed there and only the ``k`` best of each query and block go on to a final ranking.
+twice). *Rerank*: leaf blocks and their queries meet by (tree, leaf); matrix products rule out the rows that are
+too far, exact double-precision distances are computed of the others and only the ``k`` best of each query and block go on to a final ranking.
 
 Scale: the forest and the leaf counts are bounded by ``sample_rows`` and ``trees``. Leaves with many rows (copies)
 are dealt to salts of ``block_rows`` rows and their queries repeated, queries of one leaf to blocks of
@@ -15,7 +15,7 @@ near-uniform directions (neighbours hardly nearer than strangers) need a large o
 
 Defined results: vectors that are null, empty, of another length than most of the sample, zero, or with null or
 non-finite components take no part; null ids neither; an id that occurs on several rows counts once, with its
-nearest vector. Ties go to the smaller id. With at most 4k ids all leaves of one tree are searched, so fewer than k
+nearest vector; distances beyond the largest double take no part. Other columns are not read. Ties go to the smaller id. With at most 4k ids all leaves of one tree are searched, so fewer than k
 other ids are all found.
 """
 
@@ -28,9 +28,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
-from demand.llm.common import hashed_sample, mix, written
+from demand.llm.common import hashed_sample, mix, span_index, written
 
+CELLS = 1 << 22  # distances held at once
 INDEX = "tree int, leaf int, n long, part long, ids binary, vectors binary"
 PROBES = "tree int, leaf int, salt int, block int, query_id long, vector binary"
 FOUND = "query_id long, vec_id long, score double"
@@ -107,8 +109,8 @@ def _matrix(column, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def index_rows(vectors: DataFrame, forest: list[dict], dim: int) -> DataFrame:
-    """Every row of ``vectors`` in its leaf of every tree, packed per task and leaf."""
+def index_rows(vectors: DataFrame, forest: list[dict], dim: int, kind: str = "<f8") -> DataFrame:
+    """Every row of ``vectors`` in its leaf of every tree, packed per task and leaf as numbers of ``kind``."""
 
     def run(batches):
         for batch in batches:
@@ -122,7 +124,7 @@ def index_rows(vectors: DataFrame, forest: list[dict], dim: int) -> DataFrame:
                 cut = np.flatnonzero(np.diff(leaf[order])) + 1
                 for rows in np.split(order, cut):
                     out.append((t, int(leaf[rows[0]]), len(rows), int(ids[rows[0]]), ids[rows].astype("<i8").tobytes(),
-                                data[rows].astype("<f8").tobytes()))
+                                data[rows].astype(kind).tobytes()))
             yield pa.RecordBatch.from_pydict(dict(zip(["tree", "leaf", "n", "part", "ids", "vectors"], zip(*out), strict=True)),
                                              schema=pa.schema([("tree", pa.int32()), ("leaf", pa.int32()), ("n", pa.int64()),
                                                                ("part", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary())]))
@@ -170,32 +172,58 @@ def probe_leaves(queries: DataFrame, forest: list[dict], dim: int, counts: list[
 
 
 def nearest_in(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> pd.DataFrame:
-    """The k nearest ids of one block to each query, exactly, each by its nearest row; a query's own id is left out."""
-    out = []
+    """The k nearest ids of one block to each query, exactly, each by its nearest row; a query's own id is left out.
+
+    Matrix products find the rows that can be among them, with room for their rounding; distances of those are taken
+    from the differences."""
     names, number = np.unique(ids, return_inverse=True)
-    head = None
-    if len(names) < len(ids):
+    many = len(names) < len(ids)
+    if many:
         order = np.argsort(number, kind="stable")
-        data, head = data[order], np.flatnonzero(np.diff(number[order], prepend=-1))
+        data, number = data[order], number[order]
         ids = names
-    for qid, q in zip(query_ids, queries, strict=True):
-        score = np.sqrt(((data - q) ** 2).sum(axis=1))
-        if head is not None:
-            score = np.minimum.reduceat(score, head)
-        score[ids == qid] = np.inf
-        if len(score) > 4 * k:
-            few = np.flatnonzero(score <= np.partition(score, k)[k])
-        else:
-            few = np.arange(len(score))
-        few = few[np.isfinite(score[few])]
-        own = few[np.lexsort((ids[few], score[few]))][:k]
-        out.append(pd.DataFrame({"query_id": np.full(len(own), qid), "vec_id": ids[own], "score": score[own]}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        head = np.flatnonzero(np.diff(number, prepend=-1))
+        size = np.diff(head, append=len(number))
+    else:
+        head = size = None
+    at = np.minimum(np.searchsorted(names, query_ids), len(names) - 1)
+    own = np.flatnonzero(names[at] == query_ids)
+    place = np.full(len(query_ids), -1)
+    place[own] = at[own] if many else np.argsort(number)[at[own]]
+    with np.errstate(over="ignore", invalid="ignore"):
+        square, asked = np.einsum("ij,ij->i", data, data), np.einsum("ij,ij->i", queries, queries)
+        slack = 128 * (data.shape[1] + 4) * np.finfo(np.float64).eps * (square.max() + asked) + np.finfo(np.float64).tiny
+    out = []
+    step = max(1, CELLS // len(data))
+    for first in range(0, len(queries), step):
+        some = slice(first, first + step)
+        with np.errstate(over="ignore", invalid="ignore"):
+            near = square + asked[some, None] - 2 * (queries[some] @ data.T)
+        near[~np.isfinite(near)] = -np.inf
+        if many:
+            near = np.minimum.reduceat(near, head, axis=1)
+        mine = np.flatnonzero(place[some] >= 0)
+        near[mine, place[some][mine]] = np.inf
+        last = np.partition(near, k - 1, axis=1)[:, k - 1] if near.shape[1] > k else np.full(len(near), np.inf)
+        room = slack[some]  # without bound if squares are too large to tell: all rows are looked at
+        most = np.where(np.isfinite(room), last, np.inf) + room
+        for i, row in enumerate(near):
+            few = np.flatnonzero((row <= most[i]) & (row < np.inf))
+            rows = span_index(head[few], size[few]) if many else few
+            with np.errstate(over="ignore"):
+                score = np.sqrt(((data[rows] - queries[first + i]) ** 2).sum(axis=1))
+            if many and len(few):
+                score = np.minimum.reduceat(score, np.cumsum(size[few]) - size[few])
+            real = np.isfinite(score)
+            few, score = few[real], score[real]
+            best = np.lexsort((ids[few], score))[:k]
+            out.append((np.full(len(best), query_ids[first + i]), ids[few[best]], score[best]))
+    return pd.DataFrame(dict(zip(["query_id", "vec_id", "score"], map(np.concatenate, zip(*out, strict=True)), strict=True)))
 
 
 def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, trees: int = 8,
            leaves: int = 64, sample_rows: int = 32768, inspect_share: float = 1.0, block_rows: int = 8192,
-           query_block: int = 4096) -> DataFrame:
+           query_block: int = 16384) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found rows of each row for which ``is_query(id column)`` holds."""
     vectors = usable(df, id_col, vector_col)
     forest, dim, total = fit_forest(vectors, trees, leaves, sample_rows)
@@ -204,7 +232,8 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "e
         budget = max(inspect_share * total, 4 * k)
         if vectors.where(F.size("vector") == dim).select("vec_id").distinct().limit(4 * k + 1).count() <= 4 * k:
             forest, budget = forest[:1], float("inf")  # few ids: all rows
-        index = written(index_rows(vectors, forest, dim), "ann-index")
+        kind = "<f4" if isinstance(df.schema[vector_col].dataType.elementType, FloatType) else "<f8"  # as given: nothing is lost
+        index = written(index_rows(vectors, forest, dim, kind), "ann-index")
         counts = [np.zeros(t["leaves"], np.int64) for t in forest]  # at most trees x sample_rows / 4 numbers
         for r in index.groupBy("tree", "leaf").agg(F.sum("n").alias("n")).toLocalIterator():
             counts[r["tree"]][r["leaf"]] = r["n"]
@@ -221,7 +250,7 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "e
                 return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"),
                                      "score": pd.Series([], dtype="float64")})
             ids = np.frombuffer(b"".join(left["ids"]), "<i8")
-            data = np.frombuffer(b"".join(left["vectors"]), "<f8").reshape(-1, dim)
+            data = np.frombuffer(b"".join(left["vectors"]), kind).reshape(-1, dim).astype(np.float64)
             asked = np.frombuffer(b"".join(right["vector"]), "<f8").reshape(-1, dim)
             return nearest_in(ids, data, right["query_id"].to_numpy(), asked, k)
 

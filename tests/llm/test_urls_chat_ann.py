@@ -157,3 +157,38 @@ def test_few_ids_are_all_found(spark, copies):
 def test_query_blocks_are_even_for_ids_with_a_common_factor(queries, blocks):
     size = np.bincount(ann.query_blocks(np.arange(queries) * 100, blocks), minlength=blocks)
     assert size.min() > 0.9 * queries / blocks and size.max() < 1.1 * queries / blocks
+
+
+def _nearest_by_hand(ids, data, query_ids, queries, k):
+    out = []
+    for q, v in zip(query_ids, queries, strict=True):
+        best = {}
+        for i, d in zip(ids.tolist(), np.sqrt(((data - v) ** 2).sum(axis=1)).tolist(), strict=True):
+            if i != q and d < best.get(i, math.inf):
+                best[i] = d
+        out += [(int(q), i, d) for d, i in sorted((d, i) for i, d in best.items())[:k]]
+    return out
+
+
+@pytest.mark.parametrize("case", ["plain", "copies", "far from zero", "grid", "huge", "few", "one"])
+def test_products_lose_no_neighbour(case, monkeypatch):
+    """Rows whose products cancel, ties without end, values whose squares overflow: same ids and same doubles."""
+    rng = np.random.default_rng(17)
+    n = {"few": 7, "one": 1}.get(case, 400)
+    data = rng.normal(size=(n, 5))
+    ids = rng.permutation(n).astype(np.int64)
+    if case == "copies":
+        ids = ids % 60
+    if case == "far from zero":
+        data = 1e9 + np.round(data, 1)  # distances of 0.1 at coordinates of 1e9
+    if case == "grid":
+        data = np.round(data)
+    if case == "huge":
+        data[::3] *= 1e160
+    query_ids = np.concatenate([ids[:40], [10_000]])
+    queries = np.concatenate([data[:40], data[:1]])
+    monkeypatch.setattr(ann, "CELLS", 3000)
+    with np.errstate(over="ignore"):
+        want = _nearest_by_hand(ids, data, query_ids, queries, 10)
+        got = ann.nearest_in(ids, data, query_ids, queries, 10)
+    assert list(got.itertuples(index=False, name=None)) == want
