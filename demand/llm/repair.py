@@ -33,20 +33,39 @@ SLOTS = 20
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _slots(pair: np.ndarray) -> np.ndarray:
+    return (pair * MULTIPLIER >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+
+def _find(name: np.ndarray, pair: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(indices of the pairs that are among the sorted ``name``, index of the name of each); ``slot`` is theirs."""
+    here = _slots(name)
+    first = np.full(1 << SLOTS, -1, np.int32)
+    first[here] = np.arange(len(name))
+    rule = first[slot]
+    some = np.flatnonzero(rule >= 0)
+    rule = rule[some]
+    miss = np.flatnonzero(name[rule] != pair[some])  # another name may share the slot
+    rule[miss] = np.minimum(np.searchsorted(name, pair[some[miss]]), len(name) - 1)
+    mine = name[rule] == pair[some]
+    return some[mine], rule[mine]
+
+
 def compress(ids: np.ndarray, base: int, rounds: int | None = None, per_round: int = 8192, least: int = 8):
     """(rules as pairs of symbols, expansion length per rule, sequence); symbol base + i is rule i."""
     seq = ids.astype(np.uint32)
     rules, length = np.empty((0, 2), np.uint32), np.empty(0, np.int64)
     done, most = 0, per_round
-    while len(seq) > 1 and (rounds is None or done < rounds):
-        pair = seq[:-1].astype(np.uint64)
+    place = np.arange(max(len(seq) - 1, 0))  # a rare pair never gets more frequent: its places stay out until a neighbour is replaced
+    while len(place) and (rounds is None or done < rounds):
+        pair = seq[place].astype(np.uint64)
         pair <<= np.uint64(32)
-        pair |= seq[1:]
-        slot = (pair * MULTIPLIER >> np.uint64(64 - SLOTS)).astype(np.int64)
+        pair |= seq[place + 1]
+        slot = _slots(pair)
         done += 1
-        often = np.bincount(slot, minlength=1 << SLOTS) >= least  # no frequent pair is outside these slots
-        place = np.flatnonzero(often[slot])
-        near = np.sort(pair[place])
+        often = (np.bincount(slot, minlength=1 << SLOTS) >= least)[slot]  # no frequent pair is outside these slots
+        place, pair, slot = place[often], pair[often], slot[often]
+        near = np.sort(pair)
         head = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]])) if len(near) else np.empty(0, np.int64)
         count = np.diff(np.append(head, len(near)))
         name, count = near[head][count >= least], count[count >= least]
@@ -54,30 +73,32 @@ def compress(ids: np.ndarray, base: int, rounds: int | None = None, per_round: i
             break
         best = np.sort(np.argsort(-count, kind="stable")[:most])
         name = name[best]
-        often[:] = False
-        often[(name * MULTIPLIER >> np.uint64(64 - SLOTS)).astype(np.int64)] = True
-        place = place[often[slot[place]]]
-        rule = np.minimum(np.searchsorted(name, pair[place]), len(name) - 1)
-        mine = name[rule] == pair[place]
-        at, rule = place[mine], rule[mine]  # every other place of a run of overlapping pairs is taken
+        chosen, rule = _find(name, pair, slot)
+        at = place[chosen]  # every other place of a run of overlapping pairs is taken
         head = np.concatenate([[True], np.diff(at) > 1])
         rank = np.arange(len(at)) - np.maximum.accumulate(np.where(head, np.arange(len(at)), 0))
-        at, rule = at[rank % 2 == 0], rule[rank % 2 == 0]
+        even = rank & 1 == 0
+        at, rule = at[even], rule[even]
         worth = np.bincount(rule, minlength=len(name)) >= max(least // 2, 1)
         if not worth.any():  # pairs took each other's places: fewer of them, at last the most frequent alone
             most = max(1, min(most, len(name)) // 8)
             continue
         most = per_round
-        at, rule = at[worth[rule]], rule[worth[rule]]
+        if not worth.all():
+            at, rule = at[worth[rule]], rule[worth[rule]]
         new = name[worth]
         left, right = (new >> np.uint64(32)).astype(np.uint32), (new & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         size = lambda s: np.where(s < base, 1, np.append(length, 0)[np.maximum(s.astype(np.int64) - base, -1)])
-        seq[at] = (base + len(rules) + (np.cumsum(worth) - 1)[rule]).astype(np.uint32)
-        kept = np.ones(len(seq), bool)
+        seq[at] = (base + len(rules) + np.cumsum(worth) - 1).astype(np.uint32)[rule]
+        kept, open_ = np.ones(len(seq), bool), np.zeros(len(seq), bool)
         kept[at + 1] = False
+        open_[place] = True
+        open_[at] = True
+        open_[np.maximum(at - 1, 0)] = True
         length = np.concatenate([length, size(left) + size(right)])
         rules = np.concatenate([rules, np.stack([left, right], axis=1)])
         seq = seq[kept]
+        place = np.flatnonzero(open_[kept][:-1])
     return rules, length, seq
 
 

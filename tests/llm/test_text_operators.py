@@ -42,6 +42,34 @@ def test_encode_is_plain_encoding(texts):
         assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] == want
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab'S1\n\t\u00a0\u0085\x1c.É9\u0120|<>endoftx", min_size=1, max_size=12), min_size=1, max_size=200))
+def test_words_in_lines_are_plain_encoding(words):
+    tokenizing.forget()
+    texts = [" ".join(words), *words]
+    ids, count = tokenizing.encode(pa.array(texts, pa.string()), BYTE_BPE, True)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] == plain_ids(BYTE_BPE, texts)
+
+
+def test_new_words_share_tokenizer_calls(monkeypatch):
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, 0
+
+        def encode_batch_fast(self, texts, **more):
+            self.texts += len(texts)
+            return self.tokenizer.encode_batch_fast(texts, **more)
+
+    tokenizing.forget()
+    coder = tokenizing._coder(BYTE_BPE)
+    counting = Counting(coder.tokenizer)
+    monkeypatch.setattr(coder, "tokenizer", counting)
+    text = " ".join(f"w{i}é.\nnext{i}" for i in range(5000))
+    ids, _ = tokenizing.encode(pa.array([text]), BYTE_BPE, True)
+    assert ids.tolist() == plain_ids(BYTE_BPE, [text])[0]
+    assert counting.texts < 5000 / 20
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 3), max_size=300), st.integers(1, 50), st.integers(2, 6))
 def test_repair_round_trip(values, per_round, least):
@@ -69,6 +97,29 @@ def test_repair_goes_on_until_no_pair_is_frequent(values, per_round, least):
     assert repair.expand(seq, rules, 4, length).tolist() == values
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=300), st.integers(1, 50), st.integers(2, 6))
+def test_repair_grammar_does_not_depend_on_slots(values, per_round, least):
+    ids, slots = np.array(values, np.uint32), repair.SLOTS
+    want = repair.compress(ids, 6, per_round=per_round, least=least)
+    try:
+        repair.SLOTS = 2  # most pairs share their slot
+        got = repair.compress(ids, 6, per_round=per_round, least=least)
+    finally:
+        repair.SLOTS = slots
+    assert all(a.tolist() == b.tolist() for a, b in zip(want, got, strict=True))
+    assert repair.expand(got[2], got[0], 6, got[1]).tolist() == values
+
+
+def test_repair_rounds_look_at_open_places_only(monkeypatch):
+    looked, bincount = [], np.bincount
+    monkeypatch.setattr(repair.np, "bincount", lambda x, **more: (looked.append(len(x)) if more.get("minlength", 0) > 1 << 19 else None, bincount(x, **more))[1])
+    ids = np.concatenate([np.arange(50_000), np.tile(np.arange(50_000, 50_064), 40)]).astype(np.uint32)
+    rules, length, seq = repair.compress(ids, 60_000)
+    assert len(looked) > 3 and looked[0] == len(ids) - 1 and max(looked[1:]) < len(ids) / 10  # rare pairs are looked at once
+    assert (repair.expand(seq, rules, 60_000, length) == ids).all()
+
+
 def test_repair_covers_long_repeats():
     rng = np.random.default_rng(4)
     passage = rng.integers(0, 40000, 500)
