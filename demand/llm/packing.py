@@ -203,5 +203,6 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 4096, grou
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    sequence = F.col("level") * F.lit(1 << 56) + F.col("grp") * F.lit(1 << 24) + F.col("bin")
+    # grp as a long: Spark takes 1 << 24 for an int, and from group 128 on the product is none
+    sequence = F.col("level") * F.lit(1 << 56) + F.col("grp").cast("long") * F.lit(1 << 24) + F.col("bin")
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", sequence.alias("sequence_id"), "offset")

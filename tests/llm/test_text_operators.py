@@ -171,6 +171,17 @@ def test_packing(documents, corpus, no_documents):
     assert packing.pack(no_documents, WORD_BPE).count() == 0
 
 
+def test_packing_in_more_than_128_groups(spark):
+    """A sequence_id holds the group above 24 bits for the bin: group 128 and up need a long."""
+    docs = spark.createDataFrame([(i, " ".join(["the"] * 35)) for i in range(100)], "doc_id long, text string").repartition(3)
+    got = packing.pack(docs, WORD_BPE, capacity=12, group_bins=1).collect()
+    want = [(i, n, 12 * n, 12) for i in range(100) for n in range(3)]  # 36 ids a document with its end: three full pieces
+    assert sorted((r["doc_id"], r["piece"], r["start"], r["length"]) for r in got) == want
+    assert packed_well([(r["sequence_id"], r["offset"], r["length"]) for r in got], 12) == 300
+    grp = {r["sequence_id"] >> 24 for r in got}
+    assert min(grp) >= 0 and 128 <= max(grp) < 300
+
+
 def test_search_beats_best_fit():
     lengths = [6, 6, 6, 5, 5, 5, 4, 4, 4, 3, 3, 3] * 4  # best fit decreasing wastes room at capacity 15
     plain = packing.best_fit(lengths, 15)
