@@ -1,6 +1,7 @@
 """The pipeline against its parts by brute force, and the registered queries against their SQL and plain Python."""
 
 import os
+from functools import partial
 
 import duckdb
 import pytest
@@ -129,3 +130,12 @@ def test_own_columns_and_long_texts_come_through(spark, tmp_path):
     assert len({r["doc_id"]: r["text"] for r in kept}[90]) > 500_000
     packed = corpus_pipeline.STAGES[-1][1](spark, frame, str(tmp_path)).where("doc_id = 90").collect()
     assert len(packed) > 40 and sorted(r["piece"] for r in packed) == list(range(len(packed)))
+
+
+def test_last_stage_packs_more_than_128_groups(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(corpus_pipeline.packing, "pack", partial(corpus_pipeline.packing.pack, capacity=12, group_bins=1))
+    docs = spark.createDataFrame([(i, " ".join(["the"] * 35), "en", "s", 139) for i in range(100)],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    assert sorted((r["doc_id"], r["piece"]) for r in got) == [(i, n) for i in range(100) for n in range(3)]
+    assert len({r["sequence_id"] for r in got}) == 300 and max(r["sequence_id"] >> 24 for r in got) >= 128
