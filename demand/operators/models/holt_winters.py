@@ -196,11 +196,17 @@ def grid_points():
     return [(*map(float, p), 1.0) for p in itertools.product(ALPHAS, BETAS, GAMMAS, PHIS)]
 
 
+def _power(x, e):
+    """x**e, a value's result the same in any batch: where one exponent serves a whole row, numpy takes 0.5 and 2 another way."""
+    import numpy as np
+    return np.power(*map(np.ascontiguousarray, np.broadcast_arrays(x, e)))
+
+
 def _back_batch(z, lam):
     import numpy as np
     if (lam == 1.0).all():
         return z
-    return np.where(lam == 1.0, z, np.power(np.maximum(z, 0.0), 1.0 / lam))
+    return np.where(lam == 1.0, z, _power(np.maximum(z, 0.0), 1.0 / lam))
 
 
 def _fit_batch(Y, L, grid):
@@ -221,7 +227,7 @@ def _fit_batch(Y, L, grid):
 
     def forth(y):  # (rows, n) -> (rows, lambdas, n)
         power = lam[:, :, None]
-        return y[:, None, :] if plain else np.where(power == 1.0, y[:, None, :], np.power(y[:, None, :], power))
+        return y[:, None, :] if plain else np.where(power == 1.0, y[:, None, :], _power(y[:, None, :], power))
     with np.errstate(all="ignore"):
         Z = forth(Y)
         l0, l1 = Z[:, :, :SEASON].mean(axis=2), Z[:, :, SEASON:2 * SEASON].mean(axis=2)
